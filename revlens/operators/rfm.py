@@ -10,12 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.operators.quantiles import exact_quantiles
 from revlens.functions.scoring import SEG_VIP, score_ge, score_le, segment_rule
 
 QUANTILES = [0.25, 0.5, 0.75]
-# percentile_approx accuracy: relative rank error 1/accuracy.  It is a
-# mergeable sketch (partial aggregation), so it never sorts the input.
-DEFAULT_ACCURACY = 10000
 
 
 def rfm_metrics(reviews: DataFrame, grain: tuple[str, ...] = ("customer_id", "customer_name"),
@@ -31,20 +29,42 @@ def rfm_metrics(reviews: DataFrame, grain: tuple[str, ...] = ("customer_id", "cu
                  F.round(freq * F.coalesce(F.avg(rating), F.lit(0.0)), 2).alias("monetary")))
 
 
-def rfm_quantiles(rfm: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """One row with the 25/50/75 % quantiles of recency, frequency, monetary."""
-    qs = F.array(*[F.lit(q) for q in QUANTILES])
+def rfm_quantiles(rfm: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """One row with the 25/50/75 % quantiles of recency, frequency and
+    monetary (arrays ``r_q``, ``f_q``, ``m_q``), over rows where all three
+    are present.
+
+    Exact by default: the three columns are stacked as integers (monetary in
+    cents) and solved together by ``exact_quantiles``.  With ``accuracy``
+    set, one ``percentile_approx`` pass is used instead.
+    """
     ok = rfm.filter(F.col("recency").isNotNull() & F.col("frequency").isNotNull()
                     & F.col("monetary").isNotNull())
-    return ok.agg(F.percentile_approx("recency", qs, accuracy).alias("r_q"),
-                  F.percentile_approx("frequency", qs, accuracy).alias("f_q"),
-                  F.percentile_approx("monetary", qs, accuracy).alias("m_q"))
+    if accuracy is not None:
+        qs = F.array(*[F.lit(q) for q in QUANTILES])
+        return ok.agg(F.percentile_approx("recency", qs, accuracy).cast("array<double>").alias("r_q"),
+                      F.percentile_approx("frequency", qs, accuracy).cast("array<double>").alias("f_q"),
+                      F.percentile_approx("monetary", qs, accuracy).cast("array<double>").alias("m_q"))
+    stacked = ok.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("g"), F.col("recency").cast("bigint").alias("v")),
+        F.struct(F.lit(1).alias("g"), F.col("frequency").cast("bigint").alias("v")),
+        F.struct(F.lit(2).alias("g"), F.round(F.col("monetary") * 100).cast("bigint").alias("v")),
+    )).alias("x")).select("x.g", "x.v")
+    res = exact_quantiles(stacked, "v", QUANTILES, group="g")
+    scale = F.when(F.col("g") == 2, F.lit(100.0)).otherwise(F.lit(1.0))
+    packed = res.agg(*[
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("g") == i, F.struct("qi", (F.col("value") / scale).alias("x"))))),
+                    lambda e: e["x"]).alias(name)
+        for i, name in enumerate(("r_q", "f_q", "m_q"))])
+    return packed
 
 
 def rfm_segments(rfm: DataFrame, quantiles: DataFrame | None = None) -> DataFrame:
     """Scores R, F, M (1..4), total ``tong_diem`` and segment ``phan_khuc``."""
     q = quantiles if quantiles is not None else rfm_quantiles(rfm)
-    th = {name: [q.select(F.col(name)[i]).scalar() for i in range(3)] for name in ("r_q", "f_q", "m_q")}
+    # one scalar subquery (run once, reused by the nine comparisons)
+    sq = q.select(F.struct("r_q", "f_q", "m_q")).scalar()
+    th = {name: [sq[name][i] for i in range(3)] for name in ("r_q", "f_q", "m_q")}
     scored = (rfm.withColumn("R", score_le(F.col("recency"), *th["r_q"]))
                  .withColumn("F", score_ge(F.col("frequency"), *th["f_q"]))
                  .withColumn("M", score_ge(F.col("monetary"), *th["m_q"])))

@@ -136,3 +136,136 @@ def q_dedup_comments(spark, d):
 @register("duplicate_count")
 def q_duplicate_count(spark, d):
     return dedup.duplicate_count(fx.raw_comments(spark, d), ["comment_id"])
+
+
+# ---------------------------------------------------------------- flags ----
+from revlens.functions import text as tx  # noqa: E402
+from revlens.operators import flags, summaries  # noqa: E402
+from revlens.plans import cleaning  # noqa: E402
+
+
+@register("burst_flags")
+def q_burst_flags(spark, d):
+    return flags.burst_flags(fx.burst_events(spark, d))
+
+
+@register("burst_flags_plain_window")
+def q_burst_flags_plain(spark, d):
+    # same operator with the plain per-user window (no time buckets)
+    return flags.burst_flags(fx.burst_events(spark, d), bucket_seconds=None)
+
+
+@register("burst_threshold")
+def q_burst_threshold(spark, d):
+    return flags.burst_threshold(flags.review_gaps(fx.burst_events(spark, d)))
+
+
+def merged(spark, d):
+    return cleaning.build_merged(fx.raw_products(spark, d), fx.raw_comments(spark, d))
+
+
+@register("merged")
+def q_merged(spark, d):
+    return merged(spark, d)
+
+
+@register("timegap_threshold")
+def q_timegap_threshold(spark, d):
+    conv = clean.convert_types(dedup.dedup(fx.raw_comments(spark, d), ["comment_id"]))
+    return flags.timegap_threshold(flags.timegap_minutes(conv))
+
+
+@register("overall_summary")
+def q_overall_summary(spark, d):
+    return summaries.overall_summary(merged(spark, d))
+
+
+@register("product_summary")
+def q_product_summary(spark, d):
+    return summaries.product_summary(merged(spark, d))
+
+
+@register("customer_summary")
+def q_customer_summary(spark, d):
+    return summaries.customer_summary(merged(spark, d))
+
+
+@register("top_products_by_comments")
+def q_top_products_by_comments(spark, d):
+    return summaries.top_rows(summaries.product_summary(merged(spark, d)), 20)
+
+
+@register("top_customers_by_spam")
+def q_top_customers_by_spam(spark, d):
+    return summaries.top_rows(summaries.customer_summary(merged(spark, d)), 20)
+
+
+HISTORY_COLS = ["customer_id", "created_at_ts", "purchased_at_ts", "delta_minutes", "burst_count", "F3_flag"]
+
+
+@register("flagged_history_f3")
+def q_flagged_history_f3(spark, d):
+    return clean.flagged_user_history(merged(spark, d), "F3_flag", cols=HISTORY_COLS + ["comment_id"])
+
+
+@register("flagged_history_f5")
+def q_flagged_history_f5(spark, d):
+    cols = ["customer_id", "comment_id", "created_at_ts", "purchased_at_ts", "time_gap_minutes", "F5_flag"]
+    return clean.flagged_user_history(merged(spark, d), "F5_flag", cols=cols)
+
+
+@register("null_profile")
+def q_null_profile(spark, d):
+    return clean.null_profile(fx.raw_comments(spark, d))
+
+
+@register("drop_blank_content")
+def q_drop_blank_content(spark, d):
+    return clean.drop_blank_content(fx.conversations(spark, d))
+
+
+@register("rating_filter")
+def q_rating_filter(spark, d):
+    return clean.rating_filter(fx.reviews(spark, d), 4)
+
+
+# ----------------------------------------------------------------- text ----
+@register("clean_text")
+def q_clean_text(spark, d):
+    return fx.documents(spark, d).select("doc_id", tx.clean_text(F.col("text")).alias("content_text"))
+
+
+@register("clean_text_v2")
+def q_clean_text_v2(spark, d):
+    return fx.documents(spark, d).select("doc_id", tx.clean_text_v2(F.col("text")).alias("content_text"))
+
+
+@register("normalize_text")
+def q_normalize_text(spark, d):
+    return fx.documents(spark, d).select(
+        "doc_id", tx.normalize_text(tx.clean_text_v2(F.col("text"))).alias("content_text"))
+
+
+# A stopword list for the four fixture languages (the reference reads a
+# Vietnamese stopword file that it does not ship).
+FIXTURE_STOPWORDS = ["the", "and", "of", "a", "to", "in", "is", "de", "la", "le", "les", "et",
+                     "des", "du", "el", "los", "las", "y", "en", "der", "die", "das", "und"]
+
+
+@register("remove_stopwords")
+def q_remove_stopwords(spark, d):
+    norm = tx.normalize_text(tx.clean_text_v2(F.col("text")))
+    return fx.documents(spark, d).select(
+        "doc_id", tx.remove_stopwords(norm, FIXTURE_STOPWORDS).alias("content_text"))
+
+
+@register("safe_csv_text")
+def q_safe_csv_text(spark, d):
+    return fx.documents(spark, d).select("doc_id", tx.safe_csv_text(F.col("text")).alias("safe_text"))
+
+
+@register("expand_abbreviations")
+def q_expand_abbreviations(spark, d):
+    return fx.conversations(spark, d).select(
+        "customer_id", "comment_id",
+        tx.expand_abbreviations(F.lower(F.col("content")), tx.ABBREVIATIONS_NOTEBOOK).alias("content_text"))

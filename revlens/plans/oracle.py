@@ -135,3 +135,183 @@ SQL["dedup_comments"] = f"""WITH {RAW_COMMENTS}, ranked AS (
 SQL["duplicate_count"] = f"""WITH {RAW_COMMENTS} SELECT CAST(count(*) AS BIGINT) AS total_rows,
   count(DISTINCT comment_id) AS distinct_keys, CAST(count(*) - count(DISTINCT comment_id) AS BIGINT) AS duplicate_rows
   FROM raw_comments"""
+
+
+# ------------------------------------------------------------ text (SQL) ----
+ASCII_WS = r" \t\n\x0B\f\r"
+UNICODE_WS = ASCII_WS + r"\x1C-\x1F\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WORD = r"\p{L}\p{N}_"
+ABBR_JOB = [("k", "không"), ("ko", "không"), ("kh", "không"), ("kg", "không"), ("dc", "được"),
+            ("đc", "được"), ("sp", "sản_phẩm"), ("ng", "người"), ("ok", "ổn"), ("shop", "cửa_hàng"),
+            ("mn", "mọi_người"), ("vs", "với"), ("mk", "mình"), ("r", "rồi"), ("khong", "không"),
+            ("oke", "ổn"), ("oki", "ổn"), ("ms", "mới"), ("cx", "cũng"), ("sdt", "số_điện_thoại")]
+ABBR_NB = [("k", "không"), ("ko", "không"), ("kh", "không"), ("kg", "không"), ("dc", "được"),
+           ("đc", "được"), ("sp", "sản_phẩm"), ("ng", "người"), ("ok", "ổn"), ("ad", "quản_trị_viên"),
+           ("ib", "nhắn_tin"), ("rep", "trả_lời"), ("shop", "cửa_hàng"), ("mn", "mọi_người"),
+           ("vs", "với"), ("mk", "mình"), ("r", "rồi"), ("khong", "không"), ("km", "Khuyến_mãi"),
+           ("oke", "ổn"), ("oki", "ổn"), ("okê", "ổn"), ("ms", "mới"), ("cx", "cũng"), ("of", "của"),
+           ("or", "hoặc"), ("sdt", "số_điện_thoại")]
+
+
+def _re(x: str, pat: str, rep: str) -> str:
+    return f"regexp_replace({x}, '{pat}', '{rep}', 'g')"
+
+
+def _squeeze(x: str, ws: str = ASCII_WS) -> str:
+    return f"trim({_re(x, f'[{ws}]+', ' ')})"
+
+
+def _map_words(words: str, pairs) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in pairs)
+    return f"list_transform({words}, lambda w: CASE w {cases} ELSE w END)"
+
+
+def sql_expand(x: str, pairs=ABBR_JOB) -> str:
+    return f"array_to_string({_map_words(f'string_split({x}, chr(32))', pairs)}, ' ')"
+
+
+def sql_clean_text(x: str) -> str:
+    c = f"lower(coalesce(CAST({x} AS VARCHAR), ''))"
+    c = _re(c, f"http[^{ASCII_WS}]+|www[^{ASCII_WS}]+", " ")
+    c = _re(c, f"[@#][{WORD}]+", " ")
+    c = _re(c, f"[^{WORD}{ASCII_WS}]", " ")
+    c = _squeeze(c)
+    return _squeeze(sql_expand(c))
+
+
+def sql_clean_text_v2(x: str) -> str:
+    c = f"coalesce(CAST({x} AS VARCHAR), '')"
+    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"),
+                    ("&apos;", "''"), ("&nbsp;", " "), ("&amp;", "&")]:
+        c = f"replace({c}, '{ent}', '{ch}')"
+    c = _re(c, f"@[^{UNICODE_WS}]+", "")
+    c = _re(c, f"#([{WORD}]+)", r"\1")
+    c = _re(c, f"https?://[^{UNICODE_WS}]+|www\\.[^{UNICODE_WS}]+", "")
+    c = _re(c, r"[\x{10000}-\x{10FFFF}]", "")
+    c = _re(c, f"[^{WORD}{UNICODE_WS}]", " ")
+    return _squeeze(c, UNICODE_WS)
+
+
+def sql_words(x: str, ws: str = UNICODE_WS) -> str:
+    return f"list_filter(regexp_split_to_array(coalesce({x}, ''), '[{ws}]+'), lambda w: w <> '')"
+
+
+def sql_normalize(x: str) -> str:
+    c = _re(f"lower(coalesce({x}, ''))", f"[^{WORD}{UNICODE_WS}]", " ")
+    return f"array_to_string({_map_words(sql_words(c), ABBR_NB)}, ' ')"
+
+
+def sql_safe_text(x: str) -> str:
+    c = _re(f"coalesce(CAST({x} AS VARCHAR), '')", r"[\r\n]+", " ")
+    c = f"replace(replace({c}, '\"', ''''), ',', ' ')"
+    return _squeeze(c)
+
+
+STOPWORDS = ["the", "and", "of", "a", "to", "in", "is", "de", "la", "le", "les", "et",
+             "des", "du", "el", "los", "las", "y", "en", "der", "die", "das", "und"]
+
+SQL["clean_text"] = f"SELECT doc_id, {sql_clean_text('text')} AS content_text FROM documents"
+SQL["clean_text_v2"] = f"SELECT doc_id, {sql_clean_text_v2('text')} AS content_text FROM documents"
+SQL["normalize_text"] = f"SELECT doc_id, {sql_normalize(sql_clean_text_v2('text'))} AS content_text FROM documents"
+_sw = ", ".join(f"'{w}'" for w in STOPWORDS)
+SQL["remove_stopwords"] = (f"SELECT doc_id, array_to_string(list_filter({sql_words(sql_normalize(sql_clean_text_v2('text')))}, "
+                           f"lambda w: NOT list_contains([{_sw}], w)), ' ') AS content_text FROM documents")
+SQL["safe_csv_text"] = f"SELECT doc_id, {sql_safe_text('text')} AS safe_text FROM documents"
+SQL["expand_abbreviations"] = (f"SELECT conv_id AS customer_id, turn AS comment_id, "
+                               f"{sql_expand('lower(text)', ABBR_NB)} AS content_text FROM conversations")
+
+# ----------------------------------------------------------- flags (SQL) ----
+SECS = "CAST(floor(epoch_us({x}) / 1000000.0) AS BIGINT)"
+
+
+def secs(x: str) -> str:
+    return SECS.format(x=x)
+
+
+def burst_sql(src: str) -> str:
+    """Reference formulation: lag, running resets, second window per group."""
+    return f"""
+g1 AS (SELECT *, lag(created_at_ts) OVER (PARTITION BY customer_id ORDER BY created_at_ts, comment_id)
+         AS previous_created_at_ts FROM {src}),
+g2 AS (SELECT *, (({secs('created_at_ts')}) - ({secs('previous_created_at_ts')})) / CAST(60.0 AS DOUBLE)
+         AS delta_minutes FROM g1),
+thr AS (SELECT coalesce(CAST({QDISC('(SELECT delta_minutes FROM g2 WHERE delta_minutes > 0)', 'delta_minutes', 0.05)}
+         AS DOUBLE), 0.0) AS t),
+g3 AS (SELECT g2.*, (delta_minutes > 0 AND delta_minutes <= (SELECT t FROM thr)) AS small_gap FROM g2),
+g4 AS (SELECT *, CAST(sum(CASE WHEN coalesce(small_gap, false) THEN 0 ELSE 1 END) OVER
+         (PARTITION BY customer_id ORDER BY created_at_ts, comment_id ROWS UNBOUNDED PRECEDING) AS BIGINT)
+         AS burst_group FROM g3),
+g5 AS (SELECT *, CAST(CASE WHEN small_gap THEN sum(CASE WHEN small_gap THEN 1 ELSE 0 END) OVER
+         (PARTITION BY customer_id, burst_group ORDER BY created_at_ts, comment_id ROWS UNBOUNDED PRECEDING)
+         ELSE 0 END AS BIGINT) AS burst_count FROM g4),
+bursts AS (SELECT *, burst_count >= 4 AS F3_flag FROM g5)"""
+
+
+EVENTS = "events_in AS (SELECT event_id AS comment_id, user_id AS customer_id, CAST(ts AS TIMESTAMP) AS created_at_ts FROM events)"
+SQL["burst_flags"] = f"WITH {EVENTS}, {burst_sql('events_in')} SELECT * FROM bursts"
+SQL["burst_flags_plain_window"] = SQL["burst_flags"]
+SQL["burst_threshold"] = f"WITH {EVENTS}, {burst_sql('events_in')} SELECT t AS threshold FROM thr"
+
+_COMMENT_COLS = ["product_id", "customer_id", "customer_name", "rating", "title", "content", "created_at",
+                 "purchased_at", "seller_id", "seller_name", "quantity"]
+DEDUP_COMMENTS = ("comments AS (SELECT * FROM raw_comments QUALIFY row_number() OVER (PARTITION BY comment_id ORDER BY "
+                  + ", ".join(f"{c} ASC NULLS FIRST" for c in _COMMENT_COLS) + ") = 1)")
+
+
+def ts_of(x: str) -> str:
+    v = f"TRY_CAST({x} AS DOUBLE)"
+    return (f"CASE WHEN {v} BETWEEN -62135596800 AND 253402300799 "
+            f"THEN make_timestamp(CAST(trunc({v}) AS BIGINT) * 1000000) END")
+
+
+MERGED = f"""{RAW_COMMENTS}, {DEDUP_COMMENTS},
+products AS (SELECT p_partkey AS product_id, p_name AS product_name, p_retailprice AS price, p_brand AS brand_name
+  FROM part QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY p_name ASC NULLS FIRST,
+  p_retailprice ASC NULLS FIRST, p_brand ASC NULLS FIRST) = 1),
+joined AS (SELECT c.*, p.product_name, p.price, p.brand_name FROM comments c JOIN products p USING (product_id)
+  WHERE c.comment_id IS NOT NULL AND c.product_id IS NOT NULL AND c.customer_id IS NOT NULL AND c.rating IS NOT NULL
+    AND c.content IS NOT NULL AND c.created_at IS NOT NULL AND c.purchased_at IS NOT NULL),
+conv AS (SELECT * REPLACE (TRY_CAST(rating AS DOUBLE) AS rating),
+    CAST(trunc(TRY_CAST(created_at AS DOUBLE)) AS BIGINT) AS created_at_num,
+    CAST(trunc(TRY_CAST(purchased_at AS DOUBLE)) AS BIGINT) AS purchased_at_num,
+    {ts_of('created_at')} AS created_at_ts, {ts_of('purchased_at')} AS purchased_at_ts FROM joined),
+conv2 AS (SELECT * REPLACE ({sql_safe_text('product_name')} AS product_name, {sql_safe_text('customer_name')} AS customer_name,
+    {sql_safe_text('content')} AS content, {sql_safe_text('title')} AS title),
+    {sql_clean_text('content')} AS content_text
+  FROM conv WHERE created_at_ts IS NOT NULL AND purchased_at_ts IS NOT NULL AND rating IS NOT NULL),
+{burst_sql('conv2')},
+tg AS (SELECT *, (({secs('created_at_ts')}) - ({secs('purchased_at_ts')})) / CAST(60.0 AS DOUBLE) AS time_gap_minutes FROM bursts),
+tthr AS (SELECT coalesce(CAST({QDISC('(SELECT time_gap_minutes FROM tg WHERE time_gap_minutes > 0)', 'time_gap_minutes', 0.05)}
+  AS DOUBLE), 0.0) AS t),
+f5 AS (SELECT tg.*, (time_gap_minutes > 0 AND time_gap_minutes <= (SELECT t FROM tthr)) AS F5_flag FROM tg),
+merged AS (SELECT *, (coalesce(F3_flag, false) OR coalesce(F5_flag, false)) AS is_spam FROM f5)"""
+
+SQL["merged"] = f"WITH {MERGED} SELECT * FROM merged"
+SQL["timegap_threshold"] = f"""WITH {RAW_COMMENTS}, {DEDUP_COMMENTS},
+tg AS (SELECT ((({secs(ts_of('created_at'))}) - ({secs(ts_of('purchased_at'))})) / CAST(60.0 AS DOUBLE)) AS time_gap_minutes
+  FROM comments WHERE {ts_of('created_at')} IS NOT NULL AND {ts_of('purchased_at')} IS NOT NULL
+  AND TRY_CAST(rating AS DOUBLE) IS NOT NULL)
+SELECT coalesce(CAST({QDISC('(SELECT time_gap_minutes FROM tg WHERE time_gap_minutes > 0)', 'time_gap_minutes', 0.05)}
+  AS DOUBLE), 0.0) AS threshold"""
+
+CNT = "CAST(sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS BIGINT)"
+SQL["overall_summary"] = f"""WITH {MERGED} SELECT count(*) AS total_comments, count(DISTINCT product_id) AS total_products,
+  count(DISTINCT customer_id) AS total_customers, {CNT.format(c='is_spam')} AS spam_comments,
+  {CNT.format(c='NOT is_spam')} AS normal_comments, {RND('avg(rating)', 6)} AS avg_rating FROM merged"""
+PSUM = f"""SELECT product_id, product_name, count(*) AS comment_count, {RND('avg(rating)', 6)} AS avg_rating,
+  {CNT.format(c='is_spam')} AS spam_count FROM merged GROUP BY product_id, product_name"""
+CSUM = f"""SELECT customer_id, customer_name, count(*) AS comment_count, {CNT.format(c='F3_flag')} AS F3_count,
+  {CNT.format(c='F5_flag')} AS F5_count, {CNT.format(c='is_spam')} AS spam_count FROM merged GROUP BY customer_id, customer_name"""
+SQL["product_summary"] = f"WITH {MERGED} {PSUM}"
+SQL["customer_summary"] = f"WITH {MERGED} {CSUM}"
+SQL["top_products_by_comments"] = f"WITH {MERGED} {PSUM} ORDER BY comment_count DESC, product_id LIMIT 20"
+SQL["top_customers_by_spam"] = f"WITH {MERGED} {CSUM} ORDER BY spam_count DESC, comment_count DESC, customer_id LIMIT 20"
+SQL["flagged_history_f3"] = f"""WITH {MERGED} SELECT customer_id, created_at_ts, purchased_at_ts, delta_minutes, burst_count,
+  F3_flag, comment_id FROM merged WHERE customer_id IN (SELECT customer_id FROM merged WHERE F3_flag)"""
+SQL["flagged_history_f5"] = f"""WITH {MERGED} SELECT customer_id, comment_id, created_at_ts, purchased_at_ts, time_gap_minutes,
+  F5_flag FROM merged WHERE customer_id IN (SELECT customer_id FROM merged WHERE F5_flag)"""
+SQL["null_profile"] = f"WITH {RAW_COMMENTS} SELECT " + ", ".join(
+    f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}" for c in ["comment_id"] + _COMMENT_COLS) + " FROM raw_comments"
+SQL["drop_blank_content"] = ("SELECT conv_id AS customer_id, turn AS comment_id, text AS content FROM conversations "
+                             "WHERE text IS NOT NULL AND trim(text) <> ''")
+SQL["rating_filter"] = f"WITH {REVIEWS} SELECT * FROM reviews WHERE rating >= 4"

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: AQE re-plans joins and partition counts from
 # runtime sizes, skew-join splitting is on, timestamps are read in UTC.
@@ -30,9 +30,12 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "revlens", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
+    if master and master.startswith("local"):
+        builder = builder.config("spark.driver.memory", "16g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**RUNTIME_CONF, **(extra or {})}.items():
@@ -45,13 +48,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.  When
-    it is unset (tests, local runs) a fresh folder is created and registered.
+    On a cluster the setting points at shared storage and is only read.  When
+    it is unset and Spark runs in local mode (tests), a fresh local folder is
+    registered; a cluster without the setting is an error, since a
+    machine-local folder would not survive the loss of that machine.
     """
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         current = fallback or tempfile.mkdtemp(prefix="revlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and return a frame
+    reading it (reliable checkpoint: survives executor loss, keeps the
+    recorded partitioning).  Used where one intermediate feeds both a
+    threshold and the rows, so its shuffles and windows run once."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
