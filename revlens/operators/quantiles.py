@@ -28,9 +28,14 @@ SHIFTS = (20, 0)
 
 
 def exact_quantiles(df: DataFrame, value: Column | str, qs: list[float],
-                    group: Column | str | None = None, shifts: tuple[int, ...] = SHIFTS) -> DataFrame:
+                    group: Column | str | None = None, shifts: tuple[int, ...] = SHIFTS,
+                    ranks: DataFrame | None = None) -> DataFrame:
     """Rows (g, qi, q, value) with the exact discrete q-quantiles of the
-    integer-valued ``value`` (nulls ignored), per ``group`` if given."""
+    integer-valued ``value`` (nulls ignored), per ``group`` if given.
+
+    ``ranks`` (columns g, k) asks for the k-th smallest value per group
+    instead (qi = 0, q = null); groups with k < 1 or k > n get no row.
+    """
     value = F.col(value) if isinstance(value, str) else value
     g = F.lit(0) if group is None else (F.col(group) if isinstance(group, str) else group)
     v = (df.select(g.alias("g"), value.cast("bigint").alias("v"))
@@ -42,11 +47,15 @@ def exact_quantiles(df: DataFrame, value: Column | str, qs: list[float],
     for s in shifts:
         if state is None:
             # level 1: bucket counts; n per group comes from the same table
-            hist = (v.groupBy("g", F.shiftright("v", s).alias("b")).agg(F.count("*").alias("c"))
-                     .withColumn("n", F.sum("c").over(Window.partitionBy("g")))
-                     .select("*", F.posexplode(qarr).alias("qi", "q"))
-                     .withColumn("k", F.greatest(F.lit(1), F.ceil(F.col("q") * F.col("n"))).cast("bigint"))
-                     .withColumn("before", F.lit(0).cast("bigint")))
+            hist = v.groupBy("g", F.shiftright("v", s).alias("b")).agg(F.count("*").alias("c"))
+            if ranks is None:
+                hist = (hist.withColumn("n", F.sum("c").over(Window.partitionBy("g")))
+                            .select("*", F.posexplode(qarr).alias("qi", "q"))
+                            .withColumn("k", F.greatest(F.lit(1), F.ceil(F.col("q") * F.col("n"))).cast("bigint")))
+            else:
+                hist = hist.join(F.broadcast(ranks.select("g", F.col("k").cast("bigint").alias("k"))), "g") \
+                           .withColumn("qi", F.lit(0)).withColumn("q", F.lit(None).cast("decimal(20,10)"))
+            hist = hist.withColumn("before", F.lit(0).cast("bigint"))
         else:
             # rows inside the located buckets only (one bucket per quantile)
             located = F.broadcast(state.withColumnRenamed("b", "p"))

@@ -269,3 +269,68 @@ def q_expand_abbreviations(spark, d):
     return fx.conversations(spark, d).select(
         "customer_id", "comment_id",
         tx.expand_abbreviations(F.lower(F.col("content")), tx.ABBREVIATIONS_NOTEBOOK).alias("content_text"))
+
+
+# ----------------------------------------------------------- similarity ----
+from revlens.operators import sampling, similarity, words  # noqa: E402
+from revlens.sources import readers  # noqa: E402
+
+
+@register("text_similarity")
+def q_text_similarity(spark, d):
+    return similarity.similarity_flags(fx.conversations(spark, d))
+
+
+@register("similarity_thresholds")
+def q_similarity_thresholds(spark, d):
+    sim = similarity.user_text_similarity(fx.conversations(spark, d))
+    return similarity.similarity_thresholds(sim).select(
+        F.round("threshold_mean", 6).alias("threshold_mean"), F.round("threshold_max", 6).alias("threshold_max"))
+
+
+@register("attach_similarity")
+def q_attach_similarity(spark, d):
+    conv = fx.conversations(spark, d)
+    return summaries.attach_similarity_flags(conv, similarity.similarity_flags(conv))
+
+
+@register("comments_per_user")
+def q_comments_per_user(spark, d):
+    return similarity.comments_per_user(fx.conversations(spark, d))
+
+
+def notebook_merged(spark, d):
+    """The notebook's fact: job flags plus F4 from the reviews' own text."""
+    m = merged(spark, d)
+    sim = similarity.similarity_flags(m.select("customer_id", "comment_id", "content"))
+    return flags.is_spam(summaries.attach_similarity_flags(m, sim), sampling.NOTEBOOK_FLAGS)
+
+
+@register("notebook_merged")
+def q_notebook_merged(spark, d):
+    return notebook_merged(spark, d)
+
+
+@register("spam_ham_split")
+def q_spam_ham_split(spark, d):
+    lab = sampling.spam_ham_label(notebook_merged(spark, d))
+    return lab.groupBy("label").agg(F.count("*").alias("rows"),
+                                    F.countDistinct("customer_id").alias("customers"))
+
+
+@register("balanced_sample")
+def q_balanced_sample(spark, d):
+    s = sampling.balanced_sample(notebook_merged(spark, d), "comment_id", 0.1, 42)
+    return s.select("comment_id", "customer_id", "label", "F3_flag", "F4_Flag", "F5_flag")
+
+
+@register("short_word_counts")
+def q_short_word_counts(spark, d):
+    docs = fx.documents(spark, d).select(tx.clean_text_v2(F.col("text")).alias("content_text"))
+    return words.short_word_counts(docs, "content_text", 1, 2, 50)
+
+
+@register("parse_event_props")
+def q_parse_event_props(spark, d):
+    ev = readers.read_table(spark, d, "events").select("event_id", "props")
+    return readers.parse_json_column(ev, "props", "k BIGINT", keep=["event_id"])

@@ -315,3 +315,56 @@ SQL["null_profile"] = f"WITH {RAW_COMMENTS} SELECT " + ", ".join(
 SQL["drop_blank_content"] = ("SELECT conv_id AS customer_id, turn AS comment_id, text AS content FROM conversations "
                              "WHERE text IS NOT NULL AND trim(text) <> ''")
 SQL["rating_filter"] = f"WITH {REVIEWS} SELECT * FROM reviews WHERE rating >= 4"
+
+
+# ------------------------------------------------------ similarity (SQL) ----
+def sim_sql(src: str) -> str:
+    """Per-user TF-IDF cosine, pairs enumerated explicitly (src has
+    customer_id, comment_id, content)."""
+    return f"""
+sc AS (SELECT * FROM {src} WHERE regexp_matches(coalesce(content, ''), '[^{UNICODE_WS}]')),
+su AS (SELECT customer_id, count(*) AS n FROM sc GROUP BY customer_id),
+stok AS (SELECT customer_id, comment_id, unnest(regexp_extract_all(lower(content), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM sc),
+stf AS (SELECT customer_id, comment_id, term, count(*) AS tf FROM stok GROUP BY ALL),
+sdf AS (SELECT customer_id, term, count(*) AS df FROM stf GROUP BY ALL),
+sw AS (SELECT stf.*, tf * (ln((n + 1.0) / (df + 1.0)) + 1.0) AS w FROM stf JOIN sdf USING (customer_id, term)
+       JOIN su USING (customer_id) WHERE n >= 2),
+sv AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY customer_id, comment_id)) AS v FROM sw),
+spairs AS (SELECT a.customer_id, a.comment_id AS i, b.comment_id AS j, sum(a.v * b.v) AS sim FROM sv a JOIN sv b
+           ON a.customer_id = b.customer_id AND a.term = b.term AND a.comment_id < b.comment_id GROUP BY ALL),
+sstat AS (SELECT su.customer_id,
+            greatest(0.0, coalesce((SELECT sum(sim) FROM spairs p WHERE p.customer_id = su.customer_id), 0.0)
+              * 2.0 / (n * (n - 1))) AS mean_similarity,
+            coalesce((SELECT max(sim) FROM spairs p WHERE p.customer_id = su.customer_id), 0.0) AS max_similarity
+          FROM su WHERE n >= 2 AND su.customer_id IN (SELECT customer_id FROM sv)),
+sall AS (SELECT DISTINCT customer_id FROM {src}),
+sim AS (SELECT sall.customer_id, mean_similarity, max_similarity FROM sall LEFT JOIN sstat USING (customer_id)),
+sthr AS (SELECT avg(mean_similarity) + stddev_samp(mean_similarity) AS threshold_mean,
+                avg(max_similarity) + stddev_samp(max_similarity) AS threshold_max FROM sim
+         WHERE mean_similarity IS NOT NULL AND max_similarity IS NOT NULL),
+simf AS (SELECT customer_id, {RND('mean_similarity', 6)} AS mean_similarity, {RND('max_similarity', 6)} AS max_similarity,
+           coalesce(mean_similarity >= (SELECT threshold_mean FROM sthr) OR max_similarity >= (SELECT threshold_max FROM sthr),
+                    false) AS F4_Flag FROM sim)"""
+
+
+CONV = "conv_in AS (SELECT conv_id AS customer_id, turn AS comment_id, text AS content FROM conversations)"
+SQL["text_similarity"] = f"WITH {CONV}, {sim_sql('conv_in')} SELECT * FROM simf"
+SQL["similarity_thresholds"] = (f"WITH {CONV}, {sim_sql('conv_in')} SELECT {RND('threshold_mean', 6)} AS threshold_mean, "
+                                f"{RND('threshold_max', 6)} AS threshold_max FROM sthr")
+SQL["attach_similarity"] = (f"WITH {CONV}, {sim_sql('conv_in')} SELECT c.*, f.mean_similarity, f.max_similarity, f.F4_Flag "
+                            "FROM conv_in c LEFT JOIN simf f USING (customer_id)")
+SQL["comments_per_user"] = (f"WITH {CONV} SELECT customer_id, comment_id, content, count(*) OVER (PARTITION BY customer_id) "
+                            "AS n_comments FROM conv_in")
+NB_MERGED = f"""{MERGED}, m_in AS (SELECT customer_id, comment_id, content FROM merged), {sim_sql('m_in')},
+nb AS (SELECT m.*, f.mean_similarity, f.max_similarity, f.F4_Flag,
+  (coalesce(m.F3_flag, false) OR coalesce(f.F4_Flag, false) OR coalesce(m.F5_flag, false)) AS nb_spam
+  FROM merged m LEFT JOIN simf f USING (customer_id))"""
+SQL["notebook_merged"] = f"WITH {NB_MERGED} SELECT * EXCLUDE (is_spam, nb_spam), nb_spam AS is_spam FROM nb"
+SQL["spam_ham_split"] = f"""WITH {NB_MERGED}, lab AS (SELECT *, CASE WHEN coalesce(F3_flag, false) OR coalesce(F4_Flag, false)
+  OR coalesce(F5_flag, false) THEN 'spam' WHEN coalesce(F3_flag = false AND F4_Flag = false AND F5_flag = false, false)
+  THEN 'ham' END AS label FROM nb)
+  SELECT label, count(*) AS rows, count(DISTINCT customer_id) AS customers FROM lab GROUP BY label"""
+SQL["short_word_counts"] = f"""SELECT word, count(*) AS freq FROM (SELECT unnest(regexp_extract_all(lower({sql_clean_text_v2('text')}),
+  '[\\p{{L}}\\p{{N}}_]+')) AS word FROM documents) WHERE length(word) BETWEEN 1 AND 2
+  GROUP BY word ORDER BY freq DESC, word LIMIT 50"""
+SQL["parse_event_props"] = "SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"

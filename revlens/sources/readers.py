@@ -94,3 +94,10 @@ def flatten_product_ids(src, spark: SparkSession | None = None, dedup: bool = Tr
            .select(F.col("d.id").alias("product_id"))
            .filter(F.col("product_id").isNotNull() & (F.col("product_id") != 0)))
     return ids.distinct() if dedup else ids
+
+
+def parse_json_column(df: DataFrame, col: str, schema, keep: list[str] | None = None) -> DataFrame:
+    """JSON text column -> typed columns (``from_json`` with a fixed schema;
+    malformed text gives nulls)."""
+    parsed = F.from_json(F.col(col), schema)
+    return df.select(*(keep or []), parsed.alias("_j")).select(*(keep or []), "_j.*")
