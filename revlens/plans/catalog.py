@@ -334,3 +334,254 @@ def q_short_word_counts(spark, d):
 def q_parse_event_props(spark, d):
     ev = readers.read_table(spark, d, "events").select("event_id", "props")
     return readers.parse_json_column(ev, "props", "k BIGINT", keep=["event_id"])
+
+
+# ------------------------------------------------------ recommendations ----
+from revlens.operators import baskets as bk  # noqa: E402
+from revlens.operators import metrics, patterns, recommend  # noqa: E402
+from revlens.plans import recommend_job  # noqa: E402
+from revlens.sources import sinks  # noqa: E402
+
+# Mining parameters for the fixture baskets.  The reference's defaults
+# (support 0.05, confidence 0.5, lift 1.0) find no rule in the driver's
+# uniform synthetic baskets, so both basket kinds use lower thresholds.
+BRAND_RULES = dict(min_support=0.003, min_confidence=0.05, min_lift=1.0)   # order x brand
+PART_RULES = dict(min_support=0.002, min_confidence=0.1, min_lift=1.0)     # customer x part
+
+
+def _r6(df: DataFrame, cols=("support", "confidence", "lift")) -> DataFrame:
+    for c in cols:
+        if c in df.columns:
+            df = df.withColumn(c, F.round(c, 6))
+    return df
+
+
+def brand_mining(spark, d):
+    rows = fx.brand_baskets_input(spark, d)
+    return recommend_job.mine(rows, **BRAND_RULES)
+
+
+def part_mining(spark, d):
+    return recommend_job.mine(fx.part_purchases(spark, d), **PART_RULES)
+
+
+@register("customer_baskets")
+def q_customer_baskets(spark, d):
+    return bk.customer_baskets(fx.part_purchases(spark, d), None)
+
+
+@register("transactions")
+def q_transactions(spark, d):
+    return bk.transactions(bk.customer_baskets(fx.brand_baskets_input(spark, d), None))
+
+
+@register("product_name_map")
+def q_product_name_map(spark, d):
+    return bk.product_name_map(fx.line_products(spark, d))
+
+
+@register("item_catalog")
+def q_item_catalog(spark, d):
+    return bk.item_catalog(bk.customer_baskets(fx.part_purchases(spark, d), None))
+
+
+@register("frequent_itemsets")
+def q_frequent_itemsets(spark, d):
+    return _r6(brand_mining(spark, d)[2])
+
+
+@register("association_rules")
+def q_association_rules(spark, d):
+    return _r6(brand_mining(spark, d)[3]).drop("rule_id")
+
+
+@register("part_itemsets")
+def q_part_itemsets(spark, d):
+    return _r6(part_mining(spark, d)[2])
+
+
+@register("rules_sorted")
+def q_rules_sorted(spark, d):
+    return _r6(patterns.rules_sorted(brand_mining(spark, d)[3])).drop("rule_id")
+
+
+@register("top_rules_by_lift")
+def q_top_rules_by_lift(spark, d):
+    return _r6(patterns.top_rules(brand_mining(spark, d)[3], 10, "lift")).drop("rule_id")
+
+
+@register("top_rules_by_confidence")
+def q_top_rules_by_confidence(spark, d):
+    return _r6(patterns.top_rules(brand_mining(spark, d)[3], 10, "confidence")).drop("rule_id")
+
+
+@register("top_itemsets")
+def q_top_itemsets(spark, d):
+    return _r6(patterns.top_itemsets(brand_mining(spark, d)[2], 5))
+
+
+@register("rule_quality")
+def q_rule_quality(spark, d):
+    q = patterns.rule_quality(brand_mining(spark, d)[3])
+    return q.select("num_rules", *[F.round(c, 6).alias(c) for c in q.columns if c != "num_rules"])
+
+
+@register("itemset_coverage")
+def q_itemset_coverage(spark, d):
+    tx, _, itemsets, _ = brand_mining(spark, d)
+    return patterns.itemset_coverage(itemsets, tx).select(F.round("coverage", 6).alias("coverage"))
+
+
+@register("export_rules")
+def q_export_rules(spark, d):
+    return sinks.export_rules(brand_mining(spark, d)[3])
+
+
+@register("export_rules_named")
+def q_export_rules_named(spark, d):
+    rules = part_mining(spark, d)[3]
+    return sinks.export_rules_named(rules, fx.products(spark, d), 1000)
+
+
+@register("predict_from_items")
+def q_predict_from_items(spark, d):
+    tx, _, _, rules = brand_mining(spark, d)
+    p = patterns.predict_from_items(rules, tx)
+    return _r6(p).drop("rule_id")
+
+
+@register("recommend_for_items")
+def q_recommend_for_items(spark, d):
+    tx, _, _, rules = brand_mining(spark, d)
+    return _r6(patterns.recommend_for_items(rules, tx, 5))
+
+
+@register("rule_explanations")
+def q_rule_explanations(spark, d):
+    tx, _, _, rules = brand_mining(spark, d)
+    return _r6(patterns.rule_explanations(rules, tx, 3))
+
+
+@register("similar_items")
+def q_similar_items(spark, d):
+    s = patterns.similar_items(brand_mining(spark, d)[3], 5)
+    return s.withColumn("score", F.round("score", 6))
+
+
+def part_baskets(spark, d):
+    return bk.customer_baskets(fx.part_purchases(spark, d), None)
+
+
+@register("rule_scores")
+def q_rule_scores(spark, d):
+    tx, _, _, rules = part_mining(spark, d)
+    return recommend.rule_scores(rules, tx).withColumn("score", F.round("score", 6))
+
+
+@register("jaccard_pairs")
+def q_jaccard_pairs(spark, d):
+    return recommend.jaccard_pairs(part_baskets(spark, d)).withColumn("jaccard", F.round("jaccard", 9))
+
+
+@register("top_neighbours")
+def q_top_neighbours(spark, d):
+    nb = recommend.top_neighbours(recommend.jaccard_pairs(part_baskets(spark, d)))
+    return nb.withColumn("jaccard", F.round("jaccard", 9))
+
+
+@register("neighbour_scores")
+def q_neighbour_scores(spark, d):
+    return recommend.neighbour_scores(part_baskets(spark, d)).withColumn("score", F.round("score", 6))
+
+
+def hybrid(spark, d, top_n=5):
+    tx, _, _, rules = part_mining(spark, d)
+    return recommend.hybrid_recommend(rules, tx, top_n)
+
+
+@register("hybrid_recommend")
+def q_hybrid_recommend(spark, d):
+    return hybrid(spark, d).withColumn("score", F.round("score", 6))
+
+
+@register("export_recommendations")
+def q_export_recommendations(spark, d):
+    return sinks.export_recommendations(hybrid(spark, d), fx.products(spark, d))
+
+
+def top5_popular(spark, d):
+    pop = trends.product_popularity(fx.product_lines(spark, d), fx.products(spark, d))
+    return trends.top_products(pop, 5)
+
+
+@register("recommend_with_fallback")
+def q_recommend_with_fallback(spark, d):
+    names = fx.products(spark, d)
+    recs = hybrid(spark, d).join(names, "product_id", "left")
+    # customers of the customer table, plus ids absent from it
+    wanted = fx.customers(spark, d).unionByName(
+        fx.reviews(spark, d).select((F.col("customer_id") + 1000000000).alias("customer_id")).distinct())
+    return recommend.recommend_with_fallback(wanted, recs, top5_popular(spark, d))
+
+
+@register("top_recommended_products")
+def q_top_recommended_products(spark, d):
+    return recommend.top_recommended_products(hybrid(spark, d), fx.products(spark, d), 5)
+
+
+@register("verify_recommendations")
+def q_verify_recommendations(spark, d):
+    return recommend.verify_recommendations(hybrid(spark, d), fx.products(spark, d))
+
+
+@register("all_recommended")
+def q_all_recommended(spark, d):
+    return recommend.all_recommended(hybrid(spark, d))
+
+
+@register("basket_set_ops")
+def q_basket_set_ops(spark, d):
+    b = part_baskets(spark, d)
+    nb = recommend.top_neighbours(recommend.jaccard_pairs(b), 1)
+    o = b.select(F.col("customer_id").alias("other_id"), F.col("items").alias("other_items"))
+    j = nb.join(b, "customer_id").join(o, "other_id")
+    return j.select("customer_id", "other_id",
+                    F.size(F.array_intersect("items", "other_items")).alias("n_common"),
+                    F.size(F.array_union("items", "other_items")).alias("n_union"),
+                    F.size(F.array_except("items", "other_items")).alias("n_only_mine"),
+                    (F.size(F.array_except("items", "other_items")) == 0).alias("is_subset"))
+
+
+@register("train_test_split")
+def q_train_test_split(spark, d):
+    train, test = metrics.train_test_split(fx.part_purchases(spark, d))
+    return (train.withColumn("part", F.lit("train"))
+            .unionByName(test.withColumn("part", F.lit("test"))))
+
+
+def evaluation(spark, d):
+    return recommend_job.evaluate(fx.part_purchases(spark, d), **PART_RULES, top_n=10)
+
+
+@register("ranking_metrics")
+def q_ranking_metrics(spark, d):
+    recs, test = evaluation(spark, d)
+    return metrics.ranking_metrics(recs, test)
+
+
+@register("coverage_metrics")
+def q_coverage_metrics(spark, d):
+    recs, test = evaluation(spark, d)
+    return metrics.coverage_metrics(recs.filter(F.col("rank") <= 5), fx.products(spark, d), test)
+
+
+@register("evaluation_report")
+def q_evaluation_report(spark, d):
+    recs, test = evaluation(spark, d)
+    return metrics.evaluation_report(recs, test, fx.part_purchases(spark, d))
+
+
+@register("holdout_evaluation")
+def q_holdout_evaluation(spark, d):
+    recs, test = evaluation(spark, d)
+    return metrics.holdout_evaluation(recs.filter(F.col("rank") <= 5), test)

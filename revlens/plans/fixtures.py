@@ -144,3 +144,27 @@ def purchases(spark: SparkSession, d: str) -> DataFrame:
             .select(F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("product_id"),
                     F.col("l_quantity").alias("quantity"), rating_from_priority().alias("rating"),
                     F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line")))
+
+
+def part_purchases(spark: SparkSession, d: str, min_quantity: float = 30) -> DataFrame:
+    """Distinct (customer_id = o_custkey, product_id = l_partkey) for lines
+    with quantity at least ``min_quantity`` (the rating >= 4 stand-in)."""
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return (li.filter(F.col("l_quantity") >= min_quantity)
+            .join(o, li.l_orderkey == o.o_orderkey)
+            .select(F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("product_id"))
+            .distinct())
+
+
+def customers(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))
+
+
+def line_products(spark: SparkSession, d: str) -> DataFrame:
+    """(comment_id, product_id, product_name) per line item (name source)."""
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    p = _t(spark, d, "part").select("p_partkey", "p_name")
+    return (li.join(p, li.l_partkey == p.p_partkey, "left")
+            .select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("comment_id"),
+                    F.col("l_partkey").alias("product_id"), F.col("p_name").alias("product_name")))

@@ -11,7 +11,7 @@ SQL: dict[str, str] = {}
 
 
 def RND(x: str, d: int) -> str:
-    return f"CAST(ROUND(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,12)), {d}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), {d}) AS DOUBLE)"
 
 
 def QDISC(table: str, col: str, q: float) -> str:
@@ -368,3 +368,228 @@ SQL["short_word_counts"] = f"""SELECT word, count(*) AS freq FROM (SELECT unnest
   '[\\p{{L}}\\p{{N}}_]+')) AS word FROM documents) WHERE length(word) BETWEEN 1 AND 2
   GROUP BY word ORDER BY freq DESC, word LIMIT 50"""
 SQL["parse_event_props"] = "SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
+
+
+# --------------------------------------------------- recommendations (SQL) ----
+def FMT(x: str, d: int) -> str:
+    """Java-style %.{d}f: half-up on the shortest decimal text."""
+    return f"CAST(CAST(ROUND(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), {d}) AS DECIMAL(38,{d})) AS VARCHAR)"
+
+
+PP = """pp AS (SELECT DISTINCT o_custkey AS customer_id, l_partkey AS product_id FROM lineitem
+  JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 30)"""
+BB = """bb AS (SELECT DISTINCT l_orderkey AS customer_id, p_brand AS product_id FROM lineitem
+  JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 30)"""
+
+
+def fim_sql(p: str, src: str, min_support: float, levels: int = 6) -> str:
+    """Apriori inside each basket: extend only frequent prefixes."""
+    out = [f"{p}n AS (SELECT count(DISTINCT customer_id) AS n FROM {src})",
+           f"{p}mc AS (SELECT CAST(ceil(CAST({min_support} AS DOUBLE) * n) AS BIGINT) AS mc FROM {p}n)",
+           f"{p}R1 AS (SELECT customer_id, [product_id] AS s, product_id AS last FROM {src})",
+           f"{p}L1 AS (SELECT s, count(*) AS freq FROM {p}R1 GROUP BY s HAVING count(*) >= (SELECT mc FROM {p}mc))",
+           f"{p}F1 AS (SELECT r.* FROM {p}R1 r JOIN {p}L1 l ON r.s = l.s)"]
+    for k in range(2, levels + 1):
+        out.append(f"{p}R{k} AS (SELECT r.customer_id, list_append(r.s, x.last) AS s, x.last AS last FROM {p}F{k-1} r "
+                   f"JOIN {p}F1 x ON r.customer_id = x.customer_id AND x.last > r.last)")
+        out.append(f"{p}L{k} AS (SELECT s, count(*) AS freq FROM {p}R{k} GROUP BY s HAVING count(*) >= (SELECT mc FROM {p}mc))")
+        out.append(f"{p}F{k} AS (SELECT r.* FROM {p}R{k} r JOIN {p}L{k} l ON r.s = l.s)")
+    union = " UNION ALL ".join(f"SELECT s, freq FROM {p}L{k}" for k in range(1, levels + 1))
+    out.append(f"{p}IS AS ({union})")
+    out.append(f"{p}items AS (SELECT s AS items, freq, CAST(freq AS DOUBLE) / (SELECT n FROM {p}n) AS support FROM {p}IS)")
+    return ",\n".join(out)
+
+
+def rules_sql(p: str, min_conf: float, min_lift: float) -> str:
+    return f"""{p}ex AS (SELECT s, freq, unnest(s) AS c FROM {p}IS WHERE len(s) >= 2),
+{p}rules AS (SELECT list_filter(e.s, lambda x: x <> e.c) AS antecedent, [e.c] AS consequent,
+    CAST(e.freq AS DOUBLE) / (SELECT n FROM {p}n) AS support,
+    CAST(e.freq AS DOUBLE) / a.freq AS confidence,
+    (CAST(e.freq AS DOUBLE) / a.freq) / (CAST(cs.freq AS DOUBLE) / (SELECT n FROM {p}n)) AS lift
+  FROM {p}ex e JOIN {p}IS a ON a.s = list_filter(e.s, lambda x: x <> e.c) JOIN {p}IS cs ON cs.s = [e.c]
+  WHERE CAST(e.freq AS DOUBLE) / a.freq >= {min_conf}
+    AND (CAST(e.freq AS DOUBLE) / a.freq) / (CAST(cs.freq AS DOUBLE) / (SELECT n FROM {p}n)) >= {min_lift})"""
+
+
+def baskets_sql(p: str, src: str) -> str:
+    return f"{p}tx AS (SELECT customer_id, list_sort(list(product_id)) AS items FROM {src} GROUP BY customer_id)"
+
+
+def R6(cols: str) -> str:
+    return ", ".join(f"{RND(c, 6)} AS {c}" for c in cols.split(","))
+
+
+BRAND = f"{BB}, {baskets_sql('b_', 'bb')}, {fim_sql('b_', 'bb', 0.003)}, {rules_sql('b_', 0.05, 1.0)}"
+PART = f"{PP}, {baskets_sql('p_', 'pp')}, {fim_sql('p_', 'pp', 0.002)}, {rules_sql('p_', 0.1, 1.0)}"
+ORDER_RULES = "ORDER BY lift DESC, confidence DESC, CAST(antecedent AS VARCHAR), CAST(consequent AS VARCHAR)"
+
+SQL["customer_baskets"] = f"WITH {PP}, {baskets_sql('p_', 'pp')} SELECT * FROM p_tx"
+SQL["transactions"] = f"WITH {BB}, {baskets_sql('b_', 'bb')} SELECT * FROM b_tx WHERE len(items) > 0"
+SQL["product_name_map"] = """SELECT l_partkey AS product_id, arg_min(p_name, l_orderkey * 8 + l_linenumber) AS product_name
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE p_name IS NOT NULL GROUP BY l_partkey"""
+SQL["item_catalog"] = (f"WITH {PP} SELECT item, row_number() OVER (ORDER BY item) - 1 AS idx FROM "
+                       "(SELECT DISTINCT product_id AS item FROM pp)")
+SQL["frequent_itemsets"] = f"WITH {BRAND} SELECT items, freq, {RND('support', 6)} AS support FROM b_items"
+SQL["part_itemsets"] = f"WITH {PART} SELECT items, freq, {RND('support', 6)} AS support FROM p_items"
+SQL["association_rules"] = f"WITH {BRAND} SELECT antecedent, consequent, {R6('support,confidence,lift')} FROM b_rules"
+SQL["rules_sorted"] = SQL["association_rules"]
+SQL["top_rules_by_lift"] = (f"WITH {BRAND}, t AS (SELECT * FROM b_rules {ORDER_RULES} LIMIT 10) "
+                            f"SELECT antecedent, consequent, {R6('support,confidence,lift')} FROM t")
+SQL["top_rules_by_confidence"] = (f"WITH {BRAND}, t AS (SELECT * FROM b_rules ORDER BY confidence DESC, lift DESC, "
+                                  "CAST(antecedent AS VARCHAR), CAST(consequent AS VARCHAR) LIMIT 10) "
+                                  f"SELECT antecedent, consequent, {R6('support,confidence,lift')} FROM t")
+SQL["top_itemsets"] = (f"WITH {BRAND}, t AS (SELECT * FROM b_items ORDER BY freq DESC, CAST(items AS VARCHAR) LIMIT 5) "
+                       f"SELECT items, freq, {RND('support', 6)} AS support FROM t")
+SQL["rule_quality"] = f"""WITH {BRAND} SELECT count(*) AS num_rules,
+  {RND('coalesce(avg(confidence), 0.0)', 6)} AS avg_confidence, {RND('coalesce(avg(lift), 0.0)', 6)} AS avg_lift,
+  {RND('coalesce(avg(support), 0.0)', 6)} AS avg_support, {RND('coalesce(max(confidence), 0.0)', 6)} AS max_confidence,
+  {RND('coalesce(max(lift), 0.0)', 6)} AS max_lift, {RND('coalesce(min(confidence), 0.0)', 6)} AS min_confidence,
+  {RND('coalesce(min(lift), 0.0)', 6)} AS min_lift, {RND('coalesce(stddev_pop(confidence), 0.0)', 6)} AS std_confidence,
+  {RND('coalesce(stddev_pop(lift), 0.0)', 6)} AS std_lift FROM b_rules"""
+SQL["itemset_coverage"] = f"""WITH {BRAND} SELECT {RND('coalesce(avg(CASE WHEN list_has_any(items, (SELECT list(s[1]) FROM b_IS WHERE len(s) = 1)) THEN 1.0 ELSE 0.0 END), 0.0)', 6)} AS coverage FROM b_tx"""
+SQL["export_rules"] = f"""WITH {BRAND} SELECT array_to_string(list_sort(antecedent), ', ') AS Antecedent_Products,
+  array_to_string(list_sort(consequent), ', ') AS Consequent_Products, {FMT('support', 4)} AS Support,
+  {FMT('confidence', 4)} AS Confidence, {FMT('lift', 4)} AS Lift FROM b_rules"""
+SQL["export_rules_named"] = f"""WITH {PART}, t AS (SELECT *, row_number() OVER ({ORDER_RULES}) AS Rule_ID FROM p_rules),
+top AS (SELECT * FROM t WHERE Rule_ID <= 1000),
+nm AS (SELECT p_partkey, p_name FROM part)
+SELECT Rule_ID,
+  array_to_string(list_transform(antecedent, lambda x: CAST(x AS VARCHAR)), ', ') AS Antecedent_Products,
+  (SELECT string_agg(coalesce(p_name, 'Unknown_ID_' || CAST(x AS VARCHAR)), ', ' ORDER BY i)
+     FROM (SELECT unnest(antecedent) AS x, generate_subscripts(antecedent, 1) AS i) u LEFT JOIN nm ON nm.p_partkey = u.x)
+     AS Antecedent_Product_Name,
+  array_to_string(list_transform(consequent, lambda x: CAST(x AS VARCHAR)), ', ') AS Consequent_Products,
+  (SELECT string_agg(coalesce(p_name, 'Unknown_ID_' || CAST(x AS VARCHAR)), ', ' ORDER BY i)
+     FROM (SELECT unnest(consequent) AS x, generate_subscripts(consequent, 1) AS i) u LEFT JOIN nm ON nm.p_partkey = u.x)
+     AS Consequent_Product_Name,
+  {FMT('support', 4)} AS Support, {FMT('confidence', 4)} AS Confidence, {FMT('lift', 4)} AS Lift FROM top"""
+
+PRED = f"""{BRAND}, pred AS (SELECT t.customer_id, r.antecedent, r.consequent,
+    list_filter(r.consequent, lambda x: NOT list_contains(t.items, x)) AS new_items, r.confidence, r.lift, r.support
+  FROM b_rules r JOIN b_tx t ON list_has_all(t.items, r.antecedent)),
+pr AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY confidence DESC, lift DESC,
+    CAST(antecedent AS VARCHAR), CAST(consequent AS VARCHAR)) AS pred_rank FROM pred WHERE len(new_items) > 0)"""
+SQL["predict_from_items"] = (f"WITH {PRED} SELECT customer_id, antecedent, new_items, {R6('confidence,lift,support')}, "
+                             "pred_rank FROM pr")
+SQL["recommend_for_items"] = f"""WITH {PRED}, e AS (SELECT customer_id, pred_rank, confidence, lift, support,
+    unnest(new_items) AS item, generate_subscripts(new_items, 1) - 1 AS pos FROM pr WHERE pred_rank <= 5),
+f AS (SELECT *, row_number() OVER (PARTITION BY customer_id, item ORDER BY pred_rank, pos) AS rn FROM e)
+SELECT customer_id, item, {R6('confidence,lift,support')},
+  CAST(row_number() OVER (PARTITION BY customer_id ORDER BY pred_rank, pos) AS INTEGER) AS position FROM f WHERE rn = 1"""
+SQL["rule_explanations"] = (f"WITH {PRED} SELECT customer_id, pred_rank, antecedent, new_items AS consequent, "
+                            f"{R6('confidence,lift,support')} FROM pr WHERE pred_rank <= 3")
+SQL["similar_items"] = f"""WITH {BRAND}, e AS (SELECT unnest(antecedent) AS a, consequent, lift * confidence AS s FROM b_rules),
+e2 AS (SELECT a, unnest(consequent) AS c, s FROM e),
+bo AS (SELECT a AS item, c AS other, s FROM e2 UNION ALL SELECT c AS item, a AS other, s FROM e2),
+sc AS (SELECT item, other, sum(s) AS score FROM bo WHERE item <> other GROUP BY ALL),
+rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, other) AS INTEGER) AS rank FROM sc)
+SELECT item, other, {RND('score', 6)} AS score, rank FROM rk WHERE rank <= 5"""
+
+
+def hybrid_sql(p: str, top_n: int) -> str:
+    """Rule scores + 0.5 x top-5-neighbour Jaccard scores, owned removed."""
+    return f"""{p}rows AS (SELECT customer_id, unnest(items) AS product_id FROM {p}tx),
+{p}rs AS (SELECT t.customer_id, unnest(r.consequent) AS product_id, r.lift FROM {p}rules r
+  JOIN {p}tx t ON list_has_all(t.items, r.antecedent)),
+{p}rscore AS (SELECT customer_id, product_id, sum(lift) AS score FROM {p}rs GROUP BY ALL),
+{p}inter AS (SELECT a.customer_id, b.customer_id AS other_id, count(*) AS inter FROM {p}rows a JOIN {p}rows b
+  ON a.product_id = b.product_id AND a.customer_id <> b.customer_id GROUP BY ALL),
+{p}jac AS (SELECT i.customer_id, i.other_id, CAST(inter AS DOUBLE) / (len(x.items) + len(y.items) - inter) AS jaccard
+  FROM {p}inter i JOIN {p}tx x ON x.customer_id = i.customer_id JOIN {p}tx y ON y.customer_id = i.other_id),
+{p}nb AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY jaccard DESC, other_id) AS nrank FROM {p}jac),
+{p}nscore AS (SELECT n.customer_id, r.product_id, sum(n.jaccard) AS score FROM {p}nb n JOIN {p}rows r ON r.customer_id = n.other_id
+  WHERE n.nrank <= 5 GROUP BY ALL),
+{p}nscore2 AS (SELECT * FROM {p}nscore s WHERE NOT EXISTS (SELECT 1 FROM {p}rows o WHERE o.customer_id = s.customer_id
+  AND o.product_id = s.product_id)),
+{p}parts AS (SELECT customer_id, product_id, score FROM {p}rscore UNION ALL
+  SELECT customer_id, product_id, score * 0.5 FROM {p}nscore2),
+{p}tot AS (SELECT customer_id, product_id, sum(score) AS score FROM {p}parts GROUP BY ALL),
+{p}tot2 AS (SELECT * FROM {p}tot s WHERE NOT EXISTS (SELECT 1 FROM {p}rows o WHERE o.customer_id = s.customer_id
+  AND o.product_id = s.product_id)),
+{p}rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY {RND('score', 9)} DESC, product_id) AS INTEGER)
+  AS rank FROM {p}tot2),
+{p}recs AS (SELECT customer_id, rank, product_id, score FROM {p}rk WHERE rank <= {top_n})"""
+
+
+HYB = f"{PART}, {hybrid_sql('p_', 5)}"
+SQL["rule_scores"] = f"WITH {HYB} SELECT customer_id, product_id, {RND('score', 6)} AS score FROM p_rscore"
+SQL["jaccard_pairs"] = f"WITH {HYB} SELECT customer_id, other_id, {RND('jaccard', 9)} AS jaccard FROM p_jac"
+SQL["top_neighbours"] = (f"WITH {HYB} SELECT customer_id, other_id, {RND('jaccard', 9)} AS jaccard, "
+                         "CAST(nrank AS INTEGER) AS nrank FROM p_nb WHERE nrank <= 5")
+SQL["neighbour_scores"] = f"WITH {HYB} SELECT customer_id, product_id, {RND('score', 6)} AS score FROM p_nscore2"
+SQL["hybrid_recommend"] = f"WITH {HYB} SELECT customer_id, rank, product_id, {RND('score', 6)} AS score FROM p_recs"
+SQL["export_recommendations"] = f"""WITH {HYB} SELECT customer_id AS Customer_ID, rank AS Rank, product_id AS Product_ID,
+  coalesce(p_name, 'Unknown') AS Product_Name FROM p_recs LEFT JOIN part ON p_partkey = product_id"""
+SQL["recommend_with_fallback"] = f"""WITH {HYB}, {POP},
+top5 AS (SELECT *, CAST(row_number() OVER (ORDER BY so_luot_mua DESC, product_id) AS INTEGER) AS rank FROM pop
+  ORDER BY so_luot_mua DESC, product_id LIMIT 5),
+wanted AS (SELECT c_custkey AS customer_id FROM customer UNION SELECT DISTINCT o_custkey + 1000000000 FROM orders),
+own AS (SELECT r.customer_id, r.rank, r.product_id, p_name AS product_name, 'fp_growth' AS type FROM p_recs r
+  LEFT JOIN part ON p_partkey = r.product_id WHERE r.customer_id IN (SELECT customer_id FROM wanted)),
+fb AS (SELECT w.customer_id, t.rank, t.product_id, t.product_name, 'popularity_fallback' AS type FROM wanted w, top5 t
+  WHERE w.customer_id NOT IN (SELECT customer_id FROM p_recs))
+SELECT * FROM own UNION ALL SELECT * FROM fb"""
+SQL["top_recommended_products"] = f"""WITH {HYB}, c AS (SELECT product_id, count(*) AS Recommendation_Count FROM p_recs GROUP BY 1
+  ORDER BY Recommendation_Count DESC, product_id LIMIT 5)
+SELECT product_id AS Product_ID, coalesce(p_name, 'Unknown') AS Product_Name, Recommendation_Count,
+  {FMT('Recommendation_Count * 100.0 / (SELECT count(DISTINCT customer_id) FROM p_recs)', 2)} || '%' AS Percentage
+  FROM c LEFT JOIN part ON p_partkey = product_id"""
+SQL["verify_recommendations"] = f"""WITH {HYB}, j AS (SELECT r.product_id, p.p_partkey IS NOT NULL AS known FROM p_recs r
+  LEFT JOIN (SELECT DISTINCT p_partkey FROM part) p ON p.p_partkey = r.product_id)
+SELECT count(*) AS total_recs, count(*) FILTER (WHERE known) AS mapped_count,
+  count(*) FILTER (WHERE NOT known) AS unmapped_count, count(DISTINCT product_id) FILTER (WHERE NOT known) AS unmapped_ids,
+  {RND('CASE WHEN count(*) > 0 THEN (1 - CAST(count(*) FILTER (WHERE NOT known) AS DOUBLE) / count(*)) * 100 ELSE 0.0 END', 6)}
+    AS success_rate,
+  CASE WHEN {RND('CASE WHEN count(*) > 0 THEN (1 - CAST(count(*) FILTER (WHERE NOT known) AS DOUBLE) / count(*)) * 100 ELSE 0.0 END', 6)}
+    >= 99.0 THEN 'OK' ELSE 'WARNING' END AS status FROM j"""
+SQL["all_recommended"] = f"WITH {HYB} SELECT DISTINCT product_id FROM p_recs"
+SQL["basket_set_ops"] = f"""WITH {HYB}, n1 AS (SELECT * FROM p_nb WHERE nrank = 1)
+SELECT n1.customer_id, n1.other_id, len(list_intersect(a.items, b.items)) AS n_common,
+  len(list_distinct(list_concat(a.items, b.items))) AS n_union,
+  len(list_filter(a.items, lambda x: NOT list_contains(b.items, x))) AS n_only_mine,
+  len(list_filter(a.items, lambda x: NOT list_contains(b.items, x))) = 0 AS is_subset
+  FROM n1 JOIN p_tx a ON a.customer_id = n1.customer_id JOIN p_tx b ON b.customer_id = n1.other_id"""
+SPLIT = "(((customer_id * 1000003 + product_id * 7919) % 100) + 100) % 100"
+SQL["train_test_split"] = (f"WITH {PP} SELECT customer_id, product_id, CASE WHEN {SPLIT} >= 20 THEN 'train' ELSE 'test' END "
+                           "AS part FROM pp")
+
+EVAL = f"""{PP}, tr AS (SELECT * FROM pp WHERE {SPLIT} >= 20), te AS (SELECT * FROM pp WHERE {SPLIT} < 20),
+{baskets_sql('e_', 'tr')}, {fim_sql('e_', 'tr', 0.002)}, {rules_sql('e_', 0.1, 1.0)}, {hybrid_sql('e_', 10)},
+act AS (SELECT DISTINCT customer_id, product_id FROM te),
+sizes AS (SELECT customer_id, count(*) AS n_actual FROM act GROUP BY 1),
+r AS (SELECT r.customer_id, r.rank, r.product_id, s.n_actual, CASE WHEN a.product_id IS NULL THEN 0 ELSE 1 END AS hit
+  FROM e_recs r JOIN sizes s USING (customer_id) LEFT JOIN act a USING (customer_id, product_id)),
+r2 AS (SELECT *, sum(hit) OVER (PARTITION BY customer_id ORDER BY rank ROWS UNBOUNDED PRECEDING) AS hsf FROM r),
+ks AS (SELECT unnest([1, 3, 5, 10]) AS k),
+ex AS (SELECT r2.*, k FROM r2 JOIN ks ON k >= rank),
+per AS (SELECT customer_id, k, n_actual, count(*) AS n_recs, sum(hit) AS hits,
+  sum(CASE WHEN hit = 1 THEN CAST(hsf AS DOUBLE) / rank ELSE 0.0 END) AS ap_sum,
+  min(CASE WHEN hit = 1 THEN rank END) AS first_hit, sum(hit / log2(rank + 1)) AS dcg FROM ex GROUP BY ALL),
+pm AS (SELECT customer_id, k, CAST(hits AS DOUBLE) / n_recs AS precision, CAST(hits AS DOUBLE) / n_actual AS recall,
+  ap_sum / least(k, n_actual) AS ap, coalesce(1.0 / CAST(first_hit AS DOUBLE), 0.0) AS rr,
+  CASE WHEN (SELECT sum(1.0 / log2(i + 1)) FROM range(1, least(n_actual, k) + 1) t(i)) > 0
+       THEN dcg / (SELECT sum(1.0 / log2(i + 1)) FROM range(1, least(n_actual, k) + 1) t(i)) ELSE 0.0 END AS ndcg FROM per),
+rm AS (SELECT k, {RND('avg(precision)', 6)} AS precision, {RND('avg(recall)', 6)} AS recall, {RND('avg(ap)', 6)} AS map,
+  {RND('avg(rr)', 6)} AS mrr, {RND('avg(ndcg)', 6)} AS ndcg FROM pm GROUP BY k)"""
+SQL["ranking_metrics"] = f"WITH {EVAL} SELECT * FROM rm"
+SQL["coverage_metrics"] = f"""WITH {EVAL}, r5 AS (SELECT * FROM e_recs WHERE rank <= 5),
+pd AS (SELECT customer_id, count(DISTINCT product_id) AS d FROM r5 GROUP BY 1)
+SELECT {RND('count(DISTINCT product_id) * 100.0 / (SELECT count(DISTINCT p_partkey) FROM part)', 6)} AS catalog_coverage,
+  {RND('(SELECT coalesce(avg(d), 0.0) FROM pd)', 6)} AS diversity,
+  {RND('count(DISTINCT customer_id) * 100.0 / (SELECT count(DISTINCT customer_id) FROM te)', 6)} AS customer_coverage FROM r5"""
+SQL["evaluation_report"] = f"""WITH {EVAL}, pd AS (SELECT customer_id, count(DISTINCT product_id) AS d FROM e_recs GROUP BY 1),
+cov AS (SELECT {RND('count(DISTINCT product_id) * 100.0 / (SELECT count(DISTINCT product_id) FROM pp)', 6)} AS cat,
+  {RND('(SELECT coalesce(avg(d), 0.0) FROM pd)', 6)} AS div,
+  {RND('count(DISTINCT customer_id) * 100.0 / (SELECT count(DISTINCT customer_id) FROM te)', 6)} AS cust FROM e_recs)
+SELECT '@K=' || CAST(k AS VARCHAR) AS Metric, {FMT('precision', 4)} AS Precision, {FMT('recall', 4)} AS Recall,
+  {FMT('map', 4)} AS MAP, {FMT('mrr', 4)} AS MRR, {FMT('ndcg', 4)} AS NDCG FROM rm
+UNION ALL SELECT 'Coverage', {FMT('cust', 2)} || '%', {FMT('cat', 2)} || '%', {FMT('div', 2)}, '—', '—' FROM cov"""
+SQL["holdout_evaluation"] = f"""WITH {EVAL}, r5 AS (SELECT * FROM e_recs WHERE rank <= 5),
+j AS (SELECT r.customer_id, s.n_actual, a.product_id IS NOT NULL AS rel FROM r5 r JOIN sizes s USING (customer_id)
+  LEFT JOIN act a USING (customer_id, product_id)),
+hp AS (SELECT customer_id, n_actual, count(*) AS n, count(*) FILTER (WHERE rel) AS rel FROM j GROUP BY ALL)
+SELECT {RND('coalesce(avg(CAST(rel AS DOUBLE) / n), 0.0)', 6)} AS precision,
+  {RND('coalesce(avg(CAST(rel AS DOUBLE) / n_actual), 0.0)', 6)} AS recall,
+  {RND('CAST(count(*) FILTER (WHERE rel > 0) AS DOUBLE) / CASE WHEN count(*) > 0 THEN count(*) END', 6)} AS hit_rate,
+  {RND('(SELECT count(DISTINCT customer_id) FROM r5) * 100.0 / (SELECT count(*) FROM sizes)', 6)} AS coverage,
+  (SELECT count(DISTINCT product_id) FROM r5) AS diversity FROM hp"""
