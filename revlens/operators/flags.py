@@ -51,7 +51,7 @@ def positive_quantile(df: DataFrame, col: str, q: float, accuracy: int | None =
     secs = F.col(seconds_col) if seconds_col else F.round(F.col(col) * 60).cast("bigint")
     row = quantile_row(pos, secs, [q], scale=60.0)
     # an empty input yields an aggregate row with an empty array -> 0.0
-    return row.select(F.coalesce(F.col("values")[0], F.lit(0.0)).alias("threshold"))
+    return row.select(F.coalesce(F.get(F.col("values"), 0), F.lit(0.0)).alias("threshold"))
 
 
 def _minutes_between(later: Column, earlier: Column) -> Column:

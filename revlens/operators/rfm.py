@@ -64,7 +64,7 @@ def rfm_segments(rfm: DataFrame, quantiles: DataFrame | None = None) -> DataFram
     q = quantiles if quantiles is not None else rfm_quantiles(rfm)
     # one scalar subquery (run once, reused by the nine comparisons)
     sq = q.select(F.struct("r_q", "f_q", "m_q")).scalar()
-    th = {name: [sq[name][i] for i in range(3)] for name in ("r_q", "f_q", "m_q")}
+    th = {name: [F.get(sq[name], i) for i in range(3)] for name in ("r_q", "f_q", "m_q")}
     scored = (rfm.withColumn("R", score_le(F.col("recency"), *th["r_q"]))
                  .withColumn("F", score_ge(F.col("frequency"), *th["f_q"]))
                  .withColumn("M", score_ge(F.col("monetary"), *th["m_q"])))

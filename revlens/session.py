@@ -17,6 +17,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Text cleaning and TF-IDF are CPU-heavy per row: let AQE keep small
+    # shuffle partitions apart instead of merging them into one or two
+    # tasks (large data is unaffected: partitions are sized by bytes).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
 }
 
 
