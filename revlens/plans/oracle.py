@@ -385,7 +385,7 @@ BB = """bb AS (SELECT DISTINCT l_orderkey AS customer_id, p_brand AS product_id
 def fim_sql(p: str, src: str, min_support: float, levels: int = 6) -> str:
     """Apriori inside each basket: extend only frequent prefixes."""
     out = [f"{p}n AS (SELECT count(DISTINCT customer_id) AS n FROM {src})",
-           f"{p}mc AS (SELECT CAST(ceil(CAST({min_support} AS DOUBLE) * n) AS BIGINT) AS mc FROM {p}n)",
+           f"{p}mc AS (SELECT greatest(2, CAST(ceil(CAST({min_support} AS DOUBLE) * n) AS BIGINT)) AS mc FROM {p}n)",
            f"{p}R1 AS (SELECT customer_id, [product_id] AS s, product_id AS last FROM {src})",
            f"{p}L1 AS (SELECT s, count(*) AS freq FROM {p}R1 GROUP BY s HAVING count(*) >= (SELECT mc FROM {p}mc))",
            f"{p}F1 AS (SELECT r.* FROM {p}R1 r JOIN {p}L1 l ON r.s = l.s)"]
