@@ -585,3 +585,29 @@ def q_evaluation_report(spark, d):
 def q_holdout_evaluation(spark, d):
     recs, test = evaluation(spark, d)
     return metrics.holdout_evaluation(recs.filter(F.col("rank") <= 5), test)
+
+
+# ------------------------------------------------ single-step operators ----
+@register("drop_any_null")
+def q_drop_any_null(spark, d):
+    return clean.drop_any_null(fx.raw_comments(spark, d))
+
+
+@register("convert_types")
+def q_convert_types(spark, d):
+    return clean.convert_types(dedup.dedup(fx.raw_comments(spark, d), ["comment_id"]))
+
+
+@register("column_projection")
+def q_column_projection(spark, d):
+    return clean.column_projection(fx.raw_comments(spark, d))
+
+
+@register("review_gaps")
+def q_review_gaps(spark, d):
+    return flags.review_gaps(fx.burst_events(spark, d)).drop("_b", "_rn")
+
+
+@register("truncate_recommendations")
+def q_truncate_recommendations(spark, d):
+    return recommend.truncate_recommendations(hybrid(spark, d, 10), 3).withColumn("score", F.round("score", 6))

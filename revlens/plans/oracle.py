@@ -593,3 +593,17 @@ SELECT {RND('coalesce(avg(CAST(rel AS DOUBLE) / n), 0.0)', 6)} AS precision,
   {RND('CAST(count(*) FILTER (WHERE rel > 0) AS DOUBLE) / CASE WHEN count(*) > 0 THEN count(*) END', 6)} AS hit_rate,
   {RND('(SELECT count(DISTINCT customer_id) FROM r5) * 100.0 / (SELECT count(*) FROM sizes)', 6)} AS coverage,
   (SELECT count(DISTINCT product_id) FROM r5) AS diversity FROM hp"""
+
+SQL["drop_any_null"] = f"WITH {RAW_COMMENTS} SELECT * FROM raw_comments WHERE " + " AND ".join(
+    f"{c} IS NOT NULL" for c in ["comment_id"] + _COMMENT_COLS)
+SQL["convert_types"] = f"""WITH {RAW_COMMENTS}, {DEDUP_COMMENTS},
+conv AS (SELECT * REPLACE (TRY_CAST(rating AS DOUBLE) AS rating),
+    CAST(trunc(TRY_CAST(created_at AS DOUBLE)) AS BIGINT) AS created_at_num,
+    CAST(trunc(TRY_CAST(purchased_at AS DOUBLE)) AS BIGINT) AS purchased_at_num,
+    {ts_of('created_at')} AS created_at_ts, {ts_of('purchased_at')} AS purchased_at_ts FROM comments)
+SELECT * FROM conv WHERE created_at_ts IS NOT NULL AND purchased_at_ts IS NOT NULL AND rating IS NOT NULL"""
+SQL["column_projection"] = (f"WITH {RAW_COMMENTS} SELECT customer_id, customer_name, comment_id, purchased_at, "
+                            "created_at, rating, product_id, seller_name FROM raw_comments")
+SQL["review_gaps"] = f"""WITH {EVENTS}, {burst_sql('events_in')} SELECT comment_id, customer_id, created_at_ts,
+  previous_created_at_ts, delta_minutes FROM g2"""
+SQL["truncate_recommendations"] = f"WITH {HYB} SELECT customer_id, rank, product_id, {RND('score', 6)} AS score FROM p_recs WHERE rank <= 3"
