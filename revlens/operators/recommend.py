@@ -43,10 +43,13 @@ def jaccard_pairs(baskets: DataFrame) -> DataFrame:
     rows = basket_rows(baskets)
     sizes = baskets.select("customer_id", F.size("items").alias("n"))
     a, b = rows.alias("a"), rows.alias("b")
-    inter = (a.join(b, (F.col("a.product_id") == F.col("b.product_id"))
-                    & (F.col("a.customer_id") != F.col("b.customer_id")))
-              .groupBy(F.col("a.customer_id").alias("customer_id"), F.col("b.customer_id").alias("other_id"))
-              .agg(F.count("*").alias("inter")))
+    # each unordered pair is formed once (a < b), counted, then mirrored
+    once = (a.join(b, (F.col("a.product_id") == F.col("b.product_id"))
+                   & (F.col("a.customer_id") < F.col("b.customer_id")))
+             .groupBy(F.col("a.customer_id").alias("customer_id"), F.col("b.customer_id").alias("other_id"))
+             .agg(F.count("*").alias("inter")))
+    inter = once.unionByName(once.select(F.col("other_id").alias("customer_id"),
+                                         F.col("customer_id").alias("other_id"), "inter"))
     sa = sizes.alias("sa")
     sb = sizes.select(F.col("customer_id").alias("other_id"), F.col("n").alias("m"))
     j = inter.join(sa, "customer_id").join(sb, "other_id")
@@ -54,10 +57,24 @@ def jaccard_pairs(baskets: DataFrame) -> DataFrame:
                     (F.col("inter") / (F.col("n") + F.col("m") - F.col("inter"))).alias("jaccard"))
 
 
-def top_neighbours(pairs: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
+TOPK_SALT = 32
+
+
+def top_neighbours(pairs: DataFrame, k: int = NEIGHBOURS, salt: int = TOPK_SALT) -> DataFrame:
     """The ``k`` most similar customers per customer (lower id first
-    on ties)."""
-    w = Window.partitionBy("customer_id").orderBy(F.desc("jaccard"), "other_id")
+    on ties).
+
+    Two-stage top-k: a customer who shares a popular product has partners
+    in the order of the customer count, so the first ranking runs per
+    (customer, hash of partner mod ``salt``) – spread over ``salt`` tasks –
+    and the final one over at most k x salt survivors.  The top k of the
+    per-bucket top k is exactly the overall top k.
+    """
+    order = [F.desc("jaccard"), "other_id"]
+    if salt and salt > 1:
+        w1 = Window.partitionBy("customer_id", F.pmod(F.xxhash64("other_id"), F.lit(salt))).orderBy(*order)
+        pairs = pairs.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= k).drop("_r")
+    w = Window.partitionBy("customer_id").orderBy(*order)
     return pairs.withColumn("nrank", F.row_number().over(w)).filter(F.col("nrank") <= k)
 
 

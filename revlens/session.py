@@ -35,7 +35,9 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "revlens", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false"))
+               .config("spark.ui.showConsoleProgress", "false")
+               # checkpoint files of frames that went out of scope are removed
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master:
         builder = builder.master(master)
     if master and master.startswith("local"):
