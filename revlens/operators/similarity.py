@@ -12,14 +12,15 @@ Plan:
 * The mean needs no pairs: sum over pairs i<j of v_i.v_j equals
   (|sum_i v_i|^2 - sum_i |v_i|^2) / 2, i.e. per (user, term) sums of the
   normalised weights, squared and added.
-* The max needs pairs, but only of *distinct* normalised vectors that share
-  a term (pairs sharing no term have cosine 0).  Copies of one comment are
-  collapsed first, and a user with a copied comment has max 1.0.
+* The max needs pairs, but only of *distinct* normalised vectors (copies of
+  one comment are collapsed; a user with a copied comment has max 1.0), and
+  only candidates from prefix filtering (``_max_candidates``): exact, and
+  frequent words do not generate pairs once a lower bound is known.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.functions.text import UNICODE_WS
@@ -63,17 +64,13 @@ def user_text_similarity(comments: DataFrame, user: str = "customer_id", cid: st
     sums = v.groupBy(user, "term").agg(F.sum("v").alias("s"))
     sq = sums.groupBy(user).agg(F.sum(F.col("s") * F.col("s")).alias("sq"))
     with_tokens = v.groupBy(user).agg(F.countDistinct(cid).alias("m"))
-    # max: distinct normalised vectors only
+    # max: distinct normalised vectors only, candidates by prefix filtering
     sig = (v.groupBy(user, cid)
              .agg(F.array_sort(F.collect_list(F.struct("term", F.round("v", 9).alias("r")))).alias("sig")))
     reps = sig.groupBy(user, "sig").agg(F.min(cid).alias(cid), F.count("*").alias("copies"))
     dup = reps.groupBy(user).agg(F.max(F.col("copies") >= 2).alias("has_copy"))
     vr = v.join(reps.select(user, cid), [user, cid], "left_semi")
-    a, b = vr.alias("a"), vr.alias("b")
-    pairs = (a.join(b, (F.col(f"a.{user}") == F.col(f"b.{user}")) & (F.col("a.term") == F.col("b.term"))
-                    & (F.col(f"a.{cid}") < F.col(f"b.{cid}")))
-              .groupBy(F.col(f"a.{user}").alias(user), F.col(f"a.{cid}").alias("i"), F.col(f"b.{cid}").alias("j"))
-              .agg(F.sum(F.col("a.v") * F.col("b.v")).alias("sim")))
+    pairs = _max_candidates(vr, user, cid)
     pmax = pairs.groupBy(user).agg(F.max("sim").alias("pmax"))
     stats = (users.join(with_tokens, user).join(sq, user).join(dup, user).join(pmax, user, "left")
                   .filter(F.col("n") >= 2)
@@ -87,6 +84,55 @@ def user_text_similarity(comments: DataFrame, user: str = "customer_id", cid: st
     return everyone.join(stats, user, "left")
 
 
+def _dot(pairs: DataFrame, v: DataFrame, user: str, cid: str) -> DataFrame:
+    """Exact cosine of candidate pairs (user, i, j) from the vector entries."""
+    vi = v.select(user, F.col(cid).alias("i"), "term", F.col("v").alias("vi"))
+    vj = v.select(user, F.col(cid).alias("j"), "term", F.col("v").alias("vj"))
+    return (pairs.join(vi, [user, "i"]).join(vj, [user, "j", "term"])
+                 .groupBy(user, "i", "j").agg(F.sum(F.col("vi") * F.col("vj")).alias("sim")))
+
+
+def _max_candidates(v: DataFrame, user: str, cid: str, eps: float = 1e-9) -> DataFrame:
+    """Pairs (user, i, j, sim) that are sure to contain each user's most
+    similar pair (prefix filtering, exact).
+
+    Terms of each comment are ordered rare-first (df, term).  A lower bound
+    L per user comes from one partner per comment: the smallest other
+    comment holding its rarest term (min aggregates, no pair list).  Two
+    unit vectors with cosine >= L must share a term whose remaining norm in
+    one of them (that term and all later ones) is still >= L; only terms
+    inside that prefix generate candidates, so frequent words stop
+    producing pairs once L is known.
+    """
+    df = v.groupBy(user, "term").agg(F.count("*").alias("df"),
+                                      F.min(cid).alias("c1"))
+    second = (v.join(df.select(user, "term", "c1"), [user, "term"])
+               .filter(F.col(cid) != F.col("c1"))
+               .groupBy(user, "term").agg(F.min(cid).alias("c2")))
+    post = df.join(second, [user, "term"], "left")
+    w = Window.partitionBy(user, cid).orderBy("df", "term")
+    e = (v.join(post.select(user, "term", "df", "c1", "c2"), [user, "term"])
+          .withColumn("pos", F.row_number().over(w))
+          .withColumn("before", F.coalesce(F.sum(F.col("v") * F.col("v")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                           F.lit(0.0)))
+          .withColumn("rem", F.sqrt(F.greatest(F.lit(0.0), 1.0 - F.col("before")))))
+    # lower bound: each comment with the smallest other comment sharing its rarest term
+    first = e.filter(F.col("pos") == 1).select(
+        user, F.col(cid).alias("a"),
+        F.when(F.col("c1") != F.col(cid), F.col("c1")).otherwise(F.col("c2")).alias("b")).filter(F.col("b").isNotNull())
+    seed = first.select(user, F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).distinct()
+    seed_sim = _dot(seed, v, user, cid)
+    low = seed_sim.groupBy(user).agg(F.max("sim").alias("low"))
+    # prefix entries: remaining norm still reaches the bound
+    pre = (e.join(low, user, "left")
+            .filter(F.col("rem") >= F.coalesce(F.col("low"), F.lit(0.0)) - eps)
+            .select(user, F.col(cid).alias("i"), "term"))
+    allv = v.select(user, F.col(cid).alias("j"), "term")
+    cand = (pre.join(allv, [user, "term"]).filter(F.col("i") != F.col("j"))
+               .select(user, F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct())
+    return _dot(cand, v, user, cid).unionByName(seed_sim)
+
+
 def similarity_thresholds(sim: DataFrame) -> DataFrame:
     """One row: mean + sample std of the per-user means and maxima."""
     ok = sim.filter(F.col("mean_similarity").isNotNull() & F.col("max_similarity").isNotNull())

@@ -52,3 +52,21 @@ def test_flags_and_thresholds(spark):
     out = similarity.similarity_flags(df).collect()
     flagged = {r.customer_id for r in out if r.F4_Flag}
     assert 9 in flagged
+
+
+def test_prefix_filtered_max_equals_brute_force(spark):
+    import random
+    rnd = random.Random(3)
+    vocab = ["aa", "bb", "cc", "dd", "ee", "ff", "gg", "hh", "common", "word"]
+    users = {}
+    for u in range(40):
+        n = rnd.randint(2, 9)
+        users[u] = [" ".join(rnd.choices(vocab, weights=[1, 1, 1, 1, 1, 1, 1, 1, 12, 12], k=rnd.randint(1, 6)))
+                    for _ in range(n)]
+    rows = [(u, i, c) for u, cs in users.items() for i, c in enumerate(cs)]
+    df = spark.createDataFrame(rows, "customer_id long, comment_id long, content string")
+    got = {r.customer_id: (r.mean_similarity, r.max_similarity)
+           for r in similarity.user_text_similarity(df, materialize=False).collect()}
+    for u, cs in users.items():
+        mean, mx = ref_tfidf_sims(cs)
+        assert abs(got[u][0] - mean) < 1e-9 and abs(got[u][1] - mx) < 1e-9, (u, got[u], mean, mx)
