@@ -78,6 +78,51 @@ def top_neighbours(pairs: DataFrame, k: int = NEIGHBOURS, salt: int = TOPK_SALT)
     return pairs.withColumn("nrank", F.row_number().over(w)).filter(F.col("nrank") <= k)
 
 
+def _topk(df: DataFrame, key: str, order: list, k: int, salt: int = TOPK_SALT) -> DataFrame:
+    """First ``k`` rows per ``key`` by ``order``, in two salted stages so a
+    key with millions of rows is ranked across ``salt`` tasks."""
+    w1 = Window.partitionBy(key, F.pmod(F.xxhash64(*[c for c in df.columns if c != key]), F.lit(salt))).orderBy(*order)
+    df = df.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= k).drop("_r")
+    w = Window.partitionBy(key).orderBy(*order)
+    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+
+
+def neighbour_candidates(baskets: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
+    """(customer_id, other_id, jaccard) containing every customer's exact
+    top-k neighbours, without listing the pairs of single-item baskets.
+
+    * single-item customer A = {x}: J(A, B) = 1/|B| for every buyer B of x,
+      so its top k are the k+1 smallest (|B|, id) buyers of x minus A;
+    * multi-item A and single-item B = {x} with x in A: J = 1/|A| for all
+      such B, so only the k lowest ids of single-item buyers per item matter;
+    * multi-item pairs come from the inverted-index join over multi-item
+      baskets only.
+    """
+    rows = baskets.select("customer_id", F.size("items").alias("n"), F.explode("items").alias("product_id"))
+    single = rows.filter(F.col("n") == 1)
+    multi = rows.filter(F.col("n") >= 2)
+    # multi x multi
+    a, b = multi.alias("a"), multi.alias("b")
+    once = (a.join(b, (F.col("a.product_id") == F.col("b.product_id")) & (F.col("a.customer_id") < F.col("b.customer_id")))
+             .groupBy(F.col("a.customer_id").alias("customer_id"), F.col("b.customer_id").alias("other_id"),
+                      F.col("a.n").alias("n"), F.col("b.n").alias("m"))
+             .agg(F.count("*").alias("inter"))
+             .withColumn("jaccard", F.col("inter") / (F.col("n") + F.col("m") - F.col("inter"))))
+    mm = once.select("customer_id", "other_id", "jaccard").unionByName(
+        once.select(F.col("other_id").alias("customer_id"), F.col("customer_id").alias("other_id"), "jaccard"))
+    # multi A, single B
+    low_single = _topk(single.select("product_id", "customer_id"), "product_id", ["customer_id"], k)
+    ms = (multi.join(low_single.withColumnRenamed("customer_id", "other_id"), "product_id")
+               .select("customer_id", "other_id", (F.lit(1.0) / F.col("n")).alias("jaccard")))
+    # single A, any B
+    small = _topk(rows.select("product_id", "customer_id", "n"), "product_id", ["n", "customer_id"], k + 1)
+    sa = (single.select("customer_id", "product_id")
+                .join(small.select("product_id", F.col("customer_id").alias("other_id"), F.col("n").alias("m")), "product_id")
+                .filter(F.col("customer_id") != F.col("other_id"))
+                .select("customer_id", "other_id", (F.lit(1.0) / F.col("m")).alias("jaccard")))
+    return mm.unionByName(ms).unionByName(sa)
+
+
 def exclude_owned(scores: DataFrame, baskets: DataFrame) -> DataFrame:
     """Drop (customer, product) rows the customer already owns."""
     return scores.join(basket_rows(baskets), ["customer_id", "product_id"], "left_anti")
@@ -86,7 +131,7 @@ def exclude_owned(scores: DataFrame, baskets: DataFrame) -> DataFrame:
 def neighbour_scores(baskets: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
     """M9: (customer_id, product_id, score = sum of Jaccard of the top-k
     neighbours owning the product), owned products removed."""
-    nb = top_neighbours(jaccard_pairs(baskets), k)
+    nb = top_neighbours(neighbour_candidates(baskets, k), k)
     their = basket_rows(baskets).withColumnRenamed("customer_id", "other_id")
     s = nb.join(their, "other_id").groupBy("customer_id", "product_id").agg(F.sum("jaccard").alias("score"))
     return exclude_owned(s, baskets)

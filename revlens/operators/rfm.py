@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.operators.quantiles import exact_quantiles
+from revlens.session import cut_lineage
 from revlens.functions.scoring import SEG_VIP, score_ge, score_le, segment_rule
 
 QUANTILES = [0.25, 0.5, 0.75]
@@ -29,6 +30,13 @@ def rfm_metrics(reviews: DataFrame, grain: tuple[str, ...] = ("customer_id", "cu
                  F.round(freq * F.coalesce(F.avg(rating), F.lit(0.0)), 2).alias("monetary")))
 
 
+def rfm_table(reviews: DataFrame, materialize: bool = True, **kw) -> DataFrame:
+    """A6, checkpointed once: the quantile passes and the scoring all read
+    the per-customer table, so the aggregate over the reviews runs once."""
+    m = rfm_metrics(reviews, **kw)
+    return cut_lineage(m) if materialize else m
+
+
 def rfm_quantiles(rfm: DataFrame, accuracy: int | None = None) -> DataFrame:
     """One row with the 25/50/75 % quantiles of recency, frequency and
     monetary (arrays ``r_q``, ``f_q``, ``m_q``), over rows where all three

@@ -39,7 +39,7 @@ def clean_reviews(spark, d) -> DataFrame:
 
 
 def _segments(spark, d):
-    return rfm.rfm_segments(rfm.rfm_metrics(clean_reviews(spark, d)))
+    return rfm.rfm_segments(rfm.rfm_table(clean_reviews(spark, d)))
 
 
 @register("rfm_metrics")
@@ -485,7 +485,7 @@ def q_jaccard_pairs(spark, d):
 
 @register("top_neighbours")
 def q_top_neighbours(spark, d):
-    nb = recommend.top_neighbours(recommend.jaccard_pairs(part_baskets(spark, d)))
+    nb = recommend.top_neighbours(recommend.neighbour_candidates(part_baskets(spark, d)))
     return nb.withColumn("jaccard", F.round("jaccard", 9))
 
 

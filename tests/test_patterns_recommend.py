@@ -86,3 +86,18 @@ def test_predict_and_similar_items(spark):
 def test_item_catalog_dense_index(spark):
     b = spark.createDataFrame([(1, [5, 3]), (2, [3, 9])], "customer_id long, items array<long>")
     assert [tuple(r) for r in bk.item_catalog(b).orderBy("idx").collect()] == [(3, 0), (5, 1), (9, 2)]
+
+
+def test_neighbour_candidates_give_exact_top_k(spark):
+    import random
+    rnd = random.Random(11)
+    baskets = {}
+    for c in range(120):
+        size = 1 if rnd.random() < 0.6 else rnd.randint(2, 5)
+        baskets[c] = sorted(set(rnd.choices(range(12), weights=[30] + [1] * 11, k=size)))
+    b = spark.createDataFrame(list(baskets.items()), "customer_id long, items array<long>")
+    fast = {(r.customer_id, r.nrank): (r.other_id, r.jaccard)
+            for r in recommend.top_neighbours(recommend.neighbour_candidates(b), 5).collect()}
+    full = {(r.customer_id, r.nrank): (r.other_id, r.jaccard)
+            for r in recommend.top_neighbours(recommend.jaccard_pairs(b), 5).collect()}
+    assert fast == full
