@@ -104,22 +104,20 @@ def _max_candidates(v: DataFrame, user: str, cid: str, eps: float = 1e-9) -> Dat
     inside that prefix generate candidates, so frequent words stop
     producing pairs once L is known.
     """
-    df = v.groupBy(user, "term").agg(F.count("*").alias("df"),
-                                      F.min(cid).alias("c1"))
-    second = (v.join(df.select(user, "term", "c1"), [user, "term"])
-               .filter(F.col(cid) != F.col("c1"))
-               .groupBy(user, "term").agg(F.min(cid).alias("c2")))
-    post = df.join(second, [user, "term"], "left")
+    # the smallest and largest holder of a term: one of them is another
+    # comment whenever the term is shared
+    post = v.groupBy(user, "term").agg(F.count("*").alias("df"), F.min(cid).alias("c1"),
+                                        F.max(cid).alias("c2"))
     w = Window.partitionBy(user, cid).orderBy("df", "term")
     e = (v.join(post.select(user, "term", "df", "c1", "c2"), [user, "term"])
           .withColumn("pos", F.row_number().over(w))
           .withColumn("before", F.coalesce(F.sum(F.col("v") * F.col("v")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                            F.lit(0.0)))
           .withColumn("rem", F.sqrt(F.greatest(F.lit(0.0), 1.0 - F.col("before")))))
-    # lower bound: each comment with the smallest other comment sharing its rarest term
+    # lower bound: each comment with another comment sharing its rarest term
     first = e.filter(F.col("pos") == 1).select(
         user, F.col(cid).alias("a"),
-        F.when(F.col("c1") != F.col(cid), F.col("c1")).otherwise(F.col("c2")).alias("b")).filter(F.col("b").isNotNull())
+        F.when(F.col("c1") != F.col(cid), F.col("c1")).otherwise(F.col("c2")).alias("b")).filter(F.col("b") != F.col("a"))
     seed = first.select(user, F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).distinct()
     seed_sim = _dot(seed, v, user, cid)
     low = seed_sim.groupBy(user).agg(F.max("sim").alias("low"))
