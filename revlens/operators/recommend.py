@@ -87,29 +87,73 @@ def _topk(df: DataFrame, key: str, order: list, k: int, salt: int = TOPK_SALT) -
     return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
 
 
-def neighbour_candidates(baskets: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
+HOT_BUYERS = 1000
+
+
+def _pair_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Unordered customer pairs (customer_id < other_id) sharing ``key``,
+    each listed once however many keys they share."""
+    a, b = left.alias("a"), right.alias("b")
+    return (a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.customer_id") < F.col("b.customer_id")))
+             .select(F.col("a.customer_id").alias("customer_id"), F.col("b.customer_id").alias("other_id"))
+             .distinct())
+
+
+def neighbour_candidates(baskets: DataFrame, k: int = NEIGHBOURS, hot: int = HOT_BUYERS) -> DataFrame:
     """(customer_id, other_id, jaccard) containing every customer's exact
-    top-k neighbours, without listing the pairs of single-item baskets.
+    top-k neighbours (scores exact) without forming all pairs of the buyers
+    of a popular product.
 
     * single-item customer A = {x}: J(A, B) = 1/|B| for every buyer B of x,
-      so its top k are the k+1 smallest (|B|, id) buyers of x minus A;
+      so its top k are among the k+1 smallest (|B|, id) buyers of x;
     * multi-item A and single-item B = {x} with x in A: J = 1/|A| for all
       such B, so only the k lowest ids of single-item buyers per item matter;
-    * multi-item pairs come from the inverted-index join over multi-item
-      baskets only.
+    * multi-item pairs.  A product is *hot* when more than ``hot``
+      multi-item customers hold it.  A pair of multi-item customers shares
+      - a cold product: formed through that product's buyer list
+        (at most ``hot``^2 pairs per product);
+      - two or more hot products and no cold one: formed through the
+        (hot, hot) product pairs each customer holds;
+      - exactly one hot product h and nothing else: J = 1/(|A|+|B|-1)
+        falls with |B|, so any buyer of h ahead of B in (|B|, id) order
+        ranks ahead of B for A; only the k+1 first buyers of h can be in
+        A's top k.
+      Candidates are scored exactly from both baskets.
     """
     rows = baskets.select("customer_id", F.size("items").alias("n"), F.explode("items").alias("product_id"))
     single = rows.filter(F.col("n") == 1)
     multi = rows.filter(F.col("n") >= 2)
-    # multi x multi
-    a, b = multi.alias("a"), multi.alias("b")
-    once = (a.join(b, (F.col("a.product_id") == F.col("b.product_id")) & (F.col("a.customer_id") < F.col("b.customer_id")))
-             .groupBy(F.col("a.customer_id").alias("customer_id"), F.col("b.customer_id").alias("other_id"),
-                      F.col("a.n").alias("n"), F.col("b.n").alias("m"))
-             .agg(F.count("*").alias("inter"))
-             .withColumn("jaccard", F.col("inter") / (F.col("n") + F.col("m") - F.col("inter"))))
-    mm = once.select("customer_id", "other_id", "jaccard").unionByName(
-        once.select(F.col("other_id").alias("customer_id"), F.col("customer_id").alias("other_id"), "jaccard"))
+    buyers = multi.groupBy("product_id").agg(F.count("*").alias("buyers"))
+    marked = multi.join(buyers, "product_id").withColumn("hot", F.col("buyers") > hot)
+    cold_rows = marked.filter(~F.col("hot")).select("customer_id", "product_id")
+    hot_rows = marked.filter(F.col("hot")).select("customer_id", "n", "product_id")
+    # pairs sharing a cold product
+    via_cold = _pair_rows(cold_rows, cold_rows, "product_id")
+    # pairs sharing two or more hot products: key = (h1 < h2) held together
+    hot_sets = (hot_rows.groupBy("customer_id").agg(F.array_sort(F.collect_list("product_id")).alias("hs"))
+                        .filter(F.size("hs") >= 2))
+    hot_pairs = hot_sets.select(
+        "customer_id",
+        F.explode(F.flatten(F.transform("hs", lambda x: F.transform(F.filter("hs", lambda y: y > x),
+                                                                     lambda y: F.struct(x.alias("h1"), y.alias("h2"))))))
+         .alias("hp"))
+    via_hot_pairs = _pair_rows(hot_pairs, hot_pairs, "hp")
+    undirected = via_cold.unionByName(via_hot_pairs)
+    # exactly one hot product shared: the k+1 first buyers by (size, id)
+    first = _topk(hot_rows, "product_id", ["n", "customer_id"], k + 1)
+    via_one_hot = (hot_rows.select("customer_id", "product_id")
+                           .join(first.select("product_id", F.col("customer_id").alias("other_id")), "product_id")
+                           .filter(F.col("customer_id") != F.col("other_id"))
+                           .select("customer_id", "other_id"))
+    directed = (undirected.unionByName(undirected.select(F.col("other_id").alias("customer_id"),
+                                                         F.col("customer_id").alias("other_id")))
+                          .unionByName(via_one_hot).distinct())
+    mb = baskets.filter(F.size("items") >= 2)
+    scored = (directed.join(mb.select("customer_id", F.col("items").alias("ia")), "customer_id")
+                      .join(mb.select(F.col("customer_id").alias("other_id"), F.col("items").alias("ib")), "other_id")
+                      .withColumn("inter", F.size(F.array_intersect("ia", "ib"))))
+    mm = scored.select("customer_id", "other_id",
+                       (F.col("inter") / (F.size("ia") + F.size("ib") - F.col("inter"))).alias("jaccard"))
     # multi A, single B
     low_single = _topk(single.select("product_id", "customer_id"), "product_id", ["customer_id"], k)
     ms = (multi.join(low_single.withColumnRenamed("customer_id", "other_id"), "product_id")
@@ -128,10 +172,10 @@ def exclude_owned(scores: DataFrame, baskets: DataFrame) -> DataFrame:
     return scores.join(basket_rows(baskets), ["customer_id", "product_id"], "left_anti")
 
 
-def neighbour_scores(baskets: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
+def neighbour_scores(baskets: DataFrame, k: int = NEIGHBOURS, hot: int = HOT_BUYERS) -> DataFrame:
     """M9: (customer_id, product_id, score = sum of Jaccard of the top-k
     neighbours owning the product), owned products removed."""
-    nb = top_neighbours(neighbour_candidates(baskets, k), k)
+    nb = top_neighbours(neighbour_candidates(baskets, k, hot), k)
     their = basket_rows(baskets).withColumnRenamed("customer_id", "other_id")
     s = nb.join(their, "other_id").groupBy("customer_id", "product_id").agg(F.sum("jaccard").alias("score"))
     return exclude_owned(s, baskets)

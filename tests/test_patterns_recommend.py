@@ -101,3 +101,21 @@ def test_neighbour_candidates_give_exact_top_k(spark):
     full = {(r.customer_id, r.nrank): (r.other_id, r.jaccard)
             for r in recommend.top_neighbours(recommend.jaccard_pairs(b), 5).collect()}
     assert fast == full
+
+
+def test_neighbour_candidates_with_hot_products_give_exact_top_k(spark):
+    # low hot threshold: cold, one-hot-product and hot-pair paths all run
+    import random
+    for seed in (3, 5, 8):
+        rnd = random.Random(seed)
+        baskets = {}
+        for c in range(150):
+            size = 1 if rnd.random() < 0.3 else rnd.randint(2, 6)
+            baskets[c] = sorted(set(rnd.choices(range(15), weights=[40, 25, 12] + [1] * 12, k=size)))
+        b = spark.createDataFrame(list(baskets.items()), "customer_id long, items array<long>")
+        for hot in (2, 8):
+            fast = {(r.customer_id, r.nrank): (r.other_id, round(r.jaccard, 12)) for r in
+                    recommend.top_neighbours(recommend.neighbour_candidates(b, 5, hot), 5).collect()}
+            full = {(r.customer_id, r.nrank): (r.other_id, round(r.jaccard, 12)) for r in
+                    recommend.top_neighbours(recommend.jaccard_pairs(b), 5).collect()}
+            assert fast == full, (seed, hot)
