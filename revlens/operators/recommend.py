@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlens.operators.baskets import basket_rows
 from revlens.operators.patterns import subset_matches
@@ -90,15 +91,6 @@ def _topk(df: DataFrame, key: str, order: list, k: int, salt: int = TOPK_SALT) -
 HOT_BUYERS = 1000
 
 
-def _pair_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Unordered customer pairs (customer_id < other_id) sharing ``key``,
-    each listed once however many keys they share."""
-    a, b = left.alias("a"), right.alias("b")
-    return (a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.customer_id") < F.col("b.customer_id")))
-             .select(F.col("a.customer_id").alias("customer_id"), F.col("b.customer_id").alias("other_id"))
-             .distinct())
-
-
 def neighbour_candidates(baskets: DataFrame, k: int = NEIGHBOURS, hot: int = HOT_BUYERS) -> DataFrame:
     """(customer_id, other_id, jaccard) containing every customer's exact
     top-k neighbours (scores exact) without forming all pairs of the buyers
@@ -112,48 +104,56 @@ def neighbour_candidates(baskets: DataFrame, k: int = NEIGHBOURS, hot: int = HOT
       multi-item customers hold it.  A pair of multi-item customers shares
       - a cold product: formed through that product's buyer list
         (at most ``hot``^2 pairs per product);
-      - two or more hot products and no cold one: formed through the
-        (hot, hot) product pairs each customer holds;
-      - exactly one hot product h and nothing else: J = 1/(|A|+|B|-1)
-        falls with |B|, so any buyer of h ahead of B in (|B|, id) order
-        ranks ahead of B for A; only the k+1 first buyers of h can be in
-        A's top k.
-      Candidates are scored exactly from both baskets.
+      - two or more hot products: formed through the (hot, hot) product
+        pairs each customer holds;
+      - exactly one product, a hot one h: J = 1/(|A|+|B|-1) falls with
+        |B|, so any buyer of h ahead of B in (|B|, id) order ranks ahead of
+        B for A; only the k+1 first buyers of h can be in A's top k.
+      Rows carry the customer's hot products, so the intersection of a
+      formed pair is its cold count plus the overlap of the two hot arrays,
+      all in one aggregation per pair.
     """
     rows = baskets.select("customer_id", F.size("items").alias("n"), F.explode("items").alias("product_id"))
     single = rows.filter(F.col("n") == 1)
     multi = rows.filter(F.col("n") >= 2)
     buyers = multi.groupBy("product_id").agg(F.count("*").alias("buyers"))
     marked = multi.join(buyers, "product_id").withColumn("hot", F.col("buyers") > hot)
-    cold_rows = marked.filter(~F.col("hot")).select("customer_id", "product_id")
     hot_rows = marked.filter(F.col("hot")).select("customer_id", "n", "product_id")
-    # pairs sharing a cold product
-    via_cold = _pair_rows(cold_rows, cold_rows, "product_id")
-    # pairs sharing two or more hot products: key = (h1 < h2) held together
-    hot_sets = (hot_rows.groupBy("customer_id").agg(F.array_sort(F.collect_list("product_id")).alias("hs"))
-                        .filter(F.size("hs") >= 2))
-    hot_pairs = hot_sets.select(
-        "customer_id",
-        F.explode(F.flatten(F.transform("hs", lambda x: F.transform(F.filter("hs", lambda y: y > x),
-                                                                     lambda y: F.struct(x.alias("h1"), y.alias("h2"))))))
-         .alias("hp"))
-    via_hot_pairs = _pair_rows(hot_pairs, hot_pairs, "hp")
-    undirected = via_cold.unionByName(via_hot_pairs)
-    # exactly one hot product shared: the k+1 first buyers by (size, id)
+    hot_sets = hot_rows.groupBy("customer_id").agg(F.array_sort(F.collect_list("product_id")).alias("hs"))
+    cold_rows = (marked.filter(~F.col("hot")).select("customer_id", "n", F.array("product_id").alias("key"))
+                       .join(hot_sets, "customer_id", "left").withColumn("cnt", F.lit(1)))
+    # key: [cold product] or [hot, hot] product pair; a pair row counts 0 cold products
+    hot_pairs = (hot_sets.filter(F.size("hs") >= 2)
+                         .join(multi.select("customer_id", "n").dropDuplicates(["customer_id"]), "customer_id")
+                         .select("customer_id", "n", "hs", F.lit(0).alias("cnt"), F.explode(F.flatten(F.transform(
+                             "hs", lambda x: F.transform(F.filter("hs", lambda y: y > x),
+                                                         lambda y: F.array(x, y)))))
+                             .alias("key")))
+    keyed = cold_rows.select("customer_id", "n", "key", "hs", "cnt").unionByName(
+        hot_pairs.select("customer_id", "n", "key", "hs", "cnt"))
+    a, b = keyed.alias("a"), keyed.alias("b")
+    pairs = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.customer_id") < F.col("b.customer_id")))
+              .groupBy(F.col("a.customer_id").alias("customer_id"), F.col("b.customer_id").alias("other_id"),
+                       F.col("a.n").alias("n"), F.col("b.n").alias("m"))
+              .agg(F.sum(F.col("a.cnt")).alias("cold"), F.first(F.col("a.hs")).alias("ha"),
+                   F.first(F.col("b.hs")).alias("hb")))
+    empty = F.array().cast(T.ArrayType(rows.schema["product_id"].dataType))
+    inter = F.col("cold") + F.size(F.array_intersect(F.coalesce("ha", empty), F.coalesce("hb", empty)))
+    once = pairs.select("customer_id", "other_id", (inter / (F.col("n") + F.col("m") - inter)).alias("jaccard"))
+    mm = once.unionByName(once.select(F.col("other_id").alias("customer_id"),
+                                      F.col("customer_id").alias("other_id"), "jaccard"))
+    # exactly one (hot) product shared: the k+1 first buyers by (size, id);
+    # pairs sharing more are formed above, so only intersections of 1 are kept
     first = _topk(hot_rows, "product_id", ["n", "customer_id"], k + 1)
-    via_one_hot = (hot_rows.select("customer_id", "product_id")
-                           .join(first.select("product_id", F.col("customer_id").alias("other_id")), "product_id")
-                           .filter(F.col("customer_id") != F.col("other_id"))
-                           .select("customer_id", "other_id"))
-    directed = (undirected.unionByName(undirected.select(F.col("other_id").alias("customer_id"),
-                                                         F.col("customer_id").alias("other_id")))
-                          .unionByName(via_one_hot).distinct())
     mb = baskets.filter(F.size("items") >= 2)
-    scored = (directed.join(mb.select("customer_id", F.col("items").alias("ia")), "customer_id")
-                      .join(mb.select(F.col("customer_id").alias("other_id"), F.col("items").alias("ib")), "other_id")
-                      .withColumn("inter", F.size(F.array_intersect("ia", "ib"))))
-    mm = scored.select("customer_id", "other_id",
-                       (F.col("inter") / (F.size("ia") + F.size("ib") - F.col("inter"))).alias("jaccard"))
+    one_hot = (hot_rows.select("customer_id", "product_id")
+                       .join(first.select("product_id", F.col("customer_id").alias("other_id")), "product_id")
+                       .filter(F.col("customer_id") != F.col("other_id"))
+                       .join(mb.select("customer_id", F.col("items").alias("ia")), "customer_id")
+                       .join(mb.select(F.col("customer_id").alias("other_id"), F.col("items").alias("ib")), "other_id")
+                       .filter(F.size(F.array_intersect("ia", "ib")) == 1)
+                       .select("customer_id", "other_id", (F.lit(1.0) / (F.size("ia") + F.size("ib") - 1)).alias("jaccard")))
+    mm = mm.unionByName(one_hot)
     # multi A, single B
     low_single = _topk(single.select("product_id", "customer_id"), "product_id", ["customer_id"], k)
     ms = (multi.join(low_single.withColumnRenamed("customer_id", "other_id"), "product_id")

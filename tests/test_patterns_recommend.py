@@ -119,3 +119,14 @@ def test_neighbour_candidates_with_hot_products_give_exact_top_k(spark):
             full = {(r.customer_id, r.nrank): (r.other_id, round(r.jaccard, 12)) for r in
                     recommend.top_neighbours(recommend.jaccard_pairs(b), 5).collect()}
             assert fast == full, (seed, hot)
+
+
+def test_neighbour_candidates_string_products_with_hot_pairs(spark):
+    # string ids, one holding a comma: the pair key must not collide with it
+    baskets = {1: ["a", "b", "a,b"], 2: ["a", "b"], 3: ["a", "b", "c"], 4: ["a,b", "c"], 5: ["a", "c"], 6: ["b", "c"]}
+    b = spark.createDataFrame(list(baskets.items()), "customer_id long, items array<string>")
+    fast = {(r.customer_id, r.nrank): (r.other_id, round(r.jaccard, 12)) for r in
+            recommend.top_neighbours(recommend.neighbour_candidates(b, 3, 2), 3).collect()}
+    full = {(r.customer_id, r.nrank): (r.other_id, round(r.jaccard, 12)) for r in
+            recommend.top_neighbours(recommend.jaccard_pairs(b), 3).collect()}
+    assert fast == full
