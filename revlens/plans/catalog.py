@@ -336,6 +336,21 @@ def q_parse_event_props(spark, d):
     return readers.parse_json_column(ev, "props", "k BIGINT", keep=["event_id"])
 
 
+@register("flatten_reviews")
+def q_flatten_reviews(spark, d):
+    return readers.flatten_reviews(fx.review_json(spark, d))
+
+
+@register("flatten_products")
+def q_flatten_products(spark, d):
+    return readers.flatten_products(fx.product_json(spark, d))
+
+
+@register("flatten_product_ids")
+def q_flatten_product_ids(spark, d):
+    return readers.flatten_product_ids(fx.listing_json(spark, d))
+
+
 # ------------------------------------------------------ recommendations ----
 from revlens.operators import baskets as bk  # noqa: E402
 from revlens.operators import metrics, patterns, recommend  # noqa: E402

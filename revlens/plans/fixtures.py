@@ -168,3 +168,41 @@ def line_products(spark: SparkSession, d: str) -> DataFrame:
     return (li.join(p, li.l_partkey == p.p_partkey, "left")
             .select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("comment_id"),
                     F.col("l_partkey").alias("product_id"), F.col("p_name").alias("product_name")))
+
+
+def review_json(spark: SparkSession, d: str) -> DataFrame:
+    """Landed review documents (S4 input): each raw comment row as the
+    crawler's nested JSON text, ``created_by`` and ``seller`` null when
+    their key is null."""
+    r = raw_comments(spark, d)
+    doc = F.struct(
+        F.col("comment_id").alias("id"), "product_id", "customer_id",
+        F.col("rating").cast("double").alias("rating"), "title", "content",
+        F.col("created_at").cast("bigint").alias("created_at"),
+        F.when(F.col("customer_id").isNotNull(),
+               F.struct(F.col("customer_id").alias("id"), F.col("customer_name").alias("name"),
+                        F.col("purchased_at").cast("bigint").alias("purchased_at"))).alias("created_by"),
+        F.when(F.col("seller_id").isNotNull(),
+               F.struct(F.col("seller_id").alias("id"), F.col("seller_name").alias("name"))).alias("seller"))
+    return r.select(F.to_json(doc).alias("json"))
+
+
+def product_json(spark: SparkSession, d: str) -> DataFrame:
+    """Landed product documents (S5 input) from ``part``; fields the part
+    table lacks are absent from the text."""
+    p = _t(spark, d, "part").select("p_partkey", "p_name", "p_retailprice", "p_brand", "p_type")
+    doc = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+                   F.col("p_retailprice").alias("price"), F.col("p_retailprice").alias("original_price"),
+                   F.struct(F.col("p_brand").alias("name")).alias("brand"),
+                   F.col("p_type").alias("short_description"))
+    return p.select(F.to_json(doc).alias("json"))
+
+
+def listing_json(spark: SparkSession, d: str) -> DataFrame:
+    """Landed listing pages (S6 input): one page per order listing the part
+    ids of its lines (at most seven), so ids repeat across pages."""
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    pages = li.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", F.struct(F.col("l_partkey").alias("id")).alias("d"))))
+         .alias("lines"))
+    return pages.select(F.to_json(F.struct(F.col("lines.d").alias("data"))).alias("json"))

@@ -607,3 +607,12 @@ SQL["column_projection"] = (f"WITH {RAW_COMMENTS} SELECT customer_id, customer_n
 SQL["review_gaps"] = f"""WITH {EVENTS}, {burst_sql('events_in')} SELECT comment_id, customer_id, created_at_ts,
   previous_created_at_ts, delta_minutes FROM g2"""
 SQL["truncate_recommendations"] = f"WITH {HYB} SELECT customer_id, rank, product_id, {RND('score', 6)} AS score FROM p_recs WHERE rank <= 3"
+
+SQL["flatten_reviews"] = f"""WITH {RAW_COMMENTS} SELECT comment_id, product_id, customer_id, customer_name,
+  CAST(rating AS DOUBLE) AS rating, title, content, CAST(created_at AS BIGINT) AS created_at,
+  CAST(purchased_at AS BIGINT) AS purchased_at, seller_id, seller_name FROM raw_comments"""
+SQL["flatten_products"] = """SELECT p_partkey AS product_id, p_name AS product_name, p_retailprice AS price,
+  p_retailprice AS original_price, CAST(NULL AS DOUBLE) AS rating_average, CAST(NULL AS BIGINT) AS review_count,
+  p_brand AS brand_name, p_type AS short_description, CAST(NULL AS VARCHAR) AS url_key FROM part"""
+SQL["flatten_product_ids"] = """SELECT DISTINCT l_partkey AS product_id FROM lineitem
+  WHERE l_partkey IS NOT NULL AND l_partkey <> 0"""
