@@ -12,9 +12,9 @@ Plan:
 * The mean needs no pairs: sum over pairs i<j of v_i.v_j equals
   (|sum_i v_i|^2 - sum_i |v_i|^2) / 2, i.e. per (user, term) sums of the
   normalised weights, squared and added.
-* The max needs pairs, but only of *distinct* normalised vectors (copies of
-  one comment are collapsed; a user with a copied comment has max 1.0), and
-  only candidates from prefix filtering (``_max_candidates``): exact, and
+* The max needs pairs, but only for users without a copied comment (a copy
+  means max 1.0, found by grouping identical normalised vectors), and only
+  candidates from prefix filtering (``_max_candidates``): exact, and
   frequent words do not generate pairs once a lower bound is known.
 """
 
@@ -69,7 +69,9 @@ def user_text_similarity(comments: DataFrame, user: str = "customer_id", cid: st
              .agg(F.array_sort(F.collect_list(F.struct("term", F.round("v", 9).alias("r")))).alias("sig")))
     reps = sig.groupBy(user, "sig").agg(F.min(cid).alias(cid), F.count("*").alias("copies"))
     dup = reps.groupBy(user).agg(F.max(F.col("copies") >= 2).alias("has_copy"))
-    vr = v.join(reps.select(user, cid), [user, cid], "left_semi")
+    # a user with a copied comment has max 1.0: only the others need pairs
+    searched = reps.join(dup.filter(~F.col("has_copy")).select(user), user, "left_semi")
+    vr = v.join(searched.select(user, cid), [user, cid], "left_semi")
     pairs = _max_candidates(vr, user, cid)
     pmax = pairs.groupBy(user).agg(F.max("sim").alias("pmax"))
     stats = (users.join(with_tokens, user).join(sq, user).join(dup, user).join(pmax, user, "left")
@@ -97,8 +99,9 @@ def _max_candidates(v: DataFrame, user: str, cid: str, eps: float = 1e-9) -> Dat
     similar pair (prefix filtering, exact).
 
     Terms of each comment are ordered rare-first (df, term).  A lower bound
-    L per user comes from one partner per comment: the smallest other
-    comment holding its rarest term (min aggregates, no pair list).  Two
+    L per user comes from one partner per comment: the smallest (or
+    largest) other comment holding its rarest *shared* term (min
+    aggregates, no pair list; a term of one comment only has no partner).  Two
     unit vectors with cosine >= L must share a term whose remaining norm in
     one of them (that term and all later ones) is still >= L; only terms
     inside that prefix generate candidates, so frequent words stop
@@ -114,10 +117,12 @@ def _max_candidates(v: DataFrame, user: str, cid: str, eps: float = 1e-9) -> Dat
           .withColumn("before", F.coalesce(F.sum(F.col("v") * F.col("v")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                            F.lit(0.0)))
           .withColumn("rem", F.sqrt(F.greatest(F.lit(0.0), 1.0 - F.col("before")))))
-    # lower bound: each comment with another comment sharing its rarest term
-    first = e.filter(F.col("pos") == 1).select(
-        user, F.col(cid).alias("a"),
-        F.when(F.col("c1") != F.col(cid), F.col("c1")).otherwise(F.col("c2")).alias("b")).filter(F.col("b") != F.col("a"))
+    # lower bound: each comment with another comment sharing its rarest
+    # shared term (a term only one comment holds gives no partner)
+    first = (e.filter(F.col("df") >= 2)
+              .groupBy(user, F.col(cid).alias("a"))
+              .agg(F.min_by(F.struct("c1", "c2"), F.struct("df", "term")).alias("p"))
+              .select(user, "a", F.when(F.col("p.c1") != F.col("a"), F.col("p.c1")).otherwise(F.col("p.c2")).alias("b")))
     seed = first.select(user, F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).distinct()
     seed_sim = _dot(seed, v, user, cid)
     low = seed_sim.groupBy(user).agg(F.max("sim").alias("low"))
