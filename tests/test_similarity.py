@@ -70,3 +70,19 @@ def test_prefix_filtered_max_equals_brute_force(spark):
     for u, cs in users.items():
         mean, mx = ref_tfidf_sims(cs)
         assert abs(got[u][0] - mean) < 1e-9 and abs(got[u][1] - mx) < 1e-9, (u, got[u], mean, mx)
+
+
+def test_copied_comment_and_unique_rarest_terms(spark):
+    # user 1: an exact copy, so max is 1.0 without a pair search;
+    # user 2: every comment's rarest term is its own, so the lower bound
+    # must come from a shared term
+    users = {1: ["great phone fast", "great phone fast", "slow battery"],
+             2: ["alpha shared common", "beta shared common", "gamma common", "delta other"]}
+    rows = [(u, i, c) for u, cs in users.items() for i, c in enumerate(cs)]
+    df = spark.createDataFrame(rows, "customer_id long, comment_id long, content string")
+    got = {r.customer_id: (r.mean_similarity, r.max_similarity)
+           for r in similarity.user_text_similarity(df, materialize=False).collect()}
+    assert got[1][1] == 1.0
+    for u, cs in users.items():
+        mean, mx = ref_tfidf_sims(cs)
+        assert abs(got[u][0] - mean) < 1e-9 and abs(got[u][1] - mx) < 1e-9, (u, got[u], mean, mx)
