@@ -5,8 +5,8 @@ character model of random strings explains better than one of ordinary
 identifiers: the summed log-likelihood ratio of its character pairs is at least
 EVIDENCE.  Both models are trained on the tokens of the scanned table itself,
 labelled by the rules: tokens inside a base span are secrets, tokens of letters
-only are ordinary.  All pair counts come from all such tokens, with add-one
-smoothing over the alphabet, so an empty class falls back to the uniform model.
+only are ordinary.  Pair counts come from all such tokens; a character's followers
+lean on the frequency of all characters, and those on the uniform alphabet.
 
 Positions: ``split`` by a rule gives the texts between its matches and
 ``regexp_extract_all`` the matches, so match starts are running sums of lengths,
@@ -31,6 +31,7 @@ KEYWORDS = ["password", "passwd", "secret", "token", "apikey", "api_key"]
 METHOD = "markov"
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+BACK_OFF = 4.0  # pseudo-counts with which a character's followers lean on all characters
 EVIDENCE = 8.0  # nats: odds of about 3000 to 1
 
 
@@ -87,9 +88,12 @@ def ratios(labelled: DataFrame) -> DataFrame:
     seen = _pairs(labelled).groupBy("first", "second").agg(F.count_if(F.col("secret")).alias("n_random"),
                                                          F.count_if(~F.col("secret")).alias("n_ordinary"))
     full = grid.join(seen, ["first", "second"], "left").na.fill(0)
-    row = Window.partitionBy("first")
-    def log_p(n):
-        return F.log((F.col(n) + 1) / (F.sum(n).over(row) + len(ALPHABET)))
+    row, column, grid_rows = Window.partitionBy("first"), Window.partitionBy("second"), Window.partitionBy(F.lit(0))
+
+    def log_p(n: str) -> Column:
+        anywhere = (F.sum(n).over(column) + 1) / (F.sum(n).over(grid_rows) + len(ALPHABET))
+        return F.log((F.col(n) + BACK_OFF * anywhere) / (F.sum(n).over(row) + BACK_OFF))
+
     return full.select("first", "second", (log_p("n_random") - log_p("n_ordinary")).alias("ratio"))
 
 
