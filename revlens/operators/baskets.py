@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from revlens.session import cut_lineage
 
 
 def customer_baskets(df: DataFrame, rating_threshold: float | None = 4, customer: str = "customer_id",
@@ -38,11 +39,14 @@ def product_name_map(df: DataFrame, order: str = "comment_id") -> DataFrame:
 
 def item_catalog(baskets: DataFrame) -> DataFrame:
     """Sorted distinct items with a dense 0-based index (both lookup
-    directions are this one table).  The index is assigned by a
-    range-partitioned sort and per-partition offsets (``zipWithIndex``), so
-    no single task holds the catalogue."""
-    items = baskets.select(F.explode("items").alias("item")).distinct().orderBy("item")
-    item_type = items.schema["item"].dataType
-    indexed = items.rdd.zipWithIndex().map(lambda r: (r[0]["item"], r[1]))
-    schema = T.StructType([T.StructField("item", item_type), T.StructField("idx", T.LongType())])
-    return baskets.sparkSession.createDataFrame(indexed, schema)
+    directions are this one table).  The sort is ranged over partitions; an
+    item's index is its place there after the items of the partitions before,
+    so no single task holds the catalogue."""
+    items = cut_lineage(baskets.select(F.explode("items").alias("item")).distinct().orderBy("item")
+                        .withColumn("_part", F.spark_partition_id()))
+    sizes = items.groupBy("_part").agg(F.count("*").alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    before = sizes.select("_part", F.coalesce(earlier, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("item")) - 1
+    return (items.withColumn("_place", place).join(before, "_part")
+            .select("item", (F.col("_before") + F.col("_place")).cast("bigint").alias("idx")))

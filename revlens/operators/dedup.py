@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dedup(df: DataFrame, keys: list[str], order: list[str] | None = None,
+def dedup(df: DataFrame, keys: list[str], order: list[str | Column] | None = None,
           keep: str = "first") -> DataFrame:
     """A4: one row per key, chosen deterministically.
 
-    ``keep="first"`` keeps the row with the smallest ``order`` values (then
-    the remaining columns as tie-break), ``"last"`` the largest.  Written as
+    ``keep="first"`` keeps the row with the smallest ``order`` values (columns
+    or expressions, such as a time read from text; then the remaining columns as
+    tie-break), ``"last"`` the largest; nulls are smallest.  Written as
     ``min``/``max`` of a struct per key, which Spark aggregates partially on
     the map side: a key with millions of copies is reduced before the
     shuffle instead of being sorted whole in one task as a window would.
     """
     others = [c for c in df.columns if c not in keys]
-    order = [c for c in (order or []) if c not in keys]
-    rest = [c for c in others if c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest])
+    order = [c for c in (order or []) if not (isinstance(c, str) and c in keys)]
+    rest = [F.col(c).alias(c) for c in others if not any(isinstance(o, str) and o == c for o in order)]
+    by = [F.col(o).alias(o) if isinstance(o, str) else o.alias(f"_order{i}") for i, o in enumerate(order)]
+    packed = F.struct(*by, *rest)
     pick = F.min(packed) if keep == "first" else F.max(packed)
     out = df.groupBy(*keys).agg(pick.alias("_row"))
     return out.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])

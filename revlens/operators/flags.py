@@ -14,7 +14,7 @@ window is partitioned by (user, time bucket) instead, and the three values
 that cross bucket borders (previous timestamp, run length carried in,
 resets before the bucket) come from a per-bucket summary table, which has
 one row per (user, bucket) and is windowed per user.  Every row-level step
-stays partitioned by (user, bucket), so the rows are shuffled once.
+stays partitioned by (user, bucket).
 ``bucket_seconds=None`` gives the plain per-user window (same results).
 """
 
@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.operators.quantiles import quantile_row
-from revlens.session import cut_lineage
 
 BURST_QUANTILE = 0.05
 BURST_MIN_RUN = 4
@@ -89,26 +88,32 @@ def burst_threshold(gaps: DataFrame, q: float = BURST_QUANTILE, accuracy: int |
     return positive_quantile(gaps, "delta_minutes", q, accuracy)
 
 
+def all_gaps_threshold(gaps: DataFrame, q: float = BURST_QUANTILE) -> DataFrame:
+    """X1, notebook form: one-row frame ``threshold``, the q-quantile of all gaps."""
+    row = quantile_row(gaps.filter(F.col("delta_minutes").isNotNull()), F.round(F.col("delta_minutes") * 60).cast("bigint"), [q], scale=60.0)
+    return row.select(F.coalesce(F.get(F.col("values"), 0), F.lit(0.0)).alias("threshold"))
+
+
 def burst_flags(df: DataFrame, user: str = "customer_id", ts: str = "created_at_ts",
                 order_id: str = "comment_id", threshold: Column | float | None = None,
                 min_run: int = BURST_MIN_RUN,
                 bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-                materialize: bool = True) -> DataFrame:
+                zero_is_small: bool = False) -> DataFrame:
     """W1–W3 + X2: adds previous_created_at_ts, delta_minutes, small_gap,
     burst_group, burst_count and F3_flag.
 
-    With ``materialize`` the gap rows are checkpointed once, since both the
-    threshold and the run counting read them.
+    The threshold comes from a projection of (user, time, id) alone, the rows
+    keep all their columns lazily.  ``zero_is_small`` is the notebook's form: the
+    threshold is taken over all gaps, and a gap of zero counts as small.
     """
     gaps = review_gaps(df, user, ts, order_id, bucket_seconds)
-    if materialize:
-        gaps = cut_lineage(gaps)
     if threshold is None:
-        threshold = burst_threshold(gaps).scalar()
+        narrow = review_gaps(df.select(user, ts, order_id), user, ts, order_id, bucket_seconds)
+        threshold = (all_gaps_threshold(narrow) if zero_is_small else burst_threshold(narrow)).scalar()
     thr = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     d = F.col("delta_minutes")
     w = Window.partitionBy(user, "_b").orderBy(ts, order_id)
-    x = (gaps.withColumn("small_gap", (d > 0) & (d <= thr))
+    x = (gaps.withColumn("small_gap", ((d >= 0) if zero_is_small else (d > 0)) & (d <= thr))
              .withColumn("_reset", ~F.coalesce(F.col("small_gap"), F.lit(False)))
              .withColumn("_resets", F.sum(F.col("_reset").cast("int")).over(w.rowsBetween(_RUN, 0)))
              .withColumn("_last_reset", F.max(F.when(F.col("_reset"), F.col("_rn"))).over(w.rowsBetween(_RUN, 0))))

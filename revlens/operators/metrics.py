@@ -17,14 +17,16 @@ TEST_PERCENT = 20
 
 
 def split_key(customer: str = "customer_id", product: str = "product_id"):
-    """Deterministic 0..99 bucket of a purchase (integer mixing, so any SQL
-    engine can reproduce it)."""
-    return F.pmod(F.col(customer) * F.lit(1000003) + F.col(product) * F.lit(7919), F.lit(100))
+    """Deterministic 0..99 bucket of a purchase, from the md5 of both ids: ids
+    may be text or of any size, and any SQL engine can reproduce it."""
+    text = F.concat_ws("|", F.col(customer).cast("string"), F.col(product).cast("string"))
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(100))
 
 
 def train_test_split(purchases: DataFrame, test_percent: int = TEST_PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Split each customer's purchases (not the customers) so every
-    customer keeps history to learn from and purchases to score."""
+    """Split the purchases, not the customers: each purchase goes to the
+    test part with probability ``test_percent``, so a customer with few
+    purchases may have none there."""
     key = split_key()
     return purchases.filter(key >= test_percent), purchases.filter(key < test_percent)
 
@@ -94,7 +96,9 @@ def ndcg_at_k(recs, actual, k=5):
 def coverage_metrics(recs: DataFrame, catalogue: DataFrame, customers: DataFrame, digits: int = 6) -> DataFrame:
     """Catalogue coverage % (distinct recommended / catalogue),
     diversity (mean distinct products per customer) and customer coverage
-    % (customers with a recommendation / ``customers``)."""
+    % (those of ``customers`` with a recommendation / ``customers``)."""
+    reached = (customers.select("customer_id").distinct().join(recs.select("customer_id"), "customer_id", "left_semi")
+               .agg(F.count("*")).scalar())
     n_cat = catalogue.select("product_id").distinct().agg(F.count("*")).scalar()
     n_cust = customers.select("customer_id").distinct().agg(F.count("*")).scalar()
     per = recs.groupBy("customer_id").agg(F.countDistinct("product_id").alias("d"))
@@ -103,7 +107,7 @@ def coverage_metrics(recs: DataFrame, catalogue: DataFrame, customers: DataFrame
         F.round(F.when(n_cat > 0, F.countDistinct("product_id") * 100.0 / n_cat).otherwise(0.0), digits)
         .alias("catalog_coverage"),
         F.round(div, digits).alias("diversity"),
-        F.round(F.when(n_cust > 0, F.countDistinct("customer_id") * 100.0 / n_cust).otherwise(0.0), digits)
+        F.round(F.when(n_cust > 0, reached * 100.0 / n_cust).otherwise(0.0), digits)
         .alias("customer_coverage"))
 
 
@@ -127,7 +131,7 @@ def evaluation_report(recs: DataFrame, actual: DataFrame, catalogue: DataFrame)
 def holdout_evaluation(recs: DataFrame, actual: DataFrame, digits: int = 6) -> DataFrame:
     """Mean precision and recall over customers with recommendations
     and test purchases, hit rate (null when no customer overlaps),
-    coverage % (customers with recommendations / test customers) and the
+    coverage % (test customers with recommendations / test customers) and the
     number of distinct recommended products."""
     act = actual.select("customer_id", "product_id").distinct()
     sizes = act.groupBy("customer_id").agg(F.count("*").alias("n_actual"))
@@ -135,7 +139,7 @@ def holdout_evaluation(recs: DataFrame, actual: DataFrame, digits: int = 6) -> D
              .join(act.withColumn("_hit", F.lit(1)), ["customer_id", "product_id"], "left"))
     per = r.groupBy("customer_id", "n_actual").agg(F.count("*").alias("n"), F.count("_hit").alias("rel"))
     n_test = sizes.agg(F.count("*")).scalar()
-    n_rec = recs.select("customer_id").distinct().agg(F.count("*")).scalar()
+    n_rec = sizes.join(recs.select("customer_id"), "customer_id", "left_semi").agg(F.count("*")).scalar()
     n_prod = recs.select("product_id").distinct().agg(F.count("*")).scalar()
     return per.agg(
         F.round(F.coalesce(F.avg(F.col("rel") / F.col("n")), F.lit(0.0)), digits).alias("precision"),

@@ -18,26 +18,19 @@ from pyspark.sql import functions as F
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT = 0.05, 0.5, 1.0
 
 
-MIN_COUNT = 2
-
-
-def effective_support(min_support: float, n: int, min_count: int = MIN_COUNT) -> float:
-    """``min_support``, raised so that an itemset needs at least
-    ``min_count`` transactions.  With fewer than 1 / min_support baskets a
-    count of 1 would make every subset of every basket frequent (2^size
-    itemsets per basket).  Spark uses minCount = ceil(support * n); the
-    half step keeps that ceiling exact."""
-    return max(min_support, (min_count - 0.5) / n) if n > 0 else min_support
-
-
 def fit_fp_growth(transactions: DataFrame, min_support: float = MIN_SUPPORT,
                   min_confidence: float = MIN_CONFIDENCE, partitions: int | None = None,
-                  min_count: int = MIN_COUNT):
+                  min_count: int | None = None):
     """M3 (model part): fit FP-Growth on the ``items`` column.  This is the
-    one operator that runs Spark jobs when called."""
-    n = transactions.count()
-    fp = FPGrowth(itemsCol="items", minSupport=effective_support(min_support, n, min_count),
-                  minConfidence=min_confidence)
+    one operator that runs Spark jobs when called.
+
+    ``min_support`` is passed through as it is: an itemset is frequent in
+    ceil(min_support * n) transactions or more.  ``min_count`` (off by default)
+    asks for at least that many besides; the half step keeps the ceiling exact."""
+    if min_count:
+        n = transactions.count()
+        min_support = max(min_support, (min_count - 0.5) / n) if n else min_support
+    fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
     if partitions:
         fp = fp.setNumPartitions(partitions)
     return fp.fit(transactions.select("items"))
@@ -61,9 +54,10 @@ def association_rules(model, min_confidence: float = MIN_CONFIDENCE, min_lift: f
 
 
 def train_fp_growth(transactions: DataFrame, min_support: float = MIN_SUPPORT,
-                    min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT):
+                    min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT,
+                    min_count: int | None = None):
     """M3: (model, itemsets, rules)."""
-    model = fit_fp_growth(transactions, min_support, min_confidence)
+    model = fit_fp_growth(transactions, min_support, min_confidence, min_count=min_count)
     return model, frequent_itemsets(model, transactions), association_rules(model, min_confidence, min_lift)
 
 

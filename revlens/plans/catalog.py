@@ -23,6 +23,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RFM_DATE_LOWER = "1990-01-01"
 
 
+def created() -> F.Column:
+    return F.col("created_at").try_cast("double")
+
+
 def register(name: str):
     def deco(fn):
         QUERIES[name] = fn
@@ -42,6 +46,46 @@ def _segments(spark, d):
     return rfm.rfm_segments(rfm.rfm_table(clean_reviews(spark, d)))
 
 
+def unflagged_reviews(spark, d) -> DataFrame:
+    """The job chain: merged fact -> rows without a fraud flag -> RFM input."""
+    m = merged(spark, d)
+    r = m.select("comment_id", "customer_id", "customer_name", F.col("purchased_at_ts").alias("purchased_at"),
+                 F.col("created_at_ts").alias("created_at"), "rating", "seller_name", "F3_flag", "F5_flag")
+    r = clean.drop_missing_customer_or_date(clean.clean_flag_filter(r))
+    return clean.date_range_filter(r, lower=RFM_DATE_LOWER)
+
+
+@register("unflagged_segments")
+def q_unflagged_segments(spark, d):
+    return rfm.rfm_segments(rfm.rfm_table(unflagged_reviews(spark, d)))
+
+
+@register("unflagged_monthly_trend")
+def q_unflagged_monthly_trend(spark, d):
+    return trends.monthly_trend(unflagged_reviews(spark, d))
+
+
+@register("unflagged_seller_totals")
+def q_unflagged_seller_totals(spark, d):
+    return trends.seller_totals(unflagged_reviews(spark, d))
+
+
+@register("clean_flag_filter")
+def q_clean_flag_filter(spark, d):
+    # flags true, false and null
+    return clean.clean_flag_filter(fx.flagged_reviews(spark, d))
+
+
+@register("drop_missing_customer_or_date")
+def q_drop_missing_customer_or_date(spark, d):
+    return clean.drop_missing_customer_or_date(fx.flagged_reviews(spark, d))
+
+
+@register("drop_required_nulls")
+def q_drop_required_nulls(spark, d):
+    return clean.drop_required_nulls(fx.dirty_comments(spark, d))
+
+
 @register("rfm_metrics")
 def q_rfm_metrics(spark, d):
     return rfm.rfm_metrics(clean_reviews(spark, d))
@@ -129,8 +173,13 @@ def q_distinct_totals(spark, d):
 
 @register("dedup_comments")
 def q_dedup_comments(spark, d):
-    raw = fx.raw_comments(spark, d)
-    return dedup.dedup(raw, ["comment_id"], order=["created_at", "product_id"], keep="first")
+    # earliest by time, not by the text of the time
+    return dedup.dedup(fx.dirty_comments(spark, d), ["comment_id"], order=[created(), "product_id"], keep="first")
+
+
+@register("dedup_comments_last")
+def q_dedup_comments_last(spark, d):
+    return dedup.dedup(fx.dirty_comments(spark, d), ["comment_id"], order=[created(), "product_id"], keep="last")
 
 
 @register("duplicate_count")
@@ -161,7 +210,7 @@ def q_burst_threshold(spark, d):
 
 
 def merged(spark, d):
-    return cleaning.build_merged(fx.raw_products(spark, d), fx.raw_comments(spark, d))
+    return cleaning.build_merged(fx.raw_products(spark, d), fx.dirty_comments(spark, d))
 
 
 @register("merged")
@@ -169,9 +218,21 @@ def q_merged(spark, d):
     return merged(spark, d)
 
 
+@register("burst_flags_orders")
+def q_burst_flags_orders(spark, d):
+    # the job's comments: lines of urgent orders come in runs of small gaps
+    return flags.burst_flags(fx.comment_times(spark, d))
+
+
+@register("burst_flags_notebook")
+def q_burst_flags_notebook(spark, d):
+    # all gaps set the threshold, zero gaps are small
+    return flags.burst_flags(fx.comment_times(spark, d, 90), zero_is_small=True)
+
+
 @register("timegap_threshold")
 def q_timegap_threshold(spark, d):
-    conv = clean.convert_types(dedup.dedup(fx.raw_comments(spark, d), ["comment_id"]))
+    conv = clean.convert_types(dedup.dedup(fx.dirty_comments(spark, d), ["comment_id"]))
     return flags.timegap_threshold(flags.timegap_minutes(conv))
 
 
@@ -216,12 +277,12 @@ def q_flagged_history_f5(spark, d):
 
 @register("null_profile")
 def q_null_profile(spark, d):
-    return clean.null_profile(fx.raw_comments(spark, d))
+    return clean.null_profile(fx.dirty_comments(spark, d))
 
 
 @register("drop_blank_content")
 def q_drop_blank_content(spark, d):
-    return clean.drop_blank_content(fx.conversations(spark, d))
+    return clean.drop_blank_content(fx.padded_conversations(spark, d))
 
 
 @register("rating_filter")
@@ -361,7 +422,9 @@ from revlens.sources import sinks  # noqa: E402
 # (support 0.05, confidence 0.5, lift 1.0) find no rule in the driver's
 # uniform synthetic baskets, so both basket kinds use lower thresholds.
 BRAND_RULES = dict(min_support=0.003, min_confidence=0.05, min_lift=1.0)   # order x brand
-PART_RULES = dict(min_support=0.002, min_confidence=0.1, min_lift=1.0)     # customer x part
+# min_count: on the smallest tables 0.002 of the customers is less than one, and
+# every subset of every basket would be frequent.
+PART_RULES = dict(min_support=0.002, min_confidence=0.1, min_lift=1.0, min_count=2)  # customer x part
 
 
 def _r6(df: DataFrame, cols=("support", "confidence", "lift")) -> DataFrame:
@@ -372,22 +435,21 @@ def _r6(df: DataFrame, cols=("support", "confidence", "lift")) -> DataFrame:
 
 
 def brand_mining(spark, d):
-    rows = fx.brand_baskets_input(spark, d)
-    return recommend_job.mine(rows, **BRAND_RULES)
+    return recommend_job.mine(fx.brand_purchases(spark, d), **BRAND_RULES)
 
 
 def part_mining(spark, d):
-    return recommend_job.mine(fx.part_purchases(spark, d), **PART_RULES)
+    return recommend_job.mine(fx.purchases(spark, d), **PART_RULES)
 
 
 @register("customer_baskets")
 def q_customer_baskets(spark, d):
-    return bk.customer_baskets(fx.part_purchases(spark, d), None)
+    return part_baskets(spark, d)
 
 
 @register("transactions")
 def q_transactions(spark, d):
-    return bk.transactions(bk.customer_baskets(fx.brand_baskets_input(spark, d), None))
+    return bk.transactions(bk.customer_baskets(fx.brand_purchases(spark, d), 4))
 
 
 @register("product_name_map")
@@ -397,7 +459,7 @@ def q_product_name_map(spark, d):
 
 @register("item_catalog")
 def q_item_catalog(spark, d):
-    return bk.item_catalog(bk.customer_baskets(fx.part_purchases(spark, d), None))
+    return bk.item_catalog(part_baskets(spark, d))
 
 
 @register("frequent_itemsets")
@@ -405,6 +467,12 @@ def q_frequent_itemsets(spark, d):
     return _r6(brand_mining(spark, d)[2])
 
 
+@register("frequent_itemsets_unbounded")
+def q_frequent_itemsets_unbounded(spark, d):
+    # a support below one basket: every itemset of every basket, as plain FP-Growth has it
+    return _r6(recommend_job.mine(fx.brand_purchases(spark, d), 1e-9, 1.0, 1.0)[2])
+
+
 @register("association_rules")
 def q_association_rules(spark, d):
     return _r6(brand_mining(spark, d)[3]).drop("rule_id")
@@ -484,7 +552,7 @@ def q_similar_items(spark, d):
 
 
 def part_baskets(spark, d):
-    return bk.customer_baskets(fx.part_purchases(spark, d), None)
+    return bk.customer_baskets(fx.purchases(spark, d), 4)
 
 
 @register("rule_scores")
@@ -549,6 +617,17 @@ def q_verify_recommendations(spark, d):
     return recommend.verify_recommendations(hybrid(spark, d), fx.products(spark, d))
 
 
+@register("verify_recommendations_unnamed")
+def q_verify_recommendations_unnamed(spark, d):
+    # a catalogue without the rings: some recommended ids have no name
+    return recommend.verify_recommendations(hybrid(spark, d), fx.listed_products(spark, d))
+
+
+@register("unmapped_products")
+def q_unmapped_products(spark, d):
+    return recommend.unmapped_products(hybrid(spark, d), fx.listed_products(spark, d))
+
+
 @register("all_recommended")
 def q_all_recommended(spark, d):
     return recommend.all_recommended(hybrid(spark, d))
@@ -557,7 +636,7 @@ def q_all_recommended(spark, d):
 @register("basket_set_ops")
 def q_basket_set_ops(spark, d):
     b = part_baskets(spark, d)
-    nb = recommend.top_neighbours(recommend.jaccard_pairs(b), 1)
+    nb = recommend.top_neighbours(recommend.neighbour_candidates(b, 1), 1)
     o = b.select(F.col("customer_id").alias("other_id"), F.col("items").alias("other_items"))
     j = nb.join(b, "customer_id").join(o, "other_id")
     return j.select("customer_id", "other_id",
@@ -567,15 +646,20 @@ def q_basket_set_ops(spark, d):
                     (F.size(F.array_except("items", "other_items")) == 0).alias("is_subset"))
 
 
+def liked_pairs(spark, d):
+    """Distinct (customer, product) rated 4 or more."""
+    return clean.rating_filter(fx.purchases(spark, d), 4).select("customer_id", "product_id").distinct()
+
+
 @register("train_test_split")
 def q_train_test_split(spark, d):
-    train, test = metrics.train_test_split(fx.part_purchases(spark, d))
+    train, test = metrics.train_test_split(liked_pairs(spark, d))
     return (train.withColumn("part", F.lit("train"))
             .unionByName(test.withColumn("part", F.lit("test"))))
 
 
 def evaluation(spark, d):
-    return recommend_job.evaluate(fx.part_purchases(spark, d), **PART_RULES, top_n=10)
+    return recommend_job.evaluate(liked_pairs(spark, d), **PART_RULES, top_n=10)
 
 
 @register("ranking_metrics")
@@ -593,7 +677,7 @@ def q_coverage_metrics(spark, d):
 @register("evaluation_report")
 def q_evaluation_report(spark, d):
     recs, test = evaluation(spark, d)
-    return metrics.evaluation_report(recs, test, fx.part_purchases(spark, d))
+    return metrics.evaluation_report(recs, test, liked_pairs(spark, d))
 
 
 @register("holdout_evaluation")
@@ -605,12 +689,12 @@ def q_holdout_evaluation(spark, d):
 # ------------------------------------------------ single-step operators ----
 @register("drop_any_null")
 def q_drop_any_null(spark, d):
-    return clean.drop_any_null(fx.raw_comments(spark, d))
+    return clean.drop_any_null(fx.dirty_comments(spark, d))
 
 
 @register("convert_types")
 def q_convert_types(spark, d):
-    return clean.convert_types(dedup.dedup(fx.raw_comments(spark, d), ["comment_id"]))
+    return clean.convert_types(dedup.dedup(fx.dirty_comments(spark, d), ["comment_id"]))
 
 
 @register("column_projection")

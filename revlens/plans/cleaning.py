@@ -17,9 +17,9 @@ def build_merged(products: DataFrame, comments: DataFrame,
                  materialize: bool = True) -> DataFrame:
     """Harmonise, de-duplicate, join, drop nulls, convert, clean text, flag.
 
-    With ``materialize`` the cleaned rows are checkpointed once before the
-    flags: the delay threshold, the burst windows and the final projection
-    all read them.
+    With ``materialize`` the cleaned rows are written once as Parquet before
+    the flags: the delay threshold, the burst windows and the final projection
+    each read only their columns of them.
     """
     products, comments = clean.harmonise_columns(products, comments)
     products = dedup(products, ["product_id"], keep="first")
@@ -36,7 +36,7 @@ def build_merged(products: DataFrame, comments: DataFrame,
     if materialize:
         merged = cut_lineage(merged)
     delay = flags.timegap_threshold(flags.timegap_minutes(merged)).scalar()
-    merged = flags.burst_flags(merged, bucket_seconds=bucket_seconds, materialize=materialize)
+    merged = flags.burst_flags(merged, bucket_seconds=bucket_seconds)
     merged = flags.timegap_flags(merged, threshold=delay)
     return flags.is_spam(merged, ("F3_flag", "F5_flag"))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.operators.clean import epoch_to_timestamp
 from revlens.session import apply_runtime_conf
 from revlens.sources.readers import read_table
 
@@ -125,14 +126,14 @@ def conversations(spark: SparkSession, d: str) -> DataFrame:
                                                 F.col("text").alias("content"))
 
 
-def brand_baskets_input(spark: SparkSession, d: str, min_quantity: float = 30) -> DataFrame:
-    """Mining input: (basket = order, item = brand) for lines with quantity at
-    least ``min_quantity`` (the stand-in for rating >= 4)."""
-    li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+def brand_purchases(spark: SparkSession, d: str) -> DataFrame:
+    """Mining input: (basket = order, item = brand, rating of the order)."""
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey")
     p = _t(spark, d, "part").select("p_partkey", "p_brand")
-    return (li.filter(F.col("l_quantity") >= min_quantity)
-            .join(p, li.l_partkey == p.p_partkey)
-            .select(F.col("l_orderkey").alias("customer_id"), F.col("p_brand").alias("product_id")))
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    return (li.join(p, li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.o_orderkey)
+            .select(F.col("l_orderkey").alias("customer_id"), F.col("p_brand").alias("product_id"),
+                    rating_from_priority().alias("rating")))
 
 
 def purchases(spark: SparkSession, d: str) -> DataFrame:
@@ -146,17 +147,6 @@ def purchases(spark: SparkSession, d: str) -> DataFrame:
                     F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line")))
 
 
-def part_purchases(spark: SparkSession, d: str, min_quantity: float = 30) -> DataFrame:
-    """Distinct (customer_id = o_custkey, product_id = l_partkey) for lines
-    with quantity at least ``min_quantity`` (the rating >= 4 stand-in)."""
-    li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return (li.filter(F.col("l_quantity") >= min_quantity)
-            .join(o, li.l_orderkey == o.o_orderkey)
-            .select(F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("product_id"))
-            .distinct())
-
-
 def customers(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))
 
@@ -170,6 +160,67 @@ def line_products(spark: SparkSession, d: str) -> DataFrame:
                     F.col("l_partkey").alias("product_id"), F.col("p_name").alias("product_name")))
 
 
+def dirty_comments(spark: SparkSession, d: str) -> DataFrame:
+    """``raw_comments`` as a crawler lands them, so that every cleaning rule meets
+    rows it changes:
+
+    * comments on the lines of an urgent order (priority 1 or 2) come
+      45 seconds apart, days after the purchase: runs of small gaps;
+    * content names the product and its price, so texts differ within a customer;
+      it is null, blank, or absent for some prices;
+    * timestamps and ratings are dirty text for some suppliers and line counts.
+    """
+    r = raw_comments(spark, d)
+    p = _t(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    r = r.join(p, r.product_id == p.p_partkey, "left")
+    line = F.pmod(F.col("comment_id"), F.lit(8))
+    urgent = F.substring("content", 1, 1).isin("1", "2")
+    burst = F.col("purchased_at").cast("bigint") + 86400 * (1 + F.pmod(F.col("customer_id"), F.lit(40))) + 45 * line
+    created = (F.when(F.col("quantity") == 50, F.lit("n/a")).when(F.col("quantity") == 49, F.lit("-99999999999999"))
+               .when(urgent, burst.cast("string")).otherwise(F.col("created_at")))
+    content = (F.when(F.col("p_size") == 7, F.lit(None).cast("string")).when(F.col("p_size") == 8, F.lit("\n\t\u00a0"))
+               .otherwise(F.concat_ws(" ", "content", "p_name", F.lower("p_type"), "seller_name", F.col("p_size").cast("string"))))
+    rating = F.when(F.col("quantity") == 48, F.lit("five")).otherwise(F.col("rating"))
+    name = F.when(F.col("quantity") == 47, F.lit(None).cast("string")).otherwise(F.col("customer_name"))
+    return r.select(*[{"created_at": created, "content": content, "rating": rating, "customer_name": name}
+                      .get(c, F.col(c)).alias(c) for c in r.columns if not c.startswith("p_")])
+
+
+def comment_times(spark: SparkSession, d: str, seconds: int = 1) -> DataFrame:
+    """Burst-flag input from the dirty comments: one row per comment and time that
+    can be read, the time cut to ``seconds`` (90 gives gaps of zero)."""
+    t = dirty_comments(spark, d).select("comment_id", "customer_id", epoch_to_timestamp("created_at").alias("created_at_ts")).distinct()
+    cut = F.timestamp_seconds(F.floor(F.unix_seconds("created_at_ts") / seconds) * seconds)
+    return t.filter(F.col("created_at_ts").isNotNull()).withColumn("created_at_ts", cut)
+
+
+def flagged_reviews(spark: SparkSession, d: str) -> DataFrame:
+    """Reviews with fraud flags, true, false and null, and some rows without a
+    customer or a purchase time (P9, P10)."""
+    r = reviews(spark, d)
+    o = _t(spark, d, "orders").select(F.col("o_orderkey").alias("comment_id"), "o_orderstatus", "o_totalprice")
+    j = r.join(o, "comment_id")
+    return j.select(
+        "comment_id", F.when(F.col("o_totalprice") >= 20000, F.col("customer_id")).alias("customer_id"), "customer_name",
+        F.when(F.col("rating") != 3, F.col("purchased_at")).alias("purchased_at"), "created_at", "rating",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus") == "F").alias("F3_flag"),
+        (F.col("rating") == 1).alias("F5_flag"))
+
+
+def listed_products(spark: SparkSession, d: str) -> DataFrame:
+    """A catalogue that lacks the rings, so some recommended ids have no name."""
+    p = products(spark, d)
+    return p.filter(~F.col("product_name").contains("ring"))
+
+
+def padded_conversations(spark: SparkSession, d: str) -> DataFrame:
+    """``conversations`` with turns of white space only and without text."""
+    c = _t(spark, d, "conversations")
+    blank = F.when(F.col("turn") == 2, F.lit("\n\t")).when(F.col("turn") == 3, F.lit("\u00a0 \u2003")).when(
+        F.col("turn") == 4, F.lit(None).cast("string")).otherwise(F.col("text"))
+    return c.select(F.col("conv_id").alias("customer_id"), F.col("turn").alias("comment_id"), blank.alias("content"))
+
+
 def review_json(spark: SparkSession, d: str) -> DataFrame:
     """Landed review documents (S4 input): each raw comment row as the
     crawler's nested JSON text, ``created_by`` and ``seller`` null when

@@ -7,6 +7,8 @@ text of the value), so 2 dp results agree bit for bit.
 
 from __future__ import annotations
 
+from revlens.functions.text import ABBREVIATIONS_JOB, ABBREVIATIONS_NOTEBOOK
+
 SQL: dict[str, str] = {}
 
 
@@ -34,7 +36,7 @@ clean_reviews AS (
     AND purchased_at BETWEEN TIMESTAMP '1990-01-01' AND TIMESTAMP '2035-12-31'
     AND (created_at IS NULL OR created_at BETWEEN TIMESTAMP '1990-01-01' AND TIMESTAMP '2035-12-31'))"""
 
-RFM = f"""{REVIEWS},
+RFM_TAIL = f"""
 rfm AS (
   SELECT customer_id, customer_name,
          CAST(date_diff('day', CAST(max(purchased_at) AS DATE),
@@ -77,6 +79,7 @@ weekday AS (
   SELECT CAST(dayofweek(purchased_at) + 1 AS INTEGER) AS thu_so, count(DISTINCT comment_id) AS so_don,
          {RND("avg(rating)", 2)} AS diem_tb
   FROM clean_reviews GROUP BY 1)"""
+RFM = f"{REVIEWS},{RFM_TAIL}"
 
 SQL["rfm_metrics"] = f"WITH {RFM} SELECT * FROM rfm"
 SQL["rfm_quantiles"] = (f"WITH {RFM} SELECT CAST(r1 AS DOUBLE) AS r_q25, CAST(r2 AS DOUBLE) AS r_q50, "
@@ -118,7 +121,7 @@ SQL["distinct_totals"] = f"""WITH {REVIEWS} SELECT count(DISTINCT customer_id) A
   count(DISTINCT comment_id) AS so_don, CAST(min(purchased_at) AS DATE) AS ngay_dau,
   CAST(max(purchased_at) AS DATE) AS ngay_cuoi FROM clean_reviews"""
 
-RAW_COMMENTS = f"""raw_comments AS (
+CLEAN_COMMENTS = f"""raw0 AS (
   SELECT l_orderkey * 8 + l_linenumber AS comment_id, l_partkey AS product_id, o_custkey AS customer_id,
          c_name AS customer_name, CAST({RATING} AS VARCHAR) AS rating,
          concat_ws(' ', 'order', o_orderstatus, l_returnflag) AS title,
@@ -128,29 +131,33 @@ RAW_COMMENTS = f"""raw_comments AS (
          l_suppkey AS seller_id, s_name AS seller_name, l_quantity AS quantity
   FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
        LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN supplier ON l_suppkey = s_suppkey)"""
-SQL["dedup_comments"] = f"""WITH {RAW_COMMENTS}, ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY created_at, product_id, customer_id,
-    customer_name, rating, title, content, purchased_at, seller_id, seller_name, quantity) AS rn
-  FROM raw_comments) SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1"""
-SQL["duplicate_count"] = f"""WITH {RAW_COMMENTS} SELECT CAST(count(*) AS BIGINT) AS total_rows,
+RAW_COMMENTS = f"""{CLEAN_COMMENTS},
+raw_comments AS (
+  SELECT comment_id, product_id, customer_id, CASE WHEN quantity = 47 THEN NULL ELSE customer_name END AS customer_name,
+         CASE WHEN quantity = 48 THEN 'five' ELSE rating END AS rating, title,
+         CASE WHEN p_size = 7 THEN NULL WHEN p_size = 8 THEN chr(10) || chr(9) || chr(160)
+              ELSE concat_ws(' ', content, p_name, lower(p_type), seller_name, CAST(p_size AS VARCHAR)) END AS content,
+         CASE WHEN quantity = 50 THEN 'n/a' WHEN quantity = 49 THEN '-99999999999999'
+              WHEN substr(content, 1, 1) IN ('1', '2') THEN CAST(CAST(purchased_at AS BIGINT)
+                + 86400 * (1 + customer_id % 40) + 45 * (comment_id % 8) AS VARCHAR)
+              ELSE created_at END AS created_at,
+         purchased_at, seller_id, seller_name, quantity
+  FROM raw0 LEFT JOIN part ON p_partkey = product_id)"""
+_AFTER_TIME = ["product_id", "customer_id", "customer_name", "rating", "title", "content", "created_at", "purchased_at",
+               "seller_id", "seller_name", "quantity"]
+for _name, _way in (("dedup_comments", "ASC NULLS FIRST"), ("dedup_comments_last", "DESC NULLS LAST")):
+    SQL[_name] = (f"WITH {RAW_COMMENTS} SELECT * FROM raw_comments QUALIFY row_number() OVER (PARTITION BY comment_id ORDER BY "
+                  f"TRY_CAST(created_at AS DOUBLE) {_way}, " + ", ".join(f"{c} {_way}" for c in _AFTER_TIME) + ") = 1")
+SQL["duplicate_count"] = f"""WITH {CLEAN_COMMENTS} SELECT CAST(count(*) AS BIGINT) AS total_rows,
   count(DISTINCT comment_id) AS distinct_keys, CAST(count(*) - count(DISTINCT comment_id) AS BIGINT) AS duplicate_rows
-  FROM raw_comments"""
+  FROM raw0"""
 
 
 # ------------------------------------------------------------ text (SQL) ----
 ASCII_WS = r" \t\n\x0B\f\r"
 UNICODE_WS = ASCII_WS + r"\x1C-\x1F\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = r"\p{L}\p{N}_"
-ABBR_JOB = [("k", "không"), ("ko", "không"), ("kh", "không"), ("kg", "không"), ("dc", "được"),
-            ("đc", "được"), ("sp", "sản_phẩm"), ("ng", "người"), ("ok", "ổn"), ("shop", "cửa_hàng"),
-            ("mn", "mọi_người"), ("vs", "với"), ("mk", "mình"), ("r", "rồi"), ("khong", "không"),
-            ("oke", "ổn"), ("oki", "ổn"), ("ms", "mới"), ("cx", "cũng"), ("sdt", "số_điện_thoại")]
-ABBR_NB = [("k", "không"), ("ko", "không"), ("kh", "không"), ("kg", "không"), ("dc", "được"),
-           ("đc", "được"), ("sp", "sản_phẩm"), ("ng", "người"), ("ok", "ổn"), ("ad", "quản_trị_viên"),
-           ("ib", "nhắn_tin"), ("rep", "trả_lời"), ("shop", "cửa_hàng"), ("mn", "mọi_người"),
-           ("vs", "với"), ("mk", "mình"), ("r", "rồi"), ("khong", "không"), ("km", "Khuyến_mãi"),
-           ("oke", "ổn"), ("oki", "ổn"), ("okê", "ổn"), ("ms", "mới"), ("cx", "cũng"), ("of", "của"),
-           ("or", "hoặc"), ("sdt", "số_điện_thoại")]
+ABBR_JOB, ABBR_NB = list(ABBREVIATIONS_JOB.items()), list(ABBREVIATIONS_NOTEBOOK.items())
 
 
 def _re(x: str, pat: str, rep: str) -> str:
@@ -158,7 +165,7 @@ def _re(x: str, pat: str, rep: str) -> str:
 
 
 def _squeeze(x: str, ws: str = ASCII_WS) -> str:
-    return f"trim({_re(x, f'[{ws}]+', ' ')})"
+    return f"trim({_re(x, f'[{ws}]+', ' ')}, ' ')"
 
 
 def _map_words(words: str, pairs) -> str:
@@ -247,11 +254,18 @@ g5 AS (SELECT *, CAST(CASE WHEN small_gap THEN sum(CASE WHEN small_gap THEN 1 EL
 bursts AS (SELECT *, burst_count >= 4 AS F3_flag FROM g5)"""
 
 
+def notebook_burst_sql(src: str) -> str:
+    """Threshold over all gaps; zero gaps are small."""
+    return (burst_sql(src).replace("WHERE delta_minutes > 0)", "WHERE delta_minutes IS NOT NULL)")
+            .replace("(delta_minutes > 0 AND", "(delta_minutes >= 0 AND"))
+
+
 EVENTS = "events_in AS (SELECT event_id AS comment_id, user_id AS customer_id, CAST(ts AS TIMESTAMP) AS created_at_ts FROM events)"
 SQL["burst_flags"] = f"WITH {EVENTS}, {burst_sql('events_in')} SELECT * FROM bursts"
 SQL["burst_flags_plain_window"] = SQL["burst_flags"]
 SQL["burst_threshold"] = f"WITH {EVENTS}, {burst_sql('events_in')} SELECT t AS threshold FROM thr"
 
+_TIMES = f"""times AS (SELECT DISTINCT comment_id, customer_id, {{ts}} AS created_at_ts FROM raw_comments WHERE {{ts}} IS NOT NULL)"""
 _COMMENT_COLS = ["product_id", "customer_id", "customer_name", "rating", "title", "content", "created_at",
                  "purchased_at", "seller_id", "seller_name", "quantity"]
 DEDUP_COMMENTS = ("comments AS (SELECT * FROM raw_comments QUALIFY row_number() OVER (PARTITION BY comment_id ORDER BY "
@@ -264,6 +278,13 @@ def ts_of(x: str) -> str:
             f"THEN make_timestamp(CAST(trunc({v}) AS BIGINT) * 1000000) END")
 
 
+TIMES = _TIMES.format(ts=ts_of("created_at"))
+COARSE_TIMES = f"""fine AS ({TIMES[len('times AS ('):]},
+times AS (SELECT comment_id, customer_id, make_timestamp(CAST(floor(epoch(created_at_ts) / 90) AS BIGINT) * 90000000) AS created_at_ts
+  FROM fine)"""
+SQL["burst_flags_orders"] = f"WITH {RAW_COMMENTS}, {TIMES}, {burst_sql('times')} SELECT * FROM bursts"
+SQL["burst_flags_notebook"] = f"WITH {RAW_COMMENTS}, {COARSE_TIMES}, {notebook_burst_sql('times')} SELECT * FROM bursts"
+
 MERGED = f"""{RAW_COMMENTS}, {DEDUP_COMMENTS},
 products AS (SELECT p_partkey AS product_id, p_name AS product_name, p_retailprice AS price, p_brand AS brand_name
   FROM part QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY p_name ASC NULLS FIRST,
@@ -287,6 +308,27 @@ f5 AS (SELECT tg.*, (time_gap_minutes > 0 AND time_gap_minutes <= (SELECT t FROM
 merged AS (SELECT *, (coalesce(F3_flag, false) OR coalesce(F5_flag, false)) AS is_spam FROM f5)"""
 
 SQL["merged"] = f"WITH {MERGED} SELECT * FROM merged"
+UNFLAGGED = f"""{MERGED},
+clean_reviews AS (SELECT comment_id, customer_id, customer_name, purchased_at_ts AS purchased_at, created_at_ts AS created_at,
+    rating, seller_name FROM merged
+  WHERE NOT coalesce(F3_flag, false) AND NOT coalesce(F5_flag, false)
+    AND purchased_at_ts BETWEEN TIMESTAMP '1990-01-01' AND TIMESTAMP '2035-12-31'
+    AND created_at_ts BETWEEN TIMESTAMP '1990-01-01' AND TIMESTAMP '2035-12-31'),{RFM_TAIL}"""
+SQL["unflagged_segments"] = f"WITH {UNFLAGGED} SELECT * FROM segments"
+SQL["unflagged_monthly_trend"] = f"WITH {UNFLAGGED} SELECT * FROM monthly"
+SQL["unflagged_seller_totals"] = (f"WITH {UNFLAGGED} SELECT seller_name, count(DISTINCT comment_id) AS so_don "
+                                  "FROM clean_reviews GROUP BY 1")
+FLAGGED = f"""{REVIEWS}, flagged AS (
+  SELECT r.comment_id, CASE WHEN o_totalprice >= 20000 THEN r.customer_id END AS customer_id, customer_name,
+         CASE WHEN rating <> 3 THEN purchased_at END AS purchased_at, created_at, rating,
+         CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus = 'F' END AS F3_flag, rating = 1 AS F5_flag
+  FROM reviews r JOIN orders ON o_orderkey = r.comment_id)"""
+SQL["clean_flag_filter"] = (f"WITH {FLAGGED} SELECT * FROM flagged WHERE NOT coalesce(F3_flag, false) "
+                            "AND NOT coalesce(F5_flag, false)")
+SQL["drop_missing_customer_or_date"] = (f"WITH {FLAGGED} SELECT * FROM flagged WHERE customer_id IS NOT NULL "
+                                        "AND purchased_at IS NOT NULL")
+SQL["drop_required_nulls"] = (f"WITH {RAW_COMMENTS} SELECT * FROM raw_comments WHERE " + " AND ".join(
+    f"{c} IS NOT NULL" for c in ["comment_id", "product_id", "customer_id", "rating", "content", "created_at", "purchased_at"]))
 SQL["timegap_threshold"] = f"""WITH {RAW_COMMENTS}, {DEDUP_COMMENTS},
 tg AS (SELECT ((({secs(ts_of('created_at'))}) - ({secs(ts_of('purchased_at'))})) / CAST(60.0 AS DOUBLE)) AS time_gap_minutes
   FROM comments WHERE {ts_of('created_at')} IS NOT NULL AND {ts_of('purchased_at')} IS NOT NULL
@@ -312,8 +354,9 @@ SQL["flagged_history_f5"] = f"""WITH {MERGED} SELECT customer_id, comment_id, cr
   F5_flag FROM merged WHERE customer_id IN (SELECT customer_id FROM merged WHERE F5_flag)"""
 SQL["null_profile"] = f"WITH {RAW_COMMENTS} SELECT " + ", ".join(
     f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}" for c in ["comment_id"] + _COMMENT_COLS) + " FROM raw_comments"
-SQL["drop_blank_content"] = ("SELECT conv_id AS customer_id, turn AS comment_id, text AS content FROM conversations "
-                             "WHERE text IS NOT NULL AND trim(text) <> ''")
+SQL["drop_blank_content"] = f"""SELECT * FROM (SELECT conv_id AS customer_id, turn AS comment_id,
+  CASE turn WHEN 2 THEN chr(10) || chr(9) WHEN 3 THEN chr(160) || ' ' || chr(8195) WHEN 4 THEN NULL ELSE text END AS content
+  FROM conversations) WHERE regexp_matches(coalesce(content, ''), '[^{UNICODE_WS}]')"""
 SQL["rating_filter"] = f"WITH {REVIEWS} SELECT * FROM reviews WHERE rating >= 4"
 
 
@@ -364,6 +407,13 @@ SQL["spam_ham_split"] = f"""WITH {NB_MERGED}, lab AS (SELECT *, CASE WHEN coales
   OR coalesce(F5_flag, false) THEN 'spam' WHEN coalesce(F3_flag = false AND F4_Flag = false AND F5_flag = false, false)
   THEN 'ham' END AS label FROM nb)
   SELECT label, count(*) AS rows, count(DISTINCT customer_id) AS customers FROM lab GROUP BY label"""
+SQL["balanced_sample"] = f"""WITH {NB_MERGED}, lab AS (SELECT *, CASE WHEN coalesce(F3_flag, false) OR coalesce(F4_Flag, false)
+  OR coalesce(F5_flag, false) THEN 'spam' WHEN coalesce(F3_flag = false AND F4_Flag = false AND F5_flag = false, false)
+  THEN 'ham' END AS label FROM nb),
+hashed AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY ('0x' || substr(md5(comment_id::VARCHAR || ':42'), 1, 15))::BIGINT,
+  comment_id) AS rn FROM lab WHERE label IS NOT NULL)
+SELECT comment_id, customer_id, label, F3_flag, F4_Flag, F5_flag FROM hashed
+WHERE rn <= CAST(floor(0.1 * (SELECT count(*) FROM nb) / 2) AS BIGINT)"""
 SQL["short_word_counts"] = f"""SELECT word, count(*) AS freq FROM (SELECT unnest(regexp_extract_all(lower({sql_clean_text_v2('text')}),
   '[\\p{{L}}\\p{{N}}_]+')) AS word FROM documents) WHERE length(word) BETWEEN 1 AND 2
   GROUP BY word ORDER BY freq DESC, word LIMIT 50"""
@@ -376,16 +426,15 @@ def FMT(x: str, d: int) -> str:
     return f"CAST(CAST(ROUND(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), {d}) AS DECIMAL(38,{d})) AS VARCHAR)"
 
 
-PP = """pp AS (SELECT DISTINCT o_custkey AS customer_id, l_partkey AS product_id FROM lineitem
-  JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 30)"""
-BB = """bb AS (SELECT DISTINCT l_orderkey AS customer_id, p_brand AS product_id FROM lineitem
-  JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 30)"""
+PP = "pp AS (SELECT DISTINCT o_custkey AS customer_id, l_partkey AS product_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE " + RATING + " >= 4)"
+BB = ("bb AS (SELECT DISTINCT l_orderkey AS customer_id, p_brand AS product_id FROM lineitem "
+      "JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE " + RATING + " >= 4)")
 
 
-def fim_sql(p: str, src: str, min_support: float, levels: int = 6) -> str:
+def fim_sql(p: str, src: str, min_support: float, min_count: int = 1, levels: int = 6) -> str:
     """Apriori inside each basket: extend only frequent prefixes."""
     out = [f"{p}n AS (SELECT count(DISTINCT customer_id) AS n FROM {src})",
-           f"{p}mc AS (SELECT greatest(2, CAST(ceil(CAST({min_support} AS DOUBLE) * n) AS BIGINT)) AS mc FROM {p}n)",
+           f"{p}mc AS (SELECT greatest({min_count}, CAST(ceil(CAST({min_support} AS DOUBLE) * n) AS BIGINT)) AS mc FROM {p}n)",
            f"{p}R1 AS (SELECT customer_id, [product_id] AS s, product_id AS last FROM {src})",
            f"{p}L1 AS (SELECT s, count(*) AS freq FROM {p}R1 GROUP BY s HAVING count(*) >= (SELECT mc FROM {p}mc))",
            f"{p}F1 AS (SELECT r.* FROM {p}R1 r JOIN {p}L1 l ON r.s = l.s)"]
@@ -420,7 +469,7 @@ def R6(cols: str) -> str:
 
 
 BRAND = f"{BB}, {baskets_sql('b_', 'bb')}, {fim_sql('b_', 'bb', 0.003)}, {rules_sql('b_', 0.05, 1.0)}"
-PART = f"{PP}, {baskets_sql('p_', 'pp')}, {fim_sql('p_', 'pp', 0.002)}, {rules_sql('p_', 0.1, 1.0)}"
+PART = f"{PP}, {baskets_sql('p_', 'pp')}, {fim_sql('p_', 'pp', 0.002, 2)}, {rules_sql('p_', 0.1, 1.0)}"
 ORDER_RULES = "ORDER BY lift DESC, confidence DESC, CAST(antecedent AS VARCHAR), CAST(consequent AS VARCHAR)"
 
 SQL["customer_baskets"] = f"WITH {PP}, {baskets_sql('p_', 'pp')} SELECT * FROM p_tx"
@@ -430,6 +479,8 @@ SQL["product_name_map"] = """SELECT l_partkey AS product_id, arg_min(p_name, l_o
 SQL["item_catalog"] = (f"WITH {PP} SELECT item, row_number() OVER (ORDER BY item) - 1 AS idx FROM "
                        "(SELECT DISTINCT product_id AS item FROM pp)")
 SQL["frequent_itemsets"] = f"WITH {BRAND} SELECT items, freq, {RND('support', 6)} AS support FROM b_items"
+SQL["frequent_itemsets_unbounded"] = (f"WITH {BB}, {fim_sql('b_', 'bb', 1e-9, levels=13)} "
+                                      f"SELECT items, freq, {RND('support', 6)} AS support FROM b_items")
 SQL["part_itemsets"] = f"WITH {PART} SELECT items, freq, {RND('support', 6)} AS support FROM p_items"
 SQL["association_rules"] = f"WITH {BRAND} SELECT antecedent, consequent, {R6('support,confidence,lift')} FROM b_rules"
 SQL["rules_sorted"] = SQL["association_rules"]
@@ -542,6 +593,9 @@ SELECT count(*) AS total_recs, count(*) FILTER (WHERE known) AS mapped_count,
     AS success_rate,
   CASE WHEN {RND('CASE WHEN count(*) > 0 THEN (1 - CAST(count(*) FILTER (WHERE NOT known) AS DOUBLE) / count(*)) * 100 ELSE 0.0 END', 6)}
     >= 99.0 THEN 'OK' ELSE 'WARNING' END AS status FROM j"""
+RINGLESS = "(SELECT * FROM part WHERE NOT contains(p_name, 'ring'))"
+SQL["verify_recommendations_unnamed"] = SQL["verify_recommendations"].replace("FROM part)", f"FROM {RINGLESS})")
+SQL["unmapped_products"] = f"WITH {HYB} SELECT DISTINCT product_id FROM p_recs WHERE product_id NOT IN (SELECT p_partkey FROM {RINGLESS})"
 SQL["all_recommended"] = f"WITH {HYB} SELECT DISTINCT product_id FROM p_recs"
 SQL["basket_set_ops"] = f"""WITH {HYB}, n1 AS (SELECT * FROM p_nb WHERE nrank = 1)
 SELECT n1.customer_id, n1.other_id, len(list_intersect(a.items, b.items)) AS n_common,
@@ -549,12 +603,12 @@ SELECT n1.customer_id, n1.other_id, len(list_intersect(a.items, b.items)) AS n_c
   len(list_filter(a.items, lambda x: NOT list_contains(b.items, x))) AS n_only_mine,
   len(list_filter(a.items, lambda x: NOT list_contains(b.items, x))) = 0 AS is_subset
   FROM n1 JOIN p_tx a ON a.customer_id = n1.customer_id JOIN p_tx b ON b.customer_id = n1.other_id"""
-SPLIT = "(((customer_id * 1000003 + product_id * 7919) % 100) + 100) % 100"
+SPLIT = "('0x' || substr(md5(customer_id::VARCHAR || '|' || product_id::VARCHAR), 1, 8))::BIGINT % 100"
 SQL["train_test_split"] = (f"WITH {PP} SELECT customer_id, product_id, CASE WHEN {SPLIT} >= 20 THEN 'train' ELSE 'test' END "
                            "AS part FROM pp")
 
 EVAL = f"""{PP}, tr AS (SELECT * FROM pp WHERE {SPLIT} >= 20), te AS (SELECT * FROM pp WHERE {SPLIT} < 20),
-{baskets_sql('e_', 'tr')}, {fim_sql('e_', 'tr', 0.002)}, {rules_sql('e_', 0.1, 1.0)}, {hybrid_sql('e_', 10)},
+{baskets_sql('e_', 'tr')}, {fim_sql('e_', 'tr', 0.002, 2)}, {rules_sql('e_', 0.1, 1.0)}, {hybrid_sql('e_', 10)},
 act AS (SELECT DISTINCT customer_id, product_id FROM te),
 sizes AS (SELECT customer_id, count(*) AS n_actual FROM act GROUP BY 1),
 r AS (SELECT r.customer_id, r.rank, r.product_id, s.n_actual, CASE WHEN a.product_id IS NULL THEN 0 ELSE 1 END AS hit
@@ -576,11 +630,11 @@ SQL["coverage_metrics"] = f"""WITH {EVAL}, r5 AS (SELECT * FROM e_recs WHERE ran
 pd AS (SELECT customer_id, count(DISTINCT product_id) AS d FROM r5 GROUP BY 1)
 SELECT {RND('count(DISTINCT product_id) * 100.0 / (SELECT count(DISTINCT p_partkey) FROM part)', 6)} AS catalog_coverage,
   {RND('(SELECT coalesce(avg(d), 0.0) FROM pd)', 6)} AS diversity,
-  {RND('count(DISTINCT customer_id) * 100.0 / (SELECT count(DISTINCT customer_id) FROM te)', 6)} AS customer_coverage FROM r5"""
+  {RND('count(DISTINCT customer_id) FILTER (WHERE customer_id IN (SELECT customer_id FROM te)) * 100.0 / (SELECT count(DISTINCT customer_id) FROM te)', 6)} AS customer_coverage FROM r5"""
 SQL["evaluation_report"] = f"""WITH {EVAL}, pd AS (SELECT customer_id, count(DISTINCT product_id) AS d FROM e_recs GROUP BY 1),
 cov AS (SELECT {RND('count(DISTINCT product_id) * 100.0 / (SELECT count(DISTINCT product_id) FROM pp)', 6)} AS cat,
   {RND('(SELECT coalesce(avg(d), 0.0) FROM pd)', 6)} AS div,
-  {RND('count(DISTINCT customer_id) * 100.0 / (SELECT count(DISTINCT customer_id) FROM te)', 6)} AS cust FROM e_recs)
+  {RND('count(DISTINCT customer_id) FILTER (WHERE customer_id IN (SELECT customer_id FROM te)) * 100.0 / (SELECT count(DISTINCT customer_id) FROM te)', 6)} AS cust FROM e_recs)
 SELECT '@K=' || CAST(k AS VARCHAR) AS Metric, {FMT('precision', 4)} AS Precision, {FMT('recall', 4)} AS Recall,
   {FMT('map', 4)} AS MAP, {FMT('mrr', 4)} AS MRR, {FMT('ndcg', 4)} AS NDCG FROM rm
 UNION ALL SELECT 'Coverage', {FMT('cust', 2)} || '%', {FMT('cat', 2)} || '%', {FMT('div', 2)}, '—', '—' FROM cov"""
@@ -591,7 +645,7 @@ hp AS (SELECT customer_id, n_actual, count(*) AS n, count(*) FILTER (WHERE rel)
 SELECT {RND('coalesce(avg(CAST(rel AS DOUBLE) / n), 0.0)', 6)} AS precision,
   {RND('coalesce(avg(CAST(rel AS DOUBLE) / n_actual), 0.0)', 6)} AS recall,
   {RND('CAST(count(*) FILTER (WHERE rel > 0) AS DOUBLE) / CASE WHEN count(*) > 0 THEN count(*) END', 6)} AS hit_rate,
-  {RND('(SELECT count(DISTINCT customer_id) FROM r5) * 100.0 / (SELECT count(*) FROM sizes)', 6)} AS coverage,
+  {RND('(SELECT count(*) FROM sizes WHERE customer_id IN (SELECT customer_id FROM r5)) * 100.0 / (SELECT count(*) FROM sizes)', 6)} AS coverage,
   (SELECT count(DISTINCT product_id) FROM r5) AS diversity FROM hp"""
 
 SQL["drop_any_null"] = f"WITH {RAW_COMMENTS} SELECT * FROM raw_comments WHERE " + " AND ".join(
@@ -602,15 +656,15 @@ conv AS (SELECT * REPLACE (TRY_CAST(rating AS DOUBLE) AS rating),
     CAST(trunc(TRY_CAST(purchased_at AS DOUBLE)) AS BIGINT) AS purchased_at_num,
     {ts_of('created_at')} AS created_at_ts, {ts_of('purchased_at')} AS purchased_at_ts FROM comments)
 SELECT * FROM conv WHERE created_at_ts IS NOT NULL AND purchased_at_ts IS NOT NULL AND rating IS NOT NULL"""
-SQL["column_projection"] = (f"WITH {RAW_COMMENTS} SELECT customer_id, customer_name, comment_id, purchased_at, "
-                            "created_at, rating, product_id, seller_name FROM raw_comments")
+SQL["column_projection"] = (f"WITH {CLEAN_COMMENTS} SELECT customer_id, customer_name, comment_id, purchased_at, "
+                            "created_at, rating, product_id, seller_name FROM raw0")
 SQL["review_gaps"] = f"""WITH {EVENTS}, {burst_sql('events_in')} SELECT comment_id, customer_id, created_at_ts,
   previous_created_at_ts, delta_minutes FROM g2"""
 SQL["truncate_recommendations"] = f"WITH {HYB} SELECT customer_id, rank, product_id, {RND('score', 6)} AS score FROM p_recs WHERE rank <= 3"
 
-SQL["flatten_reviews"] = f"""WITH {RAW_COMMENTS} SELECT comment_id, product_id, customer_id, customer_name,
+SQL["flatten_reviews"] = f"""WITH {CLEAN_COMMENTS} SELECT comment_id, product_id, customer_id, customer_name,
   CAST(rating AS DOUBLE) AS rating, title, content, CAST(created_at AS BIGINT) AS created_at,
-  CAST(purchased_at AS BIGINT) AS purchased_at, seller_id, seller_name FROM raw_comments"""
+  CAST(purchased_at AS BIGINT) AS purchased_at, seller_id, seller_name FROM raw0"""
 SQL["flatten_products"] = """SELECT p_partkey AS product_id, p_name AS product_name, p_retailprice AS price,
   p_retailprice AS original_price, CAST(NULL AS DOUBLE) AS rating_average, CAST(NULL AS BIGINT) AS review_count,
   p_brand AS brand_name, p_type AS short_description, CAST(NULL AS VARCHAR) AS url_key FROM part"""

@@ -9,23 +9,26 @@ from revlens.operators import baskets as bk
 from revlens.operators import metrics, patterns, recommend
 
 
-def mine(purchases: DataFrame, min_support: float, min_confidence: float, min_lift: float):
-    """(transactions, model, itemsets, rules) from (customer_id, product_id)."""
-    tx = bk.transactions(bk.customer_baskets(purchases, None))
-    model, itemsets, rules = patterns.train_fp_growth(tx, min_support, min_confidence, min_lift)
+def mine(purchases: DataFrame, min_support: float, min_confidence: float, min_lift: float,
+         min_count: int | None = None, rating_threshold: float | None = 4):
+    """(transactions, model, itemsets, rules) from rated purchases
+    (customer_id, product_id, rating)."""
+    tx = bk.transactions(bk.customer_baskets(purchases, rating_threshold))
+    model, itemsets, rules = patterns.train_fp_growth(tx, min_support, min_confidence, min_lift, min_count)
     return tx, model, itemsets, rules
 
 
 def recommend_all(purchases: DataFrame, min_support: float, min_confidence: float, min_lift: float,
-                  top_n: int = recommend.TOP_N) -> DataFrame:
-    tx, _, _, rules = mine(purchases, min_support, min_confidence, min_lift)
+                  top_n: int = recommend.TOP_N, min_count: int | None = None,
+                  rating_threshold: float | None = 4) -> DataFrame:
+    tx, _, _, rules = mine(purchases, min_support, min_confidence, min_lift, min_count, rating_threshold)
     return recommend.hybrid_recommend(rules, tx, top_n)
 
 
 def evaluate(purchases: DataFrame, min_support: float, min_confidence: float, min_lift: float,
-             top_n: int = 10):
-    """Split each customer's purchases 80/20, recommend from the training
-    part, score against the held-out part: (recs, test)."""
+             top_n: int = 10, min_count: int | None = None):
+    """Split each customer's well-rated purchases 80/20, recommend from the
+    training part, score against the held-out part: (recs, test)."""
     train, test = metrics.train_test_split(purchases)
-    recs = recommend_all(train, min_support, min_confidence, min_lift, top_n)
+    recs = recommend_all(train, min_support, min_confidence, min_lift, top_n, min_count, rating_threshold=None)
     return recs, test

@@ -7,6 +7,7 @@ are for the jobs in ``plans`` and for tests.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,9 +72,10 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and return a frame
-    reading it (reliable checkpoint: survives executor loss, keeps the
-    recorded partitioning).  Used where one intermediate feeds both a
-    threshold and the rows, so its shuffles and windows run once."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` (a Spark job, run at once) as Parquet in the shared
+    checkpoint folder and return a frame reading it: lineage ends there, a lost
+    executor loses nothing, and every later read prunes columns and pushes
+    filters.  Used where one intermediate feeds several branches."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/lineage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

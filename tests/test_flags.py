@@ -40,8 +40,8 @@ def test_bucketed_equals_plain_window_across_bucket_borders(spark):
     mins = [60 * 23 + 50 + 3 * i for i in range(12)] + [60 * 48 + i for i in range(0, 40, 7)]
     rows = [(7, m) for m in mins] + [(8, m) for m in range(0, 3000, 97)]
     df = frame(spark, rows)
-    a = flags.burst_flags(df, threshold=10.0, bucket_seconds=3600, materialize=False)
-    b = flags.burst_flags(df, threshold=10.0, bucket_seconds=None, materialize=False)
+    a = flags.burst_flags(df, threshold=10.0, bucket_seconds=3600)
+    b = flags.burst_flags(df, threshold=10.0, bucket_seconds=None)
     cols = ["comment_id", "previous_created_at_ts", "delta_minutes", "small_gap", "burst_group", "burst_count", "F3_flag"]
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
 

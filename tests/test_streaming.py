@@ -20,7 +20,7 @@ def test_monthly_trend_stream_matches_batch(spark, tmp_dir):
                .select(F.col("o_orderkey").alias("comment_id"), F.col("o_custkey").alias("customer_id"),
                        F.col("o_orderdate").cast("timestamp").alias("purchased_at"),
                        fx.rating_from_priority().alias("rating")))
-    q = start_monthly_trend(reviews, "memory", os.path.join(tmp_dir, "ckpt"), "trend_out", available_now=True)
+    q = start_monthly_trend(reviews, "3650 days", "memory", os.path.join(tmp_dir, "ckpt"), "trend_out", available_now=True)
     q.awaitTermination(300)
     got = {r.thang: (r.so_don, r.diem_tb) for r in spark.sql("SELECT * FROM trend_out").collect()}
     batch = {r.thang: (r.so_don, r.diem_tb) for r in trends.monthly_trend(fx.reviews(spark, SF001)).collect()}
