@@ -11,7 +11,8 @@ can tell from their bucket lists.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,13 +39,51 @@ def blocked(members: DataFrame, bucket: str, size: Column, block: int = BLOCK) -
             .withColumn("in_left", F.col("__own") == F.col("left")).drop("__own", "__other"))
 
 
-def pair_mask(rows: pd.DataFrame) -> np.ndarray:
+Unit = dict[str, np.ndarray]  # columns of one unit's rows
+
+
+def by_unit(units: DataFrame, compare: Callable[[Unit], pd.DataFrame | None], schema: str) -> DataFrame:
+    """Run ``compare`` on the rows of each (bucket, left, right).
+
+    Most buckets hold two or three nodes, so units are cut out of sorted batches
+    rather than handed over one by one; a unit that runs over the end of a batch is
+    carried to the next.  A task holds one batch and one unit."""
+    key = ["bucket", "left", "right"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest: pd.DataFrame | None = None
+        for batch in itertools.chain(batches, [None]):
+            if batch is None:
+                if rest is None or not len(rest):
+                    return
+                frame, open_end = rest, False
+            else:
+                if not len(batch):
+                    continue
+                frame, open_end = batch if rest is None else pd.concat([rest, batch], ignore_index=True), True
+            marks = frame[key].to_numpy(np.int64)
+            bounds = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1), len(frame)]
+            columns = {c: frame[c].to_numpy() for c in frame.columns}
+            found = []
+            for low, high in zip(bounds[:-2] if open_end else bounds[:-1], bounds[1:]):
+                if high - low > 1:
+                    out = compare({c: x[low:high] for c, x in columns.items()})
+                    if out is not None and len(out):
+                        found.append(out)
+            rest = frame.iloc[bounds[-2]:] if open_end else None
+            if found:
+                yield pd.concat(found, ignore_index=True)
+
+    return units.repartition(*key).sortWithinPartitions(*key).mapInPandas(run, schema)
+
+
+def pair_mask(unit: Unit) -> np.ndarray:
     """Which ordered pairs (i < j) of a unit are compared there: all within one
     block, and only those across the two blocks of a mixed unit."""
-    n = len(rows)
+    n = len(unit["node"])
     mask = np.triu(np.ones((n, n), bool), 1)
-    if rows["left"].iloc[0] != rows["right"].iloc[0]:
-        first = rows["in_left"].to_numpy(bool)
+    if unit["left"][0] != unit["right"][0]:
+        first = unit["in_left"].astype(bool)
         mask &= first[:, None] != first[None, :]
     return mask
 
@@ -60,8 +99,10 @@ def met_before(keys: np.ndarray, run: int) -> np.ndarray:
     return met
 
 
-def linked_rows(nodes: np.ndarray, sizes: np.ndarray, linked: np.ndarray) -> pd.DataFrame:
-    """Upper-triangular link matrix -> count rows (u, null, links) and forest rows (u, v, null)."""
+def linked_rows(nodes: np.ndarray, sizes: np.ndarray, linked: np.ndarray) -> pd.DataFrame | None:
+    """Upper-triangular link matrix -> count rows (u, links) and forest rows (u, v)."""
+    if not linked.any():
+        return None
     both = linked | linked.T
     links = both.astype(np.int64) @ sizes
     has = both.any(axis=1)
@@ -75,17 +116,17 @@ def linked_rows(nodes: np.ndarray, sizes: np.ndarray, linked: np.ndarray) -> pd.
     child = np.flatnonzero(label != np.arange(len(nodes)))
     return pd.DataFrame({
         "u": np.concatenate([nodes[has], nodes[child]]),
-        "v": pd.array(np.concatenate([np.zeros(has.sum(), np.int64), nodes[label[child]]]), "Int64"),
-        "links": pd.array(np.concatenate([links[has], np.zeros(len(child), np.int64)]), "Int64"),
+        "v": np.concatenate([np.zeros(has.sum(), np.int64), nodes[label[child]]]),
+        "links": np.concatenate([links[has], np.zeros(len(child), np.int64)]),
         "edge": np.concatenate([np.zeros(has.sum(), bool), np.ones(len(child), bool)])})
 
 
 LINK_SCHEMA = "u long, v long, links long, edge boolean"
 
 
-def gather(units: DataFrame, compare: Callable[[pd.DataFrame], pd.DataFrame], name: str) -> tuple[DataFrame, DataFrame]:
+def gather(units: DataFrame, compare: Callable[[Unit], pd.DataFrame | None], name: str) -> tuple[DataFrame, DataFrame]:
     """Run ``compare`` per unit -> (links per node, component per linked node)."""
-    found = stored(units.groupBy("bucket", "left", "right").applyInPandas(compare, LINK_SCHEMA), name)
+    found = stored(by_unit(units, compare, LINK_SCHEMA), name)
     links = found.where("NOT edge").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
     return links, components(found.where("edge").select("u", "v"))
 

@@ -14,14 +14,14 @@ with two or more nodes fetch vectors; a large bucket is compared block by block.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bucket_links import blocked, gather, linked_rows, met_before, pair_mask, per_class
+from .bucket_links import Unit, blocked, gather, linked_rows, met_before, pair_mask, per_class
 from .common import stored, table
 
 THRESHOLD = 0.9
@@ -69,8 +69,8 @@ class PStableHash:
         return (h | np.uint64(1)).view(np.int64)
 
 
-def unit_rows(raw: pd.Series, dim: int) -> np.ndarray:
-    v = np.frombuffer(b"".join(bytes(x) for x in raw), "<f8").reshape(-1, dim)
+def unit_rows(raw: Iterable[bytes], dim: int) -> np.ndarray:
+    v = np.frombuffer(b"".join(raw), "<f8").reshape(-1, dim)
     v = v / np.abs(v).max(axis=1, keepdims=True)  # no overflow in the norm
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
@@ -126,23 +126,22 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     members = entries.join(shared, "bucket").join(classes.select("node", "dim", "raw", "size"), "node")
     units = blocked(members, "bucket", F.col("n"))
 
-    def compare(unit: pd.DataFrame) -> pd.DataFrame:
+    def compare(unit: Unit) -> pd.DataFrame | None:
         mask = pair_mask(unit)
-        dims = unit["dim"].to_numpy()
+        dims, run = unit["dim"], int(unit["run"][0])
         linked = np.zeros_like(mask)
-        run = int(unit["run"].iloc[0])
         for dim in np.unique(dims):
             at = np.flatnonzero(dims == dim)
             if len(at) < 2:
                 continue
-            x = unit_rows(unit["raw"].iloc[at], int(dim))
+            x = unit_rows(unit["raw"][at], int(dim))
             near = (x @ x.T >= threshold) & mask[np.ix_(at, at)]
             if run and near.any():
                 some = np.flatnonzero((near | near.T).any(axis=1))
                 keys = PStableHash(int(dim), k, tables).keys(x[some])
                 near[np.ix_(some, some)] &= ~met_before(keys, run)
             linked[np.ix_(at, at)] = near
-        return linked_rows(unit["node"].to_numpy(np.int64), unit["size"].to_numpy(np.int64), linked)
+        return linked_rows(unit["node"], unit["size"], linked)
 
     links, parts = gather(units, compare, "links")
     result = per_class(classes.drop("dim"), links, parts)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bucket_links import blocked, gather, linked_rows, met_before, pair_mask, per_class
+from .bucket_links import Unit, blocked, by_unit, gather, linked_rows, met_before, pair_mask, per_class
 from .common import full_text, stored, table
 
 WORDS = 5
@@ -120,15 +120,17 @@ def sampled(docs: DataFrame, key: str, text: str, runs: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sampler, cache = Sampler(runs), _WordHash()
         for batch in batches:
-            word_lists = [words_of(content) for content in batch["text"]]
-            tokens = np.array([sampler.sample(shingle_set(w, cache)) for w in word_lists], np.uint64).reshape(len(batch), -1)
-            paths = sampler.paths(tokens) if len(batch) else []
-            low = tokens.astype("<u4")
+            digests = []
+            tokens = np.empty((len(batch), TOKENS), np.uint64)
+            for i, content in enumerate(batch["text"]):
+                words = words_of(content)
+                digests.append(digest_of(words))
+                tokens[i] = sampler.sample(shingle_set(words, cache))
+            low, paths = tokens.astype("<u4"), sampler.paths(tokens)
             yield pd.DataFrame({
-                "id": batch["id"],
-                "digest": [digest_of(w) for w in word_lists],
-                "tokens": [t.tobytes() if w else None for w, t in zip(word_lists, low)],
-                "paths": [p.ravel().tolist() if w else None for w, p in zip(word_lists, paths)]})
+                "id": batch["id"], "digest": digests,
+                "tokens": [t.tobytes() if d else None for d, t in zip(digests, low)],
+                "paths": [p.ravel().tolist() if d else None for d, p in zip(digests, paths)]})
 
     slim = docs.select(F.col(key).cast("string").alias("id"), full_text(text).alias("text"))
     return (slim.mapInPandas(run, "id string, digest binary, tokens binary, paths array<long>")
@@ -175,36 +177,33 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
         "node", F.transform(F.sequence(F.lit(0), F.lit(runs - 1)), lambda r: F.coalesce(F.try_element_at("m", r), F.lit(0))).alias("buckets"))
     carried = stored(lists.join(classes.select("node", "size", "tokens"), "node"), "carried")
 
-    def buckets_of(unit: pd.DataFrame) -> np.ndarray:
-        return np.stack(unit["buckets"].to_numpy()).astype(np.int64)
-
-    def candidates(unit: pd.DataFrame) -> np.ndarray:
+    def candidates(unit: Unit) -> np.ndarray:
         mask = pair_mask(unit)
-        tokens = np.frombuffer(b"".join(bytes(t) for t in unit["tokens"]), "<u4").reshape(len(unit), -1)
-        agree = np.empty(mask.shape, np.int64)
-        for i in range(len(unit)):
-            agree[i] = (tokens == tokens[i]).sum(axis=1)
+        tokens = np.frombuffer(b"".join(unit["tokens"]), "<u4").reshape(len(mask), -1)
+        agree = np.stack([(tokens == t).sum(axis=1) for t in tokens])
         mask &= agree >= ESTIMATE * tokens.shape[1]
         if mask.any():
-            mask &= ~met_before(buckets_of(unit), int(unit["run"].iloc[0]))
+            mask &= ~met_before(np.stack(unit["buckets"]).astype(np.int64), int(unit["run"][0]))
         return mask
 
-    def hopeful(unit: pd.DataFrame) -> pd.DataFrame:
+    def hopeful(unit: Unit) -> pd.DataFrame | None:
         mask = candidates(unit)
-        some = unit[(mask | mask.T).any(axis=1)]
-        return some[["node", "run", "bucket", "left", "right", "in_left"]]
+        some = (mask | mask.T).any(axis=1)
+        return pd.DataFrame({c: unit[c][some] for c in ("node", "run", "bucket", "left", "right", "in_left")}) if some.any() else None
 
     units = blocked(leaves.join(carried, "node"), "bucket", F.col("n"), block)
-    hopes = stored(units.groupBy("bucket", "left", "right").applyInPandas(
-        hopeful, "node long, run int, bucket long, left int, right int, in_left boolean"), "hopes")
+    hopes = stored(by_unit(units, hopeful, "node long, run int, bucket long, left int, right int, in_left boolean"), "hopes")
 
     def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = _WordHash()
         for batch in batches:
-            word_lists = [words_of(t) for t in batch["text"]]
-            own = [digest_of(w) == bytes(d) for w, d in zip(word_lists, batch["digest"])]  # rows may repeat a key
-            yield pd.DataFrame({"node": batch["node"][own], "shingles": [
-                shingle_set(w, cache).tobytes() for w, mine in zip(word_lists, own) if mine]})
+            nodes, shingles = [], []
+            for node, digest, content in zip(batch["node"], batch["digest"], batch["text"]):
+                words = words_of(content)
+                if digest_of(words) == bytes(digest):  # rows may repeat a key
+                    nodes.append(node)
+                    shingles.append(shingle_set(words, cache).tobytes())
+            yield pd.DataFrame({"node": nodes, "shingles": shingles})
 
     # the row with a class's smallest key stands for the class
     wanted = hopes.select("node").distinct().join(classes.select("node", "digest", "low"), "node")
@@ -213,11 +212,10 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     sets = stored(texts.select("node", "digest", "text").mapInPandas(shingled, "node long, shingles binary")
                   .dropDuplicates(["node"]), "shingles")
 
-    def exact(unit: pd.DataFrame) -> pd.DataFrame:
+    def exact(unit: Unit) -> pd.DataFrame | None:
         mask = candidates(unit)
-        own = [np.frombuffer(x, np.uint64) for x in unit["shingles"]]
-        linked = mask & similar(own, threshold)
-        return linked_rows(unit["node"].to_numpy(np.int64), unit["size"].to_numpy(np.int64), linked)
+        linked = mask & similar([np.frombuffer(x, np.uint64) for x in unit["shingles"]], threshold)
+        return linked_rows(unit["node"], unit["size"], linked)
 
     links, parts = gather(hopes.join(carried, "node").join(sets, "node"), exact, "links")
     result = per_class(classes.drop("tokens", "paths"), links, parts)
