@@ -431,7 +431,7 @@ BB = ("bb AS (SELECT DISTINCT l_orderkey AS customer_id, p_brand AS product_id F
       "JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE " + RATING + " >= 4)")
 
 
-def fim_sql(p: str, src: str, min_support: float, min_count: int = 1, levels: int = 6) -> str:
+def fim_sql(p: str, src: str, min_support: float, min_count: int = 1, levels: int = 9) -> str:
     """Apriori inside each basket: extend only frequent prefixes."""
     out = [f"{p}n AS (SELECT count(DISTINCT customer_id) AS n FROM {src})",
            f"{p}mc AS (SELECT greatest({min_count}, CAST(ceil(CAST({min_support} AS DOUBLE) * n) AS BIGINT)) AS mc FROM {p}n)",
