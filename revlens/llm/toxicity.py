@@ -1,9 +1,10 @@
 """Toxicity by the nearest labelled examples.
 
 Fitting reads at most MAX_EXAMPLES labelled rows (those with the smallest id
-hash).  Terms that tell the labels apart beyond chance, by the log-likelihood
-ratio against the number of terms tried, span the vector space; their document
-frequencies come from the whole corpus.  Examples are TF-IDF vectors of unit
+hash).  Terms that mark toxic texts, LIFT times the usual rate and beyond chance by
+the log-likelihood ratio against the number of terms tried, span the vector space;
+copies of a passage count once there, as terms are judged by the distinct words they
+follow.  Document frequencies come from the whole corpus.  Examples are TF-IDF vectors of unit
 length, kept in an inverted index cut into blocks of neighbouring examples; every
 term stores its largest weight per block.
 
@@ -29,6 +30,7 @@ from .jaccard_join import words_of
 
 MAX_EXAMPLES = 20_000   # bound of the labelled sample that is fitted
 MAX_TERMS = 4_096       # bound of the vector space
+LIFT = 2.0              # a term's texts must be toxic this many times as often as texts are
 NEIGHBOURS = 15
 EVIDENCE = 5
 BLOCK = 64
@@ -157,8 +159,26 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if not tried or not n_toxic or n_toxic == n_docs:
         return Model({}, [(r["id"], r["toxic"], {}) for r in sample.select("id", "toxic").collect()])
     score = F.pandas_udf(lambda n, t: pd.Series(_g2(n.to_numpy(float), t.to_numpy(float), n_docs, n_toxic)), "double")
-    kept = (terms.withColumn("g2", score("n", "n_toxic")).where(F.col("g2") > 2 * math.log(tried))
-            .orderBy(F.col("g2").desc(), "term").limit(MAX_TERMS).collect())  # bounded by MAX_TERMS
+    telling = (F.col("g2") > 2 * math.log(tried)) & (F.col("n_toxic") * n_docs >= LIFT * n_toxic * F.col("n"))
+    telling = (F.col("g2") > 2 * math.log(tried)) & (F.col("n_toxic") * n_docs >= LIFT * n_toxic * F.col("n"))
+
+    def best(counts: DataFrame) -> list:
+        return (counts.withColumn("g2", score("n", "n_toxic")).where(telling)
+                .orderBy(F.col("g2").desc(), "term").limit(MAX_TERMS).collect())  # bounded by MAX_TERMS
+
+    marked_terms = spark.sparkContext.broadcast(frozenset(bytes(r["term"]) for r in best(terms)))
+
+    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, seen = marked_terms.value, set()
+        for batch in batches:
+            for content, y in zip(batch["text"], batch["toxic"]):
+                words = words_of(content)
+                seen.update((w, words[i - 1] if i else b"", y) for i, w in enumerate(words) if w in known)
+        yield pd.DataFrame(list(seen), columns=["term", "before", "toxic"])
+
+    # copies of a passage count once: a term is tried again on the distinct words before it
+    found = sample.mapInPandas(contexts, "term binary, before binary, toxic int").distinct()
+    kept = best(found.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("n_toxic")))
     vocabulary = spark.sparkContext.broadcast(frozenset(bytes(r["term"]) for r in kept))
 
     def corpus_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
