@@ -5,8 +5,9 @@ move.  Pieces are dealt by a hash to shards of bounded size.  A shard is packed
 best-fit, longest piece first, and then improved by local search: a piece moves
 to, or is exchanged one-for-one, one-for-two or two-for-one with, an underfull
 bin whenever the sum of squared fills grows, which empties the emptiest bins.
-Bins that stay poorly filled go, piece by piece, to a next round with fewer
-shards, until one shard is left, so the waste does not grow with the shards.
+Bins that stay poorly filled go, piece by piece, to a next round, dealt anew to
+shards of the same bounded size, until one shard is left or a round closes too small
+a share of its pieces: what then is open stays in the bins it has.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ END_ID = 2
 TOKENIZER = "byte_bpe_50k"
 PER_SHARD = 10_000
 POOR_FILL = 0.97      # bins below this share of the capacity go to the next round
-SHARDS_PER_ROUND = 32
+LEAST_CLOSED = 0.25   # share of its pieces that a round must close for another one to follow
 
 #: Texts of these characters take the rank-file encoder, which has the same
 #: vocabulary and gives the same ids several times faster (a test compares the two
@@ -202,16 +203,19 @@ def pack(pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, per_s
     ``sequence_id`` and ``offset`` (place in the sequence, gapless from 0).
 
     Piece lengths must be 1 to ``capacity``.  Repeated rows are packed each.
-    Deterministic: shards follow a hash of (key, piece, length), rows are ordered
-    within a shard.  An empty table gives an empty table."""
+    Deterministic: shards follow a hash of the round, the piece and, for equal rows,
+    their copy number; rows are ordered within a shard.  A shard holds about
+    ``per_shard`` pieces in every round.  An empty table gives an empty table."""
     kind = ", ".join(f"`{f.name}` {'string' if f.name == key else f.dataType.simpleString()}" for f in pieces.schema.fields)
     key_type = dict(pieces.dtypes)[key]
-    items = stored(pieces.withColumn(key, F.col(key).cast("string")), "pieces")
+    # equal rows get copy numbers, else all of them would be dealt to one shard
+    numbered = pieces.groupBy(*pieces.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    items = stored(numbered.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).drop("__copies")
+                   .withColumn(key, F.col(key).cast("string")), "pieces")
     open_rows = items.where(F.col("length") < capacity)
     n = open_rows.count()
     done = []
     level = 0
-    shards = parts_for(n, per_shard)
 
     def place(round_no: int, last: bool):
         def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -227,31 +231,34 @@ def pack(pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, per_s
                     where[i], offset[i] = number, at
                     at += sizes[i]
                 closed[members] = last or at >= POOR_FILL * capacity
-            rows["sequence_id"] = (round_no << 58) + (shard << 26) + where
+            rows["sequence_id"] = (round_no << 52) + (shard << 26) + where
             rows["offset"], rows["__closed"] = offset, closed
             return rows.drop(columns="__shard")
         return run
 
     while n:
+        shards = parts_for(n, per_shard)
         last = shards == 1
-        dealt = open_rows.withColumn("__shard", F.pmod(F.xxhash64(key, "piece", "length"), F.lit(shards)).cast("int"))
+        dealt = open_rows.withColumn("__shard", F.pmod(F.xxhash64(F.lit(level), key, "piece", "start", "length", "ids_crc32", "__copy"),
+                                                       F.lit(shards)).cast("int"))
         packed = stored(dealt.groupBy("__shard").applyInPandas(
-            place(level, last), f"{kind}, sequence_id long, offset long, __closed boolean"), "packed")
-        done.append(packed.where("__closed").drop("__closed"))
-        if last:
-            break
-        open_rows = packed.where("NOT __closed").select(*pieces.columns)
-        n = open_rows.count()
-        # a round with as many pieces left as before ends in one shard per SHARDS_PER_ROUND old ones
-        shards = max(1, min(parts_for(n, per_shard), shards // SHARDS_PER_ROUND)) if n <= per_shard * shards else 1
+            place(level, last), f"{kind}, __copy long, sequence_id long, offset long, __closed boolean"), "packed")
+        left = 0 if last else packed.where("NOT __closed").count()
+        if left > (1 - LEAST_CLOSED) * n:
+            left = 0
+            done.append(packed)
+        else:
+            done.append(packed.where("__closed"))
+        open_rows = packed.where("NOT __closed").select(*pieces.columns, "__copy")
+        n = left
         level += 1
     # full pieces are sequences of their own, numbered within the partitions they lie in
     full = (items.where(F.col("length") >= capacity)
             .withColumn("sequence_id", F.lit(1 << 62) + F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long")))
     result = full
     for part in done:
-        result = result.unionByName(part)
-    return result.withColumn(key, F.col(key).cast(key_type))
+        result = result.unionByName(part.drop("__closed"))
+    return result.drop("__copy").withColumn(key, F.col(key).cast(key_type))
 
 
 def best_fit_packing(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,

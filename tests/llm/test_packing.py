@@ -81,3 +81,22 @@ def test_swaps_empty_bins():
 
 def test_empty_table(docs):
     assert P.best_fit_packing(docs([])).count() == 0
+
+
+def test_shards_stay_bounded_when_no_bin_closes(spark, monkeypatch):
+    """Pieces no two of which fit together, half of them copies of one row."""
+    sizes = []
+    rows = [(i, 0, 0, 520 + i % 470, i) for i in range(1500)] + [(None, 0, 0, 700, 7)] * 1500
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(4)
+
+    from pyspark.sql.group import GroupedData
+    run = GroupedData.applyInPandas
+
+    def measured(self, func, schema):
+        out = run(self, func, schema)
+        sizes.append(out.groupBy(F.shiftright("sequence_id", 26)).count().agg(F.max("count")).first()[0])
+        return out
+    monkeypatch.setattr(GroupedData, "applyInPandas", measured)
+    out = P.pack(df, per_shard=100)
+    assert out.count() == 3000 and out.select("sequence_id").distinct().count() == 3000
+    assert len(sizes) == 1 and max(sizes) < 200
