@@ -24,6 +24,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROW = "__row"
+
+
+def with_rows(df: DataFrame) -> DataFrame:
+    """``df`` with ROW, a number of its own for each row, written with the rows so that
+    every later read sees the same."""
+    return stored(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def full_text(column: str = "text"):
     """The whole text, null read as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -47,3 +47,17 @@ def test_stages_and_run(spark, docs, tmp_path):
     packed = C.run(spark, sf)
     assert packed.count() > 0 and {"sequence_id", "offset", "length"} <= set(packed.columns)
     assert [len(s) for s in C.STAGES] == [2] * 5
+
+
+def test_rows_of_null_or_repeated_ids_are_told_apart(spark, docs):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+    a, b, c, d, e = ("\n".join(" ".join(rng.choice(words) for _ in range(30)) for _ in range(3)) for _ in range(5))
+    rows = [(1, a), (None, a + " tail"), (None, b), (2, c), (3, c), (3, d), (4, e), (4, e)]
+    left = sorted((r.doc_id or 0, r.text) for r in C.join_near_copies(spark, docs(rows), "").collect())
+    assert left == sorted([(1, a), (0, b), (2, c), (3, d), (4, e)])
+    lines = [x.split("\n") for x in (a, b, c, d, e)]
+    rows = [(None, a), (None, "\n".join([lines[1][0], lines[1][1]])), (1, "\n".join([lines[2][0], lines[0][1]])),
+            (2, d), (2, "\n".join([lines[4][0], lines[4][1]])), (3, "\n".join([lines[3][0], lines[2][2]])), (4, e[:0]), (5, lines[4][2]), (5, lines[4][2])]
+    left = sorted((r.doc_id or 0, r.text) for r in C.dedup_lines(spark, docs(rows), "").collect())
+    assert left == sorted([(0, a), (0, rows[1][1]), (1, lines[2][0]), (2, d), (2, rows[4][1]), (3, lines[2][2]), (4, ""), (5, lines[4][2])])
