@@ -1,17 +1,22 @@
 """Toxicity by the nearest labelled examples.
 
 Fitting reads at most MAX_EXAMPLES labelled rows (those with the smallest id
-hash).  Terms that mark toxic texts, LIFT times the usual rate and beyond chance by
-the log-likelihood ratio against the number of terms tried, span the vector space;
-copies of a passage count once there, as terms are judged by the distinct words they
-follow.  Document frequencies come from the whole corpus.  Examples are TF-IDF vectors of unit
-length, kept in an inverted index cut into blocks of neighbouring examples; every
-term stores its largest weight per block.
-
-Scoring a text takes the blocks in order of their upper bound (query weight times
-block maximum, summed over terms) and stops when no block can beat the k-th
-cosine found, so the k nearest are exact.  Their votes are weighted by cosine and
-drawn towards the rate of examples without any such term.
+hash).  Examples are TF-IDF vectors of unit length in two spaces; document frequencies
+come from the whole corpus.
+
+All words of the examples span the first, so that whoever repeats or resembles a
+labelled text finds it, whatever its words.  Frequent words are a dense matrix, the
+others an inverted index; a text is scored against every example, and the k nearest
+are taken from the blocks whose largest cosine reaches the k-th.  Terms that mark toxic
+texts, LIFT times the usual rate and beyond chance by the log-likelihood ratio against
+the number of terms tried, span the second, where one telling word in a long text is
+not outweighed; copies of a passage count once there, as terms are judged by the
+distinct words they follow.  There every term stores its largest weight per block of
+neighbouring examples, and scoring takes the blocks in order of their upper bound and
+stops when no block can beat the k-th cosine found.
+
+Both give the exact k nearest.  Their votes are weighted by cosine and drawn towards
+the rate of examples without any term of the space; the higher score counts.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -29,13 +35,15 @@ from .common import full_text, stored, table
 from .jaccard_join import words_of
 
 MAX_EXAMPLES = 20_000   # bound of the labelled sample that is fitted
-MAX_TERMS = 4_096       # bound of the vector space
+MAX_TERMS = 4_096       # bound of the space of marking terms
 LIFT = 2.0              # a term's texts must be toxic this many times as often as texts are
 NEIGHBOURS = 15
 EVIDENCE = 5
 BLOCK = 64
 HELD_OUT = 5            # rows whose crc32(id) mod HELD_OUT is 0 are never learned from
 REJECT = 0.5
+DENSE = 0.1             # share of the examples from which a word is a column of the matrix
+AT_ONCE = 128           # texts scored together
 
 
 class BlockMaxIndex:
@@ -77,8 +85,97 @@ class BlockMaxIndex:
         return [(-c, p) for c, p in best]
 
 
+class WholeSpace:
+    """Exact top-k cosine search over the examples' vectors of all their words."""
+
+    def __init__(self, vocabulary: dict[bytes, int], idf: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]],
+                 block: int = BLOCK):
+        self.vocabulary, self.idf = vocabulary, idf
+        bare = [toxic for _, toxic, terms, _ in examples if not len(terms)]
+        self.prior = (sum(bare) + 0.05) / (len(bare) + 1)
+        held = sorted((x for x in examples if len(x[2])), key=lambda x: x[0])
+        self.ids, self.toxic = [x[0] for x in held], np.array([x[1] for x in held], bool)
+        self.n, self.block = len(held), block
+        if not held:
+            return
+        # what is kept and shipped are places and codes of counts; weights follow from them
+        terms = np.concatenate([x[2] for x in held])
+        counts, codes = np.unique(np.concatenate([x[3] for x in held]), return_inverse=True)
+        self.factor = np.append(0.0, 1 + np.log(counts))
+        codes = (codes + 1).astype(np.min_scalar_type(len(counts)))
+        self.norm = np.array([math.sqrt(((self.factor[c] * idf[t]) ** 2).sum()) for t, c in zip(
+            (x[2] for x in held), np.split(codes, np.cumsum([len(x[2]) for x in held[:-1]])))])
+        places = np.repeat(np.arange(self.n, dtype=np.min_scalar_type(self.n)), [len(x[2]) for x in held])
+        common = np.bincount(terms, minlength=len(idf)) >= max(2, DENSE * self.n)
+        self.common = np.flatnonzero(common)
+        self.column = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
+        dense = common[terms]
+        self.held = np.zeros((len(self.common), self.n), codes.dtype)
+        self.held[self.column[terms[dense]], places[dense]] = codes[dense]
+        terms, places, codes = terms[~dense], places[~dense], codes[~dense]
+        order = np.argsort(terms, kind="stable")
+        self.places, self.codes = places[order], codes[order]
+        self.bounds = np.searchsorted(terms[order], np.arange(len(idf) + 1))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "matrix"}
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        return self.factor[self.held] * self.idf[self.common][:, None]
+
+    def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        known = self.vocabulary
+        found = [(known[t], n) for t, n in counts.items() if t in known]
+        if not found:
+            return np.empty(0, np.int64), np.empty(0)
+        terms, n = np.array(found, np.int64).T
+        weights = (1 + np.log(n)) * self.idf[terms]
+        return terms, weights / math.sqrt(weights @ weights)
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
+        """Per query (cosine, place) of the k examples with the largest positive cosines."""
+        if not self.n:
+            return [[] for _ in queries]
+        asked = np.zeros((len(queries), len(self.matrix)))
+        for i, (terms, weights) in enumerate(queries):
+            column = self.column[terms]
+            asked[i, column[column >= 0]] = weights[column >= 0]
+        scores = asked @ self.matrix
+        out = []
+        for score, (terms, weights) in zip(scores, queries):
+            rare = self.column[terms] < 0
+            low, high = self.bounds[terms[rare]], self.bounds[terms[rare] + 1]
+            if (high - low).sum():
+                spans = list(zip(low.tolist(), high.tolist()))
+                score += np.bincount(np.concatenate([self.places[a:z] for a, z in spans]),
+                                     self.factor[np.concatenate([self.codes[a:z] for a, z in spans])]
+                                     * np.repeat(weights[rare] * self.idf[terms[rare]], high - low), self.n)
+            score /= self.norm
+            best = np.maximum.reduceat(score, np.arange(0, self.n, self.block))
+            # k blocks reach this cosine, so the k-th does
+            least = np.partition(best, -k)[-k] if len(best) >= k else 0.0
+            found = np.flatnonzero((score >= least) & (score > 0))
+            found = found[np.lexsort((found, -score[found]))][:k]
+            out.append([(float(score[p]), int(p)) for p in found])
+        return out
+
+    def judge(self, texts: list[dict[bytes, int]]) -> list[tuple[float, list[int], list[float]]]:
+        """Per text (score, evidence ids, their cosines)."""
+        out = []
+        for at in range(0, len(texts), AT_ONCE):
+            for near in self.nearest([self.vector(c) for c in texts[at:at + AT_ONCE]], NEIGHBOURS):
+                toxic = sum(c for c, p in near if self.toxic[p])
+                shown = near[:EVIDENCE]
+                out.append(((toxic + self.prior) / (sum(c for c, _ in near) + 1), [self.ids[p] for _, p in shown], [c for c, _ in shown]))
+        return out
+
+
 class Model:
-    """Vocabulary, index and prior; small by MAX_EXAMPLES and MAX_TERMS."""
+    """Vocabulary, index and prior of the marking terms, small by MAX_EXAMPLES and
+    MAX_TERMS, and the space of all words."""
+
+    whole: WholeSpace | None = None
 
     def __init__(self, idf: dict[bytes, float], examples: list[tuple[int, int, dict[bytes, int]]]):
         self.vocabulary = {t: i for i, t in enumerate(sorted(idf))}
@@ -99,9 +196,8 @@ class Model:
         norm = math.sqrt(sum(x * x for x in raw.values()))
         return {t: x / norm for t, x in raw.items()} if norm else {}
 
-    def counts(self, text: str) -> dict[bytes, int]:
-        known = self.vocabulary
-        return Counter([w for w in words_of(text) if w in known])
+    def counts(self, words: dict[bytes, int]) -> dict[bytes, int]:
+        return {w: n for w, n in words.items() if w in self.vocabulary}
 
     def judge(self, counts: dict[bytes, int]) -> tuple[float, list[int], list[float]]:
         """(score, evidence ids, their cosines)."""
@@ -153,14 +249,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         yield pd.DataFrame({"term": list(every), "n": list(every.values()), "n_toxic": [marked[t] for t in every]})
 
     n_docs, n_toxic = sample.agg(F.count(F.lit(1)), F.sum("toxic")).first()
-    terms = stored(sample.mapInPandas(term_counts, "term binary, n long, n_toxic long")
-                   .groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")).where("n >= 3"), "terms")
+    every = stored(sample.mapInPandas(term_counts, "term binary, n long, n_toxic long")
+                   .groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")), "terms")
+    terms = every.where("n >= 3")
     tried = terms.count()
-    if not tried or not n_toxic or n_toxic == n_docs:
+    if not n_docs or not n_toxic or n_toxic == n_docs:
         return Model({}, [(r["id"], r["toxic"], {}) for r in sample.select("id", "toxic").collect()])
     score = F.pandas_udf(lambda n, t: pd.Series(_g2(n.to_numpy(float), t.to_numpy(float), n_docs, n_toxic)), "double")
-    telling = (F.col("g2") > 2 * math.log(tried)) & (F.col("n_toxic") * n_docs >= LIFT * n_toxic * F.col("n"))
-    telling = (F.col("g2") > 2 * math.log(tried)) & (F.col("n_toxic") * n_docs >= LIFT * n_toxic * F.col("n"))
+    telling = (F.col("g2") > 2 * math.log(max(1, tried))) & (F.col("n_toxic") * n_docs >= LIFT * n_toxic * F.col("n"))
 
     def best(counts: DataFrame) -> list:
         return (counts.withColumn("g2", score("n", "n_toxic")).where(telling)
@@ -179,31 +275,42 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # copies of a passage count once: a term is tried again on the distinct words before it
     found = sample.mapInPandas(contexts, "term binary, before binary, toxic int").distinct()
     kept = best(found.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("n_toxic")))
-    vocabulary = spark.sparkContext.broadcast(frozenset(bytes(r["term"]) for r in kept))
+    marking = {bytes(r["term"]) for r in kept}
+
+    # the words of at most max_examples texts
+    words = sorted(every.select("term").toPandas()["term"].map(bytes))
+    known_words = {t: i for i, t in enumerate(words)}
+    vocabulary = spark.sparkContext.broadcast(known_words)
 
     def corpus_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, seen, n = vocabulary.value, Counter(), 0
         for batch in batches:
             n += len(batch)
             for content in batch["text"]:
-                seen.update(known.intersection(words_of(content)))
-        yield pd.DataFrame({"term": [b"", *seen], "n": [n, *seen.values()]})  # the empty term counts rows
+                seen.update([t for t in set(words_of(content)) if t in known])
+        yield pd.DataFrame({"term": [-1, *[known[t] for t in seen]], "n": [n, *seen.values()]})  # term -1 counts rows
 
-    df = {bytes(r["term"]): r["n"] for r in (
-        docs.select(full_text(text).alias("text")).mapInPandas(corpus_counts, "term binary, n long")
-        .groupBy("term").agg(F.sum("n").alias("n")).collect())}
-    total = df.pop(b"", 0)
-    idf = {t: math.log(1 + total / n) for t, n in df.items()}
+    found = (docs.select(full_text(text).alias("text")).mapInPandas(corpus_counts, "term int, n long")
+             .groupBy("term").agg(F.sum("n").alias("n")).toPandas().sort_values("term"))
+    total, df = int(found["n"].iloc[0]), found["n"].to_numpy(float)[1:]
+    idf = np.log(1 + total / df)
 
     def example_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = vocabulary.value
         for batch in batches:
-            found = [Counter([w for w in words_of(t) if w in known]) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "toxic": batch["toxic"], "terms": [list(c) for c in found],
-                                "counts": [list(c.values()) for c in found]})
+            found = [Counter(words_of(t)) for t in batch["text"]]
+            yield pd.DataFrame({"id": batch["id"], "toxic": batch["toxic"],
+                                "terms": [np.array([known[w] for w in c], "<i4").tobytes() for c in found],
+                                "counts": [np.array(list(c.values()), "<i4").tobytes() for c in found]})
 
-    rows = sample.mapInPandas(example_counts, "id long, toxic int, terms array<binary>, counts array<int>").collect()
-    return Model(idf, [(r["id"], r["toxic"], {bytes(t): c for t, c in zip(r["terms"], r["counts"])}) for r in rows])
+    rows = sample.mapInPandas(example_counts, "id long, toxic int, terms binary, counts binary").collect()
+    examples = [(r["id"], r["toxic"], np.frombuffer(r["terms"], "<i4"), np.frombuffer(r["counts"], "<i4")) for r in rows]
+    del rows
+    marks = np.array([t in marking for t in words], bool)
+    model = Model({t: float(idf[known_words[t]]) for t in marking}, [
+        (doc, y, {words[t]: int(n) for t, n in zip(terms[marks[terms]], counts[marks[terms]])}) for doc, y, terms, counts in examples])
+    model.whole = WholeSpace(known_words, idf, examples)
+    return model
 
 
 def scorer(model: Model, spark: SparkSession):
@@ -213,14 +320,21 @@ def scorer(model: Model, spark: SparkSession):
     @F.pandas_udf("score double, evidence array<long>, cosines array<double>")
     def judge(texts: pd.Series) -> pd.DataFrame:
         known: Model = shared.value
-        remembered: dict[frozenset, tuple] = {}
-        out = []
+        marked: dict[frozenset, tuple] = {}
+        different: dict[frozenset, int] = {}   # equal word counts are judged once
+        places, out = [], []
         for content in texts:
-            counts = known.counts(content)
-            mark = frozenset(counts.items())
-            if mark not in remembered:
-                remembered[mark] = known.judge(counts)
-            out.append(remembered[mark])
+            words = Counter(words_of(content))
+            places.append(different.setdefault(frozenset(words.items()), len(different)))
+        counts = [dict(x) for x in different]
+        whole = known.whole.judge(counts) if known.whole else [None] * len(counts)
+        for words, other in zip(counts, whole):
+            marks = known.counts(words)
+            mark = frozenset(marks.items())
+            if mark not in marked:
+                marked[mark] = known.judge(marks)
+            out.append(max(marked[mark], other, key=lambda x: x[0]) if other else marked[mark])
+        out = [out[p] for p in places]
         return pd.DataFrame(out, columns=["score", "evidence", "cosines"])
 
     return judge

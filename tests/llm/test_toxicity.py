@@ -63,3 +63,41 @@ def test_without_examples(spark, docs):
     rows = X.toxicity(docs(["a b", None]), none).collect()
     assert [r.toxicity.score < 0.5 for r in rows] == [True, True]
     assert X.toxicity(docs([]), none).count() == 0
+
+
+def test_copies_of_a_labelled_toxic_text_are_rejected(spark, docs):
+    """One sentence that always reads the same, each word with a single neighbour, and one text labelled once."""
+    rows, labels = corpus()
+    rows = [(i, t.replace("vile", "w1").replace("nasty", "w2")) for i, t in rows]
+    labels = [(i, 0) for i, _ in labels]
+    same, once = "zeta eta theta iota kappa lambda", "alpha beta gamma delta"
+    rows += [(i, same) for i in range(1000, 1030)] + [(i, once) for i in (2000, 2001, 2002, 2003)]
+    labels += [(i, 1) for i in range(1000, 1025)] + [(2000, 1), (2001, 1)]
+    out = X.toxicity(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).withColumn("held", X.held_out()).collect()
+    by = {r.doc_id: r for r in out}
+    assert any(by[i].held for i in range(1000, 1025)) and not (by[2000].held and by[2001].held)
+    assert all(by[i].toxicity.score >= X.REJECT and by[i].toxicity.evidence for i in [*range(1000, 1030), 2000, 2001, 2002, 2003])
+    assert all(by[i].toxicity.score < X.REJECT for i in range(400))
+
+
+def test_whole_space_search_is_exact():
+    rng = random.Random(6)
+    idf = {b"w%d" % i: rng.uniform(0.5, 5) for i in range(200)}
+    words = sorted(idf)
+    examples, texts = [], []
+    for i in range(500):
+        chosen = rng.sample(range(200), rng.randint(1, 20)) + ([0] if i % 2 else [])
+        chosen = np.array(sorted(set(chosen)), "<i4")
+        counts = np.array([rng.randint(1, 4) for _ in chosen], "<i4")
+        examples.append((i, i % 3 == 0, chosen, counts))
+        texts.append({words[t]: int(n) for t, n in zip(chosen, counts)})
+    space = X.WholeSpace({t: i for i, t in enumerate(words)}, np.array([idf[t] for t in words]), examples, block=8)
+    assert 0 < len(space.matrix) < 200
+    unit = np.zeros((500, 200))
+    for i, t in enumerate(texts):
+        at, weights = space.vector(t)
+        unit[i, at] = weights
+    exact = np.sort(unit @ unit.T, axis=1)[:, ::-1]
+    for i, near in enumerate(space.nearest([space.vector(t) for t in texts], 15)):
+        wanted = [c for c in exact[i, :15] if c > 0]
+        assert np.allclose([c for c, _ in near], wanted)
