@@ -426,32 +426,32 @@ def FMT(x: str, d: int) -> str:
     return f"CAST(CAST(ROUND(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), {d}) AS DECIMAL(38,{d})) AS VARCHAR)"
 
 
-PP = "pp AS (SELECT DISTINCT o_custkey AS customer_id, l_partkey AS product_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE " + RATING + " >= 4)"
-BB = ("bb AS (SELECT DISTINCT l_orderkey AS customer_id, p_brand AS product_id FROM lineitem "
+PP = "pp AS MATERIALIZED (SELECT DISTINCT o_custkey AS customer_id, l_partkey AS product_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE " + RATING + " >= 4)"
+BB = ("bb AS MATERIALIZED (SELECT DISTINCT l_orderkey AS customer_id, p_brand AS product_id FROM lineitem "
       "JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE " + RATING + " >= 4)")
 
 
 def fim_sql(p: str, src: str, min_support: float, min_count: int = 1, levels: int = 9) -> str:
     """Apriori inside each basket: extend only frequent prefixes."""
-    out = [f"{p}n AS (SELECT count(DISTINCT customer_id) AS n FROM {src})",
-           f"{p}mc AS (SELECT greatest({min_count}, CAST(ceil(CAST({min_support} AS DOUBLE) * n) AS BIGINT)) AS mc FROM {p}n)",
-           f"{p}R1 AS (SELECT customer_id, [product_id] AS s, product_id AS last FROM {src})",
-           f"{p}L1 AS (SELECT s, count(*) AS freq FROM {p}R1 GROUP BY s HAVING count(*) >= (SELECT mc FROM {p}mc))",
-           f"{p}F1 AS (SELECT r.* FROM {p}R1 r JOIN {p}L1 l ON r.s = l.s)"]
+    out = [f"{p}n AS MATERIALIZED (SELECT count(DISTINCT customer_id) AS n FROM {src})",
+           f"{p}mc AS MATERIALIZED (SELECT greatest({min_count}, CAST(ceil(CAST({min_support} AS DOUBLE) * n) AS BIGINT)) AS mc FROM {p}n)",
+           f"{p}R1 AS MATERIALIZED (SELECT customer_id, [product_id] AS s, product_id AS last FROM {src})",
+           f"{p}L1 AS MATERIALIZED (SELECT s, count(*) AS freq FROM {p}R1 GROUP BY s HAVING count(*) >= (SELECT mc FROM {p}mc))",
+           f"{p}F1 AS MATERIALIZED (SELECT r.* FROM {p}R1 r JOIN {p}L1 l ON r.s = l.s)"]
     for k in range(2, levels + 1):
-        out.append(f"{p}R{k} AS (SELECT r.customer_id, list_append(r.s, x.last) AS s, x.last AS last FROM {p}F{k-1} r "
+        out.append(f"{p}R{k} AS MATERIALIZED (SELECT r.customer_id, list_append(r.s, x.last) AS s, x.last AS last FROM {p}F{k-1} r "
                    f"JOIN {p}F1 x ON r.customer_id = x.customer_id AND x.last > r.last)")
-        out.append(f"{p}L{k} AS (SELECT s, count(*) AS freq FROM {p}R{k} GROUP BY s HAVING count(*) >= (SELECT mc FROM {p}mc))")
-        out.append(f"{p}F{k} AS (SELECT r.* FROM {p}R{k} r JOIN {p}L{k} l ON r.s = l.s)")
+        out.append(f"{p}L{k} AS MATERIALIZED (SELECT s, count(*) AS freq FROM {p}R{k} GROUP BY s HAVING count(*) >= (SELECT mc FROM {p}mc))")
+        out.append(f"{p}F{k} AS MATERIALIZED (SELECT r.* FROM {p}R{k} r JOIN {p}L{k} l ON r.s = l.s)")
     union = " UNION ALL ".join(f"SELECT s, freq FROM {p}L{k}" for k in range(1, levels + 1))
-    out.append(f"{p}IS AS ({union})")
-    out.append(f"{p}items AS (SELECT s AS items, freq, CAST(freq AS DOUBLE) / (SELECT n FROM {p}n) AS support FROM {p}IS)")
+    out.append(f"{p}IS AS MATERIALIZED ({union})")
+    out.append(f"{p}items AS MATERIALIZED (SELECT s AS items, freq, CAST(freq AS DOUBLE) / (SELECT n FROM {p}n) AS support FROM {p}IS)")
     return ",\n".join(out)
 
 
 def rules_sql(p: str, min_conf: float, min_lift: float) -> str:
-    return f"""{p}ex AS (SELECT s, freq, unnest(s) AS c FROM {p}IS WHERE len(s) >= 2),
-{p}rules AS (SELECT list_filter(e.s, lambda x: x <> e.c) AS antecedent, [e.c] AS consequent,
+    return f"""{p}ex AS MATERIALIZED (SELECT s, freq, unnest(s) AS c FROM {p}IS WHERE len(s) >= 2),
+{p}rules AS MATERIALIZED (SELECT list_filter(e.s, lambda x: x <> e.c) AS antecedent, [e.c] AS consequent,
     CAST(e.freq AS DOUBLE) / (SELECT n FROM {p}n) AS support,
     CAST(e.freq AS DOUBLE) / a.freq AS confidence,
     (CAST(e.freq AS DOUBLE) / a.freq) / (CAST(cs.freq AS DOUBLE) / (SELECT n FROM {p}n)) AS lift
@@ -461,7 +461,7 @@ def rules_sql(p: str, min_conf: float, min_lift: float) -> str:
 
 
 def baskets_sql(p: str, src: str) -> str:
-    return f"{p}tx AS (SELECT customer_id, list_sort(list(product_id)) AS items FROM {src} GROUP BY customer_id)"
+    return f"{p}tx AS MATERIALIZED (SELECT customer_id, list_sort(list(product_id)) AS items FROM {src} GROUP BY customer_id)"
 
 
 def R6(cols: str) -> str:
@@ -515,10 +515,10 @@ SELECT Rule_ID,
      AS Consequent_Product_Name,
   {FMT('support', 4)} AS Support, {FMT('confidence', 4)} AS Confidence, {FMT('lift', 4)} AS Lift FROM top"""
 
-PRED = f"""{BRAND}, pred AS (SELECT t.customer_id, r.antecedent, r.consequent,
+PRED = f"""{BRAND}, pred AS MATERIALIZED (SELECT t.customer_id, r.antecedent, r.consequent,
     list_filter(r.consequent, lambda x: NOT list_contains(t.items, x)) AS new_items, r.confidence, r.lift, r.support
   FROM b_rules r JOIN b_tx t ON list_has_all(t.items, r.antecedent)),
-pr AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY confidence DESC, lift DESC,
+pr AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY confidence DESC, lift DESC,
     CAST(antecedent AS VARCHAR), CAST(consequent AS VARCHAR)) AS pred_rank FROM pred WHERE len(new_items) > 0)"""
 SQL["predict_from_items"] = (f"WITH {PRED} SELECT customer_id, antecedent, new_items, {R6('confidence,lift,support')}, "
                              "pred_rank FROM pr")
@@ -539,27 +539,27 @@ SELECT item, other, {RND('score', 6)} AS score, rank FROM rk WHERE rank <= 5"""
 
 def hybrid_sql(p: str, top_n: int) -> str:
     """Rule scores + 0.5 x top-5-neighbour Jaccard scores, owned removed."""
-    return f"""{p}rows AS (SELECT customer_id, unnest(items) AS product_id FROM {p}tx),
-{p}rs AS (SELECT t.customer_id, unnest(r.consequent) AS product_id, r.lift FROM {p}rules r
+    return f"""{p}rows AS MATERIALIZED (SELECT customer_id, unnest(items) AS product_id FROM {p}tx),
+{p}rs AS MATERIALIZED (SELECT t.customer_id, unnest(r.consequent) AS product_id, r.lift FROM {p}rules r
   JOIN {p}tx t ON list_has_all(t.items, r.antecedent)),
-{p}rscore AS (SELECT customer_id, product_id, sum(lift) AS score FROM {p}rs GROUP BY ALL),
-{p}inter AS (SELECT a.customer_id, b.customer_id AS other_id, count(*) AS inter FROM {p}rows a JOIN {p}rows b
+{p}rscore AS MATERIALIZED (SELECT customer_id, product_id, sum(lift) AS score FROM {p}rs GROUP BY ALL),
+{p}inter AS MATERIALIZED (SELECT a.customer_id, b.customer_id AS other_id, count(*) AS inter FROM {p}rows a JOIN {p}rows b
   ON a.product_id = b.product_id AND a.customer_id <> b.customer_id GROUP BY ALL),
-{p}jac AS (SELECT i.customer_id, i.other_id, CAST(inter AS DOUBLE) / (len(x.items) + len(y.items) - inter) AS jaccard
+{p}jac AS MATERIALIZED (SELECT i.customer_id, i.other_id, CAST(inter AS DOUBLE) / (len(x.items) + len(y.items) - inter) AS jaccard
   FROM {p}inter i JOIN {p}tx x ON x.customer_id = i.customer_id JOIN {p}tx y ON y.customer_id = i.other_id),
-{p}nb AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY jaccard DESC, other_id) AS nrank FROM {p}jac),
-{p}nscore AS (SELECT n.customer_id, r.product_id, sum(n.jaccard) AS score FROM {p}nb n JOIN {p}rows r ON r.customer_id = n.other_id
+{p}nb AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY jaccard DESC, other_id) AS nrank FROM {p}jac),
+{p}nscore AS MATERIALIZED (SELECT n.customer_id, r.product_id, sum(n.jaccard) AS score FROM {p}nb n JOIN {p}rows r ON r.customer_id = n.other_id
   WHERE n.nrank <= 5 GROUP BY ALL),
-{p}nscore2 AS (SELECT * FROM {p}nscore s WHERE NOT EXISTS (SELECT 1 FROM {p}rows o WHERE o.customer_id = s.customer_id
+{p}nscore2 AS MATERIALIZED (SELECT * FROM {p}nscore s WHERE NOT EXISTS (SELECT 1 FROM {p}rows o WHERE o.customer_id = s.customer_id
   AND o.product_id = s.product_id)),
-{p}parts AS (SELECT customer_id, product_id, score FROM {p}rscore UNION ALL
+{p}parts AS MATERIALIZED (SELECT customer_id, product_id, score FROM {p}rscore UNION ALL
   SELECT customer_id, product_id, score * 0.5 FROM {p}nscore2),
-{p}tot AS (SELECT customer_id, product_id, sum(score) AS score FROM {p}parts GROUP BY ALL),
-{p}tot2 AS (SELECT * FROM {p}tot s WHERE NOT EXISTS (SELECT 1 FROM {p}rows o WHERE o.customer_id = s.customer_id
+{p}tot AS MATERIALIZED (SELECT customer_id, product_id, sum(score) AS score FROM {p}parts GROUP BY ALL),
+{p}tot2 AS MATERIALIZED (SELECT * FROM {p}tot s WHERE NOT EXISTS (SELECT 1 FROM {p}rows o WHERE o.customer_id = s.customer_id
   AND o.product_id = s.product_id)),
-{p}rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY {RND('score', 9)} DESC, product_id) AS INTEGER)
+{p}rk AS MATERIALIZED (SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY {RND('score', 9)} DESC, product_id) AS INTEGER)
   AS rank FROM {p}tot2),
-{p}recs AS (SELECT customer_id, rank, product_id, score FROM {p}rk WHERE rank <= {top_n})"""
+{p}recs AS MATERIALIZED (SELECT customer_id, rank, product_id, score FROM {p}rk WHERE rank <= {top_n})"""
 
 
 HYB = f"{PART}, {hybrid_sql('p_', 5)}"
@@ -607,11 +607,11 @@ SPLIT = "('0x' || substr(md5(customer_id::VARCHAR || '|' || product_id::VARCHAR)
 SQL["train_test_split"] = (f"WITH {PP} SELECT customer_id, product_id, CASE WHEN {SPLIT} >= 20 THEN 'train' ELSE 'test' END "
                            "AS part FROM pp")
 
-EVAL = f"""{PP}, tr AS (SELECT * FROM pp WHERE {SPLIT} >= 20), te AS (SELECT * FROM pp WHERE {SPLIT} < 20),
+EVAL = f"""{PP}, tr AS MATERIALIZED (SELECT * FROM pp WHERE {SPLIT} >= 20), te AS MATERIALIZED (SELECT * FROM pp WHERE {SPLIT} < 20),
 {baskets_sql('e_', 'tr')}, {fim_sql('e_', 'tr', 0.002, 2)}, {rules_sql('e_', 0.1, 1.0)}, {hybrid_sql('e_', 10)},
 act AS (SELECT DISTINCT customer_id, product_id FROM te),
 sizes AS (SELECT customer_id, count(*) AS n_actual FROM act GROUP BY 1),
-r AS (SELECT r.customer_id, r.rank, r.product_id, s.n_actual, CASE WHEN a.product_id IS NULL THEN 0 ELSE 1 END AS hit
+r AS MATERIALIZED (SELECT r.customer_id, r.rank, r.product_id, s.n_actual, CASE WHEN a.product_id IS NULL THEN 0 ELSE 1 END AS hit
   FROM e_recs r JOIN sizes s USING (customer_id) LEFT JOIN act a USING (customer_id, product_id)),
 r2 AS (SELECT *, sum(hit) OVER (PARTITION BY customer_id ORDER BY rank ROWS UNBOUNDED PRECEDING) AS hsf FROM r),
 ks AS (SELECT unnest([1, 3, 5, 10]) AS k),

@@ -43,7 +43,7 @@ def test_holdout_no_overlap_gives_null_hit_rate(spark):
     rdf = spark.createDataFrame([(1, 1, 10)], "customer_id long, rank int, product_id long")
     adf = spark.createDataFrame([(2, 10)], "customer_id long, product_id long")
     r = metrics.holdout_evaluation(rdf, adf).first()
-    assert r.hit_rate is None and r.precision == 0.0 and r.coverage == 100.0 and r.diversity == 1
+    assert r.hit_rate is None and r.precision == 0.0 and r.coverage == 0.0 and r.diversity == 1
 
 
 def test_split_is_within_customer(spark):
