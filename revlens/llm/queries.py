@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (embedding_dedup, exact_dedup, jaccard_join, license_scan, line_dedup, mixing, packing, secret_scan, toxicity,
-               url_filter)
+from . import (centroid_clustering, embedding_dedup, exact_dedup, importance_resampling, jaccard_join, license_scan, line_dedup,
+               mixing, packing, secret_scan, topk_search, toxicity, url_filter)
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_secrets": secret_scan.op8_secrets,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_centroid_clustering": centroid_clustering.op11_centroid_clustering,
+    "op12_importance_resampling": importance_resampling.op12_importance_resampling,
+    "op13_topk_search": topk_search.op13_topk_search,
 }
 
 SQL = {
@@ -23,4 +26,7 @@ SQL = {
     "op4_mixing": mixing.SQL,
     "op7_url_filter": url_filter.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op11_centroid_clustering": centroid_clustering.SQL,
+    "op12_importance_resampling": importance_resampling.SQL,
+    "op13_topk_search": topk_search.SQL,
 }
