@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from revlens.functions.html import unescape_html
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for right results.
 # Abbreviation dictionary of the Spark cleaning job (20 entries, in order).
@@ -31,12 +33,6 @@ ABBREVIATIONS_NOTEBOOK = {
     "oki": "ổn", "okê": "ổn", "ms": "mới", "cx": "cũng", "of": "của",
     "or": "hoặc", "sdt": "số_điện_thoại",
 }
-# HTML entities decoded by clean_text_v2 (named subset plus the two common
-# numeric forms of the apostrophe); ``&amp;`` last so "&amp;lt;" stays "&lt;".
-HTML_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-    ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"),
-]
 # ---------------------------------------------------------------------------
 
 # ASCII whitespace as Java's \s sees it (space, \t \n \x0B \f \r).
@@ -86,13 +82,11 @@ def clean_text(c, mapping: dict = ABBREVIATIONS_JOB) -> Column:
 def clean_text_v2(c) -> Column:
     """the notebook's cleaner (case kept).
 
-    HTML entities decoded (named subset), ``@x`` dropped, ``#tag`` -> ``tag``,
+    HTML character references decoded, ``@x`` dropped, ``#tag`` -> ``tag``,
     URLs dropped, characters outside the Basic Multilingual Plane (emoji)
     dropped, non-word characters to space, whitespace squeezed and trimmed.
     """
-    c = _text(c)
-    for entity, char in HTML_ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
+    c = unescape_html(_text(c))
     c = F.regexp_replace(c, f"@[^{UNICODE_WS}]+", "")
     c = F.regexp_replace(c, f"#([{WORD}]+)", "$1")
     c = F.regexp_replace(c, f"https?://[^{UNICODE_WS}]+|www\\.[^{UNICODE_WS}]+", "")

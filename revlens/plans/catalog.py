@@ -188,6 +188,7 @@ def q_duplicate_count(spark, d):
 
 
 # ---------------------------------------------------------------- flags ----
+from revlens.functions import html  # noqa: E402
 from revlens.functions import text as tx  # noqa: E402
 from revlens.operators import flags, summaries  # noqa: E402
 from revlens.plans import cleaning  # noqa: E402
@@ -301,6 +302,22 @@ def q_clean_text_v2(spark, d):
     return fx.documents(spark, d).select("doc_id", tx.clean_text_v2(F.col("text")).alias("content_text"))
 
 
+@register("unescape_html")
+def q_unescape_html(spark, d):
+    pages = readers.read_table(spark, d, "pages")
+    return pages.select("page_id", html.unescape_html(F.col("html")).alias("html"))
+
+
+@register("unescape_forms")
+def q_unescape_forms(spark, d):
+    return fx.escaped_conversations(spark, d).withColumn("text", html.unescape_html(F.col("text")))
+
+
+@register("clean_escaped_text")
+def q_clean_escaped_text(spark, d):
+    return fx.escaped_conversations(spark, d).select("conv_id", "turn", tx.clean_text_v2(F.col("text")).alias("content_text"))
+
+
 @register("normalize_text")
 def q_normalize_text(spark, d):
     return fx.documents(spark, d).select(

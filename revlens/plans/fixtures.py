@@ -221,6 +221,25 @@ def padded_conversations(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("conv_id").alias("customer_id"), F.col("turn").alias("comment_id"), blank.alias("content"))
 
 
+def escaped_conversations(spark: SparkSession, d: str) -> DataFrame:
+    """``conversations`` as a web page would hold them: letters and blanks written as HTML
+    references, one way of writing for each fifth of the turns (named with and without
+    semicolon, decimal, hexadecimal, Windows bytes, unknown names, invalid numbers)."""
+    t = F.col("text")
+
+    def put(c: F.Column, *pairs: tuple[str, str | F.Column]) -> F.Column:
+        for old, new in pairs:
+            c = F.replace(c, F.lit(old), F.lit(new) if isinstance(new, str) else new)
+        return c
+
+    by_length = F.concat(F.lit("&#"), (F.length(t) * 97).cast("string"), F.lit(";"))
+    forms = [put(t, ("e", "&eacute;"), (" ", "&nbsp;&ensp;")), put(t, ("a", "&#97"), ("o", "&#x6F;")),
+             put(t, ("i", "&notit;"), (" the", "&ampthe&copy")), put(t, ("n", "&#150;"), ("s", by_length)),
+             F.concat(F.lit("&lt;p&gt;"), put(t, (" ", "&CounterClockwiseContourIntegral;&no such;")), F.lit("&#x1F600;&#0;&#xD800;&#5;"))]
+    text = F.get(F.array(*forms), F.pmod(F.col("turn"), F.lit(len(forms))).cast("int"))
+    return _t(spark, d, "conversations").select("conv_id", "turn", text.alias("text"))
+
+
 def review_json(spark: SparkSession, d: str) -> DataFrame:
     """Landed review documents (S4 input): each raw comment row as the
     crawler's nested JSON text, ``created_by`` and ``seller`` null when

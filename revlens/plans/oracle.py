@@ -7,6 +7,8 @@ text of the value), so 2 dp results agree bit for bit.
 
 from __future__ import annotations
 
+import html.entities
+
 from revlens.functions.text import ABBREVIATIONS_JOB, ABBREVIATIONS_NOTEBOOK
 
 SQL: dict[str, str] = {}
@@ -186,11 +188,31 @@ def sql_clean_text(x: str) -> str:
     return _squeeze(sql_expand(c))
 
 
+def sql_lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def sql_unescape(x: str) -> str:
+    """HTML references: every reference is looked up among what Python's html.unescape
+    makes of each name; numeric ones by code point.  Its own table and rules."""
+    known = {"&" + n: html.unescape("&" + n) for n in html.entities.html5}
+    odd = {n: html.unescape(f"&#{n};") for n in [0, *range(1, 32), *range(127, 160)]}
+    names, codes = (f"MAP([{', '.join(keys)}], [{', '.join(map(sql_lit, m.values()))}])"
+                    for keys, m in ((map(sql_lit, known), known), (map(str, odd), odd)))
+    numeric = ("CASE WHEN n IS NULL OR n > 1114111 OR n BETWEEN 55296 AND 57343 THEN '\uFFFD' WHEN map_contains(odd, n) THEN odd[n] "
+               "WHEN n BETWEEN 64976 AND 65007 OR n % 65536 >= 65534 THEN '' ELSE chr(n::INT) END")
+    old = " ".join(f"WHEN map_contains(names, r[:{k}]) THEN names[r[:{k}]] || r[{k + 1}:]" for k in range(7, 2, -1))
+    pattern = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+    return (f"(CASE WHEN NOT contains({x}, '&') THEN {x} ELSE (SELECT string_agg(piece || CASE WHEN r[2] = '#' THEN {numeric} "
+            f"WHEN map_contains(names, r) THEN names[r] {old} ELSE r END, '' ORDER BY i) FROM ("
+            f"SELECT *, CASE WHEN r[2] <> '#' THEN NULL WHEN lower(r[3]) = 'x' THEN TRY_CAST('0x' || rtrim(r[4:], ';') AS BIGINT) "
+            f"ELSE TRY_CAST(rtrim(r[3:], ';') AS BIGINT) END AS n FROM ("
+            f"SELECT unnest(regexp_split_to_array({x}, '{pattern}')) AS piece, unnest(list_concat(regexp_extract_all({x}, '{pattern}'), [''])) AS r, "
+            f"generate_subscripts(regexp_split_to_array({x}, '{pattern}'), 1) AS i) p, (SELECT {names} AS names, {codes} AS odd) known)) END)")
+
+
 def sql_clean_text_v2(x: str) -> str:
-    c = f"coalesce(CAST({x} AS VARCHAR), '')"
-    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"),
-                    ("&apos;", "''"), ("&nbsp;", " "), ("&amp;", "&")]:
-        c = f"replace({c}, '{ent}', '{ch}')"
+    c = sql_unescape(f"coalesce(CAST({x} AS VARCHAR), '')")
     c = _re(c, f"@[^{UNICODE_WS}]+", "")
     c = _re(c, f"#([{WORD}]+)", r"\1")
     c = _re(c, f"https?://[^{UNICODE_WS}]+|www\\.[^{UNICODE_WS}]+", "")
@@ -219,6 +241,13 @@ STOPWORDS = ["the", "and", "of", "a", "to", "in", "is", "de", "la", "le", "les",
 
 SQL["clean_text"] = f"SELECT doc_id, {sql_clean_text('text')} AS content_text FROM documents"
 SQL["clean_text_v2"] = f"SELECT doc_id, {sql_clean_text_v2('text')} AS content_text FROM documents"
+SQL["unescape_html"] = f"SELECT page_id, {sql_unescape('html')} AS html FROM pages"
+ESCAPED = r"""(SELECT conv_id, turn, CASE turn % 5
+    WHEN 0 THEN replace(replace(text, 'e', '&eacute;'), ' ', '&nbsp;&ensp;') WHEN 1 THEN replace(replace(text, 'a', '&#97'), 'o', '&#x6F;')
+    WHEN 2 THEN replace(replace(text, 'i', '&notit;'), ' the', '&ampthe&copy') WHEN 3 THEN replace(replace(text, 'n', '&#150;'), 's', '&#' || length(text) * 97 || ';')
+    ELSE '&lt;p&gt;' || replace(text, ' ', '&CounterClockwiseContourIntegral;&no such;') || '&#x1F600;&#0;&#xD800;&#5;' END AS text FROM conversations)"""
+SQL["unescape_forms"] = f"SELECT conv_id, turn, {sql_unescape('text')} AS text FROM {ESCAPED}"
+SQL["clean_escaped_text"] = f"SELECT conv_id, turn, {sql_clean_text_v2('text')} AS content_text FROM {ESCAPED}"
 SQL["normalize_text"] = f"SELECT doc_id, {sql_normalize(sql_clean_text_v2('text'))} AS content_text FROM documents"
 _sw = ", ".join(f"'{w}'" for w in STOPWORDS)
 SQL["remove_stopwords"] = (f"SELECT doc_id, array_to_string(list_filter({sql_words(sql_normalize(sql_clean_text_v2('text')))}, "

@@ -1,6 +1,11 @@
+import html
+import random
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from revlens.functions import text as tx
+from revlens.functions.html import unescape_html
 
 
 def one(spark, expr_fn, value):
@@ -49,3 +54,23 @@ def test_short_word_counts(spark):
     df = spark.createDataFrame([("a bb ccc a",), ("bb a xy",)], "content_text string")
     rows = [tuple(r) for r in short_word_counts(df, top_k=2).collect()]
     assert rows == [("a", 3), ("bb", 2)]
+
+
+def test_unescape_html_equals_the_standard_library(spark):
+    rng = random.Random(1)
+    texts = [f"a&{n}b" for n in html5] + [f"&{n}" for n in html5] + [f"x &{n}; y" for n in html5 if not n.endswith(";")]
+    numbers = [*range(400), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDCF, 0xFDD0, 0xFDEF, 0xFDF0, 0xFFFD, 0xFFFE, 0xFFFF, 0x10000,
+               0x1FFFE, 0x1FFFF, 0x10FFFD, 0x10FFFF, 0x110000, 10 ** 7, 10 ** 20]
+    texts += [f"&#{n};" for n in numbers] + [f"&#x{n:x}" for n in numbers]
+    texts += ["", "&", "&#;", "&#x;", "&&amp;", "a&amp;lt;", "&notit;", "&ampx;", "&no such;", "&" + "a" * 40 + ";",
+              "&#00000000000065;", "&lt\n&gt", "caf&eacute &hellip; &copy2024"]
+    texts += ["".join(rng.choice(["&", "amp", "#", "x", "3", "9", ";", "lt", "not", "in", " ", "é", "copy"]) for _ in range(12))
+              for _ in range(2000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(2)
+    got = dict(df.select("i", unescape_html(F.col("t"))).collect())
+    assert [got[i] for i in range(len(texts))] == [html.unescape(t) for t in texts]
+    assert one(spark, unescape_html, None) is None
+
+
+def test_clean_text_v2_decodes_all_references(spark):
+    assert one(spark, tx.clean_text_v2, "a&#243;b &eacute;t &copy; &hellip;") == "aób ét"
