@@ -10,11 +10,16 @@ Burst flag semantics (per user, rows ordered by time then id):
 
 Scale design.  A window partitioned by user alone sends a user who owns a
 third of all rows to one task.  With ``bucket_seconds`` set, the row-level
-window is partitioned by (user, time bucket) instead, and the three values
-that cross bucket borders (previous timestamp, run length carried in,
-resets before the bucket) come from a per-bucket summary table, which has
-one row per (user, bucket) and is windowed per user.  Every row-level step
-stays partitioned by (user, bucket).
+window is partitioned by (user, chunk) instead.  A chunk is a time bucket of a
+user, and a bucket of more than ``chunk_rows`` rows is cut further, by row
+count, at the seconds where its running count passes a multiple of
+``chunk_rows``: a prefix scan over per-second counts.  The values that
+cross chunk borders (previous timestamp, run length carried in, resets before
+the chunk) come from a per-chunk summary table, whose run summaries are
+combined by a window per user; there is one row per (user, chunk).  Every
+row-level step stays partitioned by (user, chunk).  The cuts are few (at most
+two per ``chunk_rows`` rows of the input, and only for buckets beyond it), so
+they are broadcast.  Rows of one user and one second stay together.
 ``bucket_seconds=None`` gives the plain per-user window (same results).
 """
 
@@ -29,6 +34,7 @@ BURST_QUANTILE = 0.05
 BURST_MIN_RUN = 4
 TIMEGAP_QUANTILE = 0.05
 DEFAULT_BUCKET_SECONDS = 86400
+DEFAULT_CHUNK_ROWS = 1_000_000
 
 _RUN = Window.unboundedPreceding
 
@@ -57,19 +63,45 @@ def _minutes_between(later: Column, earlier: Column) -> Column:
     return (F.unix_seconds(later) - F.unix_seconds(earlier)) / 60.0
 
 
+def chunk_cuts(df: DataFrame, user: str, ts: str, bucket_seconds: int, chunk_rows: int) -> DataFrame:
+    """(user, _day, _cuts): for each time bucket of a user with more than ``chunk_rows`` rows the
+    seconds, ascending, at which its next chunk begins."""
+    second = F.unix_seconds(F.col(ts))
+    rows = df.select(F.col(user).alias("_user"), second.alias("_s"), F.floor(second / bucket_seconds).cast("bigint").alias("_day"))
+    hot = rows.groupBy("_user", "_day").agg(F.count("*").alias("_n")).filter(F.col("_n") > chunk_rows)
+    per = (rows.join(hot, ["_user", "_day"], "left_semi").groupBy("_user", "_day", "_s").agg(F.count("*").alias("_n")))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_user", "_day").orderBy("_s").rowsBetween(_RUN, -1)), F.lit(0))
+    part = per.withColumn("_part", F.floor(before / chunk_rows)).groupBy("_user", "_day", "_part").agg(F.min("_s").alias("_s"))
+    return (part.filter(F.col("_part") > 0).groupBy("_user", "_day")
+                .agg(F.array_sort(F.collect_list("_s")).alias("_cuts")))
+
+
+def chunked(df: DataFrame, user: str, ts: str, bucket_seconds: int | None, chunk_rows: int | None) -> DataFrame:
+    """``df`` with ``_b``, the number of the row's chunk; chunks of a user are in order of time."""
+    if bucket_seconds is None:
+        return df.withColumn("_b", F.lit(0).cast("bigint"))
+    second = F.unix_seconds(F.col(ts))
+    day = F.floor(second / bucket_seconds).cast("bigint")
+    if chunk_rows is None:
+        return df.withColumn("_b", day)
+    cuts = chunk_cuts(df, user, ts, bucket_seconds, chunk_rows)
+    laid = df.withColumn("_day", day)
+    laid = laid.join(F.broadcast(cuts), (F.col(user) == F.col("_user")) & (laid["_day"] == cuts["_day"]), "left").drop(cuts["_day"], "_user")
+    later = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= second)), F.lit(0))
+    # a bucket has at most one cut per second
+    return laid.withColumn("_b", F.col("_day") * (bucket_seconds + 1) + F.when(F.col("_cuts").isNull(), 0).otherwise(later)).drop("_day", "_cuts")
+
+
 def review_gaps(df: DataFrame, user: str = "customer_id", ts: str = "created_at_ts",
                 order_id: str = "comment_id",
-                bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+                chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``previous_created_at_ts`` and ``delta_minutes`` per user.
 
-    Helper columns ``_b`` (bucket) and ``_rn`` (row number in the bucket)
+    Helper columns ``_b`` (chunk) and ``_rn`` (row number in the chunk)
     are kept for ``burst_flags`` and dropped there.
     """
-    if bucket_seconds is None:
-        b = F.lit(0).cast("bigint")
-    else:
-        b = F.floor(F.unix_seconds(F.col(ts)) / bucket_seconds).cast("bigint")
-    df = df.withColumn("_b", b)
+    df = chunked(df, user, ts, bucket_seconds, chunk_rows)
     w = Window.partitionBy(user, "_b").orderBy(ts, order_id)
     rows = (df.withColumn("_rn", F.row_number().over(w))
               .withColumn("_prev", F.lag(ts).over(w)))
@@ -98,7 +130,7 @@ def burst_flags(df: DataFrame, user: str = "customer_id", ts: str = "created_at_
                 order_id: str = "comment_id", threshold: Column | float | None = None,
                 min_run: int = BURST_MIN_RUN,
                 bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-                zero_is_small: bool = False) -> DataFrame:
+                zero_is_small: bool = False, chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """W1–W3 + X2: adds previous_created_at_ts, delta_minutes, small_gap,
     burst_group, burst_count and F3_flag.
 
@@ -106,9 +138,9 @@ def burst_flags(df: DataFrame, user: str = "customer_id", ts: str = "created_at_
     keep all their columns lazily.  ``zero_is_small`` is the notebook's form: the
     threshold is taken over all gaps, and a gap of zero counts as small.
     """
-    gaps = review_gaps(df, user, ts, order_id, bucket_seconds)
+    gaps = review_gaps(df, user, ts, order_id, bucket_seconds, chunk_rows)
     if threshold is None:
-        narrow = review_gaps(df.select(user, ts, order_id), user, ts, order_id, bucket_seconds)
+        narrow = review_gaps(df.select(user, ts, order_id), user, ts, order_id, bucket_seconds, chunk_rows)
         threshold = (all_gaps_threshold(narrow) if zero_is_small else burst_threshold(narrow)).scalar()
     thr = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     d = F.col("delta_minutes")

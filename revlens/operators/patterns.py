@@ -2,10 +2,10 @@
 J4, K3, K4, K7).
 
 Mining uses Spark ML's parallel FP-Growth.  Look-ups against baskets are
-written as equi-joins: "rule antecedent is a subset of basket" becomes
-explode(antecedent) JOIN explode(basket) ON item, counted per (rule,
-basket) and kept when the count equals the antecedent size (J4) – no
-nested loop over rules x baskets.
+written as equi-joins: "rule antecedent is a subset of basket" (J4) joins each
+antecedent's rarest item with the baskets that hold it and checks the other
+items in place – no nested loop over rules x baskets, and an item that most
+baskets hold is joined only for a rule that has no other.
 """
 
 from __future__ import annotations
@@ -96,16 +96,27 @@ def rule_quality(rules: DataFrame) -> DataFrame:
         F.coalesce(F.stddev_pop("lift"), z).alias("std_lift"))
 
 
+def rarest_item_index(sets: DataFrame, set_id: str, set_col: str, basket_items: DataFrame) -> DataFrame:
+    """(set_id, _set, _item): one row per set, indexed under the item that the fewest baskets
+    hold.  ``basket_items``: (_item) rows.  A set with an item of no basket is left out."""
+    s = sets.select(set_id, F.array_distinct(set_col).alias("_set"))
+    held = basket_items.groupBy("_item").agg(F.count("*").alias("_n"))
+    items = s.select(set_id, "_set", F.explode("_set").alias("_item")).join(held, "_item", "left")
+    return (items.groupBy(set_id, "_set").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_item")).alias("_r"))
+            .filter(F.col("_r.n") > 0).select(set_id, "_set", F.col("_r._item").alias("_item")))
+
+
 def subset_matches(sets: DataFrame, set_id: str, set_col: str, baskets: DataFrame,
                    basket_id: str = "customer_id", basket_col: str = "items") -> DataFrame:
     """(set_id, basket_id) pairs where every element of ``set_col`` is in
-    ``basket_col``, as an equi-join on the element plus a count check."""
-    s = sets.select(set_id, F.size(set_col).alias("_need"), F.explode(set_col).alias("_item"))
+    ``basket_col``: an equi-join on each set's rarest item, the remaining items
+    checked against the basket's array.  Empty sets match nothing."""
     b = baskets.select(basket_id, F.explode(F.array_distinct(basket_col)).alias("_item"))
-    return (s.join(b, "_item")
-             .groupBy(set_id, basket_id, "_need").agg(F.count("*").alias("_have"))
-             .filter(F.col("_have") == F.col("_need"))
-             .select(set_id, basket_id))
+    near = rarest_item_index(sets, set_id, set_col, b).join(b, "_item").select(set_id, "_set", basket_id)
+    one = F.size("_set") == 1
+    rest = near.filter(~one).join(baskets.select(basket_id, F.col(basket_col).alias("_basket")), basket_id)
+    whole = rest.filter(F.size(F.array_except("_set", "_basket")) == 0)
+    return near.filter(one).select(set_id, basket_id).unionByName(whole.select(set_id, basket_id))
 
 
 def predict_from_items(rules: DataFrame, queries: DataFrame, query_id: str = "customer_id",

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from revlens.operators.baskets import basket_rows
 from revlens.operators.patterns import subset_matches
@@ -88,83 +87,73 @@ def _topk(df: DataFrame, key: str, order: list, k: int, salt: int = TOPK_SALT) -
     return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
 
 
-HOT_BUYERS = 1000
-
-
-def neighbour_candidates(baskets: DataFrame, k: int = NEIGHBOURS, hot: int = HOT_BUYERS) -> DataFrame:
+def neighbour_candidates(baskets: DataFrame, k: int = NEIGHBOURS, hot: int | None = None) -> DataFrame:
     """(customer_id, other_id, jaccard) containing every customer's exact
     top-k neighbours (scores exact) without forming all pairs of the buyers
     of a popular product.
 
-    * single-item customer A = {x}: J(A, B) = 1/|B| for every buyer B of x,
-      so its top k are among the k+1 smallest (|B|, id) buyers of x;
-    * multi-item A and single-item B = {x} with x in A: J = 1/|A| for all
-      such B, so only the k lowest ids of single-item buyers per item matter;
-    * multi-item pairs.  A product is *hot* when more than ``hot``
-      multi-item customers hold it.  A pair of multi-item customers shares
-      - a cold product: formed through that product's buyer list
-        (at most ``hot``^2 pairs per product);
-      - two or more hot products: formed through the (hot, hot) product
-        pairs each customer holds;
-      - exactly one product, a hot one h: J = 1/(|A|+|B|-1) falls with
-        |B|, so any buyer of h ahead of B in (|B|, id) order ranks ahead of
-        B for A; only the k+1 first buyers of h can be in A's top k.
-      Rows carry the customer's hot products, so the intersection of a
-      formed pair is its cold count plus the overlap of the two hot arrays,
-      all in one aggregation per pair.
+    A product is *hot* when its buyers would make more pairs than there are basket rows
+    in all (``hot`` sets a number of buyers instead; it changes the plan, never the
+    result).  Two customers share
+
+    * a product that is not hot: the pair is formed through that product's buyer list;
+      its intersection is the number of such lists plus the overlap of the two
+      customers' hot products;
+    * hot products only.  Customers with the same hot products are one *class*.  For a
+      customer A and the members B of one class the shared count s is the same, so
+      J = s / (|A| + |B| - s) falls with |B|: any member ahead of B in (|B|, id) order
+      ranks ahead of B for A (if it shares more with A, all the more).  Only the first
+      k + 1 members of a class can be among A's top k, and A's own size and class say which
+      classes are best: classes meet classes through an index of their products, and the
+      k + 1 best members are found once for all customers of one class and size.
+
+    So a product that a third of all customers hold costs its classes, not
+    its buyers; pairs of classes are what remains quadratic.
     """
     rows = baskets.select("customer_id", F.size("items").alias("n"), F.explode("items").alias("product_id"))
-    single = rows.filter(F.col("n") == 1)
-    multi = rows.filter(F.col("n") >= 2)
-    buyers = multi.groupBy("product_id").agg(F.count("*").alias("buyers"))
-    marked = multi.join(buyers, "product_id").withColumn("hot", F.col("buyers") > hot)
-    hot_rows = marked.filter(F.col("hot")).select("customer_id", "n", "product_id")
-    hot_sets = hot_rows.groupBy("customer_id").agg(F.array_sort(F.collect_list("product_id")).alias("hs"))
-    cold_rows = (marked.filter(~F.col("hot")).select("customer_id", "n", F.array("product_id").alias("key"))
-                       .join(hot_sets, "customer_id", "left").withColumn("cnt", F.lit(1)))
-    # key: [cold product] or [hot, hot] product pair; a pair row counts 0 cold products
-    hot_pairs = (hot_sets.filter(F.size("hs") >= 2)
-                         .join(multi.select("customer_id", "n").dropDuplicates(["customer_id"]), "customer_id")
-                         .select("customer_id", "n", "hs", F.lit(0).alias("cnt"), F.explode(F.flatten(F.transform(
-                             "hs", lambda x: F.transform(F.filter("hs", lambda y: y > x),
-                                                         lambda y: F.array(x, y)))))
-                             .alias("key")))
-    keyed = cold_rows.select("customer_id", "n", "key", "hs", "cnt").unionByName(
-        hot_pairs.select("customer_id", "n", "key", "hs", "cnt"))
-    a, b = keyed.alias("a"), keyed.alias("b")
-    pairs = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.customer_id") < F.col("b.customer_id")))
+    buyers = rows.groupBy("product_id").agg(F.count("*").alias("buyers"))
+    if hot is None:
+        total = buyers.agg(F.sum("buyers")).scalar()
+        is_hot = F.col("buyers").cast("double") * (F.col("buyers") - 1) / 2 > total
+    else:
+        is_hot = F.col("buyers") > hot
+    marked = rows.join(buyers.select("product_id", is_hot.alias("hot")), "product_id")
+    hot_sets = marked.filter("hot").groupBy("customer_id", "n").agg(F.array_sort(F.collect_list("product_id")).alias("hs"))
+    # pairs that share a product that is not hot, each formed once (a < b), counted, then mirrored
+    cold = marked.filter("NOT hot").select("customer_id", "n", "product_id").join(hot_sets.drop("n"), "customer_id", "left")
+    a, b = cold.alias("a"), cold.alias("b")
+    pairs = (a.join(b, (F.col("a.product_id") == F.col("b.product_id")) & (F.col("a.customer_id") < F.col("b.customer_id")))
               .groupBy(F.col("a.customer_id").alias("customer_id"), F.col("b.customer_id").alias("other_id"),
-                       F.col("a.n").alias("n"), F.col("b.n").alias("m"))
-              .agg(F.sum(F.col("a.cnt")).alias("cold"), F.first(F.col("a.hs")).alias("ha"),
-                   F.first(F.col("b.hs")).alias("hb")))
-    empty = F.array().cast(T.ArrayType(rows.schema["product_id"].dataType))
-    inter = F.col("cold") + F.size(F.array_intersect(F.coalesce("ha", empty), F.coalesce("hb", empty)))
+                       F.col("a.n").alias("n"), F.col("b.n").alias("m"), F.col("a.hs").alias("ha"), F.col("b.hs").alias("hb"))
+              .agg(F.count("*").alias("cold")))
+    inter = F.col("cold") + F.coalesce(F.size(F.array_intersect("ha", "hb")), F.lit(0))
     once = pairs.select("customer_id", "other_id", (inter / (F.col("n") + F.col("m") - inter)).alias("jaccard"))
-    mm = once.unionByName(once.select(F.col("other_id").alias("customer_id"),
-                                      F.col("customer_id").alias("other_id"), "jaccard"))
-    # exactly one (hot) product shared: the k+1 first buyers by (size, id);
-    # pairs sharing more are formed above, so only intersections of 1 are kept
-    first = _topk(hot_rows, "product_id", ["n", "customer_id"], k + 1)
-    mb = baskets.filter(F.size("items") >= 2)
-    one_hot = (hot_rows.select("customer_id", "product_id")
-                       .join(first.select("product_id", F.col("customer_id").alias("other_id")), "product_id")
-                       .filter(F.col("customer_id") != F.col("other_id"))
-                       .join(mb.select("customer_id", F.col("items").alias("ia")), "customer_id")
-                       .join(mb.select(F.col("customer_id").alias("other_id"), F.col("items").alias("ib")), "other_id")
-                       .filter(F.size(F.array_intersect("ia", "ib")) == 1)
-                       .select("customer_id", "other_id", (F.lit(1.0) / (F.size("ia") + F.size("ib") - 1)).alias("jaccard")))
-    mm = mm.unionByName(one_hot)
-    # multi A, single B
-    low_single = _topk(single.select("product_id", "customer_id"), "product_id", ["customer_id"], k)
-    ms = (multi.join(low_single.withColumnRenamed("customer_id", "other_id"), "product_id")
-               .select("customer_id", "other_id", (F.lit(1.0) / F.col("n")).alias("jaccard")))
-    # single A, any B
-    small = _topk(rows.select("product_id", "customer_id", "n"), "product_id", ["n", "customer_id"], k + 1)
-    sa = (single.select("customer_id", "product_id")
-                .join(small.select("product_id", F.col("customer_id").alias("other_id"), F.col("n").alias("m")), "product_id")
-                .filter(F.col("customer_id") != F.col("other_id"))
-                .select("customer_id", "other_id", (F.lit(1.0) / F.col("m")).alias("jaccard")))
-    return mm.unionByName(ms).unionByName(sa)
+    mirrored = once.unionByName(once.select(F.col("other_id").alias("customer_id"), F.col("customer_id").alias("other_id"), "jaccard"))
+    return mirrored.unionByName(_hot_only_candidates(baskets, hot_sets, k))
+
+
+def _hot_only_candidates(baskets: DataFrame, hot_sets: DataFrame, k: int) -> DataFrame:
+    """(customer_id, other_id, jaccard): the pairs sharing hot products only that can be
+    among a customer's top ``k``; see ``neighbour_candidates``.  ``hot_sets``: (customer_id, n, hs)."""
+    members = _topk(hot_sets.select("hs", "n", "customer_id"), "hs", ["n", "customer_id"], k + 1)
+    classes = hot_sets.select("hs").distinct()
+    ca = classes.select(F.col("hs").alias("ha"), F.explode("hs").alias("item"))
+    cb = classes.select(F.col("hs").alias("hb"), F.explode("hs").alias("item"))
+    common = F.array_intersect("ha", "hb")
+    # a pair of classes is formed at its first common product only
+    met = ca.join(cb, "item").filter(F.get(common, 0) == F.col("item")).select("ha", "hb", F.size(common).alias("s"))
+    shapes = hot_sets.select(F.col("hs").alias("ha"), "n").distinct()
+    theirs = members.select(F.col("hs").alias("hb"), F.col("n").alias("m"), F.col("customer_id").alias("other_id"))
+    scored = (shapes.join(met, "ha").join(theirs, "hb")
+              .select(F.struct("ha", "n").alias("shape"), "other_id", "s", (F.col("s") / (F.col("n") + F.col("m") - F.col("s"))).alias("jaccard")))
+    best = _topk(scored, "shape", [F.desc("jaccard"), "other_id"], k + 1)
+    found = (hot_sets.select("customer_id", F.struct(F.col("hs").alias("ha"), "n").alias("shape")).join(best, "shape")
+             .filter(F.col("customer_id") != F.col("other_id")))
+    # a pair that shares another product too is formed through that product
+    ia = baskets.select("customer_id", F.col("items").alias("ia"))
+    ib = baskets.select(F.col("customer_id").alias("other_id"), F.col("items").alias("ib"))
+    return (found.join(ia, "customer_id").join(ib, "other_id")
+            .filter(F.size(F.array_intersect("ia", "ib")) == F.col("s")).select("customer_id", "other_id", "jaccard"))
 
 
 def exclude_owned(scores: DataFrame, baskets: DataFrame) -> DataFrame:
@@ -172,13 +161,13 @@ def exclude_owned(scores: DataFrame, baskets: DataFrame) -> DataFrame:
     return scores.join(basket_rows(baskets), ["customer_id", "product_id"], "left_anti")
 
 
-def neighbour_scores(baskets: DataFrame, k: int = NEIGHBOURS, hot: int = HOT_BUYERS) -> DataFrame:
+def neighbour_scores(baskets: DataFrame, k: int = NEIGHBOURS, hot: int | None = None, owned: bool = False) -> DataFrame:
     """M9: (customer_id, product_id, score = sum of Jaccard of the top-k
-    neighbours owning the product), owned products removed."""
+    neighbours owning the product), owned products removed unless ``owned``."""
     nb = top_neighbours(neighbour_candidates(baskets, k, hot), k)
     their = basket_rows(baskets).withColumnRenamed("customer_id", "other_id")
     s = nb.join(their, "other_id").groupBy("customer_id", "product_id").agg(F.sum("jaccard").alias("score"))
-    return exclude_owned(s, baskets)
+    return s if owned else exclude_owned(s, baskets)
 
 
 def rank_recommendations(scores: DataFrame, top_n: int | None = TOP_N) -> DataFrame:
@@ -193,9 +182,9 @@ def rank_recommendations(scores: DataFrame, top_n: int | None = TOP_N) -> DataFr
 def hybrid_recommend(rules: DataFrame, baskets: DataFrame, top_n: int = TOP_N,
                      k: int = NEIGHBOURS, weight: float = NEIGHBOUR_WEIGHT) -> DataFrame:
     """(customer_id, rank, product_id, score); customers with no
-    candidate are absent."""
+    candidate are absent.  Owned products leave once, after both scores are added."""
     parts = rule_scores(rules, baskets).unionByName(
-        neighbour_scores(baskets, k).select("customer_id", "product_id", (F.col("score") * weight).alias("score")))
+        neighbour_scores(baskets, k, owned=True).select("customer_id", "product_id", (F.col("score") * weight).alias("score")))
     total = parts.groupBy("customer_id", "product_id").agg(F.sum("score").alias("score"))
     return rank_recommendations(exclude_owned(total, baskets), top_n).select(
         "customer_id", "rank", "product_id", "score")

@@ -8,19 +8,20 @@ mean and a max.  A user without any token gets no values.
 
 Plan:
 * tf, df and norms are grouped aggregates (partial aggregation; AQE splits
-  skewed join partitions), no per-user Python.
+  skewed join partitions), no per-user Python.  The vectors are written once,
+  one row per comment; every later step reads them.
 * The mean needs no pairs: sum over pairs i<j of v_i.v_j equals
   (|sum_i v_i|^2 - sum_i |v_i|^2) / 2, i.e. per (user, term) sums of the
   normalised weights, squared and added.
 * The max needs pairs, but only for users without a copied comment (a copy
   means max 1.0, found by grouping identical normalised vectors), and only
-  candidates from prefix filtering (``_max_candidates``): exact, and
+  candidates from a prefix index on both sides (``_best_pairs``): exact, and
   frequent words do not generate pairs once a lower bound is known.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.text import UNICODE_WS
@@ -34,47 +35,56 @@ def _nonblank(comments: DataFrame, text: str) -> DataFrame:
 
 
 def tfidf_vectors(comments: DataFrame, user: str = "customer_id", cid: str = "comment_id",
-                  text: str = "content") -> tuple[DataFrame, DataFrame]:
-    """(vectors, users): L2-normalised TF-IDF entries (user, cid, term, v)
-    fitted per user, and (user, n) non-blank comment counts."""
+                  text: str = "content", materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(vectors, users): one row (user, cid, vec) per comment with tokens, and (user, n)
+    non-blank comment counts.
+
+    ``vec`` holds the L2-normalised TF-IDF entries fitted per user, rare-first (df, then
+    term): df, term, v, the smallest and largest comment holding the term (c1, c2), and
+    ``rem``, the norm of the entries from this one on."""
     nb = _nonblank(comments, text)
     users = nb.groupBy(user).agg(F.count("*").alias("n"))
     tok = nb.select(user, cid, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), 0)).alias("term"))
     tf = tok.groupBy(user, cid, "term").agg(F.count("*").alias("tf"))
-    df = tf.groupBy(user, "term").agg(F.count("*").alias("df"))
-    w = (tf.join(df, [user, "term"])
-           .join(users.filter(F.col("n") >= 2), user)
-           .withColumn("w", F.col("tf") * (F.log((F.col("n") + 1.0) / (F.col("df") + 1.0)) + 1.0)))
-    norms = w.groupBy(user, cid).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("nrm"))
-    v = w.join(norms, [user, cid]).select(user, cid, "term", (F.col("w") / F.col("nrm")).alias("v"))
-    return v, users
+    if materialize:
+        tf = cut_lineage(tf)  # read twice: for the term counts and for the entries
+    df = tf.groupBy(user, "term").agg(F.count("*").alias("df"), F.min(cid).alias("c1"), F.max(cid).alias("c2"))
+    weight = F.col("tf") * (F.log((F.col("n") + 1.0) / (F.col("df") + 1.0)) + 1.0)
+    rows = (tf.join(df, [user, "term"]).join(users.filter(F.col("n") >= 2), user)
+              .groupBy(user, cid).agg(F.array_sort(F.collect_list(F.struct("df", "term", weight.alias("w"), "c1", "c2"))).alias("es")))
+    # sums of squares from the last (most frequent) term back, so the norms need no second pass
+    back = F.aggregate(F.reverse("es"), F.array().cast("array<double>"), lambda acc, x: F.concat(
+        acc, F.array(F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0.0)) + x["w"] * x["w"])))
+    rows = rows.withColumn("rems", F.reverse(back)).withColumn("nrm", F.sqrt(F.col("rems")[0]))
+    vec = F.zip_with("es", "rems", lambda x, r: F.struct(
+        x["df"].alias("df"), x["term"].alias("term"), (x["w"] / F.col("nrm")).alias("v"),
+        x["c1"].alias("c1"), x["c2"].alias("c2"), (F.sqrt(r) / F.col("nrm")).alias("rem")))
+    return rows.select(user, cid, vec.alias("vec")), users
 
 
 def user_text_similarity(comments: DataFrame, user: str = "customer_id", cid: str = "comment_id",
                          text: str = "content", materialize: bool = True) -> DataFrame:
     """One row per user of the input: (user, mean_similarity, max_similarity).
 
-    With ``materialize`` the TF-IDF entries are checkpointed once; the mean,
-    the copy detection and the pair join all read them.
+    With ``materialize`` the vectors are written once; the mean, the copy
+    detection and the pair search all read them.
     """
-    v, users = tfidf_vectors(comments, user, cid, text)
+    vectors, users = tfidf_vectors(comments, user, cid, text, materialize)
     if materialize:
-        v = cut_lineage(v)
+        vectors = cut_lineage(vectors)
+    entries = vectors.select(user, F.explode("vec").alias("e")).select(user, "e.term", "e.v")
     # mean: linear in the per-(user, term) sums of v
-    sums = v.groupBy(user, "term").agg(F.sum("v").alias("s"))
+    sums = entries.groupBy(user, "term").agg(F.sum("v").alias("s"))
     sq = sums.groupBy(user).agg(F.sum(F.col("s") * F.col("s")).alias("sq"))
-    with_tokens = v.groupBy(user).agg(F.countDistinct(cid).alias("m"))
-    # max: distinct normalised vectors only, candidates by prefix filtering
-    sig = (v.groupBy(user, cid)
-             .agg(F.array_sort(F.collect_list(F.struct("term", F.round("v", 9).alias("r")))).alias("sig")))
-    reps = sig.groupBy(user, "sig").agg(F.min(cid).alias(cid), F.count("*").alias("copies"))
-    dup = reps.groupBy(user).agg(F.max(F.col("copies") >= 2).alias("has_copy"))
     # a user with a copied comment has max 1.0: only the others need pairs
-    searched = reps.join(dup.filter(~F.col("has_copy")).select(user), user, "left_semi")
-    vr = v.join(searched.select(user, cid), [user, cid], "left_semi")
-    pairs = _max_candidates(vr, user, cid)
-    pmax = pairs.groupBy(user).agg(F.max("sim").alias("pmax"))
-    stats = (users.join(with_tokens, user).join(sq, user).join(dup, user).join(pmax, user, "left")
+    sig = F.transform("vec", lambda e: F.struct(e["term"], F.round(e["v"], 9)))
+    copies = vectors.groupBy(user, sig.alias("sig")).agg(F.count("*").alias("copies"))
+    dup = copies.groupBy(user).agg(F.sum("copies").alias("m"), F.max(F.col("copies") >= 2).alias("has_copy"))
+    if materialize:
+        dup = cut_lineage(dup)
+    searched = vectors.join(dup.filter(~F.col("has_copy") & (F.col("m") >= 2)).select(user), user, "left_semi")
+    pmax = _best_pairs(searched, user, cid, materialize).groupBy(user).agg(F.max("sim").alias("pmax"))
+    stats = (users.join(dup, user).join(sq, user).join(pmax, user, "left")
                   .filter(F.col("n") >= 2)
                   .select(user,
                           F.greatest(F.lit(0.0), (F.col("sq") - F.col("m")) / (F.col("n") * (F.col("n") - 1)))
@@ -86,54 +96,51 @@ def user_text_similarity(comments: DataFrame, user: str = "customer_id", cid: st
     return everyone.join(stats, user, "left")
 
 
-def _dot(pairs: DataFrame, v: DataFrame, user: str, cid: str) -> DataFrame:
-    """Exact cosine of candidate pairs (user, i, j) from the vector entries."""
-    vi = v.select(user, F.col(cid).alias("i"), "term", F.col("v").alias("vi"))
-    vj = v.select(user, F.col(cid).alias("j"), "term", F.col("v").alias("vj"))
-    return (pairs.join(vi, [user, "i"]).join(vj, [user, "j", "term"])
-                 .groupBy(user, "i", "j").agg(F.sum(F.col("vi") * F.col("vj")).alias("sim")))
+def _cosines(pairs: DataFrame, vectors: DataFrame, user: str, cid: str) -> DataFrame:
+    """Exact cosine of candidate pairs (user, i, j), in place from the two vectors."""
+    lean = vectors.select(user, cid, F.transform("vec", lambda e: F.struct(e["term"], e["v"])).alias("x"))
+    vi = lean.select(user, F.col(cid).alias("i"), F.col("x").alias("vi"))
+    vj = lean.select(user, F.col(cid).alias("j"), F.map_from_entries("x").alias("vj"))
+    dot = F.aggregate("vi", F.lit(0.0), lambda acc, e: acc + e["v"] * F.coalesce(F.try_element_at("vj", e["term"]), F.lit(0.0)))
+    return pairs.join(vi, [user, "i"]).join(vj, [user, "j"]).select(user, "i", "j", dot.alias("sim"))
+
 
+def bounds(vectors: DataFrame, user: str, cid: str) -> DataFrame:
+    """(user, i, j, sim): each comment with another holder of its rarest shared term and of
+    its second rarest.  The best of a user is the lower bound of its pair search; no pair
+    list is made for it."""
+    other = lambda e: F.when(e["c1"] != F.col(cid), e["c1"]).otherwise(e["c2"])
+    near = F.array_distinct(F.slice(F.transform(F.filter("vec", lambda e: e["df"] >= 2), other), 1, 2))
+    seeds = vectors.select(user, F.col(cid).alias("a"), F.explode(near).alias("b"))
+    return _cosines(seeds.select(user, F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).distinct(), vectors, user, cid)
 
-def _max_candidates(v: DataFrame, user: str, cid: str, eps: float = 1e-9) -> DataFrame:
-    """Pairs (user, i, j, sim) that are sure to contain each user's most
-    similar pair (prefix filtering, exact).
 
-    Terms of each comment are ordered rare-first (df, term).  A lower bound
-    L per user comes from one partner per comment: the smallest (or
-    largest) other comment holding its rarest *shared* term (min
-    aggregates, no pair list; a term of one comment only has no partner).  Two
-    unit vectors with cosine >= L must share a term whose remaining norm in
-    one of them (that term and all later ones) is still >= L; only terms
-    inside that prefix generate candidates, so frequent words stop
-    producing pairs once L is known.
+def prefix_entries(vectors: DataFrame, low: DataFrame, user: str, cid: str, eps: float = 1e-9) -> DataFrame:
+    """(user, cid, low, term, rem): the entries whose remaining norm reaches the user's bound
+    ``low``.  A term that only one comment holds can give no pair and is left out."""
+    kept = F.filter("vec", lambda e: (e["df"] >= 2) & (e["rem"] >= F.col("low") - eps))
+    return vectors.join(low, user).select(user, cid, "low", F.explode(kept).alias("e")).select(user, cid, "low", "e.term", "e.rem")
+
+
+def _best_pairs(vectors: DataFrame, user: str, cid: str, materialize: bool = True, eps: float = 1e-9) -> DataFrame:
+    """Pairs (user, i, j, sim) that are sure to hold each user's most similar pair.
+
+    Let t be the first common term of two comments in the rare-first order.  Their cosine
+    is at most rem_i(t) * rem_j(t), so a pair that reaches the user's bound L meets at a term
+    where both remaining norms, and their product, reach L: prefixes join prefixes, and
+    neither side brings its frequent words.  Rows are dealt by (user, term), so a
+    busy user's posting lists spread over the tasks.
     """
-    # the smallest and largest holder of a term: one of them is another
-    # comment whenever the term is shared
-    post = v.groupBy(user, "term").agg(F.count("*").alias("df"), F.min(cid).alias("c1"),
-                                        F.max(cid).alias("c2"))
-    w = Window.partitionBy(user, cid).orderBy("df", "term")
-    e = (v.join(post.select(user, "term", "df", "c1", "c2"), [user, "term"])
-          .withColumn("pos", F.row_number().over(w))
-          .withColumn("before", F.coalesce(F.sum(F.col("v") * F.col("v")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                           F.lit(0.0)))
-          .withColumn("rem", F.sqrt(F.greatest(F.lit(0.0), 1.0 - F.col("before")))))
-    # lower bound: each comment with another comment sharing its rarest
-    # shared term (a term only one comment holds gives no partner)
-    first = (e.filter(F.col("df") >= 2)
-              .groupBy(user, F.col(cid).alias("a"))
-              .agg(F.min_by(F.struct("c1", "c2"), F.struct("df", "term")).alias("p"))
-              .select(user, "a", F.when(F.col("p.c1") != F.col("a"), F.col("p.c1")).otherwise(F.col("p.c2")).alias("b")))
-    seed = first.select(user, F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).distinct()
-    seed_sim = _dot(seed, v, user, cid)
-    low = seed_sim.groupBy(user).agg(F.max("sim").alias("low"))
-    # prefix entries: remaining norm still reaches the bound
-    pre = (e.join(low, user, "left")
-            .filter(F.col("rem") >= F.coalesce(F.col("low"), F.lit(0.0)) - eps)
-            .select(user, F.col(cid).alias("i"), "term"))
-    allv = v.select(user, F.col(cid).alias("j"), "term")
-    cand = (pre.join(allv, [user, "term"]).filter(F.col("i") != F.col("j"))
-               .select(user, F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct())
-    return _dot(cand, v, user, cid).unionByName(seed_sim)
+    seeds = bounds(vectors, user, cid)
+    if materialize:
+        seeds = cut_lineage(seeds)
+    low = seeds.groupBy(user).agg(F.max("sim").alias("low"))
+    prefix = prefix_entries(vectors, low, user, cid, eps)
+    a = prefix.select(user, "term", "low", F.col(cid).alias("i"), F.col("rem").alias("ri"))
+    b = prefix.select(user, "term", F.col(cid).alias("j"), F.col("rem").alias("rj"))
+    near = (a.join(b, [user, "term"]).filter((F.col("i") < F.col("j")) & (F.col("ri") * F.col("rj") >= F.col("low") - eps))
+             .select(user, "i", "j").distinct())
+    return _cosines(near, vectors, user, cid).unionByName(seeds)
 
 
 def similarity_thresholds(sim: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from revlens.operators import clean, dedup, rfm, trends
 from revlens.plans import fixtures as fx
+from revlens.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -48,7 +49,7 @@ def _segments(spark, d):
 
 def unflagged_reviews(spark, d) -> DataFrame:
     """The job chain: merged fact -> rows without a fraud flag -> RFM input."""
-    m = merged(spark, d)
+    m = merged(spark, d, text=False)
     r = m.select("comment_id", "customer_id", "customer_name", F.col("purchased_at_ts").alias("purchased_at"),
                  F.col("created_at_ts").alias("created_at"), "rating", "seller_name", "F3_flag", "F5_flag")
     r = clean.drop_missing_customer_or_date(clean.clean_flag_filter(r))
@@ -86,6 +87,27 @@ def q_drop_required_nulls(spark, d):
     return clean.drop_required_nulls(fx.dirty_comments(spark, d))
 
 
+@register("dropped_rows")
+def q_dropped_rows(spark, d):
+    # the cleaning chain over the dirty comments, then the RFM input's filters, counted while written
+    report = clean.DroppedRows()
+    rows = report.step("required nulls", fx.dirty_comments(spark, d), clean.drop_required_nulls)
+    rows = report.step("timestamps and rating", rows, clean.convert_types)
+    rows = report.step("customer or date", rows, clean.drop_missing_customer_or_date)
+    rows = report.step("date range", rows, lambda df: clean.date_range_filter(df, "purchased_at_ts", "created_at_ts"))
+    rows = report.step("rating", rows, clean.rating_filter)
+    cut_lineage(rows)
+    return report.report(spark)
+
+
+def rfm_outputs(spark, d) -> dict[str, DataFrame]:
+    """The RFM job's five output tables by name."""
+    segments = cut_lineage(_segments(spark, d))
+    reviews = clean_reviews(spark, d)
+    return dict(zip(sinks.RFM_OUTPUTS, (segments, rfm.segment_summary(segments), trends.monthly_trend(reviews),
+                                        trends.weekday_trend(reviews), trends.top_sellers(fx.seller_sales(spark, d), 10))))
+
+
 @register("rfm_metrics")
 def q_rfm_metrics(spark, d):
     return rfm.rfm_metrics(clean_reviews(spark, d))
@@ -210,8 +232,8 @@ def q_burst_threshold(spark, d):
     return flags.burst_threshold(flags.review_gaps(fx.burst_events(spark, d)))
 
 
-def merged(spark, d):
-    return cleaning.build_merged(fx.raw_products(spark, d), fx.dirty_comments(spark, d))
+def merged(spark, d, text=True):
+    return cleaning.build_merged(fx.raw_products(spark, d), fx.dirty_comments(spark, d), text=text)
 
 
 @register("merged")
@@ -239,27 +261,27 @@ def q_timegap_threshold(spark, d):
 
 @register("overall_summary")
 def q_overall_summary(spark, d):
-    return summaries.overall_summary(merged(spark, d))
+    return summaries.overall_summary(merged(spark, d, text=False))
 
 
 @register("product_summary")
 def q_product_summary(spark, d):
-    return summaries.product_summary(merged(spark, d))
+    return summaries.product_summary(merged(spark, d, text=False))
 
 
 @register("customer_summary")
 def q_customer_summary(spark, d):
-    return summaries.customer_summary(merged(spark, d))
+    return summaries.customer_summary(merged(spark, d, text=False))
 
 
 @register("top_products_by_comments")
 def q_top_products_by_comments(spark, d):
-    return summaries.top_rows(summaries.product_summary(merged(spark, d)), 20)
+    return summaries.top_rows(summaries.product_summary(merged(spark, d, text=False)), 20)
 
 
 @register("top_customers_by_spam")
 def q_top_customers_by_spam(spark, d):
-    return summaries.top_rows(summaries.customer_summary(merged(spark, d)), 20)
+    return summaries.top_rows(summaries.customer_summary(merged(spark, d, text=False)), 20)
 
 
 HISTORY_COLS = ["customer_id", "created_at_ts", "purchased_at_ts", "delta_minutes", "burst_count", "F3_flag"]
@@ -267,13 +289,13 @@ HISTORY_COLS = ["customer_id", "created_at_ts", "purchased_at_ts", "delta_minute
 
 @register("flagged_history_f3")
 def q_flagged_history_f3(spark, d):
-    return clean.flagged_user_history(merged(spark, d), "F3_flag", cols=HISTORY_COLS + ["comment_id"])
+    return clean.flagged_user_history(merged(spark, d, text=False), "F3_flag", cols=HISTORY_COLS + ["comment_id"])
 
 
 @register("flagged_history_f5")
 def q_flagged_history_f5(spark, d):
     cols = ["customer_id", "comment_id", "created_at_ts", "purchased_at_ts", "time_gap_minutes", "F5_flag"]
-    return clean.flagged_user_history(merged(spark, d), "F5_flag", cols=cols)
+    return clean.flagged_user_history(merged(spark, d, text=False), "F5_flag", cols=cols)
 
 
 @register("null_profile")
@@ -572,6 +594,11 @@ def part_baskets(spark, d):
     return bk.customer_baskets(fx.purchases(spark, d), 4)
 
 
+def written_baskets(spark, d):
+    """The baskets, written once for the several branches of a neighbour search."""
+    return cut_lineage(part_baskets(spark, d))
+
+
 @register("rule_scores")
 def q_rule_scores(spark, d):
     tx, _, _, rules = part_mining(spark, d)
@@ -585,13 +612,20 @@ def q_jaccard_pairs(spark, d):
 
 @register("top_neighbours")
 def q_top_neighbours(spark, d):
-    nb = recommend.top_neighbours(recommend.neighbour_candidates(part_baskets(spark, d)))
+    nb = recommend.top_neighbours(recommend.neighbour_candidates(written_baskets(spark, d)))
+    return nb.withColumn("jaccard", F.round("jaccard", 9))
+
+
+@register("top_neighbours_hot")
+def q_top_neighbours_hot(spark, d):
+    # three products that nearly all customers hold: the search by classes of hot products
+    nb = recommend.top_neighbours(recommend.neighbour_candidates(cut_lineage(fx.hot_baskets(spark, d))))
     return nb.withColumn("jaccard", F.round("jaccard", 9))
 
 
 @register("neighbour_scores")
 def q_neighbour_scores(spark, d):
-    return recommend.neighbour_scores(part_baskets(spark, d)).withColumn("score", F.round("score", 6))
+    return recommend.neighbour_scores(written_baskets(spark, d)).withColumn("score", F.round("score", 6))
 
 
 def hybrid(spark, d, top_n=5):
@@ -652,7 +686,7 @@ def q_all_recommended(spark, d):
 
 @register("basket_set_ops")
 def q_basket_set_ops(spark, d):
-    b = part_baskets(spark, d)
+    b = written_baskets(spark, d)
     nb = recommend.top_neighbours(recommend.neighbour_candidates(b, 1), 1)
     o = b.select(F.col("customer_id").alias("other_id"), F.col("items").alias("other_items"))
     j = nb.join(b, "customer_id").join(o, "other_id")

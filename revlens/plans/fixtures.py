@@ -147,6 +147,15 @@ def purchases(spark: SparkSession, d: str) -> DataFrame:
                     F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line")))
 
 
+def hot_baskets(spark: SparkSession, d: str) -> DataFrame:
+    """Baskets with hot products: each customer's well-rated parts, and one product per order status
+    (-1, -2, -3) that nearly all customers hold.  One row (customer_id, items) per customer."""
+    o = _t(spark, d, "orders").select(F.col("o_custkey").alias("customer_id"),
+                                      (-F.instr(F.lit("FOP"), F.col("o_orderstatus"))).cast("bigint").alias("product_id"))
+    liked = purchases(spark, d).filter("rating >= 4").select("customer_id", F.col("product_id").cast("bigint").alias("product_id"))
+    return o.unionByName(liked).groupBy("customer_id").agg(F.array_sort(F.collect_set("product_id")).alias("items"))
+
+
 def customers(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))
 

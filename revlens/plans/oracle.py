@@ -596,6 +596,15 @@ SQL["rule_scores"] = f"WITH {HYB} SELECT customer_id, product_id, {RND('score',
 SQL["jaccard_pairs"] = f"WITH {HYB} SELECT customer_id, other_id, {RND('jaccard', 9)} AS jaccard FROM p_jac"
 SQL["top_neighbours"] = (f"WITH {HYB} SELECT customer_id, other_id, {RND('jaccard', 9)} AS jaccard, "
                          "CAST(nrank AS INTEGER) AS nrank FROM p_nb WHERE nrank <= 5")
+HOT = """h_pairs AS MATERIALIZED (SELECT DISTINCT o_custkey AS customer_id, -instr('FOP', o_orderstatus)::BIGINT AS product_id FROM orders
+  UNION SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE """ + RATING + " >= 4)"
+SQL["top_neighbours_hot"] = f"""WITH {HOT}, hn AS (SELECT customer_id, count(*) AS n FROM h_pairs GROUP BY 1),
+hi AS (SELECT a.customer_id, b.customer_id AS other_id, count(*) AS inter FROM h_pairs a JOIN h_pairs b
+  ON a.product_id = b.product_id AND a.customer_id <> b.customer_id GROUP BY ALL),
+hj AS (SELECT hi.customer_id, other_id, CAST(inter AS DOUBLE) / (x.n + y.n - inter) AS jaccard FROM hi
+  JOIN hn x ON x.customer_id = hi.customer_id JOIN hn y ON y.customer_id = hi.other_id),
+hr AS (SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY jaccard DESC, other_id) AS INTEGER) AS nrank FROM hj)
+SELECT customer_id, other_id, {RND('jaccard', 9)} AS jaccard, nrank FROM hr WHERE nrank <= 5"""
 SQL["neighbour_scores"] = f"WITH {HYB} SELECT customer_id, product_id, {RND('score', 6)} AS score FROM p_nscore2"
 SQL["hybrid_recommend"] = f"WITH {HYB} SELECT customer_id, rank, product_id, {RND('score', 6)} AS score FROM p_recs"
 SQL["export_recommendations"] = f"""WITH {HYB} SELECT customer_id AS Customer_ID, rank AS Rank, product_id AS Product_ID,
@@ -685,6 +694,19 @@ conv AS (SELECT * REPLACE (TRY_CAST(rating AS DOUBLE) AS rating),
     CAST(trunc(TRY_CAST(purchased_at AS DOUBLE)) AS BIGINT) AS purchased_at_num,
     {ts_of('created_at')} AS created_at_ts, {ts_of('purchased_at')} AS purchased_at_ts FROM comments)
 SELECT * FROM conv WHERE created_at_ts IS NOT NULL AND purchased_at_ts IS NOT NULL AND rating IS NOT NULL"""
+_REQUIRED = " AND ".join(f"{c} IS NOT NULL" for c in ["comment_id", "product_id", "customer_id", "rating", "content", "created_at", "purchased_at"])
+SQL["dropped_rows"] = f"""WITH {RAW_COMMENTS},
+s0 AS MATERIALIZED (SELECT *, {ts_of('created_at')} AS created_at_ts, {ts_of('purchased_at')} AS purchased_at_ts, TRY_CAST(rating AS DOUBLE) AS stars FROM raw_comments),
+s1 AS (SELECT * FROM s0 WHERE {_REQUIRED}),
+s2 AS (SELECT * FROM s1 WHERE created_at_ts IS NOT NULL AND purchased_at_ts IS NOT NULL AND stars IS NOT NULL),
+s4 AS (SELECT * FROM s2 WHERE purchased_at_ts BETWEEN TIMESTAMP '2000-01-01' AND TIMESTAMP '2035-12-31'
+  AND created_at_ts BETWEEN TIMESTAMP '2000-01-01' AND TIMESTAMP '2035-12-31'),
+n AS (SELECT (SELECT count(*) FROM s0) AS n0, (SELECT count(*) FROM s1) AS n1, (SELECT count(*) FROM s2) AS n2,
+  (SELECT count(*) FROM s4) AS n4, (SELECT count(*) FROM s4 WHERE stars >= 4) AS n5)
+SELECT step_no, step, rows_in, rows_kept, rows_in - rows_kept AS rows_dropped FROM (
+  SELECT 0 AS step_no, 'required nulls' AS step, n0 AS rows_in, n1 AS rows_kept FROM n UNION ALL
+  SELECT 1, 'timestamps and rating', n1, n2 FROM n UNION ALL SELECT 2, 'customer or date', n2, n2 FROM n UNION ALL
+  SELECT 3, 'date range', n2, n4 FROM n UNION ALL SELECT 4, 'rating', n4, n5 FROM n)"""
 SQL["column_projection"] = (f"WITH {CLEAN_COMMENTS} SELECT customer_id, customer_name, comment_id, purchased_at, "
                             "created_at, rating, product_id, seller_name FROM raw0")
 SQL["review_gaps"] = f"""WITH {EVENTS}, {burst_sql('events_in')} SELECT comment_id, customer_id, created_at_ts,

@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame
 
 from revlens.operators import baskets as bk
 from revlens.operators import metrics, patterns, recommend
+from revlens.session import cut_lineage
 
 
 def mine(purchases: DataFrame, min_support: float, min_confidence: float, min_lift: float,
          min_count: int | None = None, rating_threshold: float | None = 4):
     """(transactions, model, itemsets, rules) from rated purchases
-    (customer_id, product_id, rating)."""
-    tx = bk.transactions(bk.customer_baskets(purchases, rating_threshold))
+    (customer_id, product_id, rating).  The baskets are written once: mining, rule
+    matching, the neighbour search and the owned-product filter all read them."""
+    tx = cut_lineage(bk.transactions(bk.customer_baskets(purchases, rating_threshold)))
     model, itemsets, rules = patterns.train_fp_growth(tx, min_support, min_confidence, min_lift, min_count)
     return tx, model, itemsets, rules
 

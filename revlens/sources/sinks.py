@@ -6,7 +6,7 @@ CSV is offered only for small summaries (it serialises the last stage).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens.functions.fmt import fixed
@@ -39,6 +39,65 @@ def write_named_outputs(outputs: dict[str, DataFrame], base: str,
             write_table(df, path, (partition_by or {}).get(name))
 
 
+MONTH = "month"
+
+
+def write_fact(fact: DataFrame, path: str, ts: str = "purchased_at_ts", key: str = "comment_id") -> None:
+    """The merged fact as Parquet, one partition per ``yyyy-MM`` of ``ts``.
+
+    Only the months present in ``fact`` are replaced (dynamic partition overwrite); others
+    stay.  Rows are ranged by (month, key): a month lands in few files, and a month with
+    most rows spreads over several tasks.  Rows without a time go to Spark's null partition."""
+    rows = fact.withColumn(MONTH, F.date_format(ts, "yyyy-MM"))
+    (rows.repartitionByRange(MONTH, key).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path))
+
+
+def read_fact(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """The fact, of the months ``first`` to ``last`` only when given (partition pruning).
+    The month stays text."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    rows = rows.withColumn(MONTH, F.col(MONTH).cast("string")) if dict(rows.dtypes)[MONTH] != "string" else rows
+    if first is not None:
+        rows = rows.filter(F.col(MONTH) >= first)
+    return rows if last is None else rows.filter(F.col(MONTH) <= last)
+
+
+BOM = "\ufeff"
+#: The names of the RFM job's five output tables; the first has a row per customer.
+RFM_OUTPUTS = ["danh_sach_khach_hang", "tong_hop_phan_khuc", "xu_huong_theo_thang", "xu_huong_theo_tuan", "top_seller"]
+
+
+def write_bom_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV that spreadsheet programs read as UTF-8: every file begins with a byte-order mark.
+
+    The mark is the first character of the header, which Spark's writer puts at the
+    start of each file, so files are written in parallel and nothing is rewritten.  With
+    ``single_file`` (small tables) ``path`` is one file: the only part is renamed on the
+    target file system; else a folder of parts."""
+    spark = df.sparkSession
+    marked = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
+    folder = f"{path}.parts" if single_file else path
+    (marked.coalesce(1) if single_file else marked).write.mode("overwrite").option("header", True) \
+        .option("escape", '"').option("encoding", "UTF-8").csv(folder)
+    if single_file:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        source, target = hadoop.Path(folder), hadoop.Path(path)
+        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        part = next(s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-"))
+        if fs.exists(target):
+            fs.delete(target, True)
+        fs.rename(part, target)
+        fs.delete(source, True)
+
+
+def write_rfm_outputs(outputs: dict[str, DataFrame], base: str) -> None:
+    """The five tables of the RFM job as CSV with a byte-order mark under ``base``; the
+    customer list as a folder of parts, the small ones as one file each."""
+    for name in RFM_OUTPUTS:
+        write_bom_csv(outputs[name], f"{base.rstrip('/')}/{name}.csv", single_file=name != RFM_OUTPUTS[0])
+
+
 def export_recommendations(recs: DataFrame, products: DataFrame) -> DataFrame:
     """Ranked long table with product names; unknown ids named 'Unknown'.
 

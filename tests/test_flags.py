@@ -46,6 +46,26 @@ def test_bucketed_equals_plain_window_across_bucket_borders(spark):
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
 
 
+def test_user_with_all_rows_in_one_day_is_cut_by_row_count(spark):
+    # user 7: 600 rows in one day, some in the same second; user 8: few rows; null user and time
+    secs = [(i * 37) % 5000 + (i // 100) * 9000 for i in range(600)]
+    data = [(i, 7, T0 + dt.timedelta(seconds=s)) for i, s in enumerate(secs)]
+    data += [(1000 + i, 7, T0 + dt.timedelta(seconds=secs[5])) for i in range(40)]
+    data += [(2000 + i, 8, T0 + dt.timedelta(days=i % 3, seconds=i)) for i in range(20)]
+    data += [(3000, None, T0), (3001, 7, None), (3002, None, None)]
+    df = spark.createDataFrame(data, "comment_id long, customer_id long, created_at_ts timestamp")
+    cols = ["comment_id", "previous_created_at_ts", "delta_minutes", "small_gap", "burst_group", "burst_count", "F3_flag"]
+
+    def rows(**kw):
+        return sorted(map(str, flags.burst_flags(df.filter("customer_id IS NOT NULL AND created_at_ts IS NOT NULL"), threshold=1.0, **kw).select(cols).collect()))
+    plain = rows(bucket_seconds=None)
+    assert rows(chunk_rows=50) == plain and rows(chunk_rows=7) == plain and rows() == plain
+    # the busy day is spread: no chunk holds much more than the row count asked for
+    sizes = [r["count"] for r in flags.chunked(df, "customer_id", "created_at_ts", 86400, 50).groupBy("customer_id", "_b").count().collect()]
+    assert max(sizes) <= 50 + 41 and sum(sizes) == len(data)
+    assert flags.burst_flags(df, threshold=1.0, chunk_rows=50).count() == len(data)
+
+
 def test_ties_broken_by_id(spark):
     rows = [(1, 0), (1, 0), (1, 5)]
     out = flags.review_gaps(frame(spark, rows)).orderBy("comment_id").collect()

@@ -21,6 +21,19 @@ def test_subset_join_matches_naive(spark):
     assert got == naive
 
 
+def test_subset_join_joins_each_rule_on_its_rarest_item(spark):
+    # item 0 is in every basket: only the rule that has nothing else is joined on it
+    baskets = {c: sorted({0, c % 7 + 1, c % 5 + 10}) for c in range(70)}
+    sets = {1: [0], 2: [0, 3], 3: [0, 3, 12], 4: [3, 99], 5: [], 6: [12, 12, 0]}
+    b = spark.createDataFrame(list(baskets.items()), "customer_id long, items array<long>")
+    r = spark.createDataFrame(list(sets.items()), "rule_id long, antecedent array<long>")
+    items = b.select(F.explode("items").alias("_item"))
+    index = {x.rule_id: x["_item"] for x in patterns.rarest_item_index(r, "rule_id", "antecedent", items).collect()}
+    assert index == {1: 0, 2: 3, 3: 3, 6: 12}
+    got = {(x.rule_id, x.customer_id) for x in patterns.subset_matches(r, "rule_id", "antecedent", b).collect()}
+    assert got == {(i, c) for i, s in sets.items() for c, o in baskets.items() if s and set(s) <= set(o)}
+
+
 def test_rule_scores_half_owned_antecedent_and_owned_consequent(spark):
     rules = rules_frame(spark, [([1, 2], [3], 0.1, 0.6, 2.0), ([1], [2], 0.1, 0.7, 1.5), ([4], [5], 0.1, 0.9, 3.0)])
     b = spark.createDataFrame([(7, [1, 9]), (8, [1, 2])], "customer_id long, items array<long>")
@@ -130,3 +143,26 @@ def test_neighbour_candidates_string_products_with_hot_pairs(spark):
     full = {(r.customer_id, r.nrank): (r.other_id, round(r.jaccard, 12)) for r in
             recommend.top_neighbours(recommend.jaccard_pairs(b), 3).collect()}
     assert fast == full
+
+
+def test_hot_products_cost_their_classes_not_their_buyers(spark):
+    """Twice the customers: candidates grow in proportion though a third of all hold products 0 and 1."""
+    import random
+
+    def frame(n):
+        rnd = random.Random(n)
+        rows = [(c, sorted({1000 + x for x in rnd.sample(range(2 * n), 3)} | ({0, 1} if c % 3 == 0 else {0} if c % 3 == 1 else set())))
+                for c in range(n)]
+        return spark.createDataFrame(rows, "customer_id long, items array<long>")
+
+    sizes = {}
+    for n in (300, 600):
+        b = frame(n)
+        cand = recommend.neighbour_candidates(b)
+        sizes[n] = cand.count()
+        fast = {(r.customer_id, r.nrank): (r.other_id, round(r.jaccard, 12)) for r in recommend.top_neighbours(cand, 5).collect()}
+        full = {(r.customer_id, r.nrank): (r.other_id, round(r.jaccard, 12)) for r in
+                recommend.top_neighbours(recommend.jaccard_pairs(b), 5).collect()}
+        assert fast == full
+        assert sizes[n] < 20 * n < recommend.jaccard_pairs(b).count()
+    assert sizes[600] < 2.6 * sizes[300]

@@ -65,3 +65,50 @@ def test_named_outputs_and_partitioned_parquet(spark, tmp_dir):
     sinks.write_named_outputs({"fact": df, "summary": df.groupBy().count()}, tmp_dir, partition_by={"fact": ["month"]})
     back = spark.read.parquet(os.path.join(tmp_dir, "fact")).filter(F.col("month") == "2024-02")
     assert [r.id for r in back.collect()] == [2]
+
+
+def test_fact_by_month_is_rewritten_month_by_month_and_pruned(spark, tmp_dir):
+    import datetime as dt
+    rows = [(i, f"c{i}", dt.datetime(2024, 1 + i % 3, 1 + i % 28)) for i in range(90)] + [(900, "none", None)]
+    fact = spark.createDataFrame(rows, "comment_id long, content string, purchased_at_ts timestamp")
+    path = f"{tmp_dir}/fact"
+    sinks.write_fact(fact, path)
+    back = sinks.read_fact(spark, path)
+    assert back.count() == 91 and back.filter("month = '2024-02'").count() == 30
+    new = spark.createDataFrame([(1, "new", dt.datetime(2024, 2, 3))], fact.schema)
+    sinks.write_fact(new, path)
+    got = {(r.month, r.n) for r in sinks.read_fact(spark, path).groupBy("month").agg(F.count("*").alias("n")).collect()}
+    assert got == {("2024-01", 30), ("2024-02", 1), ("2024-03", 30), (None, 1)}
+    pruned = sinks.read_fact(spark, path, "2024-02", "2024-02")
+    assert [tuple(r)[:2] for r in pruned.select("comment_id", "content").collect()] == [(1, "new")]
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "2024-02" in plan
+
+
+def test_rfm_outputs_begin_with_a_byte_order_mark(spark, tmp_dir):
+    import glob
+    from revlens.plans import catalog
+    from tests.conftest import SF001
+    outputs = catalog.rfm_outputs(spark, SF001)
+    sinks.write_rfm_outputs(outputs, tmp_dir)
+    sinks.write_rfm_outputs(outputs, tmp_dir)   # a second run replaces the first
+    for name in sinks.RFM_OUTPUTS:
+        files = glob.glob(f"{tmp_dir}/{name}.csv/part-*") if name == sinks.RFM_OUTPUTS[0] else [f"{tmp_dir}/{name}.csv"]
+        lines = 0
+        for file in files:
+            data = open(file, "rb").read()
+            assert data.startswith(b"\xef\xbb\xbf" + ",".join(outputs[name].columns).encode() + b"\n")
+            lines += data.decode("utf-8-sig").count("\n") - 1
+        assert files and lines == outputs[name].count()
+
+
+def test_dropped_rows_are_counted_while_the_rows_are_written(spark, tmp_dir):
+    from revlens.operators import clean
+    rows = [(1, 5.0), (2, None), (None, 4.0), (4, 1.0), (5, 4.0)]
+    df = spark.createDataFrame(rows, "customer_id long, rating double")
+    report = clean.DroppedRows()
+    out = report.step("nulls", df, lambda d: clean.drop_required_nulls(d, ["customer_id", "rating"]))
+    out = report.step("rating", out, clean.rating_filter)
+    out.write.parquet(f"{tmp_dir}/kept")
+    assert [tuple(r) for r in report.report(spark).orderBy("step_no").collect()] == [(0, "nulls", 5, 3, 2), (1, "rating", 3, 2, 1)]
+    assert spark.read.parquet(f"{tmp_dir}/kept").count() == 2
