@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.operators.quantiles import quantile_row
+from revlens.session import cut_lineage
 
 BURST_QUANTILE = 0.05
 BURST_MIN_RUN = 4
@@ -76,20 +77,31 @@ def chunk_cuts(df: DataFrame, user: str, ts: str, bucket_seconds: int, chunk_row
                 .agg(F.array_sort(F.collect_list("_s")).alias("_cuts")))
 
 
-def chunked(df: DataFrame, user: str, ts: str, bucket_seconds: int | None, chunk_rows: int | None) -> DataFrame:
-    """``df`` with ``_b``, the number of the row's chunk; chunks of a user are in order of time."""
+def chunked(df: DataFrame, user: str, ts: str, bucket_seconds: int | None, cuts: DataFrame | None) -> DataFrame:
+    """``df`` with ``_b``, the number of the row's chunk; chunks of a user are in order of time.
+    ``cuts`` as from ``chunk_cuts``, or None if no bucket is cut."""
     if bucket_seconds is None:
         return df.withColumn("_b", F.lit(0).cast("bigint"))
     second = F.unix_seconds(F.col(ts))
     day = F.floor(second / bucket_seconds).cast("bigint")
-    if chunk_rows is None:
+    if cuts is None:
         return df.withColumn("_b", day)
-    cuts = chunk_cuts(df, user, ts, bucket_seconds, chunk_rows)
+    cuts = cuts.withColumnRenamed("_day", "_cut_day")
     laid = df.withColumn("_day", day)
-    laid = laid.join(F.broadcast(cuts), (F.col(user) == F.col("_user")) & (laid["_day"] == cuts["_day"]), "left").drop(cuts["_day"], "_user")
+    laid = laid.join(F.broadcast(cuts), (F.col(user) == F.col("_user")) & (F.col("_day") == F.col("_cut_day")), "left")
     later = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= second)), F.lit(0))
     # a bucket has at most one cut per second
-    return laid.withColumn("_b", F.col("_day") * (bucket_seconds + 1) + F.when(F.col("_cuts").isNull(), 0).otherwise(later)).drop("_day", "_cuts")
+    return (laid.withColumn("_b", F.col("_day") * (bucket_seconds + 1) + F.when(F.col("_cuts").isNull(), 0).otherwise(later))
+                .drop("_day", "_cut_day", "_user", "_cuts"))
+
+
+def found_cuts(df: DataFrame, user: str, ts: str, bucket_seconds: int | None, chunk_rows: int | None) -> DataFrame | None:
+    """``chunk_cuts`` written once (a Spark job that counts rows per user and bucket), or None if
+    there are none, so that ordinary data pays for the count alone."""
+    if bucket_seconds is None or chunk_rows is None:
+        return None
+    cuts = cut_lineage(chunk_cuts(df, user, ts, bucket_seconds, chunk_rows))
+    return None if cuts.isEmpty() else cuts
 
 
 def review_gaps(df: DataFrame, user: str = "customer_id", ts: str = "created_at_ts",
@@ -101,7 +113,11 @@ def review_gaps(df: DataFrame, user: str = "customer_id", ts: str = "created_at_
     Helper columns ``_b`` (chunk) and ``_rn`` (row number in the chunk)
     are kept for ``burst_flags`` and dropped there.
     """
-    df = chunked(df, user, ts, bucket_seconds, chunk_rows)
+    return _gaps(df, user, ts, order_id, bucket_seconds, found_cuts(df, user, ts, bucket_seconds, chunk_rows))
+
+
+def _gaps(df: DataFrame, user: str, ts: str, order_id: str, bucket_seconds: int | None, cuts: DataFrame | None) -> DataFrame:
+    df = chunked(df, user, ts, bucket_seconds, cuts)
     w = Window.partitionBy(user, "_b").orderBy(ts, order_id)
     rows = (df.withColumn("_rn", F.row_number().over(w))
               .withColumn("_prev", F.lag(ts).over(w)))
@@ -138,9 +154,10 @@ def burst_flags(df: DataFrame, user: str = "customer_id", ts: str = "created_at_
     keep all their columns lazily.  ``zero_is_small`` is the notebook's form: the
     threshold is taken over all gaps, and a gap of zero counts as small.
     """
-    gaps = review_gaps(df, user, ts, order_id, bucket_seconds, chunk_rows)
+    cuts = found_cuts(df, user, ts, bucket_seconds, chunk_rows)
+    gaps = _gaps(df, user, ts, order_id, bucket_seconds, cuts)
     if threshold is None:
-        narrow = review_gaps(df.select(user, ts, order_id), user, ts, order_id, bucket_seconds, chunk_rows)
+        narrow = _gaps(df.select(user, ts, order_id), user, ts, order_id, bucket_seconds, cuts)
         threshold = (all_gaps_threshold(narrow) if zero_is_small else burst_threshold(narrow)).scalar()
     thr = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     d = F.col("delta_minutes")

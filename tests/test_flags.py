@@ -61,7 +61,9 @@ def test_user_with_all_rows_in_one_day_is_cut_by_row_count(spark):
     plain = rows(bucket_seconds=None)
     assert rows(chunk_rows=50) == plain and rows(chunk_rows=7) == plain and rows() == plain
     # the busy day is spread: no chunk holds much more than the row count asked for
-    sizes = [r["count"] for r in flags.chunked(df, "customer_id", "created_at_ts", 86400, 50).groupBy("customer_id", "_b").count().collect()]
+    cuts = flags.found_cuts(df, "customer_id", "created_at_ts", 86400, 50)
+    assert flags.found_cuts(df, "customer_id", "created_at_ts", 86400, 5000) is None
+    sizes = [r["count"] for r in flags.chunked(df, "customer_id", "created_at_ts", 86400, cuts).groupBy("customer_id", "_b").count().collect()]
     assert max(sizes) <= 50 + 41 and sum(sizes) == len(data)
     assert flags.burst_flags(df, threshold=1.0, chunk_rows=50).count() == len(data)
 
