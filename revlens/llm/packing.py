@@ -40,8 +40,9 @@ RUN = re.compile(r"\s\s")
 
 
 class Encoder:
-    """Text -> token ids of a public byte-level BPE tokenizer; the strings of
-    special tokens are ordinary text."""
+    """Text -> token ids of a public byte-level BPE tokenizer, as its plain
+    ``encode(text, add_special_tokens=False)`` gives them: the string of a special
+    token is that token."""
 
     def __init__(self, name: str = TOKENIZER):
         import base64
@@ -51,7 +52,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        self.full.encode_special_tokens = True
+        special = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         pattern = public_tokenizers.PATTERN
@@ -61,7 +63,7 @@ class Encoder:
                                         mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> list[int]:
-        if not PLAIN.fullmatch(text):
+        if not PLAIN.fullmatch(text) or self.special.search(text):
             return self.full.encode(text, add_special_tokens=False).ids
         return (self.fast if RUN.search(text) else self.faster).encode_ordinary(text)
 
@@ -159,7 +161,7 @@ class SwapSearch:
             return False
         slack = self.capacity - self.fill[others]
         own = sorted(self.bins[source], key=lambda i: -self.sizes[i])
-        give: list[tuple[int, ...]] = [(i,) for i in own] + list(combinations(own[:16], 2))
+        give: list[tuple[int, ...]] = [(i,) for i in own] + self.pairs(source)
         weights = np.array([sum(self.sizes[i] for i in g) for g in give], np.int64)
         # moves: the give that leaves the least room in some bin
         by_slack = np.argsort(slack, kind="stable")
@@ -174,7 +176,7 @@ class SwapSearch:
             if best and best[0] >= room:
                 break
             held = self.bins[target]
-            takes = [(i,) for i in held] + list(combinations(sorted(held, key=lambda i: self.sizes[i])[:16], 2))
+            takes = [(i,) for i in held] + self.pairs(target)
             taken = np.array([sum(self.sizes[i] for i in t) for t in takes], np.int64)
             gain = weights[:, None] - taken[None, :]
             gain[(gain <= 0) | (gain > room)] = 0
@@ -185,6 +187,17 @@ class SwapSearch:
                 best = (int(gain[g, t]), give[g], target, takes[t])
         return bool(best) and self.exchange(source, best[1], best[2], best[3])
 
+    def pairs(self, number: int) -> list[tuple[int, int]]:
+        """A pair of the bin's pieces for every pair of their lengths.  Pieces of one length do
+        alike, and a bin of 1024 tokens holds at most 44 different lengths, so all
+        exchanges are covered by under a thousand pairs."""
+        first: dict[int, list[int]] = {}
+        for i in self.bins[number]:
+            first.setdefault(self.sizes[i], []).append(i)
+        lengths = sorted(first)
+        return ([(first[a][0], first[b][0]) for a, b in combinations(lengths, 2)]
+                + [(first[a][0], first[a][1]) for a in lengths if len(first[a]) > 1])
+
     def exchange(self, source: int, give: tuple, target: int, take: tuple) -> bool:
         moved = sum(self.sizes[i] for i in give) - sum(self.sizes[i] for i in take)
         self.bins[source] = [i for i in self.bins[source] if i not in give] + list(take)

@@ -10,9 +10,7 @@ from revlens.llm import packing as P
 
 
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # untouched
 
 
 def test_fast_encoder_equals_tokenizer_over_its_range():
@@ -20,7 +18,8 @@ def test_fast_encoder_equals_tokenizer_over_its_range():
     rng = random.Random(4)
     texts = [f"a{chr(c)}b {chr(c)} 1{chr(c)}{chr(c)} x" for c in range(0x250) if not 0xD800 <= c < 0xE000]
     texts += ["".join(chr(rng.randrange(0x250)) for _ in range(200)) for _ in range(300)]
-    texts += ["a  b\n\n c \t\n", "it's we'll I'D", "  lead", "trail  ", "<|endoftext|> x", "日本語 text 😀", "", " ", "\n" * 50]
+    texts += ["a  b\n\n c \t\n", "it's we'll I'D", "  lead", "trail  ", "<|endoftext|> x", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext", "日本語 text 😀", "", " ", "\n" * 50]
+    assert own("a <|endoftext|> b") == [64, 220, 50256, 275]
     for t in texts:
         assert own(t) == full.encode(t, add_special_tokens=False).ids, repr(t)
 
@@ -100,3 +99,13 @@ def test_shards_stay_bounded_when_no_bin_closes(spark, monkeypatch):
     out = P.pack(df, per_shard=100)
     assert out.count() == 3000 and out.select("sequence_id").distinct().count() == 3000
     assert len(sizes) == 1 and max(sizes) < 200
+
+
+def test_swaps_see_every_pair_of_lengths():
+    """The only pair that fits lies beyond the longest sixteen pieces of its bin."""
+    sizes = [40] * 16 + [31, 30] + [963 - 16 - 40]
+    search = P.SwapSearch(sizes, [list(range(18)), [18]], 1024)
+    assert (16, 17) in [tuple(sorted(p)) for p in search.pairs(0)]
+    assert {tuple(sorted((sizes[a], sizes[b]))) for a, b in search.pairs(0)} == {(40, 40), (30, 31), (30, 40), (31, 40)}
+    out = search.run()
+    assert sorted(i for b in out for i in b) == list(range(19)) and all(sum(sizes[i] for i in b) <= 1024 for b in out)
