@@ -174,9 +174,11 @@ def exact_dedup(history: DataFrame, arrivals: DataFrame, key: str = "doc_id", te
 
     rows = stored(digested(history, True).unionAll(digested(arrivals, False)), "digests")
     old = stored(_groups(rows.where("old")), "history")
-    buckets = parts_for(old.count(), per_bucket)
+    new = stored(_groups(rows.where("NOT old")), "arrivals")
+    # both sides of a bucket are held together, so the larger one sets their number
+    buckets = parts_for(max(old.count(), new.count()), per_bucket)
     index = stored(build_index(old, buckets), "mph")
-    merged = merge_arrivals(index, _groups(rows.where("NOT old")), buckets)
+    merged = merge_arrivals(index, new, buckets)
     won = F.when(F.col("winner") != int(NO_ID), F.col("winner"))
     return rows.join(merged, "digest").select(
         F.col("id").alias(key), won.alias("keep_id"), F.col("size").alias("group_size"),

@@ -51,3 +51,13 @@ def test_repeats_are_marked(docs):
 
 def test_empty(docs):
     assert X.exact_dedup(docs([]), docs([])).count() == 0
+
+
+def test_a_small_history_does_not_put_all_arrivals_in_one_bucket(docs, monkeypatch):
+    used = []
+    bucketed = X._bucketed
+    monkeypatch.setattr(X, "_bucketed", lambda groups, buckets: used.append(buckets) or bucketed(groups, buckets))
+    for history in ([], [(0, "old")]):
+        out = X.exact_dedup(docs(history), docs([(i, f"text {i % 40}") for i in range(1, 101)]), per_bucket=10).collect()
+        assert len(out) == 100 + len(history) and {r.group_size for r in out} <= {1, 2, 3}
+    assert used and set(used) == {4}
