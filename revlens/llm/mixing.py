@@ -2,7 +2,7 @@
 
 Tokens are aggregated per source, targets follow from the weights, and each
 document is emitted floor(rate) times plus one Bernoulli copy whose coin is a
-hash of its id and whose probability is the rate's fraction.  Rates are equal
+hash of its id and text and whose probability is the rate's fraction.  Rates are equal
 within a source, so nothing but the per-source sums is needed: the document
 pass is a join with that small table, and a source with a third of all rows
 costs no more than any other (partial sums before the shuffle; the join side is
@@ -27,6 +27,12 @@ def sized(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("size", F.regexp_count(full_text(text), F.lit(WORD)).cast("long"))
 
 
+def _coin(key: str, text: str, seed: str):
+    """A number in [0, 1) from the row's key and text."""
+    name = F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(":"), F.md5(full_text(text)))
+    return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long") / F.lit(2.0 ** 32)
+
+
 def _ranked(sources: DataFrame) -> DataFrame:
     """Add ``rank`` (from 0) by code point, null last.  The sort is ranged over
     partitions; offsets come from the per-partition counts, so no window holds
@@ -71,17 +77,17 @@ def planned(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
             weights=WEIGHTS, max_repeat: float = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """(key, size, source_size, target, copies) for every row of ``docs``.
 
-    Null text: size 0.  Null source: a source of its own, last in order.  Null
-    key: its coin is that of the text 'null'.  Rows repeating a key share their
-    coin.  Sources without words have target 0 and no copies.  An empty table
+    Null text: size 0.  Null source: a source of its own, last in order.  A null
+    key reads as the text 'null'.  The coin is of the row's key and text, so rows that share
+    a key, or have none, fall each their own way; rows equal in both share
+    their coin.  Sources without words have target 0 and no copies.  An empty table
     gives an empty table; other columns are not read.  Reruns agree: the coin is
-    the first 32 bits of md5(seed:key)."""
-    rows = stored(sized(docs.select(F.col(key).alias("doc_key"), F.col(source).alias("source"),
-                                    F.col(text).alias("text"))).drop("text"), "sizes")
+    the first 32 bits of md5(seed:key:md5(text))."""
+    rows = stored(sized(docs.select(F.col(key).alias("doc_key"), F.col(source).alias("source"), F.col(text).alias("text")))
+                  .withColumn("coin", _coin("doc_key", "text", seed)).drop("text"), "sizes")
     targets = source_targets(rows.select("source", "size"), weights, max_repeat).withColumnRenamed("source", "their")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    coin = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_key").cast("string"), F.lit("null")))), 1, 8),
-                  16, 10).cast("long") / F.lit(2.0 ** 32)
+    coin = F.col("coin")
     return (rows.join(targets, F.col("source").eqNullSafe(F.col("their")))
             .withColumn("rate", rate)
             .select(F.col("doc_key").alias(key), "size", "source_size", "target",
@@ -98,8 +104,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     work = docs.withColumn(f"{own}size", F.regexp_count(full_text(text), F.lit(WORD)).cast("long"))
     targets = source_targets(work.select(F.col(source).alias("source"), F.col(f"{own}size").alias("size")), weights, max_repeat)
     rates = targets.select(F.col("source").alias(f"{own}source"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias(f"{own}rate"))
-    coin = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("null")))), 1, 8),
-                  16, 10).cast("long") / F.lit(2.0 ** 32)
+    coin = _coin(key, text, seed)
     r = F.col(f"{own}rate")
     copies = (F.floor(r) + F.when(coin < r - F.floor(r), 1).otherwise(0)).cast("int")
     return (docs.join(rates, F.col(source).eqNullSafe(F.col(f"{own}source")))
@@ -115,7 +120,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = f"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM s),
 o AS (SELECT *, 3.0::DOUBLE * source_size AS cap, row_number() OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST) AS k FROM w),
@@ -128,7 +133,7 @@ t AS (SELECT source, source_size, least(cap, weight * (SELECT level FROM lvl)) A
 r AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-         ('0x' || substr(md5('{SEED}:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS coin
+         ('0x' || substr(md5('{SEED}:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || d.digest), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS coin
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
        (size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken

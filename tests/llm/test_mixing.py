@@ -69,3 +69,12 @@ def test_taken_is_near_target(docs):
 def test_empty_tables(docs):
     assert M.planned(docs([])).count() == 0 and M.mix(docs([])).count() == 0
     assert [r.copies for r in M.planned(docs([None, ""])).collect()] == [0, 0]
+
+
+def test_rows_without_a_key_or_with_one_key_fall_each_their_own_way(docs):
+    """1000 rows without an id and 1000 of one id: the words taken come near the targets."""
+    for key in (None, 7):
+        rows = [(key, f"text number {i} of many words", "a") for i in range(1000)] + [(10_000 + i, "a b c d e", "b") for i in range(1000)]
+        got = M.planned(docs(rows)).groupBy("source_size").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"),
+                                                               F.first("target").alias("target")).collect()
+        assert len(got) == 2 and all(abs(r.taken - r.target) < 0.1 * r.target for r in got), got
