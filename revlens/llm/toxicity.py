@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples.
 
 Fitting reads at most MAX_EXAMPLES labelled rows (those with the smallest id
-hash).  Examples are TF-IDF vectors of unit length in two spaces; document frequencies
+hash).  Words are known by 64-bit hashes, so the vocabulary is one sorted array of numbers
+on the driver and in the tasks.  Examples are TF-IDF vectors of unit length in two spaces; document frequencies
 come from the whole corpus.
 
 All words of the examples span the first, so that whoever repeats or resembles a
@@ -15,7 +16,8 @@ distinct words they follow.  There every term stores its largest weight per bloc
 neighbouring examples, and scoring takes the blocks in order of their upper bound and
 stops when no block can beat the k-th cosine found.
 
-Both give the exact k nearest.  Their votes are weighted by cosine and drawn towards
+Both give the exact k nearest.  Cosines of the first are rounded to DIGITS decimals, so that
+the order in which a batch happens to be summed does not show in a score.  The votes are weighted by cosine and drawn towards
 the rate of examples without any term of the space; the higher score counts.
 """
 
@@ -30,12 +32,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from .common import full_text, stored, table
 from .jaccard_join import words_of
 
 MAX_EXAMPLES = 20_000   # bound of the labelled sample that is fitted
-MAX_TERMS = 4_096       # bound of the space of marking terms
 LIFT = 2.0              # a term's texts must be toxic this many times as often as texts are
 NEIGHBOURS = 15
 EVIDENCE = 5
@@ -44,6 +46,20 @@ HELD_OUT = 5            # rows whose crc32(id) mod HELD_OUT is 0 are never learn
 REJECT = 0.5
 DENSE = 0.1             # share of the examples from which a word is a column of the matrix
 AT_ONCE = 128           # texts scored together
+DIGITS = 9              # decimals of a cosine
+
+
+def word_ids(words: list[bytes]) -> np.ndarray:
+    """64-bit ids of words."""
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
+
+
+def places_of(ids: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the sorted vocabulary, whether it is there) of each id."""
+    if not len(vocabulary):
+        return np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+    at = np.minimum(np.searchsorted(vocabulary, ids), len(vocabulary) - 1)
+    return at, vocabulary[at] == ids
 
 
 class BlockMaxIndex:
@@ -88,7 +104,7 @@ class BlockMaxIndex:
 class WholeSpace:
     """Exact top-k cosine search over the examples' vectors of all their words."""
 
-    def __init__(self, vocabulary: dict[bytes, int], idf: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]],
+    def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]],
                  block: int = BLOCK):
         self.vocabulary, self.idf = vocabulary, idf
         bare = [toxic for _, toxic, terms, _ in examples if not len(terms)]
@@ -125,11 +141,13 @@ class WholeSpace:
         return self.factor[self.held] * self.idf[self.common][:, None]
 
     def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-        known = self.vocabulary
-        found = [(known[t], n) for t, n in counts.items() if t in known]
-        if not found:
+        ids = word_ids(list(counts))
+        terms, known = places_of(ids, self.vocabulary)
+        if not known.any():
             return np.empty(0, np.int64), np.empty(0)
-        terms, n = np.array(found, np.int64).T
+        terms, n = terms[known], np.fromiter(counts.values(), np.int64, len(counts))[known]
+        order = np.argsort(terms)
+        terms, n = terms[order], n[order]
         weights = (1 + np.log(n)) * self.idf[terms]
         return terms, weights / math.sqrt(weights @ weights)
 
@@ -151,7 +169,7 @@ class WholeSpace:
                 score += np.bincount(np.concatenate([self.places[a:z] for a, z in spans]),
                                      self.factor[np.concatenate([self.codes[a:z] for a, z in spans])]
                                      * np.repeat(weights[rare] * self.idf[terms[rare]], high - low), self.n)
-            score /= self.norm
+            score = np.round(score / self.norm, DIGITS)
             best = np.maximum.reduceat(score, np.arange(0, self.n, self.block))
             # k blocks reach this cosine, so the k-th does
             least = np.partition(best, -k)[-k] if len(best) >= k else 0.0
@@ -172,12 +190,12 @@ class WholeSpace:
 
 
 class Model:
-    """Vocabulary, index and prior of the marking terms, small by MAX_EXAMPLES and
-    MAX_TERMS, and the space of all words."""
+    """Vocabulary, index and prior of the marking terms (word ids), bounded by the words of
+    MAX_EXAMPLES texts, and the space of all words."""
 
     whole: WholeSpace | None = None
 
-    def __init__(self, idf: dict[bytes, float], examples: list[tuple[int, int, dict[bytes, int]]]):
+    def __init__(self, idf: dict[int, float], examples: list[tuple[int, int, dict[int, int]]]):
         self.vocabulary = {t: i for i, t in enumerate(sorted(idf))}
         self.idf = np.array([idf[t] for t in sorted(idf)])
         vectors, payload, bare, bare_toxic = [], [], 0, 0
@@ -191,15 +209,15 @@ class Model:
         self.prior = (bare_toxic + 0.05) / (bare + 1)
         self.index = BlockMaxIndex(vectors, payload, len(self.vocabulary))
 
-    def vector(self, counts: dict[bytes, int]) -> dict[int, float]:
+    def vector(self, counts: dict[int, int]) -> dict[int, float]:
         raw = {self.vocabulary[t]: (1 + math.log(n)) * self.idf[self.vocabulary[t]] for t, n in counts.items()}
         norm = math.sqrt(sum(x * x for x in raw.values()))
         return {t: x / norm for t, x in raw.items()} if norm else {}
 
-    def counts(self, words: dict[bytes, int]) -> dict[bytes, int]:
-        return {w: n for w, n in words.items() if w in self.vocabulary}
+    def counts(self, words: dict[bytes, int]) -> dict[int, int]:
+        return {w: n for w, n in zip(word_ids(list(words)).tolist(), words.values()) if w in self.vocabulary}
 
-    def judge(self, counts: dict[bytes, int]) -> tuple[float, list[int], list[float]]:
+    def judge(self, counts: dict[int, int]) -> tuple[float, list[int], list[float]]:
         """(score, evidence ids, their cosines)."""
         near = self.index.nearest(self.vector(counts), NEIGHBOURS)
         votes = sum(c for c, _ in near)
@@ -228,7 +246,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Learn from the labelled rows that are not held out, at most ``max_examples``.
 
     Rows without a label, a key or a text in ``docs`` are left out; a key labelled
-    twice counts as toxic if any label says so.  Without any example the model
+    twice counts as toxic if any label says so; of several texts under one key the one
+    with the smallest digest is learned.  Without any example the model
     knows only a low prior."""
     spark = docs.sparkSession
     chosen = (labels.where(F.col(key).isNotNull() & F.col(toxic).isNotNull() & ~held_out(key))
@@ -236,7 +255,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
               .orderBy(F.md5(F.col("id").cast("string")), "id").limit(max_examples))
     # at most max_examples (id, label) rows: a bounded broadcast
     sample = stored(docs.select(F.col(key).alias("id"), full_text(text).alias("text"))
-                    .join(F.broadcast(chosen), "id").dropDuplicates(["id"]), "labelled")
+                    .join(F.broadcast(chosen), "id").groupBy("id", "toxic")
+                    .agg(F.min(F.struct(F.md5("text").alias("digest"), "text"))["text"].alias("text")), "labelled")
 
     def term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         every, marked = Counter(), Counter()
@@ -246,10 +266,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 every.update(words)
                 if y:
                     marked.update(words)
-        yield pd.DataFrame({"term": list(every), "n": list(every.values()), "n_toxic": [marked[t] for t in every]})
+        yield pd.DataFrame({"term": word_ids(list(every)), "n": list(every.values()), "n_toxic": [marked[t] for t in every]})
 
     n_docs, n_toxic = sample.agg(F.count(F.lit(1)), F.sum("toxic")).first()
-    every = stored(sample.mapInPandas(term_counts, "term binary, n long, n_toxic long")
+    every = stored(sample.mapInPandas(term_counts, "term long, n long, n_toxic long")
                    .groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")), "terms")
     terms = every.where("n >= 3")
     tried = terms.count()
@@ -258,37 +278,38 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     score = F.pandas_udf(lambda n, t: pd.Series(_g2(n.to_numpy(float), t.to_numpy(float), n_docs, n_toxic)), "double")
     telling = (F.col("g2") > 2 * math.log(max(1, tried))) & (F.col("n_toxic") * n_docs >= LIFT * n_toxic * F.col("n"))
 
-    def best(counts: DataFrame) -> list:
-        return (counts.withColumn("g2", score("n", "n_toxic")).where(telling)
-                .orderBy(F.col("g2").desc(), "term").limit(MAX_TERMS).collect())  # bounded by MAX_TERMS
+    def best(counts: DataFrame) -> set[int]:
+        # words of max_examples texts that are beyond chance
+        return {r["term"] for r in counts.withColumn("g2", score("n", "n_toxic")).where(telling).select("term").collect()}
 
-    marked_terms = spark.sparkContext.broadcast(frozenset(bytes(r["term"]) for r in best(terms)))
+    marked_terms = spark.sparkContext.broadcast(frozenset(best(terms)))
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, seen = marked_terms.value, set()
         for batch in batches:
             for content, y in zip(batch["text"], batch["toxic"]):
-                words = words_of(content)
-                seen.update((w, words[i - 1] if i else b"", y) for i, w in enumerate(words) if w in known)
+                words = word_ids(words_of(content)).tolist()
+                seen.update((w, words[i - 1] if i else 0, y) for i, w in enumerate(words) if w in known)
         yield pd.DataFrame(list(seen), columns=["term", "before", "toxic"])
 
     # copies of a passage count once: a term is tried again on the distinct words before it
-    found = sample.mapInPandas(contexts, "term binary, before binary, toxic int").distinct()
-    kept = best(found.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("n_toxic")))
-    marking = {bytes(r["term"]) for r in kept}
+    found = sample.mapInPandas(contexts, "term long, before long, toxic int").distinct()
+    marking = best(found.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("n_toxic")))
 
-    # the words of at most max_examples texts
-    words = sorted(every.select("term").toPandas()["term"].map(bytes))
-    known_words = {t: i for i, t in enumerate(words)}
-    vocabulary = spark.sparkContext.broadcast(known_words)
+    # the words of at most max_examples texts, eight bytes each
+    words = np.sort(_numbers(every.select("term"), np.int64))
+    vocabulary = spark.sparkContext.broadcast(words)
 
     def corpus_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, seen, n = vocabulary.value, Counter(), 0
+        known, n = vocabulary.value, 0
+        seen = np.zeros(len(known), np.int64)
         for batch in batches:
             n += len(batch)
             for content in batch["text"]:
-                seen.update([t for t in set(words_of(content)) if t in known])
-        yield pd.DataFrame({"term": [-1, *[known[t] for t in seen]], "n": [n, *seen.values()]})  # term -1 counts rows
+                at, there = places_of(word_ids(list(set(words_of(content)))), known)
+                seen[at[there]] += 1  # distinct words, distinct places
+        held = np.flatnonzero(seen)
+        yield pd.DataFrame({"term": np.append(-1, held), "n": np.append(n, seen[held])})  # term -1 counts rows
 
     found = (docs.select(full_text(text).alias("text")).mapInPandas(corpus_counts, "term int, n long")
              .groupBy("term").agg(F.sum("n").alias("n")).toPandas().sort_values("term"))
@@ -299,20 +320,27 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         known = vocabulary.value
         for batch in batches:
             found = [Counter(words_of(t)) for t in batch["text"]]
+            terms = [places_of(word_ids(list(c)), known)[0] for c in found]
+            order = [np.argsort(t) for t in terms]
             yield pd.DataFrame({"id": batch["id"], "toxic": batch["toxic"],
-                                "terms": [np.array([known[w] for w in c], "<i4").tobytes() for c in found],
-                                "counts": [np.array(list(c.values()), "<i4").tobytes() for c in found]})
-
-    rows = sample.mapInPandas(example_counts, "id long, toxic int, terms binary, counts binary").collect()
-    examples = [(r["id"], r["toxic"], np.frombuffer(r["terms"], "<i4"), np.frombuffer(r["counts"], "<i4")) for r in rows]
-    del rows
-    marks = np.array([t in marking for t in words], bool)
-    model = Model({t: float(idf[known_words[t]]) for t in marking}, [
-        (doc, y, {words[t]: int(n) for t, n in zip(terms[marks[terms]], counts[marks[terms]])}) for doc, y, terms, counts in examples])
-    model.whole = WholeSpace(known_words, idf, examples)
+                                "terms": [t[o].astype("<i4").tobytes() for t, o in zip(terms, order)],
+                                "counts": [np.array(list(c.values()), "<i4")[o].tobytes() for c, o in zip(found, order)]})
+
+    rows = sample.mapInPandas(example_counts, "id long, toxic int, terms binary, counts binary").toPandas().sort_values("id")
+    examples = [(int(i), int(y), np.frombuffer(t, "<i4"), np.frombuffer(c, "<i4"))
+                for i, y, t, c in rows.itertuples(index=False)]
+    marks = np.isin(words, np.array(sorted(marking), np.int64))
+    ids = words.tolist() if marking else []
+    model = Model({ids[t]: float(idf[t]) for t in np.flatnonzero(marks)}, [
+        (doc, y, {ids[t]: int(n) for t, n in zip(terms[marks[terms]], counts[marks[terms]])}) for doc, y, terms, counts in examples])
+    model.whole = WholeSpace(words, idf, examples)
     return model
 
 
+def _numbers(column: DataFrame, kind) -> np.ndarray:
+    return column.toPandas().iloc[:, 0].to_numpy(kind)
+
+
 def scorer(model: Model, spark: SparkSession):
     """Column function: text -> struct(score, evidence, cosines)."""
     shared = spark.sparkContext.broadcast(model)

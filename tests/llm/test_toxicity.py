@@ -91,7 +91,11 @@ def test_whole_space_search_is_exact():
         counts = np.array([rng.randint(1, 4) for _ in chosen], "<i4")
         examples.append((i, i % 3 == 0, chosen, counts))
         texts.append({words[t]: int(n) for t, n in zip(chosen, counts)})
-    space = X.WholeSpace({t: i for i, t in enumerate(words)}, np.array([idf[t] for t in words]), examples, block=8)
+    ids = X.word_ids(words)
+    order = np.argsort(ids)
+    words = [words[i] for i in order]
+    texts = [{words[t]: int(n) for t, n in zip(c, k)} for _, _, c, k in examples]
+    space = X.WholeSpace(ids[order], np.array([idf[t] for t in words]), examples, block=8)
     assert 0 < len(space.matrix) < 200
     unit = np.zeros((500, 200))
     for i, t in enumerate(texts):
@@ -101,3 +105,90 @@ def test_whole_space_search_is_exact():
     for i, near in enumerate(space.nearest([space.vector(t) for t in texts], 15)):
         wanted = [c for c in exact[i, :15] if c > 0]
         assert np.allclose([c for c, _ in near], wanted)
+
+
+def test_a_score_depends_on_the_text_alone(spark, docs):
+    """Whatever rows stand beside it: other partitions, other batches, other copies."""
+    rows, labels = corpus()
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = X.fit(docs(rows), marked)
+    rng = random.Random(9)
+    got = []
+    for parts in (1, 3, 7):
+        mixed = rows * 2 + [(9000 + i, "vile w1 w2 " * i) for i in range(parts)]
+        rng.shuffle(mixed)
+        scored = X.toxicity(docs(mixed).repartition(parts), marked, model=model).select("doc_id", "toxicity").collect()
+        by = {}
+        for r in scored:
+            by.setdefault(r.doc_id, set()).add(str(r.toxicity))
+        assert all(len(x) == 1 for x in by.values())
+        got.append({d: x for d, x in by.items() if d < 9000})
+    assert got[0] == got[1] == got[2]
+
+
+def brute_scores(rows, labels):
+    """The final score by its definition: every cosine with every example, in both spaces."""
+    import re
+    import zlib
+    from collections import Counter
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    bags = {d: Counter(word.findall((t or "").lower())) for d, t in rows}
+    train = [(d, y) for d, y in labels if zlib.crc32(str(d).encode()) % 5]
+    known = {w for d, _ in train for w in bags[d]}
+    df = Counter(w for d, t in rows for w in set(bags[d]) if w in known)
+    idf = {w: math.log(1 + len(rows) / df[w]) for w in known}
+    n, bad = Counter(), Counter()
+    for d, y in train:
+        n.update(set(bags[d]))
+        bad.update(set(bags[d]) if y else ())
+    docs, toxic = len(train), sum(y for _, y in train)
+
+    def telling(n, bad, tried):
+        g2 = X._g2(np.array([float(n)]), np.array([float(bad)]), docs, toxic)[0]
+        return g2 > 2 * math.log(max(1, tried)) and bad * docs >= X.LIFT * toxic * n
+    tried = sum(c >= 3 for c in n.values())
+    first = {w for w in n if n[w] >= 3 and telling(n[w], bad[w], tried)}
+    seen = set()
+    for d, y in train:
+        text = word.findall((dict(rows)[d] or "").lower())
+        seen |= {(w, text[i - 1] if i else None, y) for i, w in enumerate(text) if w in first}
+    marking = {w for w in first if telling(sum(x[0] == w for x in seen), sum(x[0] == w and x[2] for x in seen), tried)}
+
+    def votes(space):
+        def vector(bag):
+            v = {w: (1 + math.log(c)) * idf[w] for w, c in bag.items() if w in space}
+            norm = math.sqrt(sum(x * x for x in v.values()))
+            return {w: x / norm for w, x in v.items()} if norm else {}
+        examples = [(vector(bags[d]), y) for d, y in train]
+        bare = [y for v, y in examples if not v]
+        prior = (sum(bare) + 0.05) / (len(bare) + 1)
+
+        def score(bag):
+            q = vector(bag)
+            cos = sorted(((sum(x * v.get(w, 0) for w, x in q.items()), y) for v, y in examples), key=lambda c: -c[0])
+            near = [c for c in cos if c[0] > 1e-9][:X.NEIGHBOURS]
+            tie = len(cos) > X.NEIGHBOURS and near and abs(cos[X.NEIGHBOURS][0] - near[-1][0]) < 1e-8
+            return (sum(c for c, y in near if y) + prior) / (sum(c for c, _ in near) + 1), tie
+        return score
+    whole, marks = votes(known), votes(marking)
+    return {d: (max(whole(b)[0], marks(b)[0]), whole(b)[1] or marks(b)[1]) for d, b in bags.items()}, marking
+
+
+def test_final_scores_equal_brute_force(spark, docs):
+    rows, labels = corpus(260)
+    rows += [(1000, None), (1001, ""), (1002, "unseen words only"), (1003, "vile " * 50), (1004, "w1 w2 w3 nasty w4")]
+    expected, marking = brute_scores(rows, labels)
+    assert {"vile", "nasty"} <= marking
+    got = {r.doc_id: r.toxicity.score for r in X.toxicity(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    sure = [d for d, (_, tie) in expected.items() if not tie]   # ties at the k-th place go to the earlier example
+    assert len(sure) > 150
+    assert all(abs(got[d] - expected[d][0]) < 1e-6 for d in sure)
+
+
+def test_several_texts_of_one_id_give_one_example(spark, docs):
+    rows, labels = corpus(120)
+    twice = rows + [(d, "other text " + t) for d, t in rows]
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int")
+    one = X.toxicity(docs(twice), marked).select("doc_id", "text", "toxicity.score").collect()
+    two = X.toxicity(docs(twice[::-1]).repartition(5), marked).select("doc_id", "text", "toxicity.score").collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two))
