@@ -2,7 +2,8 @@
 
 Fitting reads at most MAX_EXAMPLES labelled rows (those with the smallest id
 hash).  Words are known by 64-bit hashes, so the vocabulary is one sorted array of numbers
-on the driver and in the tasks.  Examples are TF-IDF vectors of unit length in two spaces; document frequencies
+on the driver and in the tasks; the index over the examples is built in one task,
+which MAX_EXAMPLES bounds, and the driver passes it on packed.  Examples are TF-IDF vectors of unit length in two spaces; document frequencies
 come from the whole corpus.
 
 All words of the examples span the first, so that whoever repeats or resembles a
@@ -24,6 +25,8 @@ the rate of examples without any term of the space; the higher score counts.
 from __future__ import annotations
 
 import math
+import pickle
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
@@ -46,6 +49,7 @@ HELD_OUT = 5            # rows whose crc32(id) mod HELD_OUT is 0 are never learn
 REJECT = 0.5
 DENSE = 0.1             # share of the examples from which a word is a column of the matrix
 AT_ONCE = 128           # texts scored together
+COUNTED = 512           # texts whose words are counted at a time
 DIGITS = 9              # decimals of a cosine
 
 
@@ -242,7 +246,7 @@ def _g2(n: np.ndarray, toxic: np.ndarray, docs: int, toxic_docs: int) -> np.ndar
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic",
-        max_examples: int = MAX_EXAMPLES) -> Model:
+        max_examples: int = MAX_EXAMPLES) -> Model | Fitted:
     """Learn from the labelled rows that are not held out, at most ``max_examples``.
 
     Rows without a label, a key or a text in ``docs`` are left out; a key labelled
@@ -316,60 +320,77 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     total, df = int(found["n"].iloc[0]), found["n"].to_numpy(float)[1:]
     idf = np.log(1 + total / df)
 
-    def example_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = vocabulary.value
+    learned = spark.sparkContext.broadcast((idf, np.isin(words, np.array(sorted(marking), np.int64))))
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The model of the sample, in one task: bounded by max_examples."""
+        known, (idf, marks) = vocabulary.value, learned.value
+        ids = known.tolist()
+        whole, marked = [], []
         for batch in batches:
-            found = [Counter(words_of(t)) for t in batch["text"]]
-            terms = [places_of(word_ids(list(c)), known)[0] for c in found]
-            order = [np.argsort(t) for t in terms]
-            yield pd.DataFrame({"id": batch["id"], "toxic": batch["toxic"],
-                                "terms": [t[o].astype("<i4").tobytes() for t, o in zip(terms, order)],
-                                "counts": [np.array(list(c.values()), "<i4")[o].tobytes() for c, o in zip(found, order)]})
-
-    rows = sample.mapInPandas(example_counts, "id long, toxic int, terms binary, counts binary").toPandas().sort_values("id")
-    examples = [(int(i), int(y), np.frombuffer(t, "<i4"), np.frombuffer(c, "<i4"))
-                for i, y, t, c in rows.itertuples(index=False)]
-    marks = np.isin(words, np.array(sorted(marking), np.int64))
-    ids = words.tolist() if marking else []
-    model = Model({ids[t]: float(idf[t]) for t in np.flatnonzero(marks)}, [
-        (doc, y, {ids[t]: int(n) for t, n in zip(terms[marks[terms]], counts[marks[terms]])}) for doc, y, terms, counts in examples])
-    model.whole = WholeSpace(words, idf, examples)
-    return model
+            for doc, y, content in zip(batch["id"].tolist(), batch["toxic"].tolist(), batch["text"]):
+                found = Counter(words_of(content))
+                terms = places_of(word_ids(list(found)), known)[0]
+                order = np.argsort(terms)
+                terms, counts = terms[order].astype("<i4"), np.fromiter(found.values(), "<i4", len(found))[order]
+                whole.append((doc, y, terms, counts))
+                marked.append((doc, y, {ids[t]: int(n) for t, n in zip(terms[marks[terms]], counts[marks[terms]])}))
+        by_id = sorted(range(len(whole)), key=lambda i: whole[i][0])
+        model = Model({ids[t]: float(idf[t]) for t in np.flatnonzero(marks)}, [marked[i] for i in by_id])
+        model.whole = WholeSpace(known, idf, [whole[i] for i in by_id])
+        yield pd.DataFrame({"model": [zlib.compress(pickle.dumps(model), 1)]})
+
+    return Fitted(bytes(sample.coalesce(1).mapInPandas(build, "model binary").first()["model"]))
+
+
+class Fitted:
+    """A model as the bytes in which its task packed it; the driver only passes them on."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def __getstate__(self) -> dict:
+        return {"data": self.data}
+
+    @cached_property
+    def model(self) -> Model:
+        return pickle.loads(zlib.decompress(self.data))
 
 
 def _numbers(column: DataFrame, kind) -> np.ndarray:
     return column.toPandas().iloc[:, 0].to_numpy(kind)
 
 
-def scorer(model: Model, spark: SparkSession):
+def scorer(model: Model | Fitted, spark: SparkSession):
     """Column function: text -> struct(score, evidence, cosines)."""
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("score double, evidence array<long>, cosines array<double>")
     def judge(texts: pd.Series) -> pd.DataFrame:
-        known: Model = shared.value
+        known: Model = shared.value.model if isinstance(shared.value, Fitted) else shared.value
         marked: dict[frozenset, tuple] = {}
-        different: dict[frozenset, int] = {}   # equal word counts are judged once
-        places, out = [], []
-        for content in texts:
-            words = Counter(words_of(content))
-            places.append(different.setdefault(frozenset(words.items()), len(different)))
-        counts = [dict(x) for x in different]
-        whole = known.whole.judge(counts) if known.whole else [None] * len(counts)
-        for words, other in zip(counts, whole):
-            marks = known.counts(words)
-            mark = frozenset(marks.items())
-            if mark not in marked:
-                marked[mark] = known.judge(marks)
-            out.append(max(marked[mark], other, key=lambda x: x[0]) if other else marked[mark])
-        out = [out[p] for p in places]
+        out: list[tuple] = []
+        for at in range(0, len(texts), COUNTED):  # word counts of a few texts are held at a time
+            different: dict[frozenset, int] = {}   # equal word counts are judged once
+            places = [different.setdefault(frozenset(Counter(words_of(content)).items()), len(different))
+                      for content in texts.iloc[at:at + COUNTED]]
+            counts = [dict(x) for x in different]
+            whole = known.whole.judge(counts) if known.whole else [None] * len(counts)
+            judged = []
+            for words, other in zip(counts, whole):
+                marks = known.counts(words)
+                mark = frozenset(marks.items())
+                if mark not in marked:
+                    marked[mark] = known.judge(marks)
+                judged.append(max(marked[mark], other, key=lambda x: x[0]) if other else marked[mark])
+            out += [judged[p] for p in places]
         return pd.DataFrame(out, columns=["score", "evidence", "cosines"])
 
     return judge
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", toxic: str = "toxic",
-             model: Model | None = None, into: str = "toxicity") -> DataFrame:
+             model: Model | Fitted | None = None, into: str = "toxicity") -> DataFrame:
     """``docs`` with a struct column ``into``: score (0 to 1), evidence (ids of the
     nearest examples) and their cosines.
 
