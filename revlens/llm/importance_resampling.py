@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, full_text, stored, table, with_rows
+from .common import ROW, full_text, stored, table
 
 BUCKETS, NGRAM = 10_000, 2
 MIN_WORDS, SHARE, SEED = 20, 25, "7"
@@ -244,7 +244,9 @@ def importance_resampling(docs: DataFrame, target: DataFrame, key: str = "doc_id
     1 or more.  A null key draws as the text 'null' and comes last on ties.  Repeated rows are rows of
     their own with equal scores (ties among them by their place).  An empty target or
     an empty table of documents gives smoothed shares or no rows.  Other columns are not read."""
-    lists = stored(bucket_lists(with_rows(docs.select(F.col(key).alias(key), F.col(text).alias("__t"))), [key, ROW], "__t", n, buckets), "buckets")
+    # the rows get their numbers as the lists are written: texts are read once and never written
+    numbered = docs.select(F.col(key).alias(key), F.col(text).alias("__t"), F.monotonically_increasing_id().alias(ROW))
+    lists = stored(bucket_lists(numbered, [key, ROW], "__t", n, buckets), "buckets")
     wanted = stored(bucket_lists(target.select(F.col(target_text).alias("__t")), [], "__t", n, buckets), "target")
     gains = bucket_gains(bucket_counts(lists, buckets), bucket_counts(wanted, buckets))
     name = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("null"))), 256)
