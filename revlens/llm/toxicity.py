@@ -58,6 +58,16 @@ def word_ids(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
+Bag = tuple[np.ndarray, np.ndarray]  # distinct word ids, ascending, and their counts
+
+
+def bag_of(words: list[bytes]) -> Bag:
+    found = Counter(words)
+    ids = word_ids(list(found))
+    order = np.argsort(ids)
+    return ids[order], np.fromiter(found.values(), np.int64, len(found))[order]
+
+
 def places_of(ids: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place in the sorted vocabulary, whether it is there) of each id."""
     if not len(vocabulary):
@@ -138,20 +148,22 @@ class WholeSpace:
         self.bounds = np.searchsorted(terms[order], np.arange(len(idf) + 1))
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "matrix"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("matrix", "weights")}
 
     @cached_property
     def matrix(self) -> np.ndarray:
-        return self.factor[self.held] * self.idf[self.common][:, None]
+        return self.factor[self.held] * self.idf[self.common][:, None] / self.norm
+
+    @cached_property
+    def weights(self) -> np.ndarray:
+        """The unit vectors' entries at the inverted index's places."""
+        return self.factor[self.codes] * np.repeat(self.idf, np.diff(self.bounds)) / self.norm[self.places]
 
-    def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-        ids = word_ids(list(counts))
-        terms, known = places_of(ids, self.vocabulary)
+    def vector(self, bag: Bag) -> tuple[np.ndarray, np.ndarray]:
+        terms, known = places_of(bag[0], self.vocabulary)
         if not known.any():
             return np.empty(0, np.int64), np.empty(0)
-        terms, n = terms[known], np.fromiter(counts.values(), np.int64, len(counts))[known]
-        order = np.argsort(terms)
-        terms, n = terms[order], n[order]
+        terms, n = terms[known], bag[1][known]
         weights = (1 + np.log(n)) * self.idf[terms]
         return terms, weights / math.sqrt(weights @ weights)
 
@@ -171,18 +183,17 @@ class WholeSpace:
             if (high - low).sum():
                 spans = list(zip(low.tolist(), high.tolist()))
                 score += np.bincount(np.concatenate([self.places[a:z] for a, z in spans]),
-                                     self.factor[np.concatenate([self.codes[a:z] for a, z in spans])]
-                                     * np.repeat(weights[rare] * self.idf[terms[rare]], high - low), self.n)
-            score = np.round(score / self.norm, DIGITS)
+                                     np.concatenate([self.weights[a:z] for a, z in spans]) * np.repeat(weights[rare], high - low), self.n)
             best = np.maximum.reduceat(score, np.arange(0, self.n, self.block))
             # k blocks reach this cosine, so the k-th does
             least = np.partition(best, -k)[-k] if len(best) >= k else 0.0
-            found = np.flatnonzero((score >= least) & (score > 0))
-            found = found[np.lexsort((found, -score[found]))][:k]
-            out.append([(float(score[p]), int(p)) for p in found])
+            found = np.flatnonzero(score >= least - 10.0 ** -DIGITS)
+            cosines = np.round(score[found], DIGITS)
+            order = np.lexsort((found, -cosines))[:k]
+            out.append([(float(c), int(p)) for c, p in zip(cosines[order], found[order]) if c > 0])
         return out
 
-    def judge(self, texts: list[dict[bytes, int]]) -> list[tuple[float, list[int], list[float]]]:
+    def judge(self, texts: list[Bag]) -> list[tuple[float, list[int], list[float]]]:
         """Per text (score, evidence ids, their cosines)."""
         out = []
         for at in range(0, len(texts), AT_ONCE):
@@ -201,6 +212,7 @@ class Model:
 
     def __init__(self, idf: dict[int, float], examples: list[tuple[int, int, dict[int, int]]]):
         self.vocabulary = {t: i for i, t in enumerate(sorted(idf))}
+        self.marks = np.array(sorted(idf), np.int64)
         self.idf = np.array([idf[t] for t in sorted(idf)])
         vectors, payload, bare, bare_toxic = [], [], 0, 0
         for doc, toxic, counts in examples:
@@ -218,8 +230,9 @@ class Model:
         norm = math.sqrt(sum(x * x for x in raw.values()))
         return {t: x / norm for t, x in raw.items()} if norm else {}
 
-    def counts(self, words: dict[bytes, int]) -> dict[int, int]:
-        return {w: n for w, n in zip(word_ids(list(words)).tolist(), words.values()) if w in self.vocabulary}
+    def counts(self, bag: Bag) -> dict[int, int]:
+        there = places_of(bag[0], self.marks)[1]
+        return dict(zip(bag[0][there].tolist(), bag[1][there].tolist()))
 
     def judge(self, counts: dict[int, int]) -> tuple[float, list[int], list[float]]:
         """(score, evidence ids, their cosines)."""
@@ -371,10 +384,11 @@ def scorer(model: Model | Fitted, spark: SparkSession):
         marked: dict[frozenset, tuple] = {}
         out: list[tuple] = []
         for at in range(0, len(texts), COUNTED):  # word counts of a few texts are held at a time
-            different: dict[frozenset, int] = {}   # equal word counts are judged once
-            places = [different.setdefault(frozenset(Counter(words_of(content)).items()), len(different))
-                      for content in texts.iloc[at:at + COUNTED]]
-            counts = [dict(x) for x in different]
+            bags = [bag_of(words_of(content)) for content in texts.iloc[at:at + COUNTED]]
+            different: dict[tuple[bytes, bytes], int] = {}   # equal word counts are judged once
+            places = [different.setdefault((ids.tobytes(), n.tobytes()), len(different)) for ids, n in bags]
+            first = {p: i for i, p in reversed(list(enumerate(places)))}
+            counts = [bags[first[p]] for p in range(len(different))]
             whole = known.whole.judge(counts) if known.whole else [None] * len(counts)
             judged = []
             for words, other in zip(counts, whole):

@@ -98,11 +98,12 @@ def test_whole_space_search_is_exact():
     space = X.WholeSpace(ids[order], np.array([idf[t] for t in words]), examples, block=8)
     assert 0 < len(space.matrix) < 200
     unit = np.zeros((500, 200))
-    for i, t in enumerate(texts):
+    bags = [X.bag_of([w for w, n in t.items() for _ in range(n)]) for t in texts]
+    for i, t in enumerate(bags):
         at, weights = space.vector(t)
         unit[i, at] = weights
     exact = np.sort(unit @ unit.T, axis=1)[:, ::-1]
-    for i, near in enumerate(space.nearest([space.vector(t) for t in texts], 15)):
+    for i, near in enumerate(space.nearest([space.vector(t) for t in bags], 15)):
         wanted = [c for c in exact[i, :15] if c > 0]
         assert np.allclose([c for c, _ in near], wanted)
 
