@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -57,18 +58,27 @@ class PStableHash:
         self.shift = rng.uniform(0, WIDTH, k * tables)
         self.mix = rng.integers(1, 2 ** 63, k, dtype=np.int64).astype(np.uint64) | np.uint64(1)
 
-    def keys(self, unit: np.ndarray) -> np.ndarray:
-        """(n, dim) unit vectors -> (n, tables) bucket keys, the table folded in, never 0."""
-        cells = np.floor((unit @ self.axes + self.shift) / WIDTH).astype(np.int64).astype(np.uint64)
-        cells = cells.reshape(len(unit), self.tables, self.k)
-        h = np.broadcast_to(np.arange(1, self.tables + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15),
-                            (len(unit), self.tables)).copy()
+    def keys(self, unit: np.ndarray, tables: int | None = None) -> np.ndarray:
+        """(n, dim) unit vectors -> (n, tables) keys of the buckets in the first ``tables``
+        tables (None: all), the table folded in, never 0."""
+        tables = self.tables if tables is None else tables
+        used = tables * self.k
+        cells = np.floor((unit @ self.axes[:, :used] + self.shift[:used]) / WIDTH).astype(np.int64).astype(np.uint64)
+        cells = cells.reshape(len(unit), tables, self.k)
+        h = np.broadcast_to(np.arange(1, tables + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15),
+                            (len(unit), tables)).copy()
         for i in range(self.k):
             h = (h ^ (cells[:, :, i] * self.mix[i])) * np.uint64(0xBF58476D1CE4E5B9)
             h ^= h >> np.uint64(29)
         return (h | np.uint64(1)).view(np.int64)
 
 
+@lru_cache(maxsize=4)
+def hash_of(dim: int, k: int, tables: int) -> PStableHash:
+    """The hash for vectors of one length, drawn once a worker."""
+    return PStableHash(dim, k, tables)
+
+
 def unit_rows(raw: Iterable[bytes], dim: int) -> np.ndarray:
     v = np.frombuffer(b"".join(raw), "<f8").reshape(-1, dim)
     v = v / np.abs(v).max(axis=1, keepdims=True)  # no overflow in the norm
@@ -112,7 +122,7 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     def hash_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, part in batch.groupby("dim"):
-                hasher = PStableHash(int(dim), k, tables)
+                hasher = hash_of(int(dim), k, tables)
                 for at in range(0, len(part), 512):
                     some = part.iloc[at:at + 512]
                     keys = hasher.keys(unit_rows(some["raw"], int(dim)))
@@ -138,7 +148,7 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
             near = (x @ x.T >= threshold) & mask[np.ix_(at, at)]
             if run and near.any():
                 some = np.flatnonzero((near | near.T).any(axis=1))
-                keys = PStableHash(int(dim), k, tables).keys(x[some])
+                keys = hash_of(int(dim), k, tables).keys(x[some], run + 1)
                 near[np.ix_(some, some)] &= ~met_before(keys, run)
             linked[np.ix_(at, at)] = near
         return linked_rows(unit["node"], unit["size"], linked)

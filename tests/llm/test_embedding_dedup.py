@@ -49,3 +49,25 @@ def test_parameters_reach_recall():
     for n in (10, 10_000, 10 ** 9):
         k, tables = E.parameters(n)
         assert 1 - (1 - E.collision((2 - 1.8) ** 0.5) ** k) ** tables >= E.RECALL
+
+
+def test_recall_near_the_threshold(spark):
+    """500 pairs at a cosine of 0.9 to 0.91 among unlike vectors."""
+    rng = np.random.default_rng(6)
+    first = rng.standard_normal((500, 48))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    other = rng.standard_normal((500, 48))
+    other -= (other * first).sum(axis=1, keepdims=True) * first
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cos = rng.uniform(0.9001, 0.91, (500, 1))
+    vectors = [[float(x) for x in v] for v in np.vstack([first, cos * first + np.sqrt(1 - cos ** 2) * other])]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    links = [r.n_links for r in E.embedding_dedup(df).collect()]
+    assert set(links) <= {0, 1} and sum(links) >= 0.93 * len(links)
+
+
+def test_keys_of_the_first_tables():
+    x = np.random.default_rng(1).standard_normal((20, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hasher = E.hash_of(8, 3, 10)
+    assert (hasher.keys(x, 4) == hasher.keys(x)[:, :4]).all() and E.hash_of(8, 3, 10) is hasher
