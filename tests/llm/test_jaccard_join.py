@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+
 from revlens.llm import jaccard_join as J
 
 
@@ -67,3 +69,29 @@ def test_empty_and_wordless(docs):
 
 def test_runs_follow_from_recall():
     assert 1 - (1 - 0.8 ** J.DEPTH) ** J.runs_for(0.8, 0.999) >= 0.999
+
+
+def test_recall_of_short_texts_at_the_threshold(docs):
+    """Pairs of 9 to 25 words at a similarity of 0.8 or little more: nearly all are found."""
+    rng = random.Random(4)
+    texts = []
+    for k in range(600):
+        n = rng.choice([8, 12, 16, 20])                  # shingles of the shorter text; n / 4 words are added
+        words = ["t%d_%d" % (k, i) for i in range(n + 4)]
+        texts += [" ".join(words), " ".join(words + ["u%d_%d" % (k, i) for i in range(n // 4)])]
+    rows = list(enumerate(texts))
+    assert all(links == 1 for _, _, links in brute(rows[:40]))
+    got = [r.n_links for r in J.jaccard_join(docs(rows)).collect()]
+    assert set(got) <= {0, 1} and sum(got) >= 0.99 * len(rows)
+
+
+def test_sampled_tokens_are_independent():
+    """Small sets at 0.8: agreement of 64 tokens spreads as that of independent draws does."""
+    rng = np.random.default_rng(3)
+    sampler = J.Sampler(J.runs_for())
+    shares = []
+    for _ in range(800):
+        union = rng.integers(1, 2 ** 62, 10, dtype=np.int64).astype(np.uint64) * np.uint64(3)
+        shares.append((sampler.sample(np.sort(union[:9])) == sampler.sample(np.sort(union[1:]))).mean())
+    assert abs(np.mean(shares) - 0.8) < 0.01 and 0.04 < np.std(shares) < 0.06    # sqrt(0.8 * 0.2 / 64) = 0.05
+    assert np.mean(np.array(shares) < J.ESTIMATE) < 0.005
