@@ -166,3 +166,20 @@ def test_hot_products_cost_their_classes_not_their_buyers(spark):
         assert fast == full
         assert sizes[n] < 20 * n < recommend.jaccard_pairs(b).count()
     assert sizes[600] < 2.6 * sizes[300]
+
+
+def test_candidates_left_are_few_per_customer_and_dealt_customers_rank_the_same(spark, monkeypatch):
+    """No list of all pairs is ranked; a customer with many products is dealt over several tasks."""
+    import random
+    rnd = random.Random(4)
+    baskets = {c: sorted(rnd.sample(range(40), rnd.randint(1, 6))) for c in range(200)} | {500: list(range(40)), 501: list(range(1, 40))}
+    b = spark.createDataFrame(list(baskets.items()), "customer_id long, items array<long>")
+    full = {(r.customer_id, r.nrank): (r.other_id, round(r.jaccard, 12)) for r in
+            recommend.top_neighbours(recommend.jaccard_pairs(b), 5).collect()}
+    for items in (recommend.DEAL_ITEMS, 3):
+        monkeypatch.setattr(recommend, "DEAL_ITEMS", items)
+        cand = recommend.neighbour_candidates(b, hot=30)
+        if items > 40:
+            assert cand.groupBy("customer_id").count().agg(F.max("count")).first()[0] <= 5 + 6
+        fast = {(r.customer_id, r.nrank): (r.other_id, round(r.jaccard, 12)) for r in recommend.top_neighbours(cand, 5, salt=0).collect()}
+        assert fast == full, items
