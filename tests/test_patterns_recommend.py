@@ -183,3 +183,11 @@ def test_candidates_left_are_few_per_customer_and_dealt_customers_rank_the_same(
             assert cand.groupBy("customer_id").count().agg(F.max("count")).first()[0] <= 5 + 6
         fast = {(r.customer_id, r.nrank): (r.other_id, round(r.jaccard, 12)) for r in recommend.top_neighbours(cand, 5, salt=0).collect()}
         assert fast == full, items
+
+
+def test_reports_read_written_recommendations(spark):
+    """Every branch of a report reads the recommendations; none works out the neighbours again."""
+    from revlens.plans.catalog import QUERIES
+    for name in ("top_recommended_products", "recommend_with_fallback", "coverage_metrics", "evaluation_report", "holdout_evaluation"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "other_id" not in plan, name
