@@ -6,7 +6,11 @@ underscores, lower-cased; idf = ln((1 + n) / (1 + df)) + 1; rows L2
 normalised), and the cosine similarity of every pair of comments gives a
 mean and a max.  A user without any token gets no values.
 
-Plan:
+Users are small groups as a rule: one whose comments times characters stay within
+GROUPED is one row of hashed terms, and its matrix is worked out in place
+(``_within_users``), so the text is shuffled once and no term becomes a row.
+
+Plan for the users beyond that bound (``_across_tasks``):
 * tf, df and norms are grouped aggregates (partial aggregation; AQE splits
   skewed join partitions), no per-user Python.  The vectors are written once,
   one row per comment; every later step reads them.
@@ -21,6 +25,8 @@ Plan:
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +34,7 @@ from revlens.functions.text import UNICODE_WS
 from revlens.session import cut_lineage
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
+GROUPED = 6_000_000  # comments x characters of a user that is worked out in place: two million entries of a matrix at most
 
 
 def _nonblank(comments: DataFrame, text: str) -> DataFrame:
@@ -63,12 +70,58 @@ def tfidf_vectors(comments: DataFrame, user: str = "customer_id", cid: str = "co
 
 
 def user_text_similarity(comments: DataFrame, user: str = "customer_id", cid: str = "comment_id",
-                         text: str = "content", materialize: bool = True) -> DataFrame:
+                         text: str = "content", materialize: bool = True, grouped: int = GROUPED) -> DataFrame:
     """One row per user of the input: (user, mean_similarity, max_similarity).
 
-    With ``materialize`` the vectors are written once; the mean, the copy
-    detection and the pair search all read them.
-    """
+    Users with more than ``grouped`` comments x characters are spread over the tasks, the
+    others are worked out in place; ``grouped`` changes the plan, never the result.  With
+    ``materialize`` the list of the former is written once, and so are their vectors."""
+    nb = _nonblank(comments, text).select(user, cid, text)
+    large = (nb.groupBy(user).agg(F.count("*").alias("n"), F.sum(F.length(text)).alias("chars"))
+             .filter(F.col("n").cast("double") * F.col("chars") > grouped).select(user))
+    if materialize:
+        large = cut_lineage(large)
+    if materialize and large.isEmpty():
+        stats = _within_users(nb, user, cid, text)
+    else:
+        stats = (_within_users(nb.join(large, user, "left_anti"), user, cid, text)
+                 .unionByName(_across_tasks(nb.join(large, user, "left_semi"), user, cid, text, materialize)))
+    everyone = comments.select(user).distinct()
+    return everyone.join(stats, user, "left")
+
+
+def _within_users(nb: DataFrame, user: str, cid: str, text: str) -> DataFrame:
+    """(user, mean_similarity, max_similarity) of the users with two non-blank comments and a token;
+    one row a user, terms as 64-bit hashes."""
+    def similarity_of(n: int, ids: np.ndarray, sizes: np.ndarray, terms: np.ndarray) -> tuple[float, float]:
+        """(mean, max) cosine of one user's ``n`` comments: ``sizes`` terms each, comments of one id are one."""
+        doc = np.unique(np.repeat(ids, sizes), return_inverse=True)[1]
+        words, word = np.unique(terms, return_inverse=True)
+        m = int(doc.max()) + 1
+        tf = np.bincount(doc * len(words) + word, minlength=m * len(words)).reshape(m, len(words))
+        w = tf * (np.log((n + 1.0) / ((tf > 0).sum(axis=0) + 1.0)) + 1.0)
+        w /= np.sqrt((w * w).sum(axis=1))[:, None]
+        total = w.sum(axis=0)
+        cosines = w @ w.T
+        np.fill_diagonal(cosines, 0.0)
+        top = float(cosines.max())
+        return max(0.0, (float(total @ total) - m) / (n * (n - 1))), 1.0 if top > 1 - 1e-12 else max(0.0, top)
+
+    @F.pandas_udf("mean_similarity double, max_similarity double")
+    def measure(n: pd.Series, ids: pd.Series, sizes: pd.Series, terms: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([similarity_of(*x) for x in zip(n, ids, sizes, terms)], columns=["mean_similarity", "max_similarity"])
+
+    hashed = F.transform(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), 0), lambda t: F.xxhash64(t))
+    rows = nb.repartition(user).select(user, F.struct(F.xxhash64(cid).alias("id"), hashed.alias("terms")).alias("c"))
+    held = rows.groupBy(user).agg(F.count("*").alias("n"), F.collect_list("c").alias("cs")).filter(F.col("n") >= 2)
+    held = held.select(user, "n", F.transform("cs", lambda c: c["id"]).alias("ids"),
+                       F.transform("cs", lambda c: F.size(c["terms"])).alias("sizes"), F.flatten("cs.terms").alias("terms"))
+    return held.filter(F.size("terms") > 0).select(user, measure("n", "ids", "sizes", "terms").alias("s")).select(user, "s.*")
+
+
+def _across_tasks(comments: DataFrame, user: str, cid: str, text: str, materialize: bool) -> DataFrame:
+    """The same for users of any size.  With ``materialize`` the vectors are written once; the
+    mean, the copy detection and the pair search all read them."""
     vectors, users = tfidf_vectors(comments, user, cid, text, materialize)
     if materialize:
         vectors = cut_lineage(vectors)
@@ -84,16 +137,14 @@ def user_text_similarity(comments: DataFrame, user: str = "customer_id", cid: st
         dup = cut_lineage(dup)
     searched = vectors.join(dup.filter(~F.col("has_copy") & (F.col("m") >= 2)).select(user), user, "left_semi")
     pmax = _best_pairs(searched, user, cid, materialize).groupBy(user).agg(F.max("sim").alias("pmax"))
-    stats = (users.join(dup, user).join(sq, user).join(pmax, user, "left")
-                  .filter(F.col("n") >= 2)
-                  .select(user,
-                          F.greatest(F.lit(0.0), (F.col("sq") - F.col("m")) / (F.col("n") * (F.col("n") - 1)))
-                          .alias("mean_similarity"),
-                          F.greatest(F.coalesce("pmax", F.lit(0.0)),
-                                     F.when(F.col("has_copy"), F.lit(1.0)).otherwise(F.lit(0.0)))
-                          .alias("max_similarity")))
-    everyone = comments.select(user).distinct()
-    return everyone.join(stats, user, "left")
+    return (users.join(dup, user).join(sq, user).join(pmax, user, "left")
+                 .filter(F.col("n") >= 2)
+                 .select(user,
+                         F.greatest(F.lit(0.0), (F.col("sq") - F.col("m")) / (F.col("n") * (F.col("n") - 1)))
+                         .alias("mean_similarity"),
+                         F.greatest(F.coalesce("pmax", F.lit(0.0)),
+                                    F.when(F.col("has_copy"), F.lit(1.0)).otherwise(F.lit(0.0)))
+                         .alias("max_similarity")))
 
 
 def _cosines(pairs: DataFrame, vectors: DataFrame, user: str, cid: str) -> DataFrame:

@@ -86,3 +86,22 @@ def test_copied_comment_and_unique_rarest_terms(spark):
     for u, cs in users.items():
         mean, mx = ref_tfidf_sims(cs)
         assert abs(got[u][0] - mean) < 1e-9 and abs(got[u][1] - mx) < 1e-9, (u, got[u], mean, mx)
+
+
+def test_users_in_place_and_across_tasks_agree(spark):
+    """Small users are worked out in place, without a row per term; beyond the bound the plan
+    changes and the values do not.  Comments of one id are one, blanks and comments without tokens count."""
+    import random
+    rnd = random.Random(8)
+    vocab = [f"w{i}" for i in range(12)] + ["x", "Đẹp"]
+    rows = [(u, i % 7, " ".join(rnd.choices(vocab, k=rnd.randint(0, 6)))) for u in range(30) for i in range(rnd.randint(1, 9))]
+    df = spark.createDataFrame(rows + [(99, 0, None)], "customer_id long, comment_id long, content string")
+    got = [{r.customer_id: (r.mean_similarity, r.max_similarity)
+            for r in similarity.user_text_similarity(df, grouped=limit).collect()} for limit in (0, 100, similarity.GROUPED)]
+    assert set(got[0]) == {r[0] for r in rows} | {99}
+    for other in got[1:]:
+        for u, values in got[0].items():
+            assert (values[0] is None) == (other[u][0] is None), u
+            assert values[0] is None or all(abs(a - b) < 1e-9 for a, b in zip(values, other[u])), u
+    plan = similarity.user_text_similarity(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan.lower()
