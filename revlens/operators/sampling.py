@@ -42,15 +42,13 @@ def balanced_sample(df: DataFrame, key: str, fraction: float = 0.1, seed: int =
     that share it the first by ``key``, so a class never exceeds its size: no
     window over a whole class and no driver round trip.
     """
-    lab = spam_ham_label(df, flags).filter(F.col("label").isNotNull())
-    lab = lab.withColumn("_h", seeded_hash(key, seed))
-    total = df.agg(F.count("*")).scalar()
+    every = spam_ham_label(df, flags).withColumn("_h", seeded_hash(key, seed))
     if materialize:
-        # the labelled rows are read by the class sizes, each histogram
+        # the labelled rows are read by the row count, the class sizes, each histogram
         # level and the final filter: materialise them once
-        lab = cut_lineage(lab.withColumn("_total", total))
-        total = lab.agg(F.max("_total")).scalar()
-        lab = lab.drop("_total")
+        every = cut_lineage(every)
+    total = every.agg(F.count("*")).scalar()
+    lab = every.filter(F.col("label").isNotNull())
     per_class = F.floor(F.lit(fraction) * total / 2)
     sizes = lab.groupBy(F.col("label").alias("g")).agg(F.count("*").alias("size"))
     ranks = sizes.select("g", F.least(per_class.cast("bigint"), F.col("size")).alias("k")).filter(F.col("k") >= 1)
