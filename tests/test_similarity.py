@@ -105,3 +105,9 @@ def test_users_in_place_and_across_tasks_agree(spark):
             assert values[0] is None or all(abs(a - b) < 1e-9 for a, b in zip(values, other[u])), u
     plan = similarity.user_text_similarity(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "explode" not in plan.lower()
+
+
+def test_balanced_sample_writes_no_texts(spark):
+    from revlens.plans.catalog import QUERIES
+    plan = QUERIES["balanced_sample"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "content" not in plan
