@@ -10,7 +10,8 @@ Burst flag semantics (per user, rows ordered by time then id):
 
 Scale design.  A window partitioned by user alone sends a user who owns a
 third of all rows to one task.  With ``bucket_seconds`` set, the row-level
-window is partitioned by (user, chunk) instead.  A chunk is a time bucket of a
+window of a user with more than ``chunk_rows`` rows is partitioned by (user,
+chunk) instead; all other users are dealt and sorted once, by user alone.  A chunk is a time bucket of a
 user, and a bucket of more than ``chunk_rows`` rows is cut further, by row
 count, at the seconds where its running count passes a multiple of
 ``chunk_rows``: a prefix scan over per-second counts.  The values that
@@ -25,6 +26,9 @@ they are broadcast.  Rows of one user and one second stay together.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +59,7 @@ def positive_quantile(df: DataFrame, col: str, q: float, accuracy: int | None =
         return pos.agg(F.coalesce(F.percentile_approx(col, F.lit(q), accuracy).cast("double"),
                                   F.lit(0.0)).alias("threshold"))
     secs = F.col(seconds_col) if seconds_col else F.round(F.col(col) * 60).cast("bigint")
-    row = quantile_row(pos, secs, [q], scale=60.0)
+    row = quantile_row(pos, secs, [q], scale=60.0, once=True)
     # an empty input yields an aggregate row with an empty array -> 0.0
     return row.select(F.coalesce(F.get(F.col("values"), 0), F.lit(0.0)).alias("threshold"))
 
@@ -104,6 +108,34 @@ def found_cuts(df: DataFrame, user: str, ts: str, bucket_seconds: int | None, ch
     return None if cuts.isEmpty() else cuts
 
 
+Part = tuple[DataFrame, int | None, DataFrame | None]  # rows, bucket_seconds or None for the plain window, cuts
+
+
+def busy_users(df: DataFrame, user: str, chunk_rows: int) -> DataFrame | None:
+    """The users with more than ``chunk_rows`` rows (at most one per so many rows of ``df``),
+    written once, or None if there are none."""
+    per = df.groupBy(F.col(user).alias("_busy")).agg(F.count("*").alias("_n"))
+    busy = cut_lineage(per.filter(F.col("_n") > chunk_rows).select("_busy"))
+    return None if busy.isEmpty() else busy
+
+
+def _parts(df: DataFrame, user: str, ts: str, bucket_seconds: int | None, chunk_rows: int | None) -> list[Part]:
+    """``df`` as the rows of ordinary users, under the plain window, and those of busy users, in chunks."""
+    if bucket_seconds is None or chunk_rows is None:
+        return [(df, bucket_seconds, None)]
+    busy = busy_users(df, user, chunk_rows)
+    if busy is None:
+        return [(df, None, None)]
+    same = F.col(user).eqNullSafe(F.col("_busy"))
+    theirs = df.join(F.broadcast(busy), same, "left_semi")
+    return [(df.join(F.broadcast(busy), same, "left_anti"), None, None),
+            (theirs, bucket_seconds, found_cuts(theirs, user, ts, bucket_seconds, chunk_rows))]
+
+
+def _united(frames: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def review_gaps(df: DataFrame, user: str = "customer_id", ts: str = "created_at_ts",
                 order_id: str = "comment_id",
                 bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
@@ -113,7 +145,8 @@ def review_gaps(df: DataFrame, user: str = "customer_id", ts: str = "created_at_
     Helper columns ``_b`` (chunk) and ``_rn`` (row number in the chunk)
     are kept for ``burst_flags`` and dropped there.
     """
-    return _gaps(df, user, ts, order_id, bucket_seconds, found_cuts(df, user, ts, bucket_seconds, chunk_rows))
+    return _united(_gaps(rows, user, ts, order_id, bucket, cuts)
+                   for rows, bucket, cuts in _parts(df, user, ts, bucket_seconds, chunk_rows))
 
 
 def _gaps(df: DataFrame, user: str, ts: str, order_id: str, bucket_seconds: int | None, cuts: DataFrame | None) -> DataFrame:
@@ -138,7 +171,7 @@ def burst_threshold(gaps: DataFrame, q: float = BURST_QUANTILE, accuracy: int |
 
 def all_gaps_threshold(gaps: DataFrame, q: float = BURST_QUANTILE) -> DataFrame:
     """X1, notebook form: one-row frame ``threshold``, the q-quantile of all gaps."""
-    row = quantile_row(gaps.filter(F.col("delta_minutes").isNotNull()), F.round(F.col("delta_minutes") * 60).cast("bigint"), [q], scale=60.0)
+    row = quantile_row(gaps.filter(F.col("delta_minutes").isNotNull()), F.round(F.col("delta_minutes") * 60).cast("bigint"), [q], scale=60.0, once=True)
     return row.select(F.coalesce(F.get(F.col("values"), 0), F.lit(0.0)).alias("threshold"))
 
 
@@ -150,16 +183,23 @@ def burst_flags(df: DataFrame, user: str = "customer_id", ts: str = "created_at_
     """W1–W3 + X2: adds previous_created_at_ts, delta_minutes, small_gap,
     burst_group, burst_count and F3_flag.
 
-    The threshold comes from a projection of (user, time, id) alone, the rows
-    keep all their columns lazily.  ``zero_is_small`` is the notebook's form: the
+    ``df`` is read up to three times (rows per user, threshold, result), so it should be
+    stored or cheap.  The threshold comes from a projection of (user, time, id) alone, the
+    rows keep all their columns lazily.  ``zero_is_small`` is the notebook's form: the
     threshold is taken over all gaps, and a gap of zero counts as small.
     """
-    cuts = found_cuts(df, user, ts, bucket_seconds, chunk_rows)
-    gaps = _gaps(df, user, ts, order_id, bucket_seconds, cuts)
+    parts = _parts(df, user, ts, bucket_seconds, chunk_rows)
     if threshold is None:
-        narrow = _gaps(df.select(user, ts, order_id), user, ts, order_id, bucket_seconds, cuts)
+        narrow = _united(_gaps(rows.select(user, ts, order_id), user, ts, order_id, bucket, cuts) for rows, bucket, cuts in parts)
         threshold = (all_gaps_threshold(narrow) if zero_is_small else burst_threshold(narrow)).scalar()
     thr = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
+    return _united(_runs(_gaps(rows, user, ts, order_id, bucket, cuts), user, ts, order_id, thr, min_run, bucket, zero_is_small)
+                   for rows, bucket, cuts in parts)
+
+
+def _runs(gaps: DataFrame, user: str, ts: str, order_id: str, thr: Column, min_run: int, bucket_seconds: int | None,
+          zero_is_small: bool) -> DataFrame:
+    """W2, W3 + X2 over rows with their gaps."""
     d = F.col("delta_minutes")
     w = Window.partitionBy(user, "_b").orderBy(ts, order_id)
     x = (gaps.withColumn("small_gap", ((d >= 0) if zero_is_small else (d > 0)) & (d <= thr))

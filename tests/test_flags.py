@@ -88,3 +88,32 @@ def test_threshold_exact_quantile_of_positive_gaps(spark):
     assert flags.burst_threshold(df).first()["threshold"] == 1.0
     empty = df.filter(F.col("delta_minutes") > 100)
     assert flags.burst_threshold(empty).first()["threshold"] == 0.0
+
+
+def plan_of(df):
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def test_ordinary_users_are_dealt_once_and_busy_users_cut(spark, tmp_dir):
+    data = [(i, u, T0 + dt.timedelta(seconds=(i * 7919) % 40000)) for i, u in enumerate([1] * 60 + [2] * 9 + [None] * 5 + [3] * 30)]
+    spark.createDataFrame(data, "comment_id long, customer_id long, created_at_ts timestamp").write.parquet(f"{tmp_dir}/rows")
+    df = spark.read.parquet(f"{tmp_dir}/rows")
+    # no user is busy: one shuffle of the rows, no join; the threshold reads written counts
+    out = flags.burst_flags(df)
+    tree = plan_of(out).split("\n(1) ")[0].split("Subqueries")[0]
+    assert tree.count("Exchange") == 1 and "Join" not in tree, tree
+    cols = ["comment_id", "previous_created_at_ts", "delta_minutes", "small_gap", "burst_group", "burst_count", "F3_flag"]
+    plain = sorted(map(str, flags.burst_flags(df, bucket_seconds=None).select(cols).collect()))
+    assert sorted(map(str, out.select(cols).collect())) == plain
+    # users 1 and 3 are busy, a null user is a user like others
+    assert {r["_busy"] for r in flags.busy_users(df, "customer_id", 20).collect()} == {1, 3}
+    assert flags.busy_users(df, "customer_id", 60) is None
+    for rows in (20, 10):
+        assert sorted(map(str, flags.burst_flags(df, bucket_seconds=3600, chunk_rows=rows).select(cols).collect())) == plain
+
+
+def test_threshold_works_its_rows_out_once(spark):
+    rows = spark.range(1000).select((F.col("id") % 10).cast("double").alias("time_gap_minutes"))
+    threshold = flags.timegap_threshold(rows)
+    assert "Range" not in plan_of(threshold)  # both levels read written counts
+    assert threshold.first()["threshold"] == 1.0
