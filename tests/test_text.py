@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions import text as tx
 from revlens.functions.html import unescape_html
+from revlens.plans.catalog import QUERIES
 
 
 def one(spark, expr_fn, value):
@@ -74,3 +75,19 @@ def test_unescape_html_equals_the_standard_library(spark):
 
 def test_clean_text_v2_decodes_all_references(spark):
     assert one(spark, tx.clean_text_v2, "a&#243;b &eacute;t &copy; &hellip;") == "aób ét"
+
+
+def test_classes_hold_the_same_characters(spark):
+    points = spark.range(1, 0x110000).where("id < 55296 OR id > 57343")
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    pairs = [(f"[^{tx.WORD}{ws}]", tx._other_than(tx.WORD + ws)) for ws in (tx.ASCII_WS, tx.UNICODE_WS)]
+    pairs += [(f"[{ws}]", tx._one_of(ws)) for ws in (tx.ASCII_WS, tx.UNICODE_WS)]
+    assert points.where(F.array_contains(F.array(*[char.rlike(a) != char.rlike(b) for a, b in pairs]), True)).count() == 0
+
+
+def test_texts_of_one_row_group_are_dealt_to_several_tasks(spark, tmp_dir):
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(200)), lambda i: F.md5((F.col("id") * 1000 + i).cast("string"))))
+    spark.range(2000).select(F.col("id").alias("doc_id"), words.alias("text")).coalesce(1).write.parquet(f"{tmp_dir}/documents.parquet")
+    tasks = QUERIES["normalize_text"](spark, tmp_dir).select(F.spark_partition_id().alias("p"), "content_text").groupBy("p").count()
+    rows = [r["count"] for r in tasks.collect()]
+    assert len(rows) > 1 and sum(rows) == 2000
