@@ -91,3 +91,29 @@ def test_texts_of_one_row_group_are_dealt_to_several_tasks(spark, tmp_dir):
     tasks = QUERIES["normalize_text"](spark, tmp_dir).select(F.spark_partition_id().alias("p"), "content_text").groupBy("p").count()
     rows = [r["count"] for r in tasks.collect()]
     assert len(rows) > 1 and sum(rows) == 2000
+
+
+def test_safe_and_clean_text_search_little_and_give_the_same(spark):
+    rng = random.Random(17)
+    pieces = ["ko", "shop", "x", "été", "#tag", "@me", "http://a b", "www.c", "\"", ",", "-", " ", "  ", "\t", "\n", "\r\n", "\x0b", "\f", "\x85", " ", " ", "😀", "_", "a  b"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(400)] + [None]
+    c = F.col("t")
+    # step by step, each search over every text
+    plain = F.coalesce(c, F.lit(""))
+    squeezed = lambda x: F.trim(F.regexp_replace(x, "[ \\t\\n\\x0B\\f\\r]+", " "))
+    safe = squeezed(F.replace(F.replace(F.regexp_replace(plain, "[\\r\\n]+", " "), F.lit('"'), F.lit("'")), F.lit(","), F.lit(" ")))
+    words = F.regexp_replace(F.lower(plain), f"http[^{tx.ASCII_WS}]+|www[^{tx.ASCII_WS}]+", " ")
+    words = F.regexp_replace(words, f"[@#][{tx.WORD}]+", " ")
+    words = F.split(squeezed(F.regexp_replace(words, f"[^{tx.WORD}{tx.ASCII_WS}]", " ")), " ")
+    lookup = F.create_map(*[F.lit(x) for kv in tx.ABBREVIATIONS_JOB.items() for x in kv])
+    clean = squeezed(F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(lookup, w), w)), " "))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", safe.alias("a"), tx.safe_csv_text(c).alias("b"), clean.alias("x"), tx.clean_text(c).alias("y")).collect()
+    assert len(rows) == len(texts)
+    assert [(r.t, r.a, r.x) for r in rows] == [(r.t, r.b, r.y) for r in rows]
+
+    def searches(column):  # those made whatever the text
+        plan = df.select(column.alias("o"))._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("regexp_replace(") - plan.count("THEN regexp_replace(")
+    assert searches(tx.safe_csv_text(c)) == 0
+    assert searches(tx.clean_text(c)) == 1
