@@ -314,7 +314,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     marking = best(found.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("n_toxic")))
 
     # the words of at most max_examples texts, eight bytes each
-    words = np.sort(_numbers(every.select("term"), np.int64))
+    words = np.sort(_numbers(every.select("term"))[0])
     vocabulary = spark.sparkContext.broadcast(words)
 
     def corpus_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -329,9 +329,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         yield pd.DataFrame({"term": np.append(-1, held), "n": np.append(n, seen[held])})  # term -1 counts rows
 
     found = (docs.select(full_text(text).alias("text")).mapInPandas(corpus_counts, "term int, n long")
-             .groupBy("term").agg(F.sum("n").alias("n")).toPandas().sort_values("term"))
-    total, df = int(found["n"].iloc[0]), found["n"].to_numpy(float)[1:]
-    idf = np.log(1 + total / df)
+             .groupBy("term").agg(F.sum("n").alias("n")))
+    places, counts = _numbers(found)
+    # places are those of all words and -1: each count goes to its place
+    df = np.zeros(len(words) + 1)
+    df[places + 1] = counts
+    idf = np.log(1 + int(df[0]) / df[1:])
 
     learned = spark.sparkContext.broadcast((idf, np.isin(words, np.array(sorted(marking), np.int64))))
 
@@ -370,8 +373,9 @@ class Fitted:
         return pickle.loads(zlib.decompress(self.data))
 
 
-def _numbers(column: DataFrame, kind) -> np.ndarray:
-    return column.toPandas().iloc[:, 0].to_numpy(kind)
+def _numbers(rows: DataFrame) -> list[np.ndarray]:
+    """The columns of rows without nulls, which come as Arrow batches: a number is never an object."""
+    return [column.to_numpy() for column in rows.toArrow().columns]
 
 
 def scorer(model: Model | Fitted, spark: SparkSession):

@@ -193,3 +193,13 @@ def test_several_texts_of_one_id_give_one_example(spark, docs):
     one = X.toxicity(docs(twice), marked).select("doc_id", "text", "toxicity.score").collect()
     two = X.toxicity(docs(twice[::-1]).repartition(5), marked).select("doc_id", "text", "toxicity.score").collect()
     assert sorted(map(tuple, one)) == sorted(map(tuple, two))
+
+
+def test_words_and_counts_come_to_the_driver_as_numbers(spark, docs, monkeypatch):
+    """Not as rows: each would be an object of its own on the driver."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    rows, labels = corpus()
+    brought, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: brought.append(collect(self)) or brought[-1])
+    fitted = X.fit(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert max(map(len, brought), default=0) < 82 == len(fitted.model.whole.vocabulary)
