@@ -93,6 +93,8 @@ class BlockMaxIndex:
         self.block_max = np.zeros((terms, self.blocks))
         for term, (p, w) in enumerate(zip(self.places, self.weights)):
             np.maximum.at(self.block_max[term], p // block, w)
+        # where each block begins in a term's list
+        self.starts = [np.searchsorted(p, np.arange(self.blocks + 1) * block).tolist() for p in self.places]
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
         """(cosine, place) of the k examples with the largest positive cosines."""
@@ -108,7 +110,7 @@ class BlockMaxIndex:
             score = np.zeros(self.block)
             low = b * self.block
             for t in terms:
-                a, z = np.searchsorted(self.places[t], [low, low + self.block])
+                a, z = self.starts[t][b], self.starts[t][b + 1]
                 score[self.places[t][a:z] - low] += query[t] * self.weights[t][a:z]
             found = np.flatnonzero(score > 0)
             best = sorted(best + [(-float(score[i]), int(low + i)) for i in found])[:k]
@@ -132,6 +134,7 @@ class WholeSpace:
         terms = np.concatenate([x[2] for x in held])
         counts, codes = np.unique(np.concatenate([x[3] for x in held]), return_inverse=True)
         self.factor = np.append(0.0, 1 + np.log(counts))
+        self.code_bits = len(counts).bit_length()
         codes = (codes + 1).astype(np.min_scalar_type(len(counts)))
         self.norm = np.array([math.sqrt(((self.factor[c] * idf[t]) ** 2).sum()) for t, c in zip(
             (x[2] for x in held), np.split(codes, np.cumsum([len(x[2]) for x in held[:-1]])))])
@@ -148,16 +151,28 @@ class WholeSpace:
         self.bounds = np.searchsorted(terms[order], np.arange(len(idf) + 1))
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("matrix", "weights")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("matrix", "entries")}
 
     @cached_property
     def matrix(self) -> np.ndarray:
         return self.factor[self.held] * self.idf[self.common][:, None] / self.norm
 
     @cached_property
-    def weights(self) -> np.ndarray:
-        """The unit vectors' entries at the inverted index's places."""
-        return self.factor[self.codes] * np.repeat(self.idf, np.diff(self.bounds)) / self.norm[self.places]
+    def entries(self) -> np.ndarray:
+        """The inverted index, a place and a code in one number: a text reads many short
+        stretches of it, each once."""
+        packed = self.places.astype(np.int64) << self.code_bits | self.codes
+        return packed.astype(np.min_scalar_type(self.n << self.code_bits))
+
+    def rare(self, low: np.ndarray, high: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Per example the sum over stretches of the inverted index, of terms of these weights."""
+        entries = self.entries
+        packed = np.concatenate([entries[a:z] for a, z in zip(low.tolist(), high.tolist())])
+        places = (packed >> self.code_bits).astype(np.intp)
+        # in place of an index, as codes are known to be in range
+        values = self.factor.take((packed & ((1 << self.code_bits) - 1)).astype(np.intp), mode="clip")
+        values *= np.repeat(weights, high - low)
+        return np.bincount(places, values, self.n) / self.norm
 
     def vector(self, bag: Bag) -> tuple[np.ndarray, np.ndarray]:
         terms, known = places_of(bag[0], self.vocabulary)
@@ -178,12 +193,10 @@ class WholeSpace:
         scores = asked @ self.matrix
         out = []
         for score, (terms, weights) in zip(scores, queries):
-            rare = self.column[terms] < 0
-            low, high = self.bounds[terms[rare]], self.bounds[terms[rare] + 1]
+            rare = terms[self.column[terms] < 0]
+            low, high = self.bounds[rare], self.bounds[rare + 1]
             if (high - low).sum():
-                spans = list(zip(low.tolist(), high.tolist()))
-                score += np.bincount(np.concatenate([self.places[a:z] for a, z in spans]),
-                                     np.concatenate([self.weights[a:z] for a, z in spans]) * np.repeat(weights[rare], high - low), self.n)
+                score += self.rare(low, high, weights[self.column[terms] < 0] * self.idf[rare])
             best = np.maximum.reduceat(score, np.arange(0, self.n, self.block))
             # k blocks reach this cosine, so the k-th does
             least = np.partition(best, -k)[-k] if len(best) >= k else 0.0
@@ -323,7 +336,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for batch in batches:
             n += len(batch)
             for content in batch["text"]:
-                at, there = places_of(word_ids(list(set(words_of(content)))), known)
+                at, there = places_of(np.sort(word_ids(list(set(words_of(content))))), known)
                 seen[at[there]] += 1  # distinct words, distinct places
         held = np.flatnonzero(seen)
         yield pd.DataFrame({"term": np.append(-1, held), "n": np.append(n, seen[held])})  # term -1 counts rows

@@ -203,3 +203,25 @@ def test_words_and_counts_come_to_the_driver_as_numbers(spark, docs, monkeypatch
     monkeypatch.setattr(DataFrame, "collect", lambda self: brought.append(collect(self)) or brought[-1])
     fitted = X.fit(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert max(map(len, brought), default=0) < 82 == len(fitted.model.whole.vocabulary)
+
+
+def test_rare_words_read_one_number_an_entry():
+    """Place and code share a number; no table of weights is held beside the inverted index."""
+    rng = np.random.default_rng(4)
+    vocabulary = np.arange(400, dtype=np.int64)
+    examples = []
+    for doc in range(150):
+        terms = np.sort(rng.choice(400, 12, replace=False)).astype("<i4")
+        examples.append((doc, doc % 2, terms, rng.integers(1, 300, 12).astype("<i4")))
+    space = X.WholeSpace(vocabulary, rng.random(400) + 0.5, examples)
+    vectors = np.zeros((150, 400))
+    for place, (_, _, terms, counts) in enumerate(examples):
+        vectors[place, terms] = (1 + np.log(counts)) * space.idf[terms]
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    queries = [space.vector((x[2].astype(np.int64), x[3].astype(np.int64))) for x in examples[:40]]
+    for place, near in enumerate(space.nearest(queries, 5)):
+        cosines = np.round(vectors @ vectors[place], X.DIGITS)
+        assert near[0] == (1.0, place)
+        assert [c for c, _ in near] == sorted(cosines, reverse=True)[:len(near)]
+    assert space.entries.nbytes <= 4 * len(space.places) and "weights" not in dir(space)
+    assert "entries" not in space.__getstate__()
