@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlens.session import cut_lineage, discard
+
+ROUND_ROWS = 2_000_000  # rows that one round of ``dedup_written`` takes, while that gives MOST_ROUNDS at most: each reads all written rows
+MOST_ROUNDS = 2
+
 
 def dedup(df: DataFrame, keys: list[str], order: list[str | Column] | None = None,
           keep: str = "first") -> DataFrame:
@@ -27,6 +34,18 @@ def dedup(df: DataFrame, keys: list[str], order: list[str | Column] | None = Non
     return out.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
+def dedup_written(df: DataFrame, keys: list[str], keep: str = "first", round_rows: int = ROUND_ROWS) -> DataFrame:
+    """``dedup``, written.  The rows are written first, so that the shuffles they come from are gone
+    when theirs begins, and keys are dealt over rounds by hash: shuffle files of one round lie on
+    disk at a time.  Each round reads the written rows once."""
+    rows = cut_lineage(df)
+    rounds = max(1, min(MOST_ROUNDS, -(-rows.count() // round_rows)))
+    dealt = F.pmod(F.xxhash64(*keys), F.lit(rounds))
+    parts = [cut_lineage(dedup(rows.filter(dealt == i) if rounds > 1 else rows, keys, keep=keep)) for i in range(rounds)]
+    discard(rows)
+    return reduce(DataFrame.unionByName, parts)
+
+
 def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
     """A5: rows, distinct keys and surplus rows by key (one row)."""
     per_key = df.groupBy(*keys).agg(F.count("*").alias("n"))
